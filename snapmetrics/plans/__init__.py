@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots"]
+MODULES = ["snapshots", "prices"]
 
 
 def registry() -> tuple[dict, dict]:

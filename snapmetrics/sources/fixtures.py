@@ -56,3 +56,57 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("created_ts", TS_FMT).alias("created_timestamp"),
         F.date_format("ts", TS_FMT).alias("visited_timestamp"),
     )
+
+
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 companies: one per nation; details JSON with sector (region) and marketCap, some keys absent."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    k = F.col("n_nationkey")
+    cap = (k + 1).cast("bigint") * 1000000000 + k.cast("bigint") * 12345678
+    details = F.concat(
+        F.lit("{"),
+        F.concat_ws(
+            ", ",
+            F.when(k % 12 != 0, F.concat(F.lit('"sector": "'), F.col("r_name"), F.lit('"'))),
+            F.when(k % 9 != 0, F.concat(F.lit('"marketCap": '), s(cap))),
+            F.concat(F.lit('"shortName": "S'), s(k), F.lit('"')),
+            F.concat(F.lit('"longName": "Long '), F.col("n_name"), F.lit('"')),
+            F.concat(F.lit('"longBusinessSummary": "Summary of '), F.col("n_name"), F.lit('"')),
+        ),
+        F.lit("}"),
+    )
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("n_name").alias("symbol"),
+        F.concat(F.lit("Company "), s(k)).alias("name"),
+        (k + 1).cast("double").alias("weight"),
+        details.alias("details"),
+    )
+
+
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 price bars: one per (nation, month) from orders ⋈ customer; volume = sum of floor(total price)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    ordk = F.struct("o_orderdate", "o_orderkey")
+    return j.groupBy(
+        F.col("n_name").alias("symbol"), F.trunc(F.to_date("o_orderdate"), "month").alias("at_date")
+    ).agg(
+        F.sum(F.floor("o_totalprice")).cast("bigint").alias("volume"),
+        F.min_by("o_totalprice", ordk).alias("at_open"),
+        F.max_by("o_totalprice", ordk).alias("at_close"),
+        F.max_by("o_totalprice", ordk).alias("at_close_adj"),
+        F.max("o_totalprice").alias("high"),
+        F.min("o_totalprice").alias("low"),
+    )
+
+
+def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 bars as a market-data download delivers them (capitalised names, index as at_date)."""
+    return prices(spark, sf_dir).select(
+        "symbol", "at_date",
+        F.col("at_open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
+        F.col("at_close").alias("Close"), F.col("at_close_adj").alias("Adj Close"), F.col("volume").alias("Volume"),
+    )

@@ -30,3 +30,29 @@ snapshots AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+F5_COMPANIES = """
+companies AS (
+  SELECT n_name AS symbol, 'Company ' || CAST(n_nationkey AS VARCHAR) AS name,
+    CAST(n_nationkey + 1 AS DOUBLE) AS weight,
+    '{' || concat_ws(', ',
+      CASE WHEN n_nationkey % 12 <> 0 THEN '"sector": "' || r_name || '"' END,
+      CASE WHEN n_nationkey % 9 <> 0 THEN '"marketCap": ' ||
+        CAST(CAST(n_nationkey + 1 AS BIGINT) * 1000000000 + CAST(n_nationkey AS BIGINT) * 12345678 AS VARCHAR) END,
+      '"shortName": "S' || CAST(n_nationkey AS VARCHAR) || '"',
+      '"longName": "Long ' || n_name || '"',
+      '"longBusinessSummary": "Summary of ' || n_name || '"') || '}' AS details
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+)"""
+
+F5_PRICES = """
+prices AS (
+  SELECT n_name AS symbol, CAST(date_trunc('month', o_orderdate) AS DATE) AS at_date,
+    CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS volume,
+    arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS at_open,
+    arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS at_close,
+    arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS at_close_adj,
+    max(o_totalprice) AS high, min(o_totalprice) AS low
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY 1, 2
+)"""
