@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots", "prices"]
+MODULES = ["snapshots", "prices", "listings"]
 
 
 def registry() -> tuple[dict, dict]:

@@ -110,3 +110,74 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("at_open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
         F.col("at_close").alias("Close"), F.col("at_close_adj").alias("Adj Close"), F.col("volume").alias("Volume"),
     )
+
+
+# Fixed values used to render month words in the F3 date texts.
+_MONTH_WORDS = "array('януари','февруари','март','април','май','юни','юли','август','септември','октомври','ноември','декември')"
+
+
+def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """staged listing rows, all text, as scraped (prices with currency words, areas with units, dates with
+    Bulgarian month names, coordinates with decimal commas). ``link`` repeats every 500 parts (first-wins)."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    base = p.selectExpr(
+        "p_partkey AS pk",
+        "p_size AS sz",
+        "CAST(p_partkey % 400 + 50 AS STRING) || ' ' || lpad(CAST(p_size * 17 % 1000 AS STRING), 3, '0') AS n_sp",
+        "CASE p_partkey % 4 WHEN 0 THEN 'www.imot.bg' WHEN 1 THEN 'www.etuovi.com' WHEN 2 THEN 'www.vuokraovi.com'"
+        " ELSE 'www.holmes.bg' END AS host",
+        "CASE p_partkey % 6 WHEN 0 THEN ' 1-стаен апартамент' WHEN 1 THEN '2-стаен апартамент'"
+        " WHEN 2 THEN '3-СТАЕН апартамент ' WHEN 3 THEN '4-стаен апартамент' WHEN 4 THEN 'Мезонет'"
+        " ELSE 'Къща' END AS type_raw",
+        "CASE p_partkey % 3 WHEN 0 THEN 'гр. София, Лозенец / близо до център' WHEN 1 THEN 'Софийска област, Банкя'"
+        " ELSE 'България, с. Герман ' || CAST(p_partkey % 10 AS STRING) END AS place_raw",
+        "p_partkey % 28 + 1 AS d",
+        "p_partkey % 12 + 1 AS m",
+        "2019 + p_partkey % 2 AS y",
+        "lpad(CAST(p_partkey % 24 AS STRING), 2, '0') AS hh",
+        "lpad(CAST(p_partkey % 60 AS STRING), 2, '0') AS mi",
+    )
+    mw = (
+        f"CASE (pk div 12) % 3 WHEN 0 THEN element_at({_MONTH_WORDS}, CAST(m AS INT))"
+        f" WHEN 1 THEN substr(element_at({_MONTH_WORDS}, CAST(m AS INT)), 1, 3)"
+        f" ELSE upper(substr(element_at({_MONTH_WORDS}, CAST(m AS INT)), 1, 1)) ||"
+        f" substr(element_at({_MONTH_WORDS}, CAST(m AS INT)), 2, 2) || '.' END"
+    )
+    return base.selectExpr(
+        "'https://' || host || '/offer/' || CAST(pk % 500 AS STRING) AS link",
+        "CAST(pk AS STRING) AS id",
+        "type_raw AS type",
+        "'София' AS city",
+        "place_raw AS place",
+        "CASE WHEN pk % 5 = 0 THEN 'Друг адрес' ELSE 'София, ' || place_raw || ', бл. ' || CAST(pk AS STRING) END"
+        " AS address",
+        "CASE pk % 2 WHEN 0 THEN 'True' ELSE 'False' END AS is_for_sale",
+        "CASE pk % 5 WHEN 0 THEN 'при запитване' WHEN 1 THEN n_sp || ' лв.' WHEN 2 THEN n_sp || ' EUR'"
+        " WHEN 3 THEN ' ' || n_sp ELSE n_sp || ' лв. без ДДС' END AS price",
+        "CASE pk % 3 WHEN 0 THEN CAST(pk % 900 + 100 AS STRING) || '.5 лв./кв.м'"
+        " WHEN 1 THEN CAST(pk % 900 + 100 AS STRING) || ' EUR/кв.м'"
+        " ELSE CAST(pk % 900 + 100 AS STRING) || ' ЛВ/кв.м' END AS price_sqm",
+        "CAST(sz AS STRING) || ' кв.м' AS area",
+        "CASE pk % 4 WHEN 0 THEN 'партер' WHEN 1 THEN ' Сутерен' WHEN 2 THEN CAST(pk % 8 + 1 AS STRING) || ' от 8'"
+        " ELSE NULL END AS floor",
+        "'\"{\"\"rooms\"\": ' || CAST(pk % 5 AS STRING) || ', \"\"lift\"\": \"\"' ||"
+        " CASE WHEN pk % 2 = 0 THEN 'да' ELSE 'не' END || '\"\"}\"' AS details",
+        "CASE WHEN pk % 5 = 0 THEN 'n/a' ELSE 'Строителство ' || CAST(1950 + pk % 70 AS STRING) || ' г.' END AS year",
+        "CAST(pk % 1000 AS STRING) || ' пъти' AS views",
+        "'Продава ' || type_raw || '   София' AS title",
+        f"CASE pk % 4 WHEN 0 THEN CAST(d AS STRING) || ' ' || {mw} || ' ' || CAST(y AS STRING) || ', ' || hh || ':' || mi"
+        f" WHEN 1 THEN hh || ':' || mi || ', ' || CAST(d AS STRING) || ' ' || {mw} || ' ' || CAST(y % 100 AS STRING)"
+        f" WHEN 2 THEN hh || ':' || mi || ' на ' || CAST(d AS STRING) || ' ' || {mw} || ', ' || CAST(y AS STRING) || ' год.'"
+        " ELSE lpad(CAST(d AS STRING), 2, '0') || '.' || lpad(CAST(m AS STRING), 2, '0') || '.' || CAST(y AS STRING)"
+        " || ' ' || hh || ':' || mi END AS date_text",
+        "'23,' || lpad(CAST(pk % 1000 AS STRING), 3, '0') AS lon",
+        "'42,' || lpad(CAST(pk * 7 % 1000 AS STRING), 3, '0') AS lat",
+        "'2020-07-' || CAST(10 + pk % 10 AS STRING) AS measurement_day",
+        "lpad(CAST(pk % 10 AS STRING), 2, '0') || CAST(10 + pk % 10 AS STRING) || '_listings.tsv' AS file_name",
+        "CAST(pk % 900 + 100 AS STRING) || ' ' || lpad(CAST(pk % 1000 AS STRING), 3, '0') || ',' ||"
+        " lpad(CAST(pk % 100 AS STRING), 2, '0') || ' €' AS price_eu",
+        "'Hoitovastike ' || CAST(pk % 300 AS STRING) || ',' || lpad(CAST(pk % 100 AS STRING), 2, '0') ||"
+        " ' € / kk Rahoitusvastike ' || CAST(pk % 90 AS STRING) || ',50 € / kk' AS fees",
+        "CASE pk % 3 WHEN 0 THEN 'Цена: ' || n_sp || ' BGN' WHEN 1 THEN 'Цена: ' || n_sp || ' EUR'"
+        " ELSE 'Цена при запитване' END AS price_alt",
+    )
