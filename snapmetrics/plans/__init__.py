@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots", "prices", "listings"]
+MODULES = ["snapshots", "prices", "listings", "loading"]
 
 
 def registry() -> tuple[dict, dict]:

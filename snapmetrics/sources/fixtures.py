@@ -173,7 +173,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'23,' || lpad(CAST(pk % 1000 AS STRING), 3, '0') AS lon",
         "'42,' || lpad(CAST(pk * 7 % 1000 AS STRING), 3, '0') AS lat",
         "'2020-07-' || CAST(10 + pk % 10 AS STRING) AS measurement_day",
-        "lpad(CAST(pk % 10 AS STRING), 2, '0') || CAST(10 + pk % 10 AS STRING) || '_listings.tsv' AS file_name",
+        "'07' || CAST(10 + pk % 10 AS STRING) || '_listings.tsv' AS file_name",
         "CAST(pk % 900 + 100 AS STRING) || ' ' || lpad(CAST(pk % 1000 AS STRING), 3, '0') || ',' ||"
         " lpad(CAST(pk % 100 AS STRING), 2, '0') || ' €' AS price_eu",
         "'Hoitovastike ' || CAST(pk % 300 AS STRING) || ',' || lpad(CAST(pk % 100 AS STRING), 2, '0') ||"

@@ -107,7 +107,7 @@ listings AS (
     '23,' || lpad(CAST(pk % 1000 AS VARCHAR), 3, '0') AS lon,
     '42,' || lpad(CAST(pk * 7 % 1000 AS VARCHAR), 3, '0') AS lat,
     '2020-07-' || CAST(10 + pk % 10 AS VARCHAR) AS measurement_day,
-    lpad(CAST(pk % 10 AS VARCHAR), 2, '0') || CAST(10 + pk % 10 AS VARCHAR) || '_listings.tsv' AS file_name,
+    '07' || CAST(10 + pk % 10 AS VARCHAR) || '_listings.tsv' AS file_name,
     CAST(pk % 900 + 100 AS VARCHAR) || ' ' || lpad(CAST(pk % 1000 AS VARCHAR), 3, '0') || ',' ||
       lpad(CAST(pk % 100 AS VARCHAR), 2, '0') || ' €' AS price_eu,
     'Hoitovastike ' || CAST(pk % 300 AS VARCHAR) || ',' || lpad(CAST(pk % 100 AS VARCHAR), 2, '0') ||
