@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots", "prices", "listings", "loading"]
+MODULES = ["snapshots", "prices", "listings", "loading", "places"]
 
 
 def registry() -> tuple[dict, dict]:

@@ -181,3 +181,78 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE pk % 3 WHEN 0 THEN 'Цена: ' || n_sp || ' BGN' WHEN 1 THEN 'Цена: ' || n_sp || ' EUR'"
         " ELSE 'Цена при запитване' END AS price_alt",
     )
+
+
+def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey)
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 gazetteer rows (and the page each was crawled from)."""
+    from snapmetrics.sources.fixture_exprs import GAZETTEER
+
+    return _nation_region(spark, sf_dir).selectExpr(*GAZETTEER)
+
+
+def place_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 records with free-text places, keyed by ``rid``, with their region."""
+    from snapmetrics.sources.fixture_exprs import PLACE_RECORDS
+
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return c.join(_nation_region(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(*PLACE_RECORDS)
+
+
+def court_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 court tenders from ``customer``."""
+    from snapmetrics.sources.fixture_exprs import COURT_TENDERS
+
+    c = table(spark, sf_dir, "customer")
+    return c.join(_nation_region(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(*COURT_TENDERS)
+
+
+def tax_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 tax tenders from ``supplier``."""
+    from snapmetrics.sources.fixture_exprs import TAX_TENDERS
+
+    s_ = table(spark, sf_dir, "supplier")
+    return s_.join(_nation_region(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(*TAX_TENDERS)
+
+
+def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: one nested JSON document per supplier (``doc``); services from up to three parts; the address and
+    service subtrees are missing for every tenth store and the service lists empty for every seventh."""
+    from snapmetrics.sources.fixture_exprs import STORE_BASE
+
+    base = table(spark, sf_dir, "supplier").selectExpr(*STORE_BASE)
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
+    svc = parts.groupBy(F.call_function("div", F.col("p_partkey"), F.lit(3)).alias("store_id")).agg(
+        F.sort_array(F.collect_list(F.struct("p_partkey", (F.col("p_partkey") % 3 == 2).alias("secondary"),
+                                             F.col("p_type").alias("groupName"), F.col("p_name").alias("displayName"))))
+        .alias("svc")
+    )
+    j = base.join(svc, "store_id", "left").withColumn("svc", F.coalesce("svc", F.array()))
+
+    def pick(secondary: bool):
+        kept = F.filter("svc", lambda x: x["secondary"] == F.lit(secondary))
+        lst = F.transform(kept, lambda x: F.struct(x["groupName"].alias("groupName"), x["displayName"].alias("displayName")))
+        return F.when(F.col("no_services"), F.array().cast("array<struct<groupName:string,displayName:string>>")).otherwise(lst)
+
+    address = F.struct(
+        F.col("postal_code").alias("postalCode"), F.col("street_address").alias("addressLineOne"),
+        F.col("city").alias("city"), F.col("state").alias("state"), F.col("country").alias("country"),
+    )
+    store = F.struct(
+        F.col("store_id").alias("id"),
+        F.col("store_name").alias("displayName"),
+        F.struct(F.col("store_type").alias("name")).alias("storeType"),
+        F.col("is_open_24h").alias("open24Hours"),
+        F.struct(F.col("lat").alias("latitude"), F.col("lon").alias("longitude")).alias("geoPoint"),
+        F.col("opening_date").alias("openDate"),
+        F.when(~F.col("no_address"), address).alias("address"),
+        F.struct(F.col("can_order_custom_cakes_online").alias("canOrderCakes")).alias("features"),
+        F.when(~F.col("no_address"), pick(False)).alias("primaryServices"),
+        F.when(~F.col("no_address"), pick(True)).alias("secondaryServices"),
+    )
+    return j.select(F.col("store_id").alias("file_id"), F.to_json(F.struct(store.alias("store"))).alias("doc"))
