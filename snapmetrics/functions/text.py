@@ -167,3 +167,34 @@ def term_range(c, which: str) -> Column:
     """DT-8: ``от <date>`` / ``до <date>`` -> the date text after the marker."""
     marker = "от" if which == "start" else "до"
     return nonempty(F.regexp_extract(as_col(c), marker + r"\s+(\d{1,2}\.\d{1,2}\.\d{4})", 1))
+
+
+HTML_NOISE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+
+
+def strip_noise(html) -> Column:
+    """Remove scripts, styles and comments before any extraction (pages hide ``</p>`` inside scripts)."""
+    return F.regexp_replace(as_col(html), HTML_NOISE, "")
+
+
+def strip_tags(c) -> Column:
+    return F.regexp_replace(as_col(c), r"<[^>]*>", "")
+
+
+def paragraphs(html, exclude: list[str] | None = None) -> Column:
+    """HTM-1/FLT-16: cleaned, non-empty paragraph texts in page order (unclosed ``<p>`` tolerated); paragraphs
+    containing any ``exclude`` phrase are dropped."""
+    pieces = F.slice(F.split(as_col(html), "<p>"), 2, 1 << 20)
+    texts = F.transform(
+        pieces,
+        lambda p: clean_text(strip_tags(F.substring_index(F.substring_index(p, "</p>", 1), "</article>", 1))),
+    )
+    kept = F.filter(texts, lambda t: F.length(t) > 0)
+    for phrase in exclude or []:
+        kept = F.filter(kept, lambda t, ph=phrase: ~t.contains(ph))
+    return kept
+
+
+def tag_text(html, tag: str) -> Column:
+    """Text of the first ``<tag>…</tag>`` (cleaned); null when absent."""
+    return nonempty(clean_text(strip_tags(F.regexp_extract(as_col(html), f"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1))))
