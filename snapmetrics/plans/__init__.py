@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots", "prices", "listings", "loading", "places", "tenders", "stores", "pages"]
+MODULES = ["snapshots", "prices", "listings", "loading", "places", "tenders", "stores", "pages", "attributes"]
 
 
 def registry() -> tuple[dict, dict]:

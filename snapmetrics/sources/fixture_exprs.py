@@ -99,3 +99,13 @@ STORE_BASE = [
     "s_suppkey % 10 = 0 AS no_address",
     "s_suppkey % 7 = 0 AS no_services",
 ]
+
+# F4 attribute lists (part; ``ARR(`` is the engine's array constructor): alternating key/value list (odd length every 17th part) and its Python-repr text.
+ATTRIBUTES = [
+    "p_partkey AS id",
+    "CASE WHEN p_partkey % 17 = 0"
+    " THEN ARR('Квадратура', CAST(p_size AS STRING), 'Етаж', CAST(p_partkey % 8 + 1 AS STRING), 'Екстра')"
+    " ELSE ARR('Квадратура', CAST(p_size AS STRING), 'Етаж', CAST(p_partkey % 8 + 1 AS STRING)) END AS items",
+    "'{''Квадратура'': ''' || CAST(p_size AS STRING) || ''', ''Етаж'': ''' || CAST(p_partkey % 8 + 1 AS STRING)"
+    " || '''}' AS details_repr",
+]

@@ -256,3 +256,33 @@ def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~F.col("no_address"), pick(True)).alias("secondaryServices"),
     )
     return j.select(F.col("store_id").alias("file_id"), F.to_json(F.struct(store.alias("store"))).alias("doc"))
+
+
+def attribute_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """key/value lists and repr texts per part."""
+    from snapmetrics.sources.fixture_exprs import ATTRIBUTES
+
+    return table(spark, sf_dir, "part").selectExpr(*[e.replace("ARR(", "array(") for e in ATTRIBUTES])
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """listing pages, 20 parts per page plus the first two of the next page (overlapping ids); each page's
+    script holds ``var aditional = '[{"id":…,"lang":…,"lat":…,"lon":…,"area":…}, …]'``."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    page = F.call_function("div", F.col("p_partkey"), F.lit(20))
+    pages = F.when(F.col("p_partkey") % 20 < 2, F.array(page, page - 1)).otherwise(F.array(page))
+    e = p.select("p_partkey", "p_size", F.explode(pages).alias("page")).filter(F.col("page") >= 0)
+    item = F.struct(
+        F.col("p_partkey").alias("id"),
+        F.lit("bg").alias("lang"),
+        (F.lit(42.0) + F.col("page") / F.lit(1000.0)).alias("lat"),
+        (F.lit(23.0) + F.col("p_partkey") / F.lit(10000.0)).alias("lon"),
+        F.col("p_size").alias("area"),
+    )
+    g = e.groupBy("page").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return g.select(
+        F.col("page").alias("page_id"),
+        F.concat(
+            F.lit("<html><script>var x = 1; var aditional = '"), F.to_json("items"), F.lit("';</script></html>")
+        ).alias("html"),
+    )
