@@ -198,3 +198,10 @@ def paragraphs(html, exclude: list[str] | None = None) -> Column:
 def tag_text(html, tag: str) -> Column:
     """Text of the first ``<tag>…</tag>`` (cleaned); null when absent."""
     return nonempty(clean_text(strip_tags(F.regexp_extract(as_col(html), f"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1))))
+
+
+def place_from_title(c, city: str = "София") -> Column:
+    """STR-17: place between the city name and the price (``По договаряне`` or digits), dashes removed, stripped;
+    '' when absent (as the reference)."""
+    m = F.regexp_extract(as_col(c), _quote(city) + r"(.+?)(?=По договаряне|[\d]+)", 1)
+    return F.trim(F.replace(m, F.lit("-"), F.lit("")))
