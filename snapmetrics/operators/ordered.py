@@ -27,12 +27,10 @@ def order_key(order: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def _summary_join(df: DataFrame, summary: DataFrame, part: Sequence[str]) -> DataFrame:
-    cond = [df[c].eqNullSafe(summary[c]) for c in part]
-    joined = df.join(summary, cond, "left")
-    for c in part:
-        joined = joined.drop(summary[c])
-    return joined
+def _chunk_key(part: Sequence[str]) -> Column:
+    """One struct column over (keys, chunk): windows, the per-chunk summary and the carry join all partition on
+    it, so the big side is shuffled once. Struct equality treats null fields as equal, like window partitions."""
+    return F.struct(*[F.col(c) for c in part])
 
 
 def chunked_lag(
@@ -49,26 +47,27 @@ def chunked_lag(
     ``chunk`` must be non-decreasing along ``order`` within a key (e.g. the date of the first order column).
     """
     part = [*keys, chunk]
-    w = Window.partitionBy(*part).orderBy(*_order_cols(order))
-    out = df.withColumn("_rn", F.row_number().over(w))
+    base = df.withColumn("_pk", _chunk_key(part))
+    w = Window.partitionBy("_pk").orderBy(*_order_cols(order))
+    out = base.withColumn("_rn", F.row_number().over(w))
     for c in cols:
         out = out.withColumn(f"_lag_{c}", F.lag(c).over(w))
 
-    # Last row of every chunk, pre-aggregated map-side, then carried to the next chunk of the same key.
+    # Last row of every chunk (same partitioning as the window), carried to the next chunk of the same key.
     ord_key = order_key(order)
-    last = df.groupBy(*part).agg(*[F.max_by(c, ord_key).alias(f"_last_{c}") for c in cols])
-    w2 = Window.partitionBy(*keys).orderBy(F.col(chunk).asc_nulls_last())
+    last = out.groupBy("_pk").agg(*[F.max_by(c, ord_key).alias(f"_last_{c}") for c in cols])
+    w2 = Window.partitionBy(*[F.col("_pk")[k] for k in keys]).orderBy(F.col("_pk")[chunk].asc_nulls_last())
     carry = last.select(
-        *part,
+        "_pk",
         F.lag(F.lit(True)).over(w2).isNotNull().alias("_has_prev"),
         *[F.lag(f"_last_{c}").over(w2).alias(f"_carry_{c}") for c in cols],
     )
-    out = _summary_join(out, carry, part)
+    out = out.join(carry, "_pk", "left")
     first_in_chunk = F.col("_rn") == 1
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.when(first_in_chunk, F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")))
     out = out.withColumn(first_flag, first_in_chunk & ~F.coalesce(F.col("_has_prev"), F.lit(False)))
-    return out.drop("_rn", "_has_prev", *[f"_lag_{c}" for c in cols], *[f"_carry_{c}" for c in cols])
+    return out.drop("_pk", "_rn", "_has_prev", *[f"_lag_{c}" for c in cols], *[f"_carry_{c}" for c in cols])
 
 
 def chunked_running_sum(
@@ -81,22 +80,23 @@ def chunked_running_sum(
 ) -> DataFrame:
     """Add ``cum_<c>`` = running ``sum(c)`` over ``partitionBy(keys).orderBy(order)`` (rows frame)."""
     part = [*keys, chunk]
-    w = Window.partitionBy(*part).orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df
+    base = df.withColumn("_pk", _chunk_key(part))
+    w = Window.partitionBy("_pk").orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = base
     for c in cols:
         out = out.withColumn(f"_run_{c}", F.sum(c).over(w))
-    totals = df.groupBy(*part).agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
+    totals = out.groupBy("_pk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
     w2 = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col(chunk).asc_nulls_last())
+        Window.partitionBy(*[F.col("_pk")[k] for k in keys])
+        .orderBy(F.col("_pk")[chunk].asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carry = totals.select(*part, *[F.sum(f"_tot_{c}").over(w2).alias(f"_before_{c}") for c in cols])
-    out = _summary_join(out, carry, part)
+    carry = totals.select("_pk", *[F.sum(f"_tot_{c}").over(w2).alias(f"_before_{c}") for c in cols])
+    out = out.join(carry, "_pk", "left")
     for c in cols:
         run, before = F.col(f"_run_{c}"), F.col(f"_before_{c}")
         out = out.withColumn(f"{prefix}{c}", F.when(run.isNull(), before).otherwise(F.coalesce(before, F.lit(0)) + run))
-    return out.drop(*[f"_run_{c}" for c in cols], *[f"_before_{c}" for c in cols])
+    return out.drop("_pk", *[f"_run_{c}" for c in cols], *[f"_before_{c}" for c in cols])
 
 
 def first_row_values(
