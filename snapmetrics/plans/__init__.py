@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots", "prices", "listings", "loading", "places", "tenders", "stores", "pages", "attributes", "streams"]
+MODULES = ["snapshots", "prices", "listings", "loading", "places", "tenders", "stores", "pages", "attributes", "roundtrips", "streams"]
 
 
 def registry() -> tuple[dict, dict]:

@@ -32,7 +32,11 @@ def services_text(c) -> F.Column:
 
 def stores_flat(docs: DataFrame) -> DataFrame:
     """PIPE-24: one flat row per store document."""
-    s = parse_stores(docs)
+    return flat_from_parsed(parse_stores(docs))
+
+
+def flat_from_parsed(s: DataFrame) -> DataFrame:
+    """JS-2: null-safe paths of a parsed ``store`` struct column -> flat columns."""
     return s.select(
         F.col("store.displayName").alias("store_name"),
         F.col("store.id").alias("store_id"),

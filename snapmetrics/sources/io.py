@@ -27,17 +27,21 @@ def string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def read_snapshots(spark: SparkSession, root: str, columns: Sequence[str] = ARTICLE_COLUMNS,
-                   encoding: str = "UTF-8") -> DataFrame:
-    """SRC-1/SRC-2: headered TSV lake ``<root>/<site>/<date>/<site>_<date>_<h>h.tsv``; ``site`` from the path.
+NULL_TEXT = "\\N"  # null marker in written TSV, so empty strings survive a round trip
+
 
-    UTF-16 files need ``multiLine`` (Spark's line reader is byte-oriented).
-    """
-    reader = spark.read.option("sep", "\t").option("header", "true").option("encoding", encoding)
+def read_snapshots(spark: SparkSession, root: str, columns: Sequence[str] = ARTICLE_COLUMNS,
+                   encoding: str = "UTF-8", pattern: str = "*/*/*.tsv", null_value: str = "") -> DataFrame:
+    """SRC-1/SRC-2: headered TSV lake ``<root>/<site>/<date>/<site>_<date>_<h>h.tsv``; ``site`` and ``visit_day``
+    from the two directory levels. UTF-16 files need ``multiLine`` (Spark's line reader is byte-oriented)."""
+    reader = (
+        spark.read.option("sep", "\t").option("header", "true").option("encoding", encoding)
+        .option("nullValue", null_value).option("basePath", root)
+    )
     if encoding.upper().startswith("UTF-16"):
         reader = reader.option("multiLine", "true")
-    df = reader.schema(string_schema(columns)).csv(f"{root.rstrip('/')}/*/*/*.tsv")
-    return with_path_partitions(df, ["site", "visit_day"])
+    df = reader.schema(string_schema(columns)).csv(f"{root.rstrip('/')}/{pattern}")
+    return with_path_partitions(df, ["site", "visit_day"]).select(*columns, "site", "visit_day")
 
 
 def with_path_partitions(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -45,10 +49,11 @@ def with_path_partitions(df: DataFrame, names: Sequence[str]) -> DataFrame:
     path = F.col("_metadata.file_path")
     out = df
     n = len(names)
+    pattern = "/" + "/".join(["([^/]+)"] * n) + "/[^/]+$"
     for i, name in enumerate(names):
-        # directory i of the last n directories before the file name
-        pattern = "/" + "/".join(["([^/]+)"] * n) + "/[^/]+$"
-        out = out.withColumn(name, F.regexp_extract(path, pattern, i + 1))
+        # directory i of the last n directories before the file name; a ``key=`` prefix (Hive layout) is dropped
+        part = F.regexp_extract(path, pattern, i + 1)
+        out = out.withColumn(name, F.regexp_replace(part, "^[^=/]*=", ""))
     return out
 
 
@@ -69,7 +74,7 @@ def read_typed(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5: one row per file (``value``) with its path, for scanning embedded content."""
-    return spark.read.option("wholetext", "true").text(path).withColumn("path", F.col("_metadata.file_path"))
+    return spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -98,9 +103,14 @@ def conform_to_table(df: DataFrame, target: DataFrame) -> DataFrame:
     return conform(df, target.columns, {f.name: f.dataType.simpleString() for f in target.schema.fields})
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK-2: headered TSV."""
-    df.write.mode(mode).option("sep", "\t").option("header", "true").csv(path)
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
+              encoding: str = "UTF-8", null_value: str = "") -> None:
+    """SNK-2: headered TSV (optionally one folder level per partition column)."""
+    w = df.write.mode(mode).option("sep", "\t").option("header", "true").option("encoding", encoding)
+    w = w.option("nullValue", null_value)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
 
 
 def save_ctas(spark: SparkSession, df: DataFrame, name: str, path: str) -> DataFrame:
