@@ -74,3 +74,40 @@ def bgn_to_eur(c, rate: float = 1.9558) -> Column:
 def leading_int(c) -> Column:
     """First integer in a text (null when none)."""
     return F.regexp_substr(as_col(c), F.lit("[0-9]+")).cast("bigint")
+
+
+def counter(c, where: str = "first") -> Column:
+    """NUM-17: counter text -> integer: the ``first`` or ``last`` integer of a meta line, or the digits left after
+    removing ``пъти`` (``times``)."""
+    s = as_col(c)
+    if where == "first":
+        return F.regexp_extract(s, r"^(\d+)", 1).try_cast("bigint")
+    if where == "last":
+        return F.regexp_extract(s, r"(\d+)$", 1).try_cast("bigint")
+    return F.trim(F.replace(s, F.lit("пъти"), F.lit(""))).try_cast("bigint")
+
+
+def suffixed_price(c, suffix_regex: str = r" €\/kk$", default: str = "0") -> Column:
+    """NUM-16: integer part of a price anchored to its currency/period suffix, spaces removed; ``default`` when
+    the text does not match."""
+    m = F.regexp_extract(as_col(c), r"([\d ]+)(?:[\d,]+)?" + suffix_regex, 1)
+    return F.when(m == "", F.lit(default)).otherwise(F.replace(m, F.lit(" "), F.lit("")))
+
+
+def lon_lat_pair(c) -> tuple[Column, Column]:
+    """NUM-18: ``lon,lat`` text -> two texts ('' when absent)."""
+    s = as_col(c)
+    ok = s.contains(",")
+    return (
+        F.when(ok, F.split_part(s, F.lit(","), F.lit(1))).otherwise(F.lit("")),
+        F.when(ok, F.split_part(s, F.lit(","), F.lit(2))).otherwise(F.lit("")),
+    )
+
+
+def coords_from_dict(c, decimals: int = 5) -> tuple[Column, Column]:
+    """NUM-18 + NUM-11: ``{'lat': …, 'lng': …}`` text -> (lon, lat) rounded through DECIMAL."""
+    m = F.from_json(as_col(c), "struct<lat:double, lng:double>", {"allowSingleQuotes": "true"})
+    return (
+        F.round(m["lng"].cast("decimal(38,10)"), decimals).cast("double"),
+        F.round(m["lat"].cast("decimal(38,10)"), decimals).cast("double"),
+    )

@@ -205,3 +205,74 @@ def place_from_title(c, city: str = "София") -> Column:
     '' when absent (as the reference)."""
     m = F.regexp_extract(as_col(c), _quote(city) + r"(.+?)(?=По договаряне|[\d]+)", 1)
     return F.trim(F.replace(m, F.lit("-"), F.lit("")))
+
+
+# State words moved from a listing type into its labels, in this order.
+STATE_WORDS = ["В процес на строителство", "Предварителни продажби"]
+MULTI_UNIT_WORD = "апартаменти"
+MULTI_UNIT_LABEL = "Множество апартаменти"
+RECENT_MARK = "(публикувана"
+RECENT_LABEL = "published recently"
+
+
+def place_and_label(c) -> tuple[Column, Column]:
+    """STR-24: text before ``(публикувана`` and a recently-published label ('' when absent)."""
+    s = as_col(c)
+    pos = F.instr(s, RECENT_MARK)
+    place = F.when(pos > 0, F.substring(s, F.lit(1), pos - 1)).otherwise(s)
+    label = F.when(pos > 0, F.lit(RECENT_LABEL)).otherwise(F.lit(""))
+    return place, label
+
+
+def _append_label(label: Column, word: str) -> Column:
+    return F.when(F.length(label) > 0, F.concat(label, F.lit(", " + word))).otherwise(F.lit(word))
+
+
+def extend_labels(type_col, label_col) -> tuple[Column, Column]:
+    """STR-25: move state words from the type into the labels (parentheses dropped, type stripped); a multi-unit
+    type adds its own label."""
+    t, lab = as_col(type_col), as_col(label_col)
+    # construction state
+    has1 = t.contains(STATE_WORDS[0])
+    t = F.when(has1, F.trim(F.translate(F.replace(t, F.lit(STATE_WORDS[0]), F.lit("")), "()", ""))).otherwise(t)
+    lab = F.when(has1, _append_label(lab, STATE_WORDS[0])).otherwise(lab)
+    # several units
+    lab = F.when(F.lower(t).contains(MULTI_UNIT_WORD), _append_label(lab, MULTI_UNIT_LABEL)).otherwise(lab)
+    # pre-sales
+    has2 = t.contains(STATE_WORDS[1])
+    t = F.when(has2, F.trim(F.translate(F.replace(t, F.lit(STATE_WORDS[1]), F.lit("")), "()", ""))).otherwise(t)
+    lab = F.when(has2, _append_label(lab, STATE_WORDS[1])).otherwise(lab)
+    return t, lab
+
+
+def author_after_colon(c) -> Column:
+    """STR-23: author as the Cyrillic words after the last ``:`` at the end of a meta line; null when absent."""
+    return F.trim(nonempty(F.regexp_extract(as_col(c), r":([А-Яа-я\s]+$)", 1)))
+
+
+def author_after_semicolon(c) -> Column:
+    """STR-23: second ``;`` part of an info line; null when there is no ``;``."""
+    s = as_col(c)
+    return F.when(s.contains(";"), F.split_part(s, F.lit(";"), F.lit(2)))
+
+
+def drop_control_chars(c) -> Column:
+    """STR-26: remove stray control characters."""
+    return F.regexp_replace(as_col(c), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
+
+
+def leading_token(c, char_class: str = r"[\d\.\s]") -> Column:
+    """STR-31: leading run of ``char_class`` (after an optional blank), stripped; null when absent."""
+    return F.trim(nonempty(F.regexp_extract(as_col(c), rf"^(?:\s)?({char_class}+).*", 1)))
+
+
+def all_words(c, pattern: str = CYRILLIC_WORD, sep: str = " - ") -> Column:
+    """ARR-3: every match of ``pattern`` joined with ``sep``; null when none."""
+    m = F.regexp_extract_all(as_col(c), F.lit(f"({pattern})"), 1)
+    return F.when(F.size(m) > 0, F.array_join(m, sep))
+
+
+def join_except(arr, excluded: list[str], sep: str = ", ") -> Column:
+    """ARR-4: drop listed values (after strip) from an array, keep order and repeats, join."""
+    kept = F.filter(as_col(arr), lambda x: ~F.trim(x).isin(*excluded))
+    return F.array_join(kept, sep)

@@ -281,3 +281,77 @@ FROM v""",
 SELECT id, date_text, make_timestamp(y, m, d, CAST(hh AS BIGINT), CAST(mi AS BIGINT), 0.0) AS published_at
 FROM listings""",
 }
+
+
+# ---------------------------------------------------------------- per-source text rules (F3 extras)
+
+from snapmetrics.functions import numbers as _num  # noqa: E402
+from snapmetrics.functions import text as _txt  # noqa: E402
+from snapmetrics.sources.fixture_exprs import LISTING_EXTRAS  # noqa: E402
+
+# Tooltip labels that are not listing labels.
+NON_LABELS = ["Преглеждания на сайта", "Спрямо всички оферти в района", "Добави в любими"]
+
+
+def listing_text_rules(df: DataFrame) -> DataFrame:
+    """STR-23..27, STR-31, STR-33, NUM-11, NUM-16..18, ARR-3, ARR-4 side by side over scraped snippets."""
+    place, recent = _txt.place_and_label("title_text")
+    typ, labels = _txt.extend_labels("type_text", "label_text")
+    lon_t, lat_t = _num.lon_lat_pair("mapn")
+    lon5, lat5 = _num.coords_from_dict("coord_dict")
+    return df.select(
+        "id",
+        place.alias("place"), recent.alias("recent_label"),
+        typ.alias("type_clean"), labels.alias("labels"),
+        _num.counter("meta_line", "first").alias("comments_n"),
+        _num.counter("meta_line", "last").alias("views_n"),
+        _num.counter("views_text", "times").alias("views_times"),
+        _txt.author_after_colon("author_meta").alias("author_meta"),
+        _txt.author_after_semicolon("info").alias("author_info"),
+        lon_t.alias("lon_text"), lat_t.alias("lat_text"),
+        lon5.alias("lon5"), lat5.alias("lat5"),
+        _num.suffixed_price("rent_price").alias("rent_eur"),
+        _txt.leading_token("deposit_text").alias("deposit"),
+        _txt.join_except("label_list", NON_LABELS).alias("labels_kept"),
+        _txt.all_words("tag_blob").alias("tags"),
+        F.replace(_txt.drop_control_chars("noisy"), F.lit("\\"), F.lit("/")).alias("noisy_clean"),
+        _txt.cut_before("cut_text", "Tweet").alias("cut"),
+    )
+
+
+QUERIES["listing_text_rules"] = lambda spark, d: listing_text_rules(fixtures.listing_extras(spark, d))
+
+_EXTRAS = "x AS (SELECT " + ", ".join(LISTING_EXTRAS).replace("ARR(", "list_value(") + " FROM part)"
+
+ORACLE["listing_text_rules"] = f"WITH {_EXTRAS}" + r"""
+SELECT id,
+  CASE WHEN strpos(title_text, '(публикувана') > 0 THEN substr(title_text, 1, strpos(title_text, '(публикувана') - 1)
+       ELSE title_text END AS place,
+  CASE WHEN strpos(title_text, '(публикувана') > 0 THEN 'published recently' ELSE '' END AS recent_label,
+  CASE WHEN type_text LIKE '%В процес на строителство%'
+         THEN trim(replace(replace(replace(type_text, 'В процес на строителство', ''), '(', ''), ')', ''))
+       WHEN type_text LIKE '%Предварителни продажби%'
+         THEN trim(replace(replace(replace(type_text, 'Предварителни продажби', ''), '(', ''), ')', ''))
+       ELSE type_text END AS type_clean,
+  concat_ws(', ', nullif(label_text, ''),
+    CASE WHEN type_text LIKE '%В процес на строителство%' THEN 'В процес на строителство' END,
+    CASE WHEN lower(type_text) LIKE '%апартаменти%' THEN 'Множество апартаменти' END,
+    CASE WHEN type_text LIKE '%Предварителни продажби%' THEN 'Предварителни продажби' END) AS labels,
+  TRY_CAST(regexp_extract(meta_line, '^(\d+)', 1) AS BIGINT) AS comments_n,
+  TRY_CAST(regexp_extract(meta_line, '(\d+)$', 1) AS BIGINT) AS views_n,
+  TRY_CAST(trim(replace(views_text, 'пъти', '')) AS BIGINT) AS views_times,
+  trim(nullif(regexp_extract(author_meta, ':([А-Яа-я\s]+$)', 1), '')) AS author_meta,
+  CASE WHEN info LIKE '%;%' THEN split_part(info, ';', 2) END AS author_info,
+  CASE WHEN mapn LIKE '%,%' THEN split_part(mapn, ',', 1) ELSE '' END AS lon_text,
+  CASE WHEN mapn LIKE '%,%' THEN split_part(mapn, ',', 2) ELSE '' END AS lat_text,
+  CAST(round(CAST(CAST(regexp_extract(coord_dict, '''lng'': ([0-9.]+)', 1) AS DOUBLE) AS DECIMAL(38,10)), 5) AS DOUBLE) AS lon5,
+  CAST(round(CAST(CAST(regexp_extract(coord_dict, '''lat'': ([0-9.]+)', 1) AS DOUBLE) AS DECIMAL(38,10)), 5) AS DOUBLE) AS lat5,
+  CASE WHEN regexp_extract(rent_price, '([\d ]+)(?:[\d,]+)? €\/kk$', 1) = '' THEN '0'
+       ELSE replace(regexp_extract(rent_price, '([\d ]+)(?:[\d,]+)? €\/kk$', 1), ' ', '') END AS rent_eur,
+  trim(nullif(regexp_extract(deposit_text, '^(?:\s)?([\d\.\s]+).*', 1), '')) AS deposit,
+  array_to_string(list_filter(label_list, lambda l: trim(l) NOT IN ('Преглеждания на сайта', 'Спрямо всички оферти в района', 'Добави в любими')), ', ') AS labels_kept,
+  CASE WHEN len(regexp_extract_all(tag_blob, '([А-Яа-яЁё]+)', 1)) > 0
+       THEN array_to_string(regexp_extract_all(tag_blob, '([А-Яа-яЁё]+)', 1), ' - ') END AS tags,
+  replace(replace(noisy, chr(7), ''), chr(92), '/') AS noisy_clean,
+  split_part(cut_text, 'Tweet', 1) AS cut
+FROM x"""

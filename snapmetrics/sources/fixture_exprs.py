@@ -109,3 +109,32 @@ ATTRIBUTES = [
     "'{''Квадратура'': ''' || CAST(p_size AS STRING) || ''', ''Етаж'': ''' || CAST(p_partkey % 8 + 1 AS STRING)"
     " || '''}' AS details_repr",
 ]
+
+# F3 extras (part): scraped snippets for the per-source text rules (labels, counters, authors, coordinates, rent).
+LISTING_EXTRAS = [
+    "p_partkey AS id",
+    "CASE WHEN p_partkey % 3 = 0 THEN 'Лозенец ' || CAST(p_partkey AS STRING) || ' (публикувана 30.12.2019)'"
+    " ELSE 'Център ' || CAST(p_partkey AS STRING) END AS title_text",
+    "CASE p_partkey % 4 WHEN 0 THEN 'Тристаен (В процес на строителство)' WHEN 1 THEN 'Нови апартаменти'"
+    " WHEN 2 THEN 'Мезонет (Предварителни продажби)' ELSE 'Двустаен' END AS type_text",
+    "CASE WHEN p_partkey % 2 = 0 THEN 'Ново' ELSE '' END AS label_text",
+    "CAST(p_partkey % 50 AS STRING) || ' коментара | прочетена ' || CAST(p_partkey * 3 AS STRING) AS meta_line",
+    "CAST(p_partkey % 900 AS STRING) || ' пъти' AS views_text",
+    "CASE WHEN p_partkey % 2 = 0 THEN '10:21 27 декември 2019 Автор: Иван Петров ' ELSE '10:21 27 декември 2019' END"
+    " AS author_meta",
+    "CASE WHEN p_partkey % 3 = 1 THEN 'Новини;Мария Иванова' ELSE 'Новини' END AS info",
+    "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE '23.' || lpad(CAST(p_partkey % 1000 AS STRING), 3, '0') || ',42.'"
+    " || lpad(CAST(p_partkey * 7 % 1000 AS STRING), 3, '0') END AS mapn",
+    "'{''lat'': 42.' || lpad(CAST(p_partkey * 7919 % 100000000 AS STRING), 8, '0') || ', ''lng'': 23.'"
+    " || lpad(CAST(p_partkey * 104729 % 10000000 AS STRING), 7, '0') || '}' AS coord_dict",
+    "CASE WHEN p_partkey % 4 = 0 THEN '1 ' || lpad(CAST(p_partkey % 1000 AS STRING), 3, '0') || ',50 €/kk'"
+    " WHEN p_partkey % 4 = 1 THEN CAST(p_partkey % 2000 + 300 AS STRING) || ' €/kk' ELSE 'Hinta sopimuksen mukaan' END"
+    " AS rent_price",
+    "' ' || CAST(p_partkey % 5000 AS STRING) || '.00 лв. депозит' AS deposit_text",
+    "ARR('Ново', 'Преглеждания на сайта', CASE WHEN p_partkey % 2 = 0 THEN 'Гараж' ELSE 'Добави в любими' END,"
+    " 'Асансьор') AS label_list",
+    "CASE WHEN p_partkey % 7 = 0 THEN 'aoi: 123 abc' ELSE 'aoi: Спорт, Футбол ' || CAST(p_partkey AS STRING)"
+    " || ' abc Лига' END AS tag_blob",
+    "'a' || chr(7) || 'b' || chr(92) || 'c' || CAST(p_partkey AS STRING) AS noisy",
+    "'Текст ' || CAST(p_partkey AS STRING) || ' Tweet още' AS cut_text",
+]

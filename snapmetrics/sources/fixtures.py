@@ -286,3 +286,10 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("<html><script>var x = 1; var aditional = '"), F.to_json("items"), F.lit("';</script></html>")
         ).alias("html"),
     )
+
+
+def listing_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 extras: snippets for the per-source listing and article text rules."""
+    from snapmetrics.sources.fixture_exprs import LISTING_EXTRAS
+
+    return table(spark, sf_dir, "part").selectExpr(*[e.replace("ARR(", "array(") for e in LISTING_EXTRAS])
