@@ -174,3 +174,38 @@ SELECT doc_id, term, CAST(count(*) FILTER (WHERE instr(p, term) > 0) AS INTEGER)
   CAST(count(*) FILTER (WHERE p = term) AS INTEGER) AS hits_equal
 FROM pars, terms GROUP BY doc_id, term HAVING count(*) FILTER (WHERE instr(p, term) > 0) > 0""",
 }
+
+
+def label_sections(links: DataFrame, section_links: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    """SET-4: links of a section carry its label; every other link is kept once with a null label (SET-3 anti
+    join + union)."""
+    sec = section_links.select(*keys).distinct().withColumn("section", F.lit(label))
+    rest = links.select(*keys).distinct().join(sec.select(*keys), keys, "left_anti").withColumn(
+        "section", F.lit(None).cast("string")
+    )
+    return sec.unionByName(rest)
+
+
+def labelled_outlinks(pages: DataFrame) -> DataFrame:
+    """PIPE-27 variant: outlinks with the most-read section (links of every fourth page) labelled."""
+    return label_sections(
+        page_outlinks(pages), page_outlinks(pages.filter(F.col("page_id") % 4 == 0)), "most_read", ["site", "link"]
+    )
+
+
+QUERIES["labelled_outlinks"] = lambda spark, d: labelled_outlinks(table(spark, d, "pages"))
+
+_LINKS = f"""(
+  SELECT DISTINCT site, root || href AS link FROM (
+    SELECT page_id, {_HOST} AS site, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1) || '://' || {_HOST} AS root,
+      unnest(regexp_extract_all({_NOISE}, '<a href="([^"]*)"', 1)) AS href
+    FROM pages WHERE {{cond}}
+  ) l
+  WHERE regexp_matches(href, '^/[A-Za-z]') AND NOT contains(href, ',')
+)"""
+
+ORACLE["labelled_outlinks"] = f"""
+WITH a AS {_LINKS.format(cond='true')}, s AS {_LINKS.format(cond='page_id % 4 = 0')}
+SELECT site, link, 'most_read' AS section FROM s
+UNION ALL
+SELECT site, link, NULL AS section FROM a WHERE (site, link) NOT IN (SELECT (site, link) FROM s)"""
