@@ -54,7 +54,8 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str], o
     One row per new key (first in ``order`` wins — the reference leaves the winner undefined), minus keys already
     present. Returns the rows to append; appending them twice is a no-op on the next run (idempotent).
     """
-    firsts = keep_first(new.dropDuplicates(), keys, order)
+    # DISTINCT is subsumed: exactly one row per key survives keep_first, whatever the duplicates.
+    firsts = keep_first(new, keys, order)
     return only_new(firsts, existing, keys, drop_null_keys=False)
 
 

@@ -87,12 +87,17 @@ def document_keyword_hits(docs: DataFrame, terms: list[str] = KEYWORDS) -> DataF
     """PIPE-30 (STR-1, FLT-14): per document and term, paragraphs containing the term and paragraphs equal to it
     (the reference's list-membership quirk); whole texts, every paragraph."""
     d = docs.select("doc_id", F.transform(F.split("text", "\n"), lambda p: clean_text(p)).alias("pars"))
-    d = d.select("doc_id", "pars", F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
-    out = d.select(
-        "doc_id", "term",
-        F.size(F.filter("pars", lambda p: F.instr(p, F.col("term")) > 0)).alias("hits_contains"),
-        F.size(F.filter("pars", lambda p: p == F.col("term"))).alias("hits_equal"),
+    # One struct per term computed over the paragraph array in place; only the small structs are exploded, so a
+    # long text is never copied once per term.
+    hits = F.transform(
+        F.array(*[F.lit(t) for t in terms]),
+        lambda t: F.struct(
+            t.alias("term"),
+            F.size(F.filter("pars", lambda p: F.instr(p, t) > 0)).alias("hits_contains"),
+            F.size(F.filter("pars", lambda p: p == t)).alias("hits_equal"),
+        ),
     )
+    out = d.select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.*")
     return out.filter(F.col("hits_contains") > 0)
 
 
@@ -209,3 +214,24 @@ WITH a AS {_LINKS.format(cond='true')}, s AS {_LINKS.format(cond='page_id % 4 =
 SELECT site, link, 'most_read' AS section FROM s
 UNION ALL
 SELECT site, link, NULL AS section FROM a WHERE (site, link) NOT IN (SELECT (site, link) FROM s)"""
+
+
+def page_link_parts(pages: DataFrame) -> DataFrame:
+    """STR-11, STR-12, STR-30, STR-10: decoded link without query string, its last segment, trailing id, category."""
+    from snapmetrics.functions.urls import basename, clean_url, link_id
+
+    c = clean_url(F.col("url"))
+    return pages.select(
+        "page_id", c.alias("clean_link"), basename(c).alias("basename"), link_id("url").alias("link_id"),
+        category("url").alias("category"),
+    )
+
+
+QUERIES["page_link_parts"] = lambda spark, d: page_link_parts(table(spark, d, "pages"))
+
+ORACLE["page_link_parts"] = r"""
+SELECT page_id, regexp_replace(url_decode(url), '\?.*', '') AS clean_link,
+  regexp_extract(regexp_replace(url_decode(url), '\?.*', ''), '([^/]*)$', 1) AS basename,
+  nullif(regexp_extract(url, '([0-9]+)/?(?:[?#].*)?$', 1), '') AS link_id,
+  nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]+/([^/?#]+)/', 1), '') AS category
+FROM pages"""
