@@ -4,7 +4,8 @@ A plain ``lag().over(partitionBy(key))`` sends every row of a key to one task. S
 partitioned by time, so these operators window over ``(key, chunk)`` — ``chunk`` is a column that never decreases
 along the order (the visit day by default) — and carry the last row of each chunk into the next one through a small
 per-(key, chunk) summary. The big side is shuffled once, on ``(key, chunk)``; the summary is pre-aggregated
-map-side and has one row per key and chunk. The result is identical to the unchunked window.
+map-side from the input and has one row per key and chunk; the carry join reuses the window's partitioning, so only
+the summary side moves. The result is identical to the unchunked window.
 """
 
 from __future__ import annotations
@@ -53,9 +54,10 @@ def chunked_lag(
     for c in cols:
         out = out.withColumn(f"_lag_{c}", F.lag(c).over(w))
 
-    # Last row of every chunk (same partitioning as the window), carried to the next chunk of the same key.
+    # Last row of every chunk — a partial aggregate over the input (combined map-side, so only one row per chunk
+    # and task is shuffled) — carried to the next chunk of the same key.
     ord_key = order_key(order)
-    last = out.groupBy("_pk").agg(*[F.max_by(c, ord_key).alias(f"_last_{c}") for c in cols])
+    last = base.groupBy("_pk").agg(*[F.max_by(c, ord_key).alias(f"_last_{c}") for c in cols])
     w2 = Window.partitionBy(*[F.col("_pk")[k] for k in keys]).orderBy(F.col("_pk")[chunk].asc_nulls_last())
     carry = last.select(
         "_pk",
@@ -85,7 +87,7 @@ def chunked_running_sum(
     out = base
     for c in cols:
         out = out.withColumn(f"_run_{c}", F.sum(c).over(w))
-    totals = out.groupBy("_pk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
+    totals = base.groupBy("_pk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
     w2 = (
         Window.partitionBy(*[F.col("_pk")[k] for k in keys])
         .orderBy(F.col("_pk")[chunk].asc_nulls_last())
