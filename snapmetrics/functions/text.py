@@ -189,10 +189,15 @@ def paragraphs(html, exclude: list[str] | None = None) -> Column:
         pieces,
         lambda p: clean_text(strip_tags(F.substring_index(F.substring_index(p, "</p>", 1), "</article>", 1))),
     )
-    kept = F.filter(texts, lambda t: F.length(t) > 0)
-    for phrase in exclude or []:
-        kept = F.filter(kept, lambda t, ph=phrase: ~t.contains(ph))
-    return kept
+    phrases = list(exclude or [])
+
+    def keep(t):
+        cond = F.length(t) > 0
+        for ph in phrases:
+            cond = cond & ~t.contains(ph)
+        return cond
+
+    return F.filter(texts, keep)
 
 
 def tag_text(html, tag: str) -> Column:

@@ -61,3 +61,8 @@ def absolute_url(base: str, href) -> Column:
 def basename(c) -> Column:
     """STR-30: last path segment of a link."""
     return F.substring_index(as_col(c), "/", -1)
+
+
+def embedded_urls(c, prefix: str, end: str = '",') -> Column:
+    """STR-14: every URL starting with ``prefix`` up to the ``end`` marker inside a text blob."""
+    return F.regexp_extract_all(as_col(c), F.lit("(\\Q" + prefix + "\\E.*?)\\Q" + end + "\\E"), 1)

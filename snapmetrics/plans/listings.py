@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from snapmetrics.functions.common import as_col, nonempty
 from snapmetrics.functions.jsonx import repair_json
-from snapmetrics.functions.numbers import decimal_comma, eu_number, first_number, first_year, round_half_up
+from snapmetrics.functions.numbers import (
+    decimal_comma,
+    eu_number,
+    first_number,
+    first_year,
+    round_half_up,
+    strip_units,
+)
 from snapmetrics.functions.text import (
     GROUND_FLOORS,
     ON_REQUEST,
@@ -29,6 +36,7 @@ from snapmetrics.sources.fixtures_sql import F3_LISTINGS, with_ctes
 STAGING_RATE = 1.9588  # BGN per EUR in the staged-price cast (RI/HA)
 SCRAPE_RATE = 1.9558  # BGN per EUR at scrape time (HD, imoteka)
 VAT = 1.2
+AREA_UNITS = ["кв.м", "m²", "M2"]
 
 
 def to_double(c) -> Column:
@@ -184,6 +192,7 @@ def listing_price_variants(raw: DataFrame) -> DataFrame:
         price_with_vat("price").alias("price_with_vat"),
         currency_price_eur("price_alt").alias("alt_price_eur"),
         to_double(eu_number("price_eu")).alias("eu_price"),
+        strip_units("area", AREA_UNITS, "0").alias("area_number"),
         *[v.alias(k) for k, v in fees.items()],
     )
 
@@ -253,7 +262,7 @@ SELECT link,
 FROM listings""",
     "listing_price_variants": with_ctes(F3_LISTINGS) + r"""
 , v AS (
-  SELECT id, price, price_alt, price_eu, fees,
+  SELECT id, price, price_alt, price_eu, fees, area,
     TRY_CAST(coalesce(replace(nullif(regexp_extract(price, '([0-9\s]+)', 1), ''), ' ', ''), '0') AS DECIMAL(38,6)) AS dnum,
     TRY_CAST(nullif(regexp_extract(area, '([0-9]+)', 1), '') AS DECIMAL(38,6)) AS area_n
   FROM listings
@@ -273,6 +282,8 @@ SELECT id,
          THEN round_even(TRY_CAST(replace(replace(replace(replace(price_alt, 'Цена: ', ''), 'EUR', ''), 'BGN', ''), ' ', '') AS DECIMAL(38,6)) / 1.9558, 0)
        END AS DOUBLE) AS alt_price_eur,
   TRY_CAST(replace(replace(replace(price_eu, ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS eu_price,
+  CASE WHEN replace(replace(replace(replace(area, 'кв.м', ''), 'm²', ''), 'M2', ''), ' ', '') = '' THEN '0'
+       ELSE replace(replace(replace(replace(area, 'кв.м', ''), 'm²', ''), 'M2', ''), ' ', '') END AS area_number,
   TRY_CAST(replace(replace(replace(nullif(regexp_extract(fees, '^([0-9\s,]+)', 1), ''), ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS monthly_fee,
   TRY_CAST(replace(replace(replace(nullif(regexp_extract(fees, 'Hoitovastike ([0-9,\s]+)', 1), ''), ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS maintenance_fee,
   TRY_CAST(replace(replace(replace(nullif(regexp_extract(fees, 'Rahoitusvastike ([0-9,\s]+)', 1), ''), ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS financial_fee

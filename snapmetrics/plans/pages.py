@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.text import clean_text, paragraphs, strip_noise, tag_text
-from snapmetrics.functions.urls import category, host, query_value
+from snapmetrics.functions.urls import category, embedded_urls, host, query_value
 from snapmetrics.sources.io import ARTICLE_COLUMNS, conform
 from snapmetrics.sources.tables import table
 
@@ -19,6 +19,8 @@ LINK_PATTERN = r"^/[A-Za-z]"
 LINK_EXCLUDE = [","]
 # Keyword list for document search (FLT-14).
 KEYWORDS = ["the", "que", "und", "ion", "Eauouon."]
+# Paragraphs dropped from article text (FLT-16), e.g. boilerplate lines.
+PARAGRAPH_EXCLUDE = ["Nicht"]
 VISIT_STAMP = "2024-01-01 10:00:00"
 POI_BASE = "https://maps.example.com/?daddr="
 
@@ -36,13 +38,15 @@ def page_outlinks(pages: DataFrame) -> DataFrame:
     keep = F.col("href").rlike(LINK_PATTERN)
     for s in LINK_EXCLUDE:
         keep = keep & ~F.col("href").contains(s)
-    return links.filter(keep).select("site", F.concat("root", "href").alias("link")).distinct()
+    return links.filter(keep).select(
+        "site", F.when(F.col("href").startswith("/"), F.concat("root", "href")).otherwise(F.col("href")).alias("link")
+    ).distinct()
 
 
 def page_articles(pages: DataFrame) -> DataFrame:
     """PIPE-28 (HTM-1, STR-1, STR-10, AG-13, FLT-15): title, headline, lead, text and paragraph count per page."""
     p = pages.select("page_id", "url", strip_noise("html").alias("h"))
-    p = p.withColumn("pars", paragraphs(F.col("h")))
+    p = p.withColumn("pars", paragraphs(F.col("h"), PARAGRAPH_EXCLUDE))
     out = p.select(
         "page_id",
         host("url").alias("site"),
@@ -78,7 +82,7 @@ def poi_extract(pages: DataFrame) -> DataFrame:
         "page_id",
         tag_text(strip_noise("html"), "title").alias("name"),
         F.concat(F.lit(POI_BASE), F.col("page_id").cast("string"), F.lit("+main+st&x=1")).alias("link"),
-        F.size(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("n_links"),
+        F.size(embedded_urls("html", "/", '"')).alias("n_links"),
     )
     return p.withColumn("address_from_link", query_value("link", "daddr"))
 
@@ -130,7 +134,7 @@ def _tag_sql(h: str, tag: str) -> str:
 _PARS = (
     "list_filter(list_transform(string_split(h, '<p>')[2:], lambda p: "
     + _clean_sql("regexp_replace(split_part(split_part(p, '</p>', 1), '</article>', 1), '<[^>]*>', '', 'g')")
-    + "), lambda t: length(t) > 0)"
+    + "), lambda t: length(t) > 0 AND NOT contains(t, 'Nicht'))"
 )
 
 _ARTICLES = f"""
@@ -168,7 +172,7 @@ FROM art WHERE headline IS NOT NULL AND NOT site LIKE '%.com'""",
     "poi_extract": f"""
 SELECT page_id, {_tag_sql(_NOISE, 'title')} AS name,
   '{POI_BASE}' || CAST(page_id AS VARCHAR) || '+main+st&x=1' AS link,
-  CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INTEGER) AS n_links,
+  CAST(len(regexp_extract_all(html, '(/.*?)"', 1)) AS INTEGER) AS n_links,
   CAST(page_id AS VARCHAR) || ' main st' AS address_from_link
 FROM pages""",
     "document_keyword_hits": f"""
