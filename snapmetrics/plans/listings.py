@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmetrics.functions import numbers as _num
+from snapmetrics.functions import text as _txt
 from snapmetrics.functions.common import as_col, nonempty
 from snapmetrics.functions.jsonx import repair_json
 from snapmetrics.functions.numbers import (
@@ -31,6 +33,7 @@ from snapmetrics.functions.text import (
 )
 from snapmetrics.functions.urls import site_of
 from snapmetrics.sources import fixtures
+from snapmetrics.sources.fixture_exprs import LISTING_EXTRAS
 from snapmetrics.sources.fixtures_sql import F3_LISTINGS, with_ctes
 
 STAGING_RATE = 1.9588  # BGN per EUR in the staged-price cast (RI/HA)
@@ -296,10 +299,6 @@ FROM listings""",
 
 # ---------------------------------------------------------------- per-source text rules (F3 extras)
 
-from snapmetrics.functions import numbers as _num  # noqa: E402
-from snapmetrics.functions import text as _txt  # noqa: E402
-from snapmetrics.sources.fixture_exprs import LISTING_EXTRAS  # noqa: E402
-
 # Tooltip labels that are not listing labels.
 NON_LABELS = ["Преглеждания на сайта", "Спрямо всички оферти в района", "Добави в любими"]
 

@@ -72,3 +72,30 @@ def test_dispersal_stays_within_radius(spark):
     d = disperse_clusters(fixtures.court_tenders(spark, SMALL))
     dist = F.sqrt((F.col("display_lon") - F.col("lon")) ** 2 + (F.col("display_lat") - F.col("lat")) ** 2)
     assert d.filter(dist > 0.0100001).count() == 0
+
+
+def test_ensure_table_creates_empty_typed_table(spark, tmp_path):
+    from snapmetrics.schemas import PRICE_BAR, ensure_table
+
+    t = ensure_table(spark, "price_actions_test", PRICE_BAR, str(tmp_path / "price_actions"))
+    assert t.count() == 0 and t.schema == PRICE_BAR
+    t2 = ensure_table(spark, "price_actions_test", PRICE_BAR, str(tmp_path / "price_actions"))
+    assert t2.count() == 0
+
+
+def test_conform_fills_missing_columns(spark):
+    from snapmetrics.sources.io import conform
+
+    df = spark.createDataFrame([("a", 1)], "title string, views long")
+    out = conform(df, ["views", "title", "author"])
+    assert out.columns == ["views", "title", "author"]
+    assert out.first()["author"] is None
+
+
+def test_only_new_keeps_null_keys(spark):
+    from snapmetrics.operators.joins import only_new
+
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    ex = spark.createDataFrame([(1,)], "k long")
+    assert sorted(r[0] is None for r in only_new(df, ex, ["k"]).collect()) == [False, True]
+    assert only_new(df, ex, ["k"], drop_null_keys=True).count() == 1
