@@ -160,13 +160,13 @@ SELECT page_id, site, category, title, headline, pars[1] AS lead, CAST(len(pars)
 FROM art WHERE headline IS NOT NULL""",
     "unified_articles": f"""
 WITH {_ARTICLES}
-SELECT NULL AS comments, NULL AS views, NULL AS shares, NULL AS created_timestamp,
-  '{VISIT_STAMP}' AS visited_timestamp, NULL AS tags, category AS section, headline AS title, pars[1] AS subtitle,
-  NULL AS category, NULL AS link, array_to_string(pars, chr(10)) AS article_text, NULL AS author,
-  NULL AS thumbs_down, NULL AS thumbs_up, NULL AS location, site
+SELECT CAST(NULL AS VARCHAR) AS comments, CAST(NULL AS VARCHAR) AS views, CAST(NULL AS VARCHAR) AS shares, CAST(NULL AS VARCHAR) AS created_timestamp,
+  '{VISIT_STAMP}' AS visited_timestamp, CAST(NULL AS VARCHAR) AS tags, category AS section, headline AS title, pars[1] AS subtitle,
+  CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS link, array_to_string(pars, chr(10)) AS article_text, CAST(NULL AS VARCHAR) AS author,
+  CAST(NULL AS VARCHAR) AS thumbs_down, CAST(NULL AS VARCHAR) AS thumbs_up, CAST(NULL AS VARCHAR) AS location, site
 FROM art WHERE headline IS NOT NULL AND site LIKE '%.com'
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, '{VISIT_STAMP}', NULL, NULL, title, NULL, category, NULL,
+SELECT CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), '{VISIT_STAMP}', NULL, NULL, title, NULL, category, NULL,
   array_to_string(pars, chr(10)), NULL, NULL, NULL, NULL, site
 FROM art WHERE headline IS NOT NULL AND NOT site LIKE '%.com'""",
     "poi_extract": f"""

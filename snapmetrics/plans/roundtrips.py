@@ -106,6 +106,6 @@ ORACLE = {
         for enc in ENCODINGS
     ),
     "json_docs_roundtrip": STORE_ORACLE["stores_flat"],
-    "wholetext_roundtrip": "SELECT page_id, length(html) AS n_chars, md5(html) AS digest FROM pages",
+    "wholetext_roundtrip": "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, md5(html) AS digest FROM pages",
     "ctas_roundtrip": SNAP_ORACLE["article_popularity"],
 }
