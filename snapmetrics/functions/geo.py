@@ -59,8 +59,12 @@ def slugify_bg(c) -> Column:
     Null, empty and the text ``nan`` pass through unchanged.
     """
     s = F.lower(as_col(c))
+    # multi-letter sounds first, then one translate for the one-to-one letters
     for cyr, lat in BG_LATIN:
-        s = F.replace(s, F.lit(cyr), F.lit(lat))
+        if len(lat) > 1:
+            s = F.replace(s, F.lit(cyr), F.lit(lat))
+    one = [(cyr, lat) for cyr, lat in BG_LATIN if len(lat) == 1]
+    s = F.translate(s, "".join(c for c, _ in one), "".join(lt for _, lt in one))
     slug = F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "-"), "^-+|-+$", "")
     raw = as_col(c)
     return F.when(raw.isNull() | raw.isin("", "nan"), raw).otherwise(slug)

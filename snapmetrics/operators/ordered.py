@@ -50,9 +50,7 @@ def chunked_lag(
     part = [*keys, chunk]
     base = df.withColumn("_pk", _chunk_key(part))
     w = Window.partitionBy("_pk").orderBy(*_order_cols(order))
-    out = base.withColumn("_rn", F.row_number().over(w))
-    for c in cols:
-        out = out.withColumn(f"_lag_{c}", F.lag(c).over(w))
+    out = base.withColumns({"_rn": F.row_number().over(w), **{f"_lag_{c}": F.lag(c).over(w) for c in cols}})
 
     # Last row of every chunk — a partial aggregate over the input (combined map-side, so only one row per chunk
     # and task is shuffled) — carried to the next chunk of the same key.
@@ -66,9 +64,11 @@ def chunked_lag(
     )
     out = out.join(carry, "_pk", "left")
     first_in_chunk = F.col("_rn") == 1
-    for c in cols:
-        out = out.withColumn(f"{prefix}{c}", F.when(first_in_chunk, F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")))
-    out = out.withColumn(first_flag, first_in_chunk & ~F.coalesce(F.col("_has_prev"), F.lit(False)))
+    new = {
+        f"{prefix}{c}": F.when(first_in_chunk, F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")) for c in cols
+    }
+    new[first_flag] = first_in_chunk & ~F.coalesce(F.col("_has_prev"), F.lit(False))
+    out = out.withColumns(new)
     return out.drop("_pk", "_rn", "_has_prev", *[f"_lag_{c}" for c in cols], *[f"_carry_{c}" for c in cols])
 
 
@@ -84,9 +84,7 @@ def chunked_running_sum(
     part = [*keys, chunk]
     base = df.withColumn("_pk", _chunk_key(part))
     w = Window.partitionBy("_pk").orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = base
-    for c in cols:
-        out = out.withColumn(f"_run_{c}", F.sum(c).over(w))
+    out = base.withColumns({f"_run_{c}": F.sum(c).over(w) for c in cols})
     totals = base.groupBy("_pk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
     w2 = (
         Window.partitionBy(*[F.col("_pk")[k] for k in keys])
@@ -95,9 +93,11 @@ def chunked_running_sum(
     )
     carry = totals.select("_pk", *[F.sum(f"_tot_{c}").over(w2).alias(f"_before_{c}") for c in cols])
     out = out.join(carry, "_pk", "left")
+    new = {}
     for c in cols:
         run, before = F.col(f"_run_{c}"), F.col(f"_before_{c}")
-        out = out.withColumn(f"{prefix}{c}", F.when(run.isNull(), before).otherwise(F.coalesce(before, F.lit(0)) + run))
+        new[f"{prefix}{c}"] = F.when(run.isNull(), before).otherwise(F.coalesce(before, F.lit(0)) + run)
+    out = out.withColumns(new)
     return out.drop("_pk", *[f"_run_{c}" for c in cols], *[f"_before_{c}" for c in cols])
 
 

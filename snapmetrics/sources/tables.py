@@ -14,10 +14,21 @@ TABLES = (
 ).split()
 
 
+_RESOLVED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver table as a DataFrame; the resolved relation (file listing, footer schema) is kept per
+    application, as the tables are read-only."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RESOLVED.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _RESOLVED[key] = df
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
