@@ -35,9 +35,9 @@ def round_half_up(x, scale: int = 0) -> Column:
     return F.round(as_col(x).cast("decimal(38,10)"), scale)
 
 
-def first_number(c, min_len: int) -> Column:
-    """NUM-1: first run of at least ``min_len`` chars of ``[0-9.]`` after removing spaces; null when none."""
-    return F.regexp_substr(F.replace(as_col(c), F.lit(" "), F.lit("")), F.lit(f"[0-9.]{{{min_len},}}"))
+def first_number(c, min_len: int, max_len: int = 100) -> Column:
+    """NUM-1: first run of ``min_len``..``max_len`` chars of ``[0-9.]`` after removing spaces; null when none."""
+    return F.regexp_substr(F.replace(as_col(c), F.lit(" "), F.lit("")), F.lit(f"[0-9.]{{{min_len},{max_len}}}"))
 
 
 def first_year(c) -> Column:

@@ -225,8 +225,8 @@ cleaned AS (
     replace(replace(replace(replace(replace(replace(trim(lower(place)), 'гр. софия', ''), 'софийска област', ''),
       'българия', ''), '/', ''), ',', ''), 'близо до', '') AS place,
     TRY_CAST(lower(trim(is_for_sale)) AS BOOLEAN) AS is_for_sale,
-    TRY_CAST(nullif(regexp_extract(replace(price, ' ', ''), '([0-9.]{3,})', 1), '') AS DOUBLE) AS price,
-    TRY_CAST(nullif(regexp_extract(replace(area, ' ', ''), '([0-9.]{2,})', 1), '') AS DOUBLE) AS area,
+    TRY_CAST(nullif(regexp_extract(replace(price, ' ', ''), '([0-9.]{3,100})', 1), '') AS DOUBLE) AS price,
+    TRY_CAST(nullif(regexp_extract(replace(area, ' ', ''), '([0-9.]{2,100})', 1), '') AS DOUBLE) AS area,
     TRY_CAST(nullif(regexp_extract(replace(year, ' ', ''), '([0-9]{4})', 1), '') AS DOUBLE) AS year,
     TRY_CAST(replace(lon, ',', '.') AS DOUBLE) AS lon,
     TRY_CAST(replace(lat, ',', '.') AS DOUBLE) AS lat,
