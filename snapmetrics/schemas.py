@@ -80,5 +80,8 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, path: str,
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.format("parquet").option("path", path).saveAsTable(name)
+        # overwrite: a dropped external table leaves its files at the location
+        spark.createDataFrame([], schema).write.mode("overwrite").format("parquet").option("path", path).saveAsTable(
+            name
+        )
     return spark.table(name)
