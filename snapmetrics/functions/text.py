@@ -20,6 +20,7 @@ BG_MONTHS = [
 TYPE_REWRITES = [("1-", "едно"), ("2-", "дву"), ("3-", "три"), ("4-", "четири"), (" апартамент", "")]
 # Literals removed from a listing place, in this order, after lower + strip.
 PLACE_DROPS = ["гр. софия", "софийска област", "българия", "/", ",", "близо до"]
+# Apartment-type pattern, Finnish listing hosts, the on-request price text and ground-floor words.
 APARTMENT_PATTERN = "(?:стаен|мезонет|ателие)"
 FI_HOSTS = ["etuovi.com", "www.vuokraovi.com"]
 ON_REQUEST = "при запитване"

@@ -36,6 +36,7 @@ from snapmetrics.sources import fixtures
 from snapmetrics.sources.fixture_exprs import LISTING_EXTRAS
 from snapmetrics.sources.fixtures_sql import F3_LISTINGS, with_ctes
 
+# The two BGN/EUR rates (staged cast vs scrape time), VAT factor and area units.
 STAGING_RATE = 1.9588  # BGN per EUR in the staged-price cast (RI/HA)
 SCRAPE_RATE = 1.9558  # BGN per EUR at scrape time (HD, imoteka)
 VAT = 1.2

@@ -78,8 +78,20 @@ def tenders_merge(old: DataFrame, scraped: DataFrame, details: DataFrame) -> Dat
     return new.unionByName(old_, allowMissingColumns=True)
 
 
+# Tender text patterns, in the reference's form, so the same fields are read from the same text.
 IDEAL_PATTERN = r"(.*)(?:ид|ИД|Ид)(?:\.|еалн|ЕАЛН)|^\s*([\d]+[/\\][\d]+)"
 IDEAL_FIRST = r"(.*)(?:ид|ИД|Ид)(?:\.|еалн|ЕАЛН)"
+PRICE_PATTERN = r".*:\s+(\d+)\..*"
+AREA_PATTERN = r"^(?:[\s-]+)?(\d+)\s+кв\.м\..*"
+PLACE_PATTERN = r"^(?:[\s-]+)?\d+\s+кв\.м\.,(.*)"
+COURT_SHORT_PATTERN = r".*Окръжен\sсъд\s+([а-яА-Я]+(?:\sЗагора|\sТърново)?).*"
+COURT_FULL_PATTERN = r".*Окръжен\s+съд:\s+([а-яА-Я ]+).*"
+NOTARY_PATTERN = r".*ЧСИ:\s+([а-яА-Я -]+).*"
+TERM_START_PATTERN = r".*\sот\s([\d\.]+).*"
+TERM_END_PATTERN = r".*\sдо\s([\d\.]+).*"
+ANNOUNCEMENT_PATTERN = r".*Обявяване\sна:\s+([\d\.\s:]+).*"
+# The two Sofia courts and the regions they stand for.
+SOFIA_COURTS = [("Софийски окръжен съд", "София-област"), ("Софийски градски съд", "София-град")]
 
 
 def ideal_parts(desc, length: int = 50) -> Column:
@@ -94,32 +106,31 @@ def ideal_parts(desc, length: int = 50) -> Column:
 def court_short(meta) -> Column:
     """JN-9: court name -> region (two Sofia courts are fixed, others read from the text)."""
     m = as_col(meta)
-    return (
-        F.when(m.contains("Софийски окръжен съд"), F.lit("София-област"))
-        .when(m.contains("Софийски градски съд"), F.lit("София-град"))
-        .otherwise(nonempty(F.regexp_extract(m, r".*Окръжен\sсъд\s+([а-яА-Я]+(?:\sЗагора|\sТърново)?).*", 1)))
-    )
+    out = F.when(m.contains(SOFIA_COURTS[0][0]), F.lit(SOFIA_COURTS[0][1]))
+    for court, region in SOFIA_COURTS[1:]:
+        out = out.when(m.contains(court), F.lit(region))
+    return out.otherwise(nonempty(F.regexp_extract(m, COURT_SHORT_PATTERN, 1)))
 
 
 def tender_fields(df: DataFrame) -> DataFrame:
     """PIPE-22: area, place, price, court, notary, term and announcement from the free-text blocks."""
     ap = F.col("area_and_place")
     meta = F.col("meta")
-    place = nonempty(F.regexp_extract(ap, r"^(?:[\s-]+)?\d+\s+кв\.м\.,(.*)", 1))
+    place = nonempty(F.regexp_extract(ap, PLACE_PATTERN, 1))
     return df.select(
         "page_id",
-        nonempty(F.regexp_extract("price_text", r".*:\s+(\d+)\..*", 1)).alias("price"),
-        nonempty(F.regexp_extract(ap, r"^(?:[\s-]+)?(\d+)\s+кв\.м\..*", 1)).alias("area"),
+        nonempty(F.regexp_extract("price_text", PRICE_PATTERN, 1)).alias("price"),
+        nonempty(F.regexp_extract(ap, AREA_PATTERN, 1)).alias("area"),
         F.regexp_replace(tidy_place(F.trim(place)), r"\s+$", "").alias("place"),
         court_short(meta).alias("court_short"),
-        F.trim(F.replace(nonempty(F.regexp_extract(meta, r".*Окръжен\s+съд:\s+([а-яА-Я ]+).*", 1)), F.lit(" ЧСИ"), F.lit("")))
+        F.trim(F.replace(nonempty(F.regexp_extract(meta, COURT_FULL_PATTERN, 1)), F.lit(" ЧСИ"), F.lit("")))
         .alias("court_full"),
-        F.trim(F.replace(nonempty(F.regexp_extract(meta, r".*ЧСИ:\s+([а-яА-Я -]+).*", 1)), F.lit(" Срок"), F.lit("")))
+        F.trim(F.replace(nonempty(F.regexp_extract(meta, NOTARY_PATTERN, 1)), F.lit(" Срок"), F.lit("")))
         .alias("notarius"),
-        nonempty(F.regexp_extract(meta, r".*\sот\s([\d\.]+).*", 1)).alias("period_start"),
-        nonempty(F.regexp_extract(meta, r".*\sдо\s([\d\.]+).*", 1)).alias("period_end"),
-        F.trim(nonempty(F.regexp_extract(meta, r".*Обявяване\sна:\s+([\d\.\s:]+).*", 1))).alias("announcement"),
-        parse_bg_datetime(F.regexp_extract(meta, r".*Обявяване\sна:\s+([\d\.\s:]+).*", 1)).alias("announced_at"),
+        nonempty(F.regexp_extract(meta, TERM_START_PATTERN, 1)).alias("period_start"),
+        nonempty(F.regexp_extract(meta, TERM_END_PATTERN, 1)).alias("period_end"),
+        F.trim(nonempty(F.regexp_extract(meta, ANNOUNCEMENT_PATTERN, 1))).alias("announcement"),
+        parse_bg_datetime(F.regexp_extract(meta, ANNOUNCEMENT_PATTERN, 1)).alias("announced_at"),
         ideal_parts("description").alias("ideal_parts"),
     )
 
