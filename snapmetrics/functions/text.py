@@ -28,9 +28,14 @@ GROUND_FLOORS = ["партер", "сутерен"]
 CYRILLIC_WORD = "[А-Яа-яЁё]+"
 
 
+# Whitespace removed from both ends by ``strip`` (Python's ``str.strip()`` for the characters scraped text holds).
+STRIP_CHARS = " \t\n\r\x0b\x0c\xa0"
+
+
 def strip(c) -> Column:
-    """Python ``str.strip()`` for the whitespace that occurs in scraped text (incl. NBSP)."""
-    return F.regexp_replace(as_col(c), r"^[\s ]+|[\s ]+$", "")
+    """Python ``str.strip()`` for the whitespace that occurs in scraped text (incl. NBSP); ``btrim`` touches only
+    the ends, so long texts are not rescanned."""
+    return F.btrim(as_col(c), F.lit(STRIP_CHARS))
 
 
 def clean_text(c) -> Column:

@@ -63,6 +63,10 @@ def basename(c) -> Column:
     return F.substring_index(as_col(c), "/", -1)
 
 
+def embedded_url_pattern(prefix: str, end: str = '",') -> str:
+    return "(\\Q" + prefix + "\\E.*?)\\Q" + end + "\\E"
+
+
 def embedded_urls(c, prefix: str, end: str = '",') -> Column:
     """STR-14: every URL starting with ``prefix`` up to the ``end`` marker inside a text blob."""
-    return F.regexp_extract_all(as_col(c), F.lit("(\\Q" + prefix + "\\E.*?)\\Q" + end + "\\E"), 1)
+    return F.regexp_extract_all(as_col(c), F.lit(embedded_url_pattern(prefix, end)), 1)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.text import clean_text, paragraphs, strip_noise, tag_text
-from snapmetrics.functions.urls import category, embedded_urls, host, query_value
+from snapmetrics.functions.urls import category, embedded_url_pattern, host, query_value
 from snapmetrics.sources.io import ARTICLE_COLUMNS, conform
 from snapmetrics.sources.tables import table
 
@@ -61,19 +61,20 @@ def page_articles(pages: DataFrame) -> DataFrame:
 
 
 def unified_articles(pages: DataFrame, stamp: str = VISIT_STAMP) -> DataFrame:
-    """PIPE-29 (PRJ-1,2,5, SET-2): two per-source layouts renamed, conformed to the 16 snapshot columns, unioned,
-    stamped with the site and the visit time."""
+    """PIPE-29 (PRJ-1,2,5, SET-2): two per-source layouts (``.com`` sites put headline/lead/category into
+    title/subtitle/section; the others title/category) renamed, conformed to the 16 snapshot columns and stamped
+    with the site and the visit time. One pass: the layout is chosen per row, not by filtering and unioning."""
     a = page_articles(pages)
-    com = a.filter(F.col("site").endswith(".com")).select(
-        F.col("headline").alias("title"), F.col("lead").alias("subtitle"), "article_text",
-        F.col("category").alias("section"), "site",
+    com = F.col("site").endswith(".com")
+    layout = a.select(
+        F.when(com, F.col("headline")).otherwise(F.col("title")).alias("title"),
+        F.when(com, F.col("lead")).alias("subtitle"),
+        "article_text",
+        F.when(com, F.col("category")).alias("section"),
+        F.when(~com, F.col("category")).alias("category"),
+        "site",
     )
-    other = a.filter(~F.col("site").endswith(".com")).select(
-        "title", "article_text", "category", "site"
-    )
-    frames = [conform(f, ARTICLE_COLUMNS + ["site"]) for f in (com, other)]
-    u = frames[0].unionByName(frames[1])
-    return u.withColumn("visited_timestamp", F.lit(stamp))
+    return conform(layout, ARTICLE_COLUMNS + ["site"]).withColumn("visited_timestamp", F.lit(stamp))
 
 
 def poi_extract(pages: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def poi_extract(pages: DataFrame) -> DataFrame:
         "page_id",
         tag_text(strip_noise("html"), "title").alias("name"),
         F.concat(F.lit(POI_BASE), F.col("page_id").cast("string"), F.lit("+main+st&x=1")).alias("link"),
-        F.size(embedded_urls("html", "/", '"')).alias("n_links"),
+        F.regexp_count("html", F.lit(embedded_url_pattern("/", '"'))).alias("n_links"),
     )
     return p.withColumn("address_from_link", query_value("link", "daddr"))
 
