@@ -25,7 +25,7 @@ APARTMENT_PATTERN = "(?:стаен|мезонет|ателие)"
 FI_HOSTS = ["etuovi.com", "www.vuokraovi.com"]
 ON_REQUEST = "при запитване"
 GROUND_FLOORS = ["партер", "сутерен"]
-CYRILLIC_WORD = "[А-Яа-яЁё]+"
+CYRILLIC_WORD = "[А-Яа-я]+"  # the reference's Cyrillic letter class (fixed value)
 
 
 # Whitespace removed from both ends by ``strip`` (Python's ``str.strip()`` for the characters scraped text holds).

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from snapmetrics.operators.ordered import order_key
 
 
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """Proof of a size bound: at most ``max_rows`` rows, checked with a count that stops past the limit."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the side is proven small: at most ``max_rows`` rows (checked with a bounded count
-    that stops reading past the limit). Otherwise the side is returned unchanged and the planner shuffles."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast hint only when the side is proven small (``is_bounded``); otherwise the side is returned
+    unchanged and the planner shuffles (AQE may still broadcast it after measuring)."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def only_new(df: DataFrame, existing: DataFrame, keys: Sequence[str], drop_null_keys: bool = False) -> DataFrame:

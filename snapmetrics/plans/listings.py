@@ -361,8 +361,8 @@ SELECT id,
        ELSE replace(regexp_extract(rent_price, '([\d ]+)(?:[\d,]+)? €\/kk$', 1), ' ', '') END AS rent_eur,
   trim(nullif(regexp_extract(deposit_text, '^(?:\s)?([\d\.\s]+).*', 1), '')) AS deposit,
   array_to_string(list_filter(label_list, lambda l: trim(l) NOT IN ('Преглеждания на сайта', 'Спрямо всички оферти в района', 'Добави в любими')), ', ') AS labels_kept,
-  CASE WHEN len(regexp_extract_all(tag_blob, '([А-Яа-яЁё]+)', 1)) > 0
-       THEN array_to_string(regexp_extract_all(tag_blob, '([А-Яа-яЁё]+)', 1), ' - ') END AS tags,
+  CASE WHEN len(regexp_extract_all(tag_blob, '([А-Яа-я]+)', 1)) > 0
+       THEN array_to_string(regexp_extract_all(tag_blob, '([А-Яа-я]+)', 1), ' - ') END AS tags,
   replace(replace(noisy, chr(7), ''), chr(92), '/') AS noisy_clean,
   split_part(cut_text, 'Tweet', 1) AS cut
 FROM x"""

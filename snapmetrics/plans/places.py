@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.text import strip
-from snapmetrics.operators.joins import only_new
+from snapmetrics.operators.joins import is_bounded, only_new
 from snapmetrics.sources import fixtures
 from snapmetrics.sources.fixture_exprs import GAZETTEER, PLACE_RECORDS
 
@@ -35,7 +35,7 @@ def match_places(records: DataFrame, gazetteer: DataFrame, key: str = "rid", pla
         ).alias("g"),
     ).filter(F.col("g.trank").isNotNull())
     r = records.withColumn("_place", F.lower(strip(place))).withColumn("_region", F.lower(strip(region)))
-    if gazetteer.limit(GAZETTEER_MAX_ROWS + 1).count() <= GAZETTEER_MAX_ROWS:
+    if is_bounded(gazetteer, GAZETTEER_MAX_ROWS):
         # Proven small: one candidate array per region, broadcast; matching is map-side array work.
         by_region = F.broadcast(g.groupBy("_g_region").agg(F.collect_list("g").alias("_cands")))
         j = r.join(by_region, r["_region"] == by_region["_g_region"], "left")

@@ -85,3 +85,24 @@ def test_pairs_to_map_odd_is_null(spark):
     rows = [r[0] for r in df.select(pairs_to_map("items")).collect()]
     assert rows[0] == {"a": "3", "b": "2"}  # repeated key: last wins
     assert rows[1] is None
+
+
+def test_tags_from_script_blob(spark):
+    blob = (
+        "GTM\nvar\nw2g = w2g | | {};\nw2g.targeting = {\ncid: 'news',\nbid: 'view',\naid: '273680',\n"
+        "tag: 'тенис',\ntag: 'джейми',\ntag: 'мъри',\ntag: 'григор',\ntag: 'димитров',\ntag: 'александър',\n"
+        "tag: 'лазаров',\ntag: 'великобритания',\ntag: 'българия'\n};"
+    )
+    col = text.all_words(text.between(F.col("x"), "w2g.targeting = ", ";"))
+    assert one(spark, col, blob) == (
+        "тенис - джейми - мъри - григор - димитров - александър - лазаров - великобритания - българия"
+    )
+
+
+def test_ideal_parts(spark):
+    from snapmetrics.plans.tenders import ideal_parts
+
+    assert one(spark, ideal_parts(F.col("x")), "1/6 ид. части от поземлен имот") == "1/6 "
+    assert one(spark, ideal_parts(F.col("x")), " 2/9 от имот") == "2/9"
+    assert one(spark, ideal_parts(F.col("x")), "Идеална част от апартамент") == ""
+    assert one(spark, ideal_parts(F.col("x")), "Самостоятелен обект") is None
