@@ -99,3 +99,25 @@ def test_only_new_keeps_null_keys(spark):
     ex = spark.createDataFrame([(1,)], "k long")
     assert sorted(r[0] is None for r in only_new(df, ex, ["k"]).collect()) == [False, True]
     assert only_new(df, ex, ["k"], drop_null_keys=True).count() == 1
+
+
+def test_chunked_ops_with_hot_key_nulls_and_ties(spark):
+    """One key holding most rows over many days, null counters, a null chunk and tied order values."""
+    rows = []
+    for i in range(600):
+        key = "hot" if i % 10 else f"k{i % 7}"
+        day = None if i == 5 else f"2024-01-{1 + (i // 25) % 28:02d}"
+        ts = None if day is None else f"{day} {(i * 7) % 24:02d}:00:00"
+        val = None if i % 13 == 0 else i * 3
+        rows.append((i, key, ts, val))
+    df = spark.createDataFrame(rows, "id long, k string, ts string, v long").withColumn(
+        "ts", F.to_timestamp("ts")
+    ).withColumn("day", F.to_date("ts"))
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last())
+    want = df.select(
+        "id", F.lag("v").over(w).alias("prev_v"), (F.row_number().over(w) == 1).alias("is_first"),
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_v"),
+    )
+    got = chunked_lag(df, ["k"], "day", ["ts", "id"], ["v"]).select("id", "prev_v", "is_first")
+    got = got.join(chunked_running_sum(df, ["k"], "day", ["ts", "id"], ["v"]).select("id", "cum_v"), "id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
