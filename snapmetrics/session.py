@@ -65,13 +65,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session names none (local tests) is a scratch folder created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        # Unset (local tests only): a scratch folder of our own, registered with the context.
         d = tempfile.mkdtemp(prefix="snapmetrics-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -15,7 +15,7 @@ from snapmetrics.operators.ordered import chunked_running_sum
 from snapmetrics.session import scratch_path
 from snapmetrics.sources.tables import table
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -23,12 +23,13 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     back — the stored input table the reference's queries start from (its data lake), so several branches of a
     plan scan it instead of re-deriving it, and a lost executor re-reads it instead of recomputing the lineage."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    path = _STORED.get(key)
-    if path is None:
+    df = _STORED.get(key)
+    if df is None:
         path = scratch_path(spark, f"fixtures/{name}-{uuid.uuid4().hex[:12]}")
         build().write.mode("overwrite").parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        _STORED[key] = df
+    return df
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
