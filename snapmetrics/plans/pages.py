@@ -83,7 +83,7 @@ def poi_extract(pages: DataFrame) -> DataFrame:
         "page_id",
         tag_text(strip_noise("html"), "title").alias("name"),
         F.concat(F.lit(POI_BASE), F.col("page_id").cast("string"), F.lit("+main+st&x=1")).alias("link"),
-        F.regexp_count("html", F.lit(embedded_url_pattern("/", '"'))).alias("n_links"),
+        F.regexp_count("html", F.lit(embedded_url_pattern('href="/', '"'))).alias("n_links"),
     )
     return p.withColumn("address_from_link", query_value("link", "daddr"))
 
@@ -173,7 +173,7 @@ FROM art WHERE headline IS NOT NULL AND NOT site LIKE '%.com'""",
     "poi_extract": f"""
 SELECT page_id, {_tag_sql(_NOISE, 'title')} AS name,
   '{POI_BASE}' || CAST(page_id AS VARCHAR) || '+main+st&x=1' AS link,
-  CAST(len(regexp_extract_all(html, '(/.*?)"', 1)) AS INTEGER) AS n_links,
+  CAST(len(regexp_extract_all(html, '(href="/.*?)"', 1)) AS INTEGER) AS n_links,
   CAST(page_id AS VARCHAR) || ' main st' AS address_from_link
 FROM pages""",
     "document_keyword_hits": f"""
