@@ -136,37 +136,40 @@ def month_number(word) -> Column:
     return out
 
 
+NUMERIC_DATE = r"(\d{1,2})\.(\d{1,2})\.(\d{4})"
+CLOCK_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2}))?"
+
+
 def parse_bg_datetime(c) -> Column:
     """DT-6/DT-7: Bulgarian date text -> TIMESTAMP_NTZ; null when it cannot be read.
 
-    Numeric ``dd.MM.yyyy[ HH:mm[:ss]]`` first; otherwise the first Cyrillic word that names a month (prefix match,
-    ``Дек.`` and ``дек`` included), the day is the first number, the year the last 2–4 digit number (``19`` ->
-    2019) and the time the first ``HH:mm[:ss]``.
+    Numeric ``dd.MM.yyyy`` first; otherwise the first Cyrillic word that names a month (prefix match, ``Дек.`` and
+    ``дек`` included), the day is the first number and the year the last 2–4 digit number (``19`` -> 2019) once
+    the time is taken out. The time is the first ``HH:mm[:ss]`` (midnight when absent). The parts are read with
+    regex groups and assembled with ``try_make_timestamp_ntz`` — no formatter attempts that fail row by row — and
+    the month-word work runs only for rows without a numeric date.
     """
     s = as_col(c)
-    numeric = F.coalesce(
-        F.try_to_timestamp(F.regexp_extract(s, r"(\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}:\d{2})", 1), F.lit("d.M.yyyy H:mm:ss")),
-        F.try_to_timestamp(F.regexp_extract(s, r"(\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2})", 1), F.lit("d.M.yyyy H:mm")),
-        F.try_to_timestamp(F.regexp_extract(s, r"(\d{1,2}\.\d{1,2}\.\d{4})", 1), F.lit("d.M.yyyy")),
-    ).cast("timestamp_ntz")
+
+    def grp(src, pattern, i):
+        return F.nullif(F.regexp_extract(src, pattern, i), F.lit(""))
+
+    num_y = grp(s, NUMERIC_DATE, 3)
+    is_num = num_y.isNotNull()
     words = F.regexp_extract_all(s, F.lit(f"({CYRILLIC_WORD})"), 1)
-    months = F.filter(F.transform(words, month_number), lambda m: m.isNotNull())
-    month = F.try_element_at(months, F.lit(1))
-    hh = F.regexp_extract(s, r"(\d{1,2}):(\d{2})(?::(\d{2}))?", 1)
-    mi = F.regexp_extract(s, r"(\d{1,2}):(\d{2})(?::(\d{2}))?", 2)
-    ss = F.regexp_extract(s, r"(\d{1,2}):(\d{2})(?::(\d{2}))?", 3)
-    rest = F.regexp_replace(s, r"\d{1,2}:\d{2}(?::\d{2})?", " ")
-    day = F.regexp_extract(rest, r"^\D*?(\d{1,2})(?!\d)", 1)
-    year = F.regexp_extract(rest, r"(\d{2,4})\D*$", 1)
-    yi = F.nullif(year, F.lit("")).try_cast("int")
-    y = F.when(F.length(year) == 2, F.lit(2000) + yi).otherwise(yi)
-    worded = F.try_make_timestamp_ntz(
-        y, month.cast("int"), F.nullif(day, F.lit("")).cast("int"),
-        F.coalesce(F.nullif(hh, F.lit("")).cast("int"), F.lit(0)),
-        F.coalesce(F.nullif(mi, F.lit("")).cast("int"), F.lit(0)),
-        F.coalesce(F.nullif(ss, F.lit("")).cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)")),
-    )
-    return F.coalesce(numeric, F.when(month.isNotNull(), worded))
+    word_month = F.try_element_at(F.filter(F.transform(words, month_number), lambda m: m.isNotNull()), F.lit(1))
+    rest = F.regexp_replace(s, CLOCK_TIME, " ")
+    word_day = grp(rest, r"^\D*?(\d{1,2})(?!\d)", 1)
+    word_year = grp(rest, r"(\d{2,4})\D*$", 1)
+    yi = word_year.try_cast("int")
+    word_y = F.when(F.length(word_year) == 2, F.lit(2000) + yi).otherwise(yi)
+    year = F.when(is_num, num_y.try_cast("int")).otherwise(word_y)
+    month = F.when(is_num, grp(s, NUMERIC_DATE, 2)).otherwise(word_month).try_cast("int")
+    day = F.when(is_num, grp(s, NUMERIC_DATE, 1)).otherwise(word_day).try_cast("int")
+    hh = F.coalesce(grp(s, CLOCK_TIME, 1).try_cast("int"), F.lit(0))
+    mi = F.coalesce(grp(s, CLOCK_TIME, 2).try_cast("int"), F.lit(0))
+    sec = F.coalesce(grp(s, CLOCK_TIME, 3).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    return F.when(is_num | word_month.isNotNull(), F.try_make_timestamp_ntz(year, month, day, hh, mi, sec))
 
 
 def term_range(c, which: str) -> Column:
