@@ -146,6 +146,11 @@ _MONTH_WORDS = "array('януари','февруари','март','април',
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 as a stored table (the staged listing files the loads start from; see ``stored``)."""
+    return stored(spark, sf_dir, "raw_listings", lambda: build_raw_listings(spark, sf_dir))
+
+
+def build_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """staged listing rows, all text, as scraped (prices with currency words, areas with units, dates with
     Bulgarian month names, coordinates with decimal commas). ``link`` repeats every 500 parts (first-wins)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
