@@ -24,3 +24,13 @@ def in_year(c, year: int) -> Column:
     """FLT-1: ``substr(c, 1, 10) like '<year>-%'`` on a timestamp text — the same as a prefix test on the whole
     text, which reaches the parquet scan as a pushed ``StringStartsWith`` filter."""
     return as_col(c).startswith(f"{year}-")
+
+
+# The numeric day-first layouts, longest first.
+DMY_FORMATS = ["d.M.yyyy H:mm:ss", "d.M.yyyy H:mm", "d.M.yyyy"]
+
+
+def parse_dmy(c) -> Column:
+    """DT-7: ``dd.MM.yyyy[ HH:mm[:ss]]`` -> TIMESTAMP_NTZ (first layout that reads the whole text); null otherwise."""
+    s = as_col(c)
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in DMY_FORMATS]).cast("timestamp_ntz")

@@ -154,8 +154,14 @@ def parse_bg_datetime(c) -> Column:
     def grp(src, pattern, i):
         return F.nullif(F.regexp_extract(src, pattern, i), F.lit(""))
 
+    hh = F.coalesce(grp(s, CLOCK_TIME, 1).try_cast("int"), F.lit(0))
+    mi = F.coalesce(grp(s, CLOCK_TIME, 2).try_cast("int"), F.lit(0))
+    sec = F.coalesce(grp(s, CLOCK_TIME, 3).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
     num_y = grp(s, NUMERIC_DATE, 3)
-    is_num = num_y.isNotNull()
+    numeric = F.try_make_timestamp_ntz(
+        num_y.try_cast("int"), grp(s, NUMERIC_DATE, 2).try_cast("int"), grp(s, NUMERIC_DATE, 1).try_cast("int"),
+        hh, mi, sec,
+    )
     words = F.regexp_extract_all(s, F.lit(f"({CYRILLIC_WORD})"), 1)
     word_month = F.try_element_at(F.filter(F.transform(words, month_number), lambda m: m.isNotNull()), F.lit(1))
     rest = F.regexp_replace(s, CLOCK_TIME, " ")
@@ -163,13 +169,9 @@ def parse_bg_datetime(c) -> Column:
     word_year = grp(rest, r"(\d{2,4})\D*$", 1)
     yi = word_year.try_cast("int")
     word_y = F.when(F.length(word_year) == 2, F.lit(2000) + yi).otherwise(yi)
-    year = F.when(is_num, num_y.try_cast("int")).otherwise(word_y)
-    month = F.when(is_num, grp(s, NUMERIC_DATE, 2)).otherwise(word_month).try_cast("int")
-    day = F.when(is_num, grp(s, NUMERIC_DATE, 1)).otherwise(word_day).try_cast("int")
-    hh = F.coalesce(grp(s, CLOCK_TIME, 1).try_cast("int"), F.lit(0))
-    mi = F.coalesce(grp(s, CLOCK_TIME, 2).try_cast("int"), F.lit(0))
-    sec = F.coalesce(grp(s, CLOCK_TIME, 3).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
-    return F.when(is_num | word_month.isNotNull(), F.try_make_timestamp_ntz(year, month, day, hh, mi, sec))
+    worded = F.try_make_timestamp_ntz(word_y, word_month.try_cast("int"), word_day.try_cast("int"), hh, mi, sec)
+    # the month-word branch is only evaluated for rows without a numeric date
+    return F.when(num_y.isNotNull(), numeric).otherwise(F.when(word_month.isNotNull(), worded))
 
 
 def term_range(c, which: str) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from snapmetrics.functions.common import as_col, nonempty
 from snapmetrics.functions.geo import GOLDEN_ANGLE, golden_offset, slugify_bg, slugify_sql
-from snapmetrics.functions.text import parse_bg_datetime, tidy_place
+from snapmetrics.functions.dates import parse_dmy
+from snapmetrics.functions.text import tidy_place
 from snapmetrics.operators.joins import only_new
 from snapmetrics.operators.ordered import chunked_running_sum
 from snapmetrics.sources import fixtures
@@ -109,28 +110,38 @@ def court_short(meta) -> Column:
     out = F.when(m.contains(SOFIA_COURTS[0][0]), F.lit(SOFIA_COURTS[0][1]))
     for court, region in SOFIA_COURTS[1:]:
         out = out.when(m.contains(court), F.lit(region))
-    return out.otherwise(nonempty(F.regexp_extract(m, COURT_SHORT_PATTERN, 1)))
+    return out.otherwise(field(m, COURT_SHORT_PATTERN))
+
+
+def one_line(c) -> Column:
+    """Line breaks and tabs -> spaces (``\\r\\n`` as one), as the text blocks are read before matching."""
+    return F.translate(F.replace(as_col(c), F.lit("\r\n"), F.lit(" ")), "\n\t", "  ")
+
+
+def field(text, pattern: str) -> Column:
+    """Group 1 of a ``.*``-led pattern on one-line text, anchored at the start: the same match, without
+    re-scanning from every position when the marker is absent; null when absent."""
+    return nonempty(F.regexp_extract(text, "^" + pattern, 1))
 
 
 def tender_fields(df: DataFrame) -> DataFrame:
     """PIPE-22: area, place, price, court, notary, term and announcement from the free-text blocks."""
     ap = F.col("area_and_place")
-    meta = F.col("meta")
+    meta = one_line("meta")
     place = nonempty(F.regexp_extract(ap, PLACE_PATTERN, 1))
+    announcement = F.trim(field(meta, ANNOUNCEMENT_PATTERN))
     return df.select(
         "page_id",
-        nonempty(F.regexp_extract("price_text", PRICE_PATTERN, 1)).alias("price"),
+        field(one_line("price_text"), PRICE_PATTERN).alias("price"),
         nonempty(F.regexp_extract(ap, AREA_PATTERN, 1)).alias("area"),
         F.regexp_replace(tidy_place(F.trim(place)), r"\s+$", "").alias("place"),
         court_short(meta).alias("court_short"),
-        F.trim(F.replace(nonempty(F.regexp_extract(meta, COURT_FULL_PATTERN, 1)), F.lit(" ЧСИ"), F.lit("")))
-        .alias("court_full"),
-        F.trim(F.replace(nonempty(F.regexp_extract(meta, NOTARY_PATTERN, 1)), F.lit(" Срок"), F.lit("")))
-        .alias("notarius"),
-        nonempty(F.regexp_extract(meta, TERM_START_PATTERN, 1)).alias("period_start"),
-        nonempty(F.regexp_extract(meta, TERM_END_PATTERN, 1)).alias("period_end"),
-        F.trim(nonempty(F.regexp_extract(meta, ANNOUNCEMENT_PATTERN, 1))).alias("announcement"),
-        parse_bg_datetime(F.regexp_extract(meta, ANNOUNCEMENT_PATTERN, 1)).alias("announced_at"),
+        F.trim(F.replace(field(meta, COURT_FULL_PATTERN), F.lit(" ЧСИ"), F.lit(""))).alias("court_full"),
+        F.trim(F.replace(field(meta, NOTARY_PATTERN), F.lit(" Срок"), F.lit(""))).alias("notarius"),
+        field(meta, TERM_START_PATTERN).alias("period_start"),
+        field(meta, TERM_END_PATTERN).alias("period_end"),
+        announcement.alias("announcement"),
+        parse_dmy(announcement).alias("announced_at"),
         ideal_parts("description").alias("ideal_parts"),
     )
 
