@@ -51,15 +51,40 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the required settings to an existing session; scale defaults only where unset."""
+    """Apply the required settings to an existing session; scale defaults only where unset. The package is
+    shipped to the executors' Python workers (needed by the stateful streaming function)."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     for k, v in SCALE_DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package once per application and add it with ``SparkContext.addPyFile`` — what ``--py-files``
+    does at submit time — so Python workers on every executor can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="snapmetrics-pyfiles-"), "snapmetrics.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
