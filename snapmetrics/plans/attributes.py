@@ -66,8 +66,8 @@ SELECT id,
   2 AS n_keys
 FROM a""",
     "embedded_listing_locations": """
-SELECT p_partkey AS id, 'https://' || CASE p_partkey % 4 WHEN 0 THEN 'www.imot.bg' WHEN 1 THEN 'www.etuovi.com'
-    WHEN 2 THEN 'www.vuokraovi.com' ELSE 'www.holmes.bg' END || '/offer/' || CAST(p_partkey % 500 AS VARCHAR) AS link,
+SELECT p_partkey AS id, 'https://' || CASE p_partkey % 4 WHEN 0 THEN 'www.listings-a.bg' WHEN 1 THEN 'www.etuovi.com'
+    WHEN 2 THEN 'www.vuokraovi.com' ELSE 'www.listings-b.bg' END || '/offer/' || CAST(p_partkey % 500 AS VARCHAR) AS link,
   42.0 + CAST(CASE WHEN p_partkey % 20 < 2 AND p_partkey >= 20 THEN p_partkey // 20 - 1 ELSE p_partkey // 20 END AS DOUBLE) / 1000.0 AS lat,
   23.0 + CAST(p_partkey AS DOUBLE) / 10000.0 AS lon
 FROM part""",

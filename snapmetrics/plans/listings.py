@@ -37,8 +37,8 @@ from snapmetrics.sources.fixture_exprs import LISTING_EXTRAS
 from snapmetrics.sources.fixtures_sql import F3_LISTINGS, with_ctes
 
 # The two BGN/EUR rates (staged cast vs scrape time), VAT factor and area units.
-STAGING_RATE = 1.9588  # BGN per EUR in the staged-price cast (RI/HA)
-SCRAPE_RATE = 1.9558  # BGN per EUR at scrape time (HD, imoteka)
+STAGING_RATE = 1.9588  # BGN per EUR in the staged-price cast
+SCRAPE_RATE = 1.9558  # BGN per EUR at scrape time
 VAT = 1.2
 AREA_UNITS = ["кв.м", "m²", "M2"]
 
@@ -162,7 +162,7 @@ def price_with_vat(text) -> Column:
 
 
 def currency_price_eur(text, rate: float = SCRAPE_RATE) -> Column:
-    """NUM-4 (imoteka): ``EUR`` -> digits; ``BGN`` -> digits / rate rounded half-even; else null."""
+    """NUM-4 (``Цена:`` layout): ``EUR`` -> digits; ``BGN`` -> digits / rate rounded half-even; else null."""
     t = F.replace(as_col(text), F.lit("Цена: "), F.lit(""))
     digits = F.replace(F.replace(F.replace(t, F.lit("EUR"), F.lit("")), F.lit("BGN"), F.lit("")), F.lit(" "), F.lit(""))
     d = digits.try_cast("decimal(38,6)")

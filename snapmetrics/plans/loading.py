@@ -19,7 +19,7 @@ DIMENSION_COLUMNS = [
 ]
 FACT_COLUMNS = ["site", "id", "is_for_sale", "price", "views", "measurement_day"]
 LOADED_DAYS = ["2020-07-10", "2020-07-11"]  # fixture: days already in the fact table
-PURGE_SOURCES = ["www.imot.bg"]
+PURGE_SOURCES = ["www.listings-a.bg"]
 PURGE_DAYS = ["2020-07-12", "2020-07-13"]
 
 
@@ -114,5 +114,5 @@ SELECT id, site, file_day, measurement_day FROM (
     measurement_day
   FROM listings
 ) t
-WHERE NOT (site = 'www.imot.bg' AND file_day IN ('2020-07-12', '2020-07-13'))""",
+WHERE NOT (site = 'www.listings-a.bg' AND file_day IN ('2020-07-12', '2020-07-13'))""",
 }

@@ -158,8 +158,8 @@ def build_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey AS pk",
         "p_size AS sz",
         "CAST(p_partkey % 400 + 50 AS STRING) || ' ' || lpad(CAST(p_size * 17 % 1000 AS STRING), 3, '0') AS n_sp",
-        "CASE p_partkey % 4 WHEN 0 THEN 'www.imot.bg' WHEN 1 THEN 'www.etuovi.com' WHEN 2 THEN 'www.vuokraovi.com'"
-        " ELSE 'www.holmes.bg' END AS host",
+        "CASE p_partkey % 4 WHEN 0 THEN 'www.listings-a.bg' WHEN 1 THEN 'www.etuovi.com' WHEN 2 THEN 'www.vuokraovi.com'"
+        " ELSE 'www.listings-b.bg' END AS host",
         "CASE p_partkey % 6 WHEN 0 THEN ' 1-стаен апартамент' WHEN 1 THEN '2-стаен апартамент'"
         " WHEN 2 THEN '3-СТАЕН апартамент ' WHEN 3 THEN '4-стаен апартамент' WHEN 4 THEN 'Мезонет'"
         " ELSE 'Къща' END AS type_raw",
