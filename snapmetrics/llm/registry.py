@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op1_quality", "op3_minhash", "op9_language"]
+MODULES = ["op1_quality", "op3_minhash", "op4_toxicity", "op9_language"]
 
 
 def registry() -> tuple[dict, dict]:
