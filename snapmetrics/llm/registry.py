@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op1_quality", "op2_decontaminate", "op3_minhash", "op4_toxicity", "op5_extract", "op6_secrets", "op7_pii", "op8_mixing", "op9_language"]
+MODULES = ["op1_quality", "op2_decontaminate", "op3_minhash", "op4_toxicity", "op5_extract", "op6_secrets", "op7_pii", "op8_mixing", "op9_language", "op10_licences"]
 
 
 def registry() -> tuple[dict, dict]:
