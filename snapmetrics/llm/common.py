@@ -80,8 +80,11 @@ def held_out(doc_id: Column) -> Column:
 # ------------------------------------------------------------------------------------------------- batches of texts
 def map_rows(df: DataFrame, fn: Callable, inputs: list[str], out: T.StructType, keep: list[str] = (), setup: Callable | None = None) -> DataFrame:
     """Apply ``fn(*values of inputs) -> tuple`` to every row inside Arrow batches; ``keep`` columns pass through
-    untouched. ``setup()``, if given, runs once per task and its result becomes the first argument of ``fn``."""
+    untouched (an input that is kept is sent once). ``setup()``, if given, runs once per task and its result becomes the
+    first argument of ``fn``."""
     keep, inputs = list(keep), list(inputs)
+    sent = list(dict.fromkeys([*keep, *inputs]))
+    at = [sent.index(c) for c in inputs]
     schema = T.StructType([*(df.schema[c] for c in keep), *out.fields])
     types = [to_arrow_type(f.dataType) for f in out.fields]
     names = [f.name for f in schema.fields]
@@ -89,13 +92,32 @@ def map_rows(df: DataFrame, fn: Callable, inputs: list[str], out: T.StructType,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = () if setup is None else (setup(),)
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(len(keep), len(keep) + len(inputs))]
+            cols = [b.column(i).to_pylist() for i in at]
             rows = [fn(*first, *values) for values in zip(*cols, strict=True)]
             made = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), *made], names=names)
 
-    source = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(inputs)])
-    return source.mapInArrow(run, schema)
+    return df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(sent)]).mapInArrow(run, schema)
+
+
+# ------------------------------------------------------------------------------------------ whole rows through a stage
+ROW, ID_KEY, TEXT_KEY = "__row", "__id", "__text"
+
+
+def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id_col, text_col and all other columns as one struct: whatever their names are, they don't clash with an operator's."""
+    rest = [c for c in docs.columns if c != text_col]
+    return docs.select(id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in rest]).alias(ROW))
+
+
+def unpacked(rows: DataFrame, like: DataFrame, text_col: str = "text") -> DataFrame:
+    """The columns of ``like`` from packed rows."""
+    return rows.select(*[F.col(text_col) if c == text_col else F.col(ROW).getField(c).alias(c) for c in like.columns])
+
+
+def row_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """Join keys of a row: its id (-1 for null) and a hash of its text, so that rows without an id can be told apart."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias(ID_KEY), F.xxhash64(text_col).alias(TEXT_KEY)]
 
 
 # -------------------------------------------------------------------------------------------------------- hashing

@@ -226,13 +226,13 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """id_col, held_out, score, predicted: one row per row of ``docs``; ``labels`` has id_col and label_col."""
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", keep: list[str] = ()) -> DataFrame:
+    """id_col, ``keep``, held_out, score, predicted: one row per row of ``docs``; ``labels`` has id_col and label_col."""
     model = learn(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     out = T.StructType([T.StructField("score", T.DoubleType())])
-    scored = map_rows(docs, lambda scorer, text: (scorer(text),), [text_col], out, [id_col], setup=lambda: Scorer(sent.value))
-    return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = map_rows(docs, lambda scorer, text: (scorer(text),), [text_col], out, [id_col, *keep], setup=lambda: Scorer(sent.value))
+    return scored.select(id_col, *keep, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

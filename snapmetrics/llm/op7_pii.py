@@ -17,7 +17,6 @@ texts cost time in proportion (no pattern rescans a run); extra columns are igno
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -240,10 +239,6 @@ def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_rows(noted, accept, ["base", "candidates"], out, [id_col, *keep, "base"])
 
 
-def listed(spans: list) -> str:
-    return ",".join(f"{KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in spans)
-
-
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts of the base kinds, digest of the base spans, all spans."""
     found = personal_spans(table(spark, sf_dir, "documents"))
@@ -265,8 +260,12 @@ def redact(text: str | None, spans: list) -> str | None:
     return "".join(parts) + text[at:]
 
 
-def digest(spans: list) -> str:
-    return hashlib.sha256(listed(spans).encode()).hexdigest()
+def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+    """``keep``, id_col, text_col with every span redacted, n_spans."""
+    found = personal_spans(df, id_col, text_col, [text_col, *keep])
+    out = T.StructType([T.StructField("clean", T.StringType()), T.StructField("n_spans", T.LongType())])
+    done = map_rows(found, lambda text, spans: (redact(text, spans), len(spans)), [text_col, "spans"], out, [id_col, *keep])
+    return done.select(id_col, *keep, F.col("clean").alias(text_col), "n_spans")
 
 
 QUERIES = {"op7_pii": op7_pii}

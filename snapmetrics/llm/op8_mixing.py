@@ -99,10 +99,10 @@ def pfair_mix(
     df: DataFrame, weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     block_chars: int = BLOCK_CHARS, tempering: float = TEMPERING, seed: int = 17,
 ) -> DataFrame:
-    """id_col, source_col, size, block, release, deadline, slot, place (in the slot), in_mix: one row per row of ``df``.
+    """id_col, text_key (xxhash64 of the text), source_col, size, block, release, deadline, slot, place (in the slot), in_mix: one row per row of ``df``.
     Sorting by (slot, place), nulls last, gives the mix."""
     size = F.coalesce(F.length(text_col), F.lit(0)).cast("long")
-    rows = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.col(text_col).alias("text"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
     rows = stored(rows.withColumn("key", F.pmod(F.xxhash64(F.lit(seed), "id", "source", "text"), F.lit(1 << 40))).drop("text"), "sizes")
     totals = {r["source"]: (r["n"], r["chars"]) for r in rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).collect()}
     if weights is None:
@@ -126,14 +126,14 @@ def pfair_mix(
     ends = [-(-max(1, -(-totals[s][1] // block_chars)) * period // p) for s, p in parts.items() if totals[s][1]]
     horizon = min(ends, default=0)
     return placed.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "block", release.alias("release"), deadline.alias("deadline"),
+        F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "block", release.alias("release"), deadline.alias("deadline"),
         slot.alias("slot"), (F.col("before") - F.col("block") * block_chars).alias("place"), F.coalesce(slot < horizon, F.lit(False)).alias("in_mix"),
     )
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot of every document in the mix of the sources, weights by the root of their characters."""
-    return pfair_mix(table(spark, sf_dir, "documents"))
+    return pfair_mix(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 QUERIES = {"op8_mixing": op8_mixing}
