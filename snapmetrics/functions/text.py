@@ -78,12 +78,10 @@ def country(link) -> Column:
 
 
 def after_place(addr, place) -> Column:
-    """STR-16: address remainder after the (trimmed) place; the place is quoted, not read as a pattern."""
-    pattern = F.concat(F.lit("\\Q"), F.trim(as_col(place)), F.lit("\\E(.*)"))
-    return F.when(
-        as_col(addr).isNotNull() & as_col(place).isNotNull(),
-        nonempty(F.call_function("regexp_extract", as_col(addr), pattern, F.lit(1))),
-    )
+    """STR-16: everything after the first occurrence of the (trimmed) place; null when absent or nothing follows."""
+    a, p = as_col(addr), F.trim(as_col(place))
+    pos = F.call_function("instr", a, p)
+    return F.when(pos > 0, nonempty(F.call_function("substr", a, pos + F.length(p))))
 
 
 def short_title(c) -> Column:
@@ -119,7 +117,7 @@ def cut_after(c, marker: str) -> Column:
     """STR-33: text after the first ``marker`` (whole text when absent)."""
     s = as_col(c)
     pos = F.instr(s, marker)
-    return F.when(pos > 0, F.substring(s, pos + F.lit(len(marker)), F.lit(1 << 30))).otherwise(s)
+    return F.when(pos > 0, F.call_function("substr", s, pos + F.lit(len(marker)))).otherwise(s)
 
 
 def _quote(s: str) -> str:
@@ -195,7 +193,8 @@ def strip_tags(c) -> Column:
 def paragraphs(html, exclude: list[str] | None = None) -> Column:
     """HTM-1/FLT-16: cleaned, non-empty paragraph texts in page order (unclosed ``<p>`` tolerated); paragraphs
     containing any ``exclude`` phrase are dropped."""
-    pieces = F.slice(F.split(as_col(html), "<p>"), 2, 1 << 20)
+    split = F.split(as_col(html), r"<p(?:\s[^>]*)?>")
+    pieces = F.slice(split, F.lit(2), F.size(split))
     texts = F.transform(
         pieces,
         lambda p: clean_text(strip_tags(F.substring_index(F.substring_index(p, "</p>", 1), "</article>", 1))),
@@ -213,7 +212,24 @@ def paragraphs(html, exclude: list[str] | None = None) -> Column:
 
 def tag_text(html, tag: str) -> Column:
     """Text of the first ``<tag>…</tag>`` (cleaned); null when absent."""
-    return nonempty(clean_text(strip_tags(F.regexp_extract(as_col(html), f"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1))))
+    return nonempty(clean_text(strip_tags(F.regexp_extract(as_col(html), rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1))))
+
+
+def class_text(html, name: str) -> Column:
+    """Text of the first element whose class holds the word ``name``, up to the next end tag of its kind; null when absent."""
+    pattern = rf"""(?s)<([a-z][a-z0-9]*)\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"'>]*\s)?{_quote(name)}(?:\s[^"'>]*)?["'][^>]*>(.*?)</\1>"""
+    return nonempty(clean_text(strip_tags(F.regexp_extract(as_col(html), pattern, 2))))
+
+
+def attribute_value(html, tag: str, attribute: str) -> Column:
+    """Value of an attribute in the first ``tag`` that has it; null when absent or empty."""
+    return nonempty(F.regexp_extract(as_col(html), rf"""(?s)<{tag}\s(?:[^>]*?\s)?{attribute}\s*=\s*["']([^"'>]*)["']""", 1))
+
+
+def text_after(html, label: str) -> Column:
+    """Text of the next element after the one whose text is ``label`` (label -> value tables and lists); null when absent."""
+    pattern = rf"(?s)>\s*{_quote(label)}\s*:?\s*(?:<[^>]*>\s*)+([^<]+)"
+    return nonempty(clean_text(F.regexp_extract(as_col(html), pattern, 1)))
 
 
 def place_from_title(c, city: str = "София") -> Column:
