@@ -11,7 +11,6 @@ from snapmetrics.functions.common import as_col
 
 GOLDEN_ANGLE = math.pi * (3 - math.sqrt(5))
 DEG_PER_METRE = 0.00001  # the reference's flat-earth buffer: 0.00001 degree per metre
-COORD_DECIMALS = 7  # exported coordinates are rounded to 7 decimals (about 1 cm)
 
 # Bulgarian -> Latin transliteration (the official streamlined system), lower case.
 BG_LATIN = [
@@ -27,29 +26,28 @@ def golden_offset(lon, lat, k, n, radius: float = 0.01, phase: float = 0.0) -> t
     kk = as_col(k).cast("double")
     theta = kk * F.lit(GOLDEN_ANGLE) + F.lit(phase)
     r = F.lit(radius) * F.sqrt(kk / as_col(n).cast("double"))
-    return (
-        F.round(as_col(lon) + r * F.cos(theta), COORD_DECIMALS),
-        F.round(as_col(lat) + r * F.sin(theta), COORD_DECIMALS),
-    )
+    return as_col(lon) + r * F.cos(theta), as_col(lat) + r * F.sin(theta)
 
 
-def buffer_points(lon, lat, metres: float, segments: int = 16) -> Column:
-    """NUM-14: closed ring of ``segments`` points at ``metres`` × 0.00001° around a point (array of structs)."""
-    r = metres * DEG_PER_METRE
+def buffer_points(lon, lat, metres, segments: int = 64) -> Column:
+    """NUM-14: closed ring of ``segments`` points (16 a quarter circle) at ``metres`` (a number or column) × 0.00001°
+    around a point (array of structs)."""
+    r = (as_col(metres) if isinstance(metres, (str, Column)) else F.lit(metres)) * F.lit(DEG_PER_METRE)
     step = 2 * math.pi / segments
     idx = F.sequence(F.lit(0), F.lit(segments))
     return F.transform(
         idx,
         lambda i: F.struct(
-            (as_col(lon) + F.lit(r) * F.cos(i.cast("double") * F.lit(step))).alias("x"),
-            (as_col(lat) + F.lit(r) * F.sin(i.cast("double") * F.lit(step))).alias("y"),
+            (as_col(lon) + r * F.cos(i.cast("double") * F.lit(step))).alias("x"),
+            (as_col(lat) + r * F.sin(i.cast("double") * F.lit(step))).alias("y"),
         ),
     )
 
 
-def ring_wkt(points) -> Column:
-    """WKT polygon text of a ring (SNK-12 geometry column)."""
-    coords = F.transform(as_col(points), lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))
+def ring_wkt(points, decimals: int | None = None) -> Column:
+    """WKT polygon text of a ring (SNK-12 geometry column), coordinates in full or with a fixed number of decimals."""
+    text = (lambda v: v.cast("string")) if decimals is None else (lambda v: v.cast(f"decimal(20,{decimals})").cast("string"))
+    coords = F.transform(as_col(points), lambda p: F.concat_ws(" ", text(p["x"]), text(p["y"])))
     return F.concat(F.lit("POLYGON(("), F.array_join(coords, ", "), F.lit("))"))
 
 
@@ -68,12 +66,3 @@ def slugify_bg(c) -> Column:
     slug = F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "-"), "^-+|-+$", "")
     raw = as_col(c)
     return F.when(raw.isNull() | raw.isin("", "nan"), raw).otherwise(slug)
-
-
-def slugify_sql(expr: str) -> str:
-    """The same transliteration as SQL text (for the oracle), generated from ``BG_LATIN``."""
-    s = f"lower({expr})"
-    for cyr, lat in BG_LATIN:
-        s = f"replace({s}, '{cyr}', '{lat}')"
-    slug = f"regexp_replace(regexp_replace({s}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
-    return f"CASE WHEN {expr} IS NULL OR {expr} IN ('', 'nan') THEN {expr} ELSE {slug} END"

@@ -19,7 +19,8 @@ def repair_json(c) -> Column:
     """JS-3: doubled-quote JSON as staged — drop first and last char, ``""`` -> ``"``; null if not valid JSON."""
     s = as_col(c)
     inner = F.substring(s, F.lit(2), F.length(s) - 2)
-    return F.replace(inner, F.lit('""'), F.lit('"'))
+    fixed = F.replace(inner, F.lit('""'), F.lit('"'))
+    return F.when(F.try_parse_json(fixed).isNotNull(), fixed)
 
 
 def repr_to_map(c) -> Column:

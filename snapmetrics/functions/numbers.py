@@ -35,14 +35,24 @@ def round_half_up(x, scale: int = 0) -> Column:
     return F.round(as_col(x).cast("decimal(38,10)"), scale)
 
 
-def first_number(c, min_len: int, max_len: int = 100) -> Column:
-    """NUM-1: first run of ``min_len``..``max_len`` chars of ``[0-9.]`` after removing spaces; null when none."""
-    return F.regexp_substr(F.replace(as_col(c), F.lit(" "), F.lit("")), F.lit(f"[0-9.]{{{min_len},{max_len}}}"))
+def plain_spaces(c) -> Column:
+    """No-break, narrow and figure spaces read as spaces (they separate thousands in prices)."""
+    return F.translate(as_col(c), "\u00a0\u202f\u2007\u2009", "    ")
+
+
+def no_spaces(c) -> Column:
+    return F.replace(plain_spaces(c), F.lit(" "), F.lit(""))
+
+
+def first_number(c, min_len: int, max_len: int | None = None) -> Column:
+    """NUM-1: first run of at least ``min_len`` (at most ``max_len``, if given) chars of ``[0-9.]`` after removing spaces;
+    null when none."""
+    return F.regexp_substr(no_spaces(c), F.lit(f"[0-9.]{{{min_len},{max_len or ''}}}"))
 
 
 def first_year(c) -> Column:
     """NUM-1: first four digits; null when none."""
-    return F.regexp_substr(F.replace(as_col(c), F.lit(" "), F.lit("")), F.lit("[0-9]{4}"))
+    return F.regexp_substr(no_spaces(c), F.lit("[0-9]{4}"))
 
 
 def decimal_comma(c) -> Column:
@@ -52,8 +62,7 @@ def decimal_comma(c) -> Column:
 
 def eu_number(c) -> Column:
     """NUM-7: ``12 345,50 €`` -> ``12345.50`` (drop `` €`` and spaces, comma to dot)."""
-    s = F.replace(as_col(c), F.lit(" €"), F.lit(""))
-    s = F.replace(s, F.lit(" "), F.lit(""))
+    s = F.replace(no_spaces(c), F.lit("€"), F.lit(""))
     return F.replace(s, F.lit(","), F.lit("."))
 
 
@@ -62,7 +71,7 @@ def strip_units(c, units: list[str], default: str | None = None) -> Column:
     s = as_col(c)
     for u in units:
         s = F.replace(s, F.lit(u), F.lit(""))
-    s = F.replace(s, F.lit(" "), F.lit(""))
+    s = no_spaces(s)
     return F.when(s == "", F.lit(default)).otherwise(s)
 
 
@@ -71,15 +80,12 @@ def bgn_to_eur(c, rate: float = 1.9558) -> Column:
     return F.bround(as_col(c).cast("decimal(38,6)") / F.lit(rate).cast("decimal(10,4)"), 0).cast("bigint")
 
 
-def leading_int(c) -> Column:
-    """First integer in a text (null when none)."""
-    return F.regexp_substr(as_col(c), F.lit("[0-9]+")).cast("bigint")
-
-
-def counter(c, where: str = "first") -> Column:
-    """NUM-17: counter text -> integer: the ``first`` or ``last`` integer of a meta line, or the digits left after
-    removing ``пъти`` (``times``)."""
+def counter(c, where: str | int = "first") -> Column:
+    """NUM-17: counter text -> integer: the ``first`` or ``last`` integer of a meta line, its n-th word (a number from 1), or
+    the digits left after removing ``пъти`` (``times``)."""
     s = as_col(c)
+    if isinstance(where, int):
+        return F.split_part(s, F.lit(" "), F.lit(where)).try_cast("bigint")
     if where == "first":
         return F.regexp_extract(s, r"^(\d+)", 1).try_cast("bigint")
     if where == "last":
@@ -90,7 +96,7 @@ def counter(c, where: str = "first") -> Column:
 def suffixed_price(c, suffix_regex: str = r" €\/kk$", default: str = "0") -> Column:
     """NUM-16: integer part of a price anchored to its currency/period suffix, spaces removed; ``default`` when
     the text does not match."""
-    m = F.regexp_extract(as_col(c), r"([\d ]+)(?:[\d,]+)?" + suffix_regex, 1)
+    m = F.regexp_extract(plain_spaces(c), r"([\d ]+)(?:[\d,]+)?" + suffix_regex, 1)
     return F.when(m == "", F.lit(default)).otherwise(F.replace(m, F.lit(" "), F.lit("")))
 
 

@@ -1,37 +1,29 @@
-"""Join-shaped operators: incremental loads, first-wins upserts, keyed updates, size-checked broadcast."""
+"""Join-shaped operators: incremental loads, first-wins upserts, keyed updates."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.operators.ordered import order_key
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """Proof of a size bound: at most ``max_rows`` rows, checked with a count that stops past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the side is proven small (``is_bounded``); otherwise the side is returned
-    unchanged and the planner shuffles (AQE may still broadcast it after measuring)."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
 def only_new(df: DataFrame, existing: DataFrame, keys: Sequence[str], drop_null_keys: bool = False) -> DataFrame:
     """JN-5 / SET-3 / FLT-12: rows whose key is not in ``existing`` (left anti join; never collected).
 
     Null keys never match, so they are kept — the reference's Python membership test. ``drop_null_keys=True``
-    gives SQL ``NOT IN`` semantics instead.
+    gives SQL ``NOT IN``: a null key is never returned, and nothing is if ``existing`` holds a null key.
     """
-    ex = existing.select(*keys).distinct()
-    out = df.join(ex, list(keys), "left_anti")
+    ex = existing.select(*keys)
+    out = df.join(ex.distinct(), list(keys), "left_anti")
     if drop_null_keys:
+        some_null = F.lit(False)
         for k in keys:
             out = out.filter(F.col(k).isNotNull())
+            some_null = some_null | F.col(k).isNull()
+        out = out.join(ex.filter(some_null).select(F.lit(1).alias("_null")).limit(1), F.lit(True), "left_anti")
     return out
 
 
@@ -59,19 +51,20 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str], o
     present. Returns the rows to append; appending them twice is a no-op on the next run (idempotent).
     """
     # DISTINCT is subsumed: exactly one row per key survives keep_first, whatever the duplicates.
-    firsts = keep_first(new, keys, order)
+    # A null key conflicts with nothing, so every row with one is inserted.
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    firsts = keep_first(new.filter(named), keys, order).unionByName(new.filter(~named))
     return only_new(firsts, existing, keys, drop_null_keys=False)
 
 
 def update_by_key(base: DataFrame, updates: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """SNK-7: set ``cols`` of ``base`` from ``updates`` where the key matches; other rows unchanged."""
-    u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols])
+    """SNK-7: set ``cols`` of ``base`` from ``updates`` where the key matches; other rows unchanged. Of several updates of a
+    key the largest (by ``cols`` in order) counts."""
+    last = updates.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_u"))
+    u = last.select(*keys, *[F.col("_u")[c].alias(f"_u_{c}") for c in cols])
     j = base.join(u, list(keys), "left")
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(f"_u_{c}"), F.col(c)))
     return j.drop(*[f"_u_{c}" for c in cols])
-
-
-def rank_first(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "rn") -> DataFrame:
-    """Row number per key (used only on pre-aggregated, bounded groups)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -16,7 +16,7 @@ from snapmetrics.sources.fixture_exprs import ATTRIBUTES
 AREA_KEY = "Квадратура"
 FLOOR_KEY = "Етаж"
 EMBED_START = "var aditional = '"
-EMBED_END = "'"
+EMBED_END = "]'"
 EMBED_SCHEMA = "array<struct<id:bigint, lang:string, lat:double, lon:double, area:int>>"
 
 
@@ -40,7 +40,7 @@ def embedded_listing_locations(pages: DataFrame, listings: DataFrame) -> DataFra
     """PIPE-35 (HTM-3, WN-9, JN-4): JSON array in a page script -> one row per id (first page wins), joined to
     the listings by id."""
     items = pages.select(
-        "page_id", F.explode(F.from_json(between("html", EMBED_START, EMBED_END), EMBED_SCHEMA)).alias("it")
+        "page_id", F.explode(F.from_json(F.concat(between("html", EMBED_START, EMBED_END), F.lit("]")), EMBED_SCHEMA)).alias("it")
     ).select("page_id", F.col("it.id").alias("id"), F.col("it.lat").alias("lat"), F.col("it.lon").alias("lon"))
     first = keep_first(items, ["id"], ["page_id"])
     l_ = listings.select(F.col("id").try_cast("bigint").alias("id"), "link")

@@ -6,67 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.text import strip
-from snapmetrics.operators.joins import is_bounded, only_new
+from snapmetrics.operators.joins import only_new
 from snapmetrics.sources import fixtures
 from snapmetrics.sources.fixture_exprs import GAZETTEER, PLACE_RECORDS
 
-SETTLEMENT_RANK = {"с": 0, "гр": 1}  # village beats town on equal position
-MAX_POSITION = 1000  # the reference only accepts matches starting before character 1000
-GAZETTEER_MAX_ROWS = 2_000_000  # a national gazetteer is a few thousand rows; above this, no broadcast
+GRAM = 3  # characters of a name that index it
 
 
-def match_places(records: DataFrame, gazetteer: DataFrame, key: str = "rid", place: str = "place",
-                 region: str = "region") -> DataFrame:
+def match_places(records: DataFrame, gazetteer: DataFrame, place: str = "place", region: str = "region",
+                 max_position: int | None = None) -> DataFrame:
     """JN-7: attach the gazetteer row whose name occurs earliest in the record's place, within its region.
 
-    Ties: village before town, then gazetteer order (``gorder``). Plain substring match, no word boundary.
-    The gazetteer is folded into one array per region and joined on the region only; the containment test and the
-    first-match choice are array expressions evaluated map-side, so records are never shuffled or replicated.
-    The region arrays are broadcast only when the gazetteer is proven small (bounded count); otherwise the join
-    shuffles and AQE splits a hot region.
+    Ties: village before town, then gazetteer order (``gorder``). Plain substring match, no word boundary;
+    ``max_position``, if given, is the last start (from 0, exclusive) that counts.
+
+    A name can only occur where its first characters do: names are keyed by region and their first ``GRAM``
+    characters (fewer for shorter names), the distinct (region, place) texts by the characters they hold, and the two meet
+    in an equi-join. The first match is a ``min`` per text, joined back to the records, so repeated records stay.
     """
     rank = F.when(F.trim("settlement_type") == "с", F.lit(0)).when(F.trim("settlement_type") == "гр", F.lit(1))
     g_region = F.when(F.trim("mun") == "София-град", F.lit("София-град")).otherwise(F.col("region"))
+    name = F.lower(strip("name"))
     g = gazetteer.select(
-        F.lower(strip(g_region)).alias("_g_region"),
-        F.struct(
-            F.lower(strip("name")).alias("key"), rank.alias("trank"), F.col("gorder"),
-            F.col("name").alias("city_clean"), F.col("mun").alias("mun_clean"), "lon", "lat",
-        ).alias("g"),
-    ).filter(F.col("g.trank").isNotNull())
-    r = records.withColumn("_place", F.lower(strip(place))).withColumn("_region", F.lower(strip(region)))
-    if is_bounded(gazetteer, GAZETTEER_MAX_ROWS):
-        # Proven small: one candidate array per region, broadcast; matching is map-side array work.
-        by_region = F.broadcast(g.groupBy("_g_region").agg(F.collect_list("g").alias("_cands")))
-        j = r.join(by_region, r["_region"] == by_region["_g_region"], "left")
-        scored = F.transform("_cands", lambda c: _score(c))
-        hits = F.filter(scored, lambda x: (x["pos"] >= 0) & (x["pos"] < MAX_POSITION))
-        best = j.withColumn("_best", F.try_element_at(F.array_sort(hits), F.lit(1)))
-    else:
-        # Large gazetteer: shuffle join on region with the containment residual, then the first hit per record
-        # (min_by is a partial aggregate; AQE splits a hot region on the record side).
-        rr = r
-        cand = rr.join(g, (rr["_region"] == g["_g_region"]) & (F.instr(rr["_place"], g["g.key"]) > 0), "left")
-        cand = cand.withColumn("_s", _score(F.col("g")))
-        cand = cand.withColumn(
-            "_s", F.when((F.col("_s.pos") >= 0) & (F.col("_s.pos") < MAX_POSITION), F.col("_s"))
-        )
-        best = cand.groupBy(key).agg(
-            *[F.any_value(c).alias(c) for c in records.columns if c != key], F.min("_s").alias("_best")
-        )
-    return best.select(
-        *records.columns,
-        F.col("_best.city_clean").alias("city_clean"), F.col("_best.mun_clean").alias("mun_clean"),
-        F.col("_best.lon").alias("lon"), F.col("_best.lat").alias("lat"),
-    )
-
-
-def _score(c) -> F.Column:
-    return F.struct(
-        (F.instr(F.col("_place"), c["key"]) - 1).alias("pos"), c["trank"].alias("trank"), c["gorder"].alias("gorder"),
-        c["city_clean"].alias("city_clean"), c["mun_clean"].alias("mun_clean"), c["lon"].alias("lon"),
-        c["lat"].alias("lat"),
-    )
+        F.lower(strip(g_region)).alias("_region"), F.substring(name, 1, GRAM).alias("_gram"), name.alias("_name"),
+        rank.alias("_rank"), F.col("gorder").alias("_order"),
+        F.struct(F.col("name").alias("city_clean"), F.col("mun").alias("mun_clean"), "lon", "lat").alias("_g"),
+    ).filter(F.col("_rank").isNotNull() & (F.length("_name") > 0))
+    keyed = records.withColumns({"_place": F.lower(strip(place)), "_region": F.lower(strip(region))})
+    texts = keyed.select("_region", "_place").distinct()
+    size = F.length("_place")
+    grams = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(GRAM)),
+        lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("_place"), i, n))).otherwise(F.array().cast("array<string>")),
+    )))
+    at = F.call_function("instr", F.col("_place"), F.col("_name")) - 1
+    hits = texts.select("_region", "_place", F.explode(grams).alias("_gram")).join(g, ["_region", "_gram"]).withColumn("_at", at)
+    hits = hits.filter(F.col("_at") >= 0 if max_position is None else (F.col("_at") >= 0) & (F.col("_at") < max_position))
+    first = hits.groupBy("_region", "_place").agg(F.min_by("_g", F.struct("_at", "_rank", "_order")).alias("_best"))
+    best = keyed.join(first, ["_region", "_place"], "left")
+    return best.select(*records.columns, *[F.col("_best")[c].alias(c) for c in ("city_clean", "mun_clean", "lon", "lat")])
 
 
 def normalise_region(c) -> F.Column:
@@ -119,7 +97,7 @@ cand AS (
   FROM rec JOIN gaz
     ON lower(trim(CASE WHEN trim(gaz.mun) = 'София-град' THEN 'София-град' ELSE gaz.region END)) = lower(trim(rec.region))
    AND trim(gaz.settlement_type) IN ('с', 'гр')
-   AND instr(lower(trim(rec.place)), lower(trim(gaz.name))) BETWEEN 1 AND 1000
+   AND instr(lower(trim(rec.place)), lower(trim(gaz.name))) >= 1
 ),
 best AS (
   SELECT * FROM (

@@ -2,51 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmetrics.functions.common import as_col, nonempty
-from snapmetrics.functions.geo import GOLDEN_ANGLE, golden_offset, slugify_bg, slugify_sql
+from snapmetrics.functions.geo import GOLDEN_ANGLE, golden_offset, slugify_bg
 from snapmetrics.functions.dates import parse_dmy
 from snapmetrics.functions.text import tidy_place
 from snapmetrics.operators.joins import only_new
-from snapmetrics.operators.ordered import chunked_running_sum
 from snapmetrics.sources import fixtures
 from snapmetrics.sources.fixture_exprs import COURT_TENDERS, TAX_TENDERS
 
 CLUSTER_MIN = 10  # clusters are coordinates shared by more than this many rows
 CLUSTER_RADIUS = 0.01
 RUN_DATE = "2021-06-01"  # export run date (the reference uses today's date)
-ID_CHUNK = 1 << 16  # ids per numbering chunk inside one coordinate cluster
+ID_CHUNK = 1 << 16  # numeric ids per numbering chunk inside one coordinate cluster
+TEXT_CHUNK = 6  # leading characters of text ids that make a chunk
 EXPORT_COLUMNS = [
     "area", "address", "region", "price", "type", "lon", "lat", "is_appr_coor", "period_start", "period_end",
     "link", "ideal_parts", "source",
 ]
 
 
+def id_chunk(df: DataFrame, key: str) -> Column:
+    """Chunk of an id that follows the order of ids: ranges of numbers, leading characters of texts."""
+    if isinstance(df.schema[key].dataType, T.StringType):
+        return F.substring(key, 1, TEXT_CHUNK)
+    return F.floor(F.col(key) / F.lit(ID_CHUNK))
+
+
 def disperse_clusters(df: DataFrame, key: str = "page_id", lon: str = "lon", lat: str = "lat",
                       threshold: int = CLUSTER_MIN, radius: float = CLUSTER_RADIUS, phase: float = 0.0) -> DataFrame:
     """PIPE-19 (AG-12, WN-8, NUM-13): spread rows that share a coordinate (> ``threshold`` rows) on a golden-angle
-    spiral of ``radius`` degrees; k-th member in ``key`` order.
+    spiral of ``radius`` degrees; k-th member in ``key`` order (ids are numbers or texts).
 
-    Cluster sizes are a partial aggregate joined back (AQE splits a hot coordinate); the member index is a running
-    count over (coordinate, key chunk), so one crowded coordinate is numbered by many tasks, not one.
+    One crowded coordinate is numbered by many tasks: rows are counted by (coordinate, id chunk), the counts before a
+    chunk and of the whole cluster come from one window over this small table, and the place inside the chunk is added.
     """
-    sizes = df.groupBy(lon, lat).agg(F.count(F.lit(1)).alias("cluster_size"))
-    d = df.join(sizes, [lon, lat], "left").withColumns(
-        {"_chunk": F.floor(F.col(key) / F.lit(ID_CHUNK)), "_one": F.lit(1)}
+    at = Window.partitionBy(lon, lat)
+    inside = Window.partitionBy(lon, lat, "_chunk").orderBy(key)
+    d = df.withColumn("_chunk", id_chunk(df, key))
+    counts = d.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).groupBy(lon, lat, "_chunk").agg(F.count("*").alias("_n"))
+    earlier = at.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = at.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = counts.select(
+        F.col(lon).alias("_lon"), F.col(lat).alias("_lat"), F.col("_chunk").alias("_of"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("cluster_size"),
     )
-    d = chunked_running_sum(d, [lon, lat], "_chunk", [key], ["_one"], prefix="_cum")
-    k = F.col("_cum_one") - 1
+    d = d.withColumn("_place", F.row_number().over(inside))
+    same = (F.col(lon) == F.col("_lon")) & (F.col(lat) == F.col("_lat")) & F.col("_chunk").eqNullSafe(F.col("_of"))
+    d = d.join(counts, same, "left").drop("_lon", "_lat", "_of")
     clustered = F.coalesce(F.col("cluster_size") > threshold, F.lit(False))
-    x, y = golden_offset(lon, lat, k, "cluster_size", radius, phase)
+    x, y = golden_offset(lon, lat, F.col("_before") + F.col("_place") - 1, "cluster_size", radius, phase)
     return d.withColumns(
         {
             "display_lon": F.when(clustered, x).otherwise(F.col(lon)),
             "display_lat": F.when(clustered, y).otherwise(F.col(lat)),
             "is_appr_coor": clustered,
         }
-    ).drop("_chunk", "_one", "_cum_one")
+    ).drop("_chunk", "_place", "_before")
+
+
+def rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Coordinates on 7 decimals, for comparing two engines' sines."""
+    return df.withColumns({c: F.round(c, 7) for c in cols})
 
 
 def tenders_export(court: DataFrame, tax: DataFrame, run_date: str = RUN_DATE) -> DataFrame:
@@ -95,10 +115,10 @@ ANNOUNCEMENT_PATTERN = r".*Обявяване\sна:\s+([\d\.\s:]+).*"
 SOFIA_COURTS = [("Софийски окръжен съд", "София-област"), ("Софийски градски съд", "София-град")]
 
 
-def ideal_parts(desc, length: int = 50) -> Column:
-    """STR-22: fraction of ideal parts from the first ``length`` chars: text before ``ид.``/``идеалн``, else a
-    leading ``a/b``, else null."""
-    x = F.substring(as_col(desc), 1, length)
+def ideal_parts(desc, length: int | None = None) -> Column:
+    """STR-22: fraction of ideal parts (from the first ``length`` characters, if given): text before ``ид.``/``идеалн``, else
+    a leading ``a/b``, else null."""
+    x = as_col(desc) if length is None else F.substring(as_col(desc), 1, length)
     return F.when(x.rlike(IDEAL_FIRST), F.regexp_extract(x, IDEAL_PATTERN, 1)).otherwise(
         nonempty(F.regexp_extract(x, IDEAL_PATTERN, 2))
     )
@@ -151,10 +171,10 @@ def _court(spark, d):
 
 
 QUERIES = {
-    "disperse_clusters": lambda spark, d: disperse_clusters(_court(spark, d)).select(
+    "disperse_clusters": lambda spark, d: rounded(disperse_clusters(_court(spark, d)), "display_lon", "display_lat").select(
         "page_id", "lon", "lat", "cluster_size", "display_lon", "display_lat", "is_appr_coor"
     ),
-    "tenders_export": lambda spark, d: tenders_export(_court(spark, d), fixtures.tax_tenders(spark, d)),
+    "tenders_export": lambda spark, d: rounded(tenders_export(_court(spark, d), fixtures.tax_tenders(spark, d)), "lon", "lat"),
     "tenders_merge": lambda spark, d: tenders_merge(
         _court(spark, d).filter(F.col("page_id") % 3 == 0).select("page_id", "link", "price", "area", "place", "type"),
         _court(spark, d).select("page_id", "link", "price", "area", "place", "type"),
@@ -189,6 +209,21 @@ def _disperse_sql(src: str) -> str:
 )"""
 
 
+# The official streamlined transliteration, letter by letter.
+_LETTERS = (
+    "ж zh, ц ts, ч ch, ш sh, щ sht, ю yu, я ya, а a, б b, в v, г g, д d, е e, з z, и i, й y, к k, л l, м m, н n, о o, п p, "
+    "р r, с s, т t, у u, ф f, х h, ъ a, ь y"
+)
+
+
+def _slug(expr: str) -> str:
+    """Lower-cased letters looked up one by one in a MAP, the rest to hyphens."""
+    pairs = [p.split(" ") for p in _LETTERS.split(", ")]
+    table = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in pairs) + "}"
+    latin = f"list_aggregate(list_transform(string_split(lower({expr}), ''), lambda ch: coalesce({table}[ch], ch)), 'string_agg', '')"
+    return f"CASE WHEN {expr} IN ('', 'nan') OR {expr} IS NULL THEN {expr} ELSE trim(regexp_replace({latin}, '[^a-z0-9]+', '-', 'g'), '-') END"
+
+
 ORACLE = {
     "disperse_clusters": f"""
 WITH {_COURT_SQL}
@@ -204,8 +239,8 @@ u AS (
     is_appr_coor, period_start, period_end, link, ideal_parts, 'tax' AS source
   FROM {_disperse_sql('tax')} t
 )
-SELECT area, {slugify_sql('address')} AS address, {slugify_sql('region')} AS region, CAST(price AS BIGINT) AS price,
-  {slugify_sql('type')} AS type, lon, lat, is_appr_coor, period_start, period_end, link, ideal_parts, source
+SELECT area, {_slug('address')} AS address, {_slug('region')} AS region, CAST(price AS BIGINT) AS price,
+  {_slug('type')} AS type, round(lon, 7) AS lon, round(lat, 7) AS lat, is_appr_coor, period_start, period_end, link, ideal_parts, source
 FROM u WHERE lon IS NOT NULL AND period_end > '{RUN_DATE}'""",
     "tenders_merge": f"""
 WITH {_COURT_SQL}
@@ -218,7 +253,7 @@ SELECT page_id, link, price, area, place, type, NULL, NULL, false FROM court WHE
 WITH {_COURT_SQL}, f AS (
   SELECT page_id, area_and_place AS ap, meta, description, price_text,
     trim(nullif(regexp_extract(area_and_place, '^(?:[\\s-]+)?\\d+\\s+кв\\.м\\.,(.*)', 1), '')) AS pl,
-    substr(description, 1, 50) AS x
+    description AS x
   FROM court
 )
 SELECT page_id,

@@ -255,13 +255,15 @@ def tax_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F8: one nested JSON document per supplier (``doc``); services from up to three parts; the address and
-    service subtrees are missing for every tenth store and the service lists empty for every seventh."""
+    """F8: one nested JSON document per supplier (``doc``); its services are the parts it delivered, so every ordered part
+    reaches a store; the address and service subtrees are missing for every tenth store and the service lists empty for
+    every seventh."""
     from snapmetrics.sources.fixture_exprs import STORE_BASE
 
     base = table(spark, sf_dir, "supplier").selectExpr(*STORE_BASE)
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
-    svc = parts.groupBy(F.call_function("div", F.col("p_partkey"), F.lit(3)).alias("store_id")).agg(
+    offered = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("p_partkey")).distinct()
+    svc = offered.join(parts, "p_partkey").groupBy("store_id").agg(
         F.sort_array(F.collect_list(F.struct("p_partkey", (F.col("p_partkey") % 3 == 2).alias("secondary"),
                                              F.col("p_type").alias("groupName"), F.col("p_name").alias("displayName"))))
         .alias("svc")
@@ -274,18 +276,18 @@ def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(F.col("no_services"), F.array().cast("array<struct<groupName:string,displayName:string>>")).otherwise(lst)
 
     address = F.struct(
-        F.col("postal_code").alias("postalCode"), F.col("street_address").alias("addressLineOne"),
+        F.col("postal_code").alias("postalCode"), F.col("street_address").alias("streetAddress"),
         F.col("city").alias("city"), F.col("state").alias("state"), F.col("country").alias("country"),
     )
     store = F.struct(
         F.col("store_id").alias("id"),
         F.col("store_name").alias("displayName"),
         F.struct(F.col("store_type").alias("name")).alias("storeType"),
-        F.col("is_open_24h").alias("open24Hours"),
+        F.struct(F.col("is_open_24h").alias("open24Hours")).alias("operationalHours"),
         F.struct(F.col("lat").alias("latitude"), F.col("lon").alias("longitude")).alias("geoPoint"),
         F.col("opening_date").alias("openDate"),
         F.when(~F.col("no_address"), address).alias("address"),
-        F.struct(F.col("can_order_custom_cakes_online").alias("canOrderCakes")).alias("features"),
+        F.col("can_order_custom_cakes_online").alias("canOrderOnlineCustomCakes"),
         F.when(~F.col("no_address"), pick(False)).alias("primaryServices"),
         F.when(~F.col("no_address"), pick(True)).alias("secondaryServices"),
     )
@@ -308,7 +310,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = p.select("p_partkey", "p_size", F.explode(pages).alias("page")).filter(F.col("page") >= 0)
     item = F.struct(
         F.col("p_partkey").alias("id"),
-        F.lit("bg").alias("lang"),
+        F.when(F.col("p_partkey") % 10 == 0, F.lit("b'g")).otherwise(F.lit("bg")).alias("lang"),
         (F.lit(42.0) + F.col("page") / F.lit(1000.0)).alias("lat"),
         (F.lit(23.0) + F.col("p_partkey") / F.lit(10000.0)).alias("lon"),
         F.col("p_size").alias("area"),

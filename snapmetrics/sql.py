@@ -16,18 +16,17 @@ from snapmetrics.session import configure
 from snapmetrics.sources import fixtures
 
 
-MAX_SCALE = 10
+#: DECIMAL(38, 10) holds ten fraction digits; from there on nothing is left to round.
+DIGITS = 10
 
 
 def register_functions(spark: SparkSession) -> None:
-    """UDF-1: SQL function ``round_numeric(x, n)`` = ``ROUND(x::numeric, n)`` for n in 0..10 — the double goes
-    through DECIMAL first (a SQL function, inlined by the analyzer: no Python)."""
-    cases = " ".join(
-        f"WHEN {n} THEN CAST(round(CAST(x AS DECIMAL(38, 10)), {n}) AS DOUBLE)" for n in range(MAX_SCALE + 1)
-    )
+    """UDF-1: SQL function ``round_numeric(x, n)`` = ``ROUND(x::numeric, n)`` — the double goes through DECIMAL first (a SQL
+    function, inlined by the analyzer: no Python). More than ``DIGITS`` digits leave x as it is."""
+    cases = " ".join(f"WHEN {n} THEN CAST(round(CAST(x AS DECIMAL(38, {DIGITS})), {n}) AS DOUBLE)" for n in range(-DIGITS, DIGITS + 1))
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION round_numeric(x DOUBLE, n INT) RETURNS DOUBLE "
-        f"RETURN CASE n {cases} END"
+        f"RETURN CASE n {cases} ELSE CASE WHEN n > {DIGITS} THEN x WHEN n IS NOT NULL AND x IS NOT NULL THEN 0D END END"
     )
 
 
@@ -42,46 +41,34 @@ def register_views(spark: SparkSession, sf_dir: str, year: int | None = DEFAULT_
     fixtures.prices(spark, sf_dir).createOrReplaceTempView("price_actions")
 
 
-# Analyst queries in Spark SQL (the reference's query text, with the window CTE replaced by the ``deltas`` view).
+# The batch queries of the same names as Spark SQL over the views: grouping sets of the same sums, no join back to ``raw``.
 DAILY_VIEWS_PER_SITE = """
-SELECT site, to_date(visited_timestamp) AS date,
-       SUM(comments_generated) AS sum_comments, SUM(views_generated) AS sum_views
-FROM deltas
-GROUP BY 1, 2
+SELECT site, CAST(visited_timestamp AS DATE) AS date, sum(comments_generated) AS sum_comments, sum(views_generated) AS sum_views
+FROM deltas GROUP BY ALL
 """
 
 ARTICLE_POPULARITY = """
-WITH daily AS (
-  SELECT site, to_date(visited_timestamp) AS date, link, title, trim(tags) AS tags,
-         comments_generated, views_generated
-  FROM deltas d JOIN (SELECT snapshot_id, tags FROM raw) r USING (snapshot_id)
-),
-articles AS (
-  SELECT site, date, link, title, tags,
-         SUM(comments_generated) AS sum_comments, SUM(views_generated) AS sum_views
-  FROM daily GROUP BY 1, 2, 3, 4, 5
-),
-total_views AS (
-  SELECT site, date, SUM(sum_comments) AS site_sum_comments, SUM(sum_views) AS site_sum_views
-  FROM articles GROUP BY 1, 2
+WITH per_link AS (
+  SELECT site, CAST(visited_timestamp AS DATE) AS date, link, title, trim(tags) AS tags,
+    sum(comments_generated) AS sum_comments, sum(views_generated) AS sum_views
+  FROM deltas GROUP BY ALL
+), per_site AS (
+  SELECT site AS at, date AS day, sum(sum_comments) AS site_sum_comments, sum(sum_views) AS site_sum_views FROM per_link GROUP BY ALL
 )
-SELECT a.site, a.date, link, title, tags, sum_comments, site_sum_comments,
-       round_numeric(sum_comments * 100.0 / nullif(site_sum_comments, 0), 1) AS share_comments,
-       sum_views, site_sum_views,
-       round_numeric(sum_views * 100.0 / nullif(site_sum_views, 0), 1) AS share_views
-FROM articles a LEFT JOIN total_views t ON a.site = t.site AND a.date = t.date
+SELECT site, date, link, title, tags,
+  sum_comments, site_sum_comments, round_numeric(try_divide(100.0 * sum_comments, site_sum_comments), 1) AS share_comments,
+  sum_views, site_sum_views, round_numeric(try_divide(100.0 * sum_views, site_sum_views), 1) AS share_views
+FROM per_link LEFT JOIN per_site ON at <=> site AND day <=> date
 """
 
 SECTOR_SUMMARY = """
-SELECT sector, SUM(market_cap_mln) AS sum_market_cap_mln, COUNT(*) AS companies_count,
-       AVG(market_cap_mln) AS avg_market_cap_mln, SUM(weight) AS sum_weight, AVG(weight) AS avg_weight
+SELECT sector, sum(cap) AS sum_market_cap_mln, count(*) AS companies_count, avg(cap) AS avg_market_cap_mln,
+  sum(weight) AS sum_weight, avg(weight) AS avg_weight
 FROM (
-  SELECT *, CAST(round(CAST(get_json_object(details, '$.marketCap') AS DECIMAL(38, 0)) / 1000000) AS BIGINT)
-         AS market_cap_mln
-  FROM sp500_companies
-  WHERE get_json_object(details, '$.marketCap') IS NOT NULL
-) v
-GROUP BY 1
+  SELECT sector, weight, CAST(round(CAST(details.marketCap AS DECIMAL(38, 0)) / 1000000) AS BIGINT) AS cap
+  FROM (SELECT sector, weight, from_json(details, 'marketCap string') AS details FROM sp500_companies)
+  WHERE details.marketCap IS NOT NULL
+) GROUP BY sector
 """
 
 
