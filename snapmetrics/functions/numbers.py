@@ -44,6 +44,11 @@ def no_spaces(c) -> Column:
     return F.replace(plain_spaces(c), F.lit(" "), F.lit(""))
 
 
+def digit_run(c) -> Column:
+    """The first run of digits and spaces that starts with a digit, spaces removed; null when none."""
+    return no_spaces(F.regexp_substr(plain_spaces(c), F.lit(r"[0-9][0-9\s]*")))
+
+
 def first_number(c, min_len: int, max_len: int | None = None) -> Column:
     """NUM-1: first run of at least ``min_len`` (at most ``max_len``, if given) chars of ``[0-9.]`` after removing spaces;
     null when none."""

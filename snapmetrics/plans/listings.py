@@ -14,6 +14,7 @@ from snapmetrics.functions.common import as_col, nonempty
 from snapmetrics.functions.jsonx import repair_json
 from snapmetrics.functions.numbers import (
     decimal_comma,
+    digit_run,
     eu_number,
     first_number,
     first_year,
@@ -43,17 +44,18 @@ VAT = 1.2
 AREA_UNITS = ["кв.м", "m²", "M2"]
 
 
-def to_double(c) -> Column:
-    """Text -> DOUBLE, null when not a number (PRJ-8; a strict load would ``cast`` and fail instead)."""
-    return as_col(c).try_cast("double")
+def to_double(c, strict: bool = False) -> Column:
+    """PRJ-8: text -> DOUBLE; what is no number becomes null, or fails the load if ``strict``."""
+    return as_col(c).cast("double") if strict else as_col(c).try_cast("double")
 
 
 def to_bigint(c) -> Column:
     return F.trim(as_col(c)).try_cast("bigint")
 
 
-def listings_clean(raw: DataFrame, keep_country: str | None = "bg") -> DataFrame:
-    """PIPE-8: canonical type, apartment flag, country, site, place, price, area, year, lon/lat; typed.
+def listings_clean(raw: DataFrame, keep_country: str | None = "bg", strict: bool = False) -> DataFrame:
+    """PIPE-8: canonical type, apartment flag, country, site, place, price, area, year, lon/lat, labels, availability; typed
+    (``strict``: coordinates that are no numbers fail the load).
 
     FLT-9 keeps one country (the reference loads only ``bg``). Nulls stay null (the reference's ``map(str)``
     turns them into ``nan``/``None`` text; we do not).
@@ -70,8 +72,9 @@ def listings_clean(raw: DataFrame, keep_country: str | None = "bg") -> DataFrame
         to_double(first_number("price", 3)).alias("price"),
         to_double(first_number("area", 2)).alias("area"),
         to_double(first_year("year")).alias("year"),
-        to_double(decimal_comma("lon")).alias("lon"),
-        to_double(decimal_comma("lat")).alias("lat"),
+        "labels", "available_from",
+        to_double(decimal_comma("lon"), strict).alias("lon"),
+        to_double(decimal_comma("lat"), strict).alias("lat"),
         to_double(F.replace(F.col("views"), F.lit("пъти"), F.lit(""))).alias("views"),
         F.col("details"),
     )
@@ -83,19 +86,18 @@ def listings_clean(raw: DataFrame, keep_country: str | None = "bg") -> DataFrame
 def price_eur(price, rate: float = STAGING_RATE) -> Column:
     """NUM-2: ``лв`` (any case) -> digits / rate rounded to 2; ``при запитване`` -> 0; else the digits."""
     p = as_col(price)
-    digits = F.replace(F.regexp_substr(p, F.lit(r"[0-9\s]+")), F.lit(" "), F.lit(""))
-    digits_trim = F.replace(F.regexp_substr(F.trim(p), F.lit(r"[0-9\s]+")), F.lit(" "), F.lit(""))
+    amount = to_double(digit_run(p))
     return (
-        F.when(F.lower(p).contains("лв"), round_half_up(to_double(digits) / F.lit(rate), 2).cast("double"))
+        F.when(F.lower(p).contains("лв"), round_half_up(amount / F.lit(rate), 2).cast("double"))
         .when(F.trim(p) == ON_REQUEST, F.lit(0.0))
-        .otherwise(to_double(digits_trim))
+        .otherwise(amount)
     )
 
 
 def price_sqm_eur(sqm, price, rate: float = STAGING_RATE) -> Column:
     """NUM-3: as NUM-2 for the per-m² text; the on-request branch tests the *price* and ``лв`` is case-sensitive."""
     s = as_col(sqm)
-    num = F.regexp_substr(s, F.lit(r"[0-9.]+"))
+    num = F.regexp_substr(_num.no_spaces(s), F.lit(r"[0-9.]+"))
     return (
         F.when(s.contains("лв"), round_half_up(to_double(num) / F.lit(rate), 2).cast("double"))
         .when(F.trim(as_col(price)) == ON_REQUEST, F.lit(0.0))
@@ -126,7 +128,9 @@ def listings_staged_cast(raw: DataFrame) -> DataFrame:
         price_sqm_eur("price_sqm", "price").alias("price_sqm"),
         F.regexp_substr("area", F.lit("[0-9]+")).try_cast("bigint").alias("area"),
         floor_no("floor").alias("floor"),
+        "description",
         to_bigint(F.replace(F.col("views"), F.lit("пъти"), F.lit(""))).alias("views"),
+        "date",
         "measurement_day",
     )
 
@@ -135,7 +139,7 @@ def scrape_price_eur(text, area=None, rate: float = SCRAPE_RATE) -> Column:
     """NUM-4/NUM-5: digits of the price text; on request -> 0; ``лв`` -> /rate rounded half-even to an integer;
     a per-m² price (``на кв.м``) times the area."""
     t = as_col(text)
-    digits = F.coalesce(F.replace(F.regexp_substr(t, F.lit(r"[0-9\s]+")), F.lit(" "), F.lit("")), F.lit("0"))
+    digits = F.coalesce(digit_run(t), F.when(~t.rlike(r"\s"), F.lit("0")))  # words without a number: no price
     dnum = digits.try_cast("decimal(38,6)")
     p = (
         F.when(t.contains("Цена при запитване"), F.lit(0).cast("decimal(38,6)"))
@@ -151,8 +155,7 @@ def scrape_price_eur(text, area=None, rate: float = SCRAPE_RATE) -> Column:
 def price_with_vat(text) -> Column:
     """NUM-6 (sale): digits; ``без ДДС`` -> ×1.2; on request -> null; ranges (``–``) are not numbers -> null."""
     t = as_col(text)
-    digits = F.replace(F.regexp_substr(t, F.lit(r"[0-9\s]+")), F.lit(" "), F.lit(""))
-    d = nonempty(F.trim(digits)).try_cast("decimal(38,2)")
+    d = digit_run(t).try_cast("decimal(38,2)")
     return (
         F.when(t.contains("–") | t.contains("Цена по запитване") | t.contains(ON_REQUEST), F.lit(None))
         .when(t.contains("без ДДС"), d * F.lit(VAT).cast("decimal(3,1)"))
@@ -161,10 +164,20 @@ def price_with_vat(text) -> Column:
     )
 
 
+def site_price(text, rent: bool = False) -> tuple[Column, Column]:
+    """NUM-6: (number, text): the first number of a sale, or the rent a month, with VAT where the price lacks it; a range and
+    a text without a number stay text."""
+    t = as_col(text)
+    found = _num.no_spaces(F.regexp_extract(_num.plain_spaces(t), r"Наем €\s*(\d[\d\s]*)/месец", 1)) if rent else digit_run(t)
+    d = F.when(~t.contains("–"), nonempty(found).try_cast("decimal(38,2)"))
+    d = F.when(t.contains("без ДДС"), d * F.lit(VAT).cast("decimal(3,1)")).otherwise(d).cast("double")
+    return d, F.when(d.isNull(), t)
+
+
 def currency_price_eur(text, rate: float = SCRAPE_RATE) -> Column:
     """NUM-4 (``Цена:`` layout): ``EUR`` -> digits; ``BGN`` -> digits / rate rounded half-even; else null."""
     t = F.replace(as_col(text), F.lit("Цена: "), F.lit(""))
-    digits = F.replace(F.replace(F.replace(t, F.lit("EUR"), F.lit("")), F.lit("BGN"), F.lit("")), F.lit(" "), F.lit(""))
+    digits = _num.no_spaces(F.replace(F.replace(t, F.lit("EUR"), F.lit("")), F.lit("BGN"), F.lit("")))
     d = digits.try_cast("decimal(38,6)")
     return (
         F.when(t.contains("EUR"), d)
@@ -189,9 +202,14 @@ def monthly_fees(c) -> dict[str, Column]:
 
 def listing_price_variants(raw: DataFrame) -> DataFrame:
     """PIPE-12: the per-source price rules side by side."""
-    fees = monthly_fees("fees")
+    fees, total = monthly_fees("fees"), monthly_fees("fees_total")
+    sale, text = site_price("price_site")
+    area = F.regexp_substr("area", F.lit("[0-9]+"))
     return raw.select(
         "id",
+        scrape_price_eur("price_site", area).alias("site_price_eur"), sale.alias("site_price"), text.alias("site_price_text"),
+        site_price("price_site", rent=True)[0].alias("site_rent"), _num.bgn_to_eur(digit_run("price_site")).alias("site_as_bgn"),
+        total["monthly_fee"].alias("total_fee"), total["maintenance_fee"].alias("total_maintenance"),
         scrape_price_eur("price", F.regexp_substr("area", F.lit("[0-9]+"))).alias("scrape_price_eur"),
         price_with_vat("price").alias("price_with_vat"),
         currency_price_eur("price_alt").alias("alt_price_eur"),
@@ -219,6 +237,7 @@ QUERIES = {
 _CLEAN_SQL = r"""
 cleaned AS (
   SELECT link, id, city, measurement_day,
+    labels, available_from,
     replace(replace(replace(replace(replace(trim(lower(type)), '1-', 'едно'), '2-', 'дву'), '3-', 'три'), '4-', 'четири'),
       ' апартамент', '') AS type,
     CASE WHEN link LIKE '%etuovi.com%' OR link LIKE '%www.vuokraovi.com%' THEN 'fi' ELSE 'bg' END AS country,
@@ -226,8 +245,8 @@ cleaned AS (
     replace(replace(replace(replace(replace(replace(trim(lower(place)), 'гр. софия', ''), 'софийска област', ''),
       'българия', ''), '/', ''), ',', ''), 'близо до', '') AS place,
     TRY_CAST(lower(trim(is_for_sale)) AS BOOLEAN) AS is_for_sale,
-    TRY_CAST(nullif(regexp_extract(replace(price, ' ', ''), '([0-9.]{3,100})', 1), '') AS DOUBLE) AS price,
-    TRY_CAST(nullif(regexp_extract(replace(area, ' ', ''), '([0-9.]{2,100})', 1), '') AS DOUBLE) AS area,
+    TRY_CAST(nullif(regexp_extract(replace(price, ' ', ''), '([0-9.]{3,})', 1), '') AS DOUBLE) AS price,
+    TRY_CAST(nullif(regexp_extract(replace(area, ' ', ''), '([0-9.]{2,})', 1), '') AS DOUBLE) AS area,
     TRY_CAST(nullif(regexp_extract(replace(year, ' ', ''), '([0-9]{4})', 1), '') AS DOUBLE) AS year,
     TRY_CAST(replace(lon, ',', '.') AS DOUBLE) AS lon,
     TRY_CAST(replace(lat, ',', '.') AS DOUBLE) AS lat,
@@ -239,7 +258,7 @@ cleaned AS (
 _CLEAN_COLS = (
     "link, id, city, measurement_day, type, "
     "coalesce(regexp_matches(type, '(?:стаен|мезонет|ателие)'), false) AS is_apartment, country, site, place, "
-    "is_for_sale, price, area, year, lon, lat, views, details"
+    "is_for_sale, price, area, year, labels, available_from, lon, lat, views, details"
 )
 
 ORACLE = {
@@ -261,12 +280,12 @@ SELECT link,
   TRY_CAST(nullif(regexp_extract(area, '([0-9]+)', 1), '') AS BIGINT) AS area,
   CASE WHEN lower(trim(floor)) IN ('партер', 'сутерен') THEN CAST(1 AS BIGINT)
        ELSE TRY_CAST(nullif(regexp_extract(floor, '([0-9]+)', 1), '') AS BIGINT) END AS floor,
-  TRY_CAST(trim(replace(views, 'пъти', '')) AS BIGINT) AS views,
+  description, TRY_CAST(trim(replace(views, 'пъти', '')) AS BIGINT) AS views, date,
   measurement_day
 FROM listings""",
     "listing_price_variants": with_ctes(F3_LISTINGS) + r"""
 , v AS (
-  SELECT id, price, price_alt, price_eu, fees, area,
+  SELECT id, price, price_alt, price_eu, fees, area, pk, price_site, CAST(100 + pk % 900 AS DOUBLE) AS n3, CAST(sz AS DOUBLE) AS sz, CAST(replace(n_sp, ' ', '') AS DOUBLE) AS n6,
     TRY_CAST(coalesce(replace(nullif(regexp_extract(price, '([0-9\s]+)', 1), ''), ' ', ''), '0') AS DECIMAL(38,6)) AS dnum,
     TRY_CAST(nullif(regexp_extract(area, '([0-9]+)', 1), '') AS DECIMAL(38,6)) AS area_n
   FROM listings
@@ -291,6 +310,14 @@ SELECT id,
   TRY_CAST(replace(replace(replace(nullif(regexp_extract(fees, '^([0-9\s,]+)', 1), ''), ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS monthly_fee,
   TRY_CAST(replace(replace(replace(nullif(regexp_extract(fees, 'Hoitovastike ([0-9,\s]+)', 1), ''), ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS maintenance_fee,
   TRY_CAST(replace(replace(replace(nullif(regexp_extract(fees, 'Rahoitusvastike ([0-9,\s]+)', 1), ''), ' €', ''), ' ', ''), ',', '.') AS DOUBLE) AS financial_fee
+,
+  CASE pk % 8 WHEN 0 THEN round_even(n6 / 1.9558, 0) WHEN 1 THEN 0.0 WHEN 2 THEN n3 * sz WHEN 4 THEN round_even(n3 / 1.9558, 0) * sz
+    WHEN 5 THEN n3 WHEN 6 THEN NULL ELSE n6 END AS site_price_eur,
+  CASE pk % 8 WHEN 0 THEN n6 WHEN 2 THEN n3 WHEN 4 THEN n3 WHEN 5 THEN n3 WHEN 7 THEN CAST(CAST(n6 AS DECIMAL(18,2)) * 1.2 AS DOUBLE) END AS site_price,
+  CASE WHEN pk % 8 IN (1, 3, 6) THEN price_site END AS site_price_text,
+  CASE WHEN pk % 8 = 5 THEN n3 END AS site_rent,
+  CAST(round_even(CASE WHEN pk % 8 IN (0, 3, 7) THEN n6 WHEN pk % 8 IN (2, 4, 5) THEN n3 END / 1.9558, 0) AS BIGINT) AS site_as_bgn,
+  CAST((pk % 400) || '.20' AS DOUBLE) AS total_fee, CAST((pk % 300) || '.15' AS DOUBLE) AS total_maintenance
 FROM v""",
     "parse_localized_dates": with_ctes(F3_LISTINGS) + """
 SELECT id, date_text, make_timestamp(y, m, d, CAST(hh AS BIGINT), CAST(mi AS BIGINT), 0.0) AS published_at

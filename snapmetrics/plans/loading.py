@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 from snapmetrics.operators.joins import insert_if_absent, only_new
 from snapmetrics.plans.listings import listings_clean
+from snapmetrics.schemas import LISTING_DIMENSION, MEASUREMENT_FACT
 from snapmetrics.sources import fixtures
 from snapmetrics.sources.fixtures_sql import F3_LISTINGS, with_ctes
 from snapmetrics.sources.io import drop_partitions, partition_from_filename
 
-DIMENSION_COLUMNS = [
-    "link", "site", "country", "id", "type", "is_apartment", "city", "place", "area", "details", "year", "lon", "lat",
-]
-FACT_COLUMNS = ["site", "id", "is_for_sale", "price", "views", "measurement_day"]
+DIMENSION_COLUMNS = LISTING_DIMENSION.fieldNames()
+FACT_COLUMNS = MEASUREMENT_FACT.fieldNames()
 LOADED_DAYS = ["2020-07-10", "2020-07-11"]  # fixture: days already in the fact table
 PURGE_SOURCES = ["www.listings-a.bg"]
 PURGE_DAYS = ["2020-07-12", "2020-07-13"]
@@ -40,9 +39,9 @@ def partition_maintenance(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """PIPE-33: day partition from the file name (``MMDD`` + fixed year), then purge listed source × day cells."""
     df = partition_from_filename(raw, "file_name", r"^(\d{2})(\d{2})", year=2020, out="file_day")
     df = df.withColumn("site", F.regexp_extract("link", r".*://([^/]*)", 1))
-    grid = spark.createDataFrame(
-        [(s, d) for s in PURGE_SOURCES for d in PURGE_DAYS], "site string, file_day string"
-    )
+    # a VALUES relation has a known size, so the grid is broadcast and the facts stay where they are
+    cells = ", ".join(f"('{s}', '{d}')" for s in PURGE_SOURCES for d in PURGE_DAYS)
+    grid = spark.sql(f"SELECT * FROM VALUES {cells} AS grid(site, file_day)")
     return drop_partitions(df, grid, ["site", "file_day"]).select("id", "site", "file_day", "measurement_day")
 
 
@@ -74,16 +73,16 @@ clean AS (
     id,
     replace(replace(replace(replace(replace(trim(lower(type)), '1-', 'едно'), '2-', 'дву'), '3-', 'три'), '4-', 'четири'),
       ' апартамент', '') AS type,
-    city,
+    city, labels, available_from,
     replace(replace(replace(replace(replace(replace(trim(lower(place)), 'гр. софия', ''), 'софийска област', ''),
       'българия', ''), '/', ''), ',', ''), 'близо до', '') AS place,
-    TRY_CAST(nullif(regexp_extract(replace(area, ' ', ''), '([0-9.]{2,100})', 1), '') AS DOUBLE) AS area,
+    TRY_CAST(nullif(regexp_extract(replace(area, ' ', ''), '([0-9.]{2,})', 1), '') AS DOUBLE) AS area,
     details,
     TRY_CAST(nullif(regexp_extract(replace(year, ' ', ''), '([0-9]{4})', 1), '') AS DOUBLE) AS year,
     TRY_CAST(replace(lon, ',', '.') AS DOUBLE) AS lon,
     TRY_CAST(replace(lat, ',', '.') AS DOUBLE) AS lat,
     TRY_CAST(lower(trim(is_for_sale)) AS BOOLEAN) AS is_for_sale,
-    TRY_CAST(nullif(regexp_extract(replace(price, ' ', ''), '([0-9.]{3,100})', 1), '') AS DOUBLE) AS price,
+    TRY_CAST(nullif(regexp_extract(replace(price, ' ', ''), '([0-9.]{3,})', 1), '') AS DOUBLE) AS price,
     TRY_CAST(replace(views, 'пъти', '') AS DOUBLE) AS views,
     measurement_day
   FROM listings
@@ -104,7 +103,7 @@ SELECT {_DIM} FROM (
 ) r
 WHERE rn = 1 AND link NOT IN (SELECT link FROM clean2 WHERE measurement_day = '2020-07-10')""",
     "measurements_incremental": with_ctes(F3_LISTINGS, _CLEAN_VIEW) + f"""
-SELECT site, id, is_for_sale, price, views, measurement_day FROM clean2
+SELECT site, id, is_for_sale, price, labels, views, measurement_day FROM clean2
 WHERE measurement_day NOT IN ({_LOADED})""",
     "partition_maintenance": with_ctes(F3_LISTINGS) + """
 SELECT id, site, file_day, measurement_day FROM (

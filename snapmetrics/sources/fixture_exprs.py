@@ -138,3 +138,17 @@ LISTING_EXTRAS = [
     "'a' || chr(7) || 'b' || chr(92) || 'c' || CAST(p_partkey AS STRING) AS noisy",
     "'Текст ' || CAST(p_partkey AS STRING) || ' Tweet още' AS cut_text",
 ]
+
+# F3, further columns of a staged listing (over ``pk`` and ``n_sp``): labels, availability, description, a date, the price as
+# one source shows it (no-break thousands, per-m² prices, ranges, rents, prices on request), and a fee with a leading total.
+_NB = "replace(n_sp, ' ', '\u00a0')"
+LISTING_MORE = [
+    "CASE pk % 3 WHEN 0 THEN 'ново строителство, тухла' WHEN 1 THEN '' ELSE NULL END AS labels",
+    "CASE pk % 4 WHEN 0 THEN 'веднага' WHEN 1 THEN '01.0' || CAST(1 + pk % 9 AS STRING) || '.2021' ELSE NULL END AS available_from",
+    "'Описание ' || CAST(pk AS STRING) || ', изглед' AS description",
+    "'2020-06-' || CAST(10 + pk % 20 AS STRING) AS date",
+    f"CASE pk % 8 WHEN 0 THEN {_NB} || ' лв.' WHEN 1 THEN 'Цена при запитване' WHEN 2 THEN CAST(100 + pk % 900 AS STRING) || ' EUR на кв.м' "
+    f"WHEN 3 THEN {_NB} || ' – ' || {_NB} || ' EUR' WHEN 4 THEN CAST(100 + pk % 900 AS STRING) || ' лв. на кв.м' "
+    "WHEN 5 THEN 'Наем € ' || CAST(100 + pk % 900 AS STRING) || '/месец' WHEN 6 THEN 'Цена по запитване' ELSE n_sp || ' EUR без ДДС' END AS price_site",
+    "CAST(pk % 400 AS STRING) || ',20 € / kk (Hoitovastike ' || CAST(pk % 300 AS STRING) || ',15 € / kk)' AS fees_total",
+]

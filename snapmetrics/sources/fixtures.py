@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmetrics.operators.ordered import chunked_running_sum
+from snapmetrics.sources.fixture_exprs import LISTING_MORE
 from snapmetrics.session import scratch_path
 from snapmetrics.sources.tables import table
 
@@ -214,6 +215,7 @@ def build_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ' € / kk Rahoitusvastike ' || CAST(pk % 90 AS STRING) || ',50 € / kk' AS fees",
         "CASE pk % 3 WHEN 0 THEN 'Цена: ' || n_sp || ' BGN' WHEN 1 THEN 'Цена: ' || n_sp || ' EUR'"
         " ELSE 'Цена при запитване' END AS price_alt",
+        *LISTING_MORE,
     )
 
 

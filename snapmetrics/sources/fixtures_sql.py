@@ -6,6 +6,8 @@ balanced operators.
 
 from __future__ import annotations
 
+from snapmetrics.sources.fixture_exprs import LISTING_MORE
+
 F1_SNAPSHOTS = """
 snapshots AS (
   SELECT
@@ -81,7 +83,7 @@ lbase AS (
 
 F3_LISTINGS = F3_BASE + """,
 listings AS (
-  SELECT pk, d, m, y, hh, mi,
+  SELECT pk, d, m, y, hh, mi, sz, n_sp,
     'https://' || host || '/offer/' || CAST(pk % 500 AS VARCHAR) AS link,
     CAST(pk AS VARCHAR) AS id, type_raw AS type, 'София' AS city, place_raw AS place,
     CASE WHEN pk % 5 = 0 THEN 'Друг адрес' ELSE 'София, ' || place_raw || ', бл. ' || CAST(pk AS VARCHAR) END AS address,
@@ -113,6 +115,7 @@ listings AS (
     'Hoitovastike ' || CAST(pk % 300 AS VARCHAR) || ',' || lpad(CAST(pk % 100 AS VARCHAR), 2, '0') ||
       ' € / kk Rahoitusvastike ' || CAST(pk % 90 AS VARCHAR) || ',50 € / kk' AS fees,
     CASE pk % 3 WHEN 0 THEN 'Цена: ' || n_sp || ' BGN' WHEN 1 THEN 'Цена: ' || n_sp || ' EUR'
-      ELSE 'Цена при запитване' END AS price_alt
+      ELSE 'Цена при запитване' END AS price_alt,
+    MORE
   FROM lbase
-)""".replace("MWORD", _MWORD)
+)""".replace("MWORD", _MWORD).replace("MORE", ",\n    ".join(LISTING_MORE))
