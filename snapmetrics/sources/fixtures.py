@@ -6,32 +6,13 @@ Each fixture is a lazy DataFrame over the whole driver table; its work grows wit
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmetrics.operators.ordered import chunked_running_sum
 from snapmetrics.sources.fixture_exprs import LISTING_MORE
-from snapmetrics.session import scratch_path
 from snapmetrics.sources.tables import table
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write a derived fixture once per application as a parquet table in the shared checkpoint folder and read it
-    back — the stored input table the reference's queries start from (its data lake), so several branches of a
-    plan scan it instead of re-deriving it, and a lost executor re-reads it instead of recomputing the lineage."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    df = _STORED.get(key)
-    if df is None:
-        path = scratch_path(spark, f"fixtures/{name}-{uuid.uuid4().hex[:12]}")
-        build().write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
-        _STORED[key] = df
-    return df
-
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -40,11 +21,6 @@ def s(c) -> F.Column:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 as a stored table (see ``stored``)."""
-    return stored(spark, sf_dir, "snapshots", lambda: build_snapshots(spark, sf_dir))
-
-
-def build_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """article snapshots with cumulative counters, one row per (link, visit).
 
     Columns mirror the reference's snapshot fact: snapshot_id, site, link, title, tags, category, views, comments,
@@ -110,11 +86,6 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5 price bars as a stored table (see ``stored``)."""
-    return stored(spark, sf_dir, "prices", lambda: build_prices(spark, sf_dir))
-
-
-def build_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F5 price bars: one per (nation, month) from orders ⋈ customer; volume = sum of floor(total price)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -147,11 +118,6 @@ _MONTH_WORDS = "array('януари','февруари','март','април',
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F3 as a stored table (the staged listing files the loads start from; see ``stored``)."""
-    return stored(spark, sf_dir, "raw_listings", lambda: build_raw_listings(spark, sf_dir))
-
-
-def build_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """staged listing rows, all text, as scraped (prices with currency words, areas with units, dates with
     Bulgarian month names, coordinates with decimal commas). ``link`` repeats every 500 parts (first-wins)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")

@@ -2,55 +2,74 @@
 
 Each job reads a landing folder with ``readStream``, runs under ``trigger(availableNow=True)`` with a checkpoint
 location in the shared checkpoint folder (so a lost executor or a restarted driver resumes from the last committed
-batch), and writes to a file sink or idempotent ``foreachBatch`` writes. The query helpers below land the fixture
-rows (one file per visit day, in day order) and return the sink as a DataFrame.
+batch). Batches write their own ``batch_id=`` partition (or the changed days) with overwrite, so a replayed batch
+replaces its own output. Counters and timestamps that can't be read become null and never stop a stream.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import (
-    BooleanType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import LongType, StructType
 
 from snapmetrics.operators.joins import insert_if_absent
 from snapmetrics.session import scratch_path
 
 WATERMARK = "1 day"
-FILES_PER_TRIGGER = 5  # landing files per micro-batch (several batches per run, so state is carried across them)
+BATCH = "batch_id"
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def land_by_day(df: DataFrame, path: str, day_col: str) -> None:
-    """Write one landing file per day, oldest first (the file source reads in modification-time order)."""
-    days = [r[0] for r in df.select(day_col).distinct().orderBy(day_col).toLocalIterator()]
-    for d in days:
-        df.filter(F.col(day_col) == d).drop(day_col).coalesce(1).write.mode("append").parquet(path)
+def land(df: DataFrame, path: str, order: list[str]) -> None:
+    """Append landing files in one distributed write, each holding a range of ``order`` (null days included)."""
+    df.repartitionByRange(*[F.col(c) for c in order]).write.mode("append").parquet(path)
+
+
+def stamp(c: str) -> Column:
+    """Visit time as TIMESTAMP; null when it can't be read."""
+    return F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd HH:mm:ss"))
+
+
+def _landing(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+def _run(stream: DataFrame, checkpoint: str, batch) -> None:
+    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    q.trigger(availableNow=True).start().awaitTermination()
+
+
+def _create(spark: SparkSession, path: str) -> None:
+    """The folder of an empty table, so that the first batch reads it (with its schema) like any other."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+
+def _write(df: DataFrame, path: str, by: list[str]) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 # ---------------------------------------------------------------- STM-1
 
 
 def stream_snapshots(spark: SparkSession, landing: str, schema: StructType, sink: str, checkpoint: str,
-                     delay: str = WATERMARK) -> None:
-    """STM-1: landing files -> snapshot table deduplicated on (link, visit time) within the watermark."""
+                     delay: str = WATERMARK, files_per_trigger: int | None = None) -> None:
+    """STM-1: landing files -> snapshot table deduplicated on (link, visit time) within the watermark.
+
+    A row later than the watermark (``delay`` behind the newest visit) is dropped: its copies can't be told any more.
+    ``late_rows`` counts them; a visit time that can't be read counts as a visit now.
+    """
     s = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(landing)
-        .withColumn("_visit", F.col("visited_timestamp").cast("timestamp"))
+        _landing(spark, landing, schema, files_per_trigger)
+        .withColumn("_visit", F.coalesce(stamp("visited_timestamp"), F.current_timestamp()))
         .withWatermark("_visit", delay)
         .dropDuplicatesWithinWatermark(["link", "visited_timestamp"])
         .drop("_visit")
@@ -59,194 +78,170 @@ def stream_snapshots(spark: SparkSession, landing: str, schema: StructType, sink
     q.trigger(availableNow=True).start().awaitTermination()
 
 
+def late_rows(landed: DataFrame, sink: DataFrame) -> DataFrame:
+    """(link, visited_timestamp) of landed rows that no row of the sink stands for."""
+    keys = ["link", "visited_timestamp"]
+    there = sink.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.col("link").eqNullSafe(F.col("_link")) & F.col("visited_timestamp").eqNullSafe(F.col("_visited_timestamp"))
+    return landed.select(*keys).join(there, same, "left_anti")
+
+
 # ---------------------------------------------------------------- STM-2
 
 
 def stream_upsert(spark: SparkSession, landing: str, schema: StructType, table_path: str, checkpoint: str,
-                  keys: list[str], order: list[str]) -> None:
-    """STM-2: first-seen upsert per micro-batch. Each batch writes its own ``batch_id=`` partition with overwrite,
-    so a replayed batch replaces its own output instead of duplicating it (idempotent)."""
+                  keys: list[str], order: list[str], files_per_trigger: int | None = None) -> None:
+    """STM-2: first-seen upsert per micro-batch, each into its own ``batch_id=`` partition."""
+    stored = StructType([*schema.fields]).add(BATCH, LongType())
+    _create(spark, table_path)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        try:
-            existing = spark.read.parquet(table_path).filter(F.col("batch_id") != batch_id).select(*keys)
-        except Exception:  # noqa: BLE001 - first batch: the table does not exist yet
-            existing = spark.createDataFrame([], batch.select(*keys).schema)
-        rows = insert_if_absent(batch, existing, keys, order).withColumn("batch_id", F.lit(batch_id))
-        (
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(table_path)
-        )
-
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(landing)
-    q = s.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    q.trigger(availableNow=True).start().awaitTermination()
+        existing = spark.read.schema(stored).parquet(table_path).filter(F.col(BATCH) < batch_id).select(*keys)
+        rows = insert_if_absent(batch, existing, keys, order).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        _write(rows, table_path, [BATCH])
+
+    _run(_landing(spark, landing, schema, files_per_trigger), checkpoint, upsert)
 
 
 # ---------------------------------------------------------------- STM-3
 
-DELTA_OUT = StructType(
-    [
-        StructField("site", StringType()), StructField("link", StringType()), StructField("title", StringType()),
-        StructField("snapshot_id", LongType()), StructField("visited_timestamp", TimestampType()),
-        StructField("prev_visited", TimestampType()), StructField("time_passed", LongType()),
-        StructField("comments", LongType()), StructField("comments_generated", LongType()),
-        StructField("views", LongType()), StructField("views_generated", LongType()),
-    ]
-)
-DELTA_STATE = StructType(
-    [
-        StructField("seen", BooleanType()), StructField("last_ts", TimestampType()),
-        StructField("last_comments", LongType()), StructField("last_views", LongType()),
-    ]
-)
-
-
-def _minutes(a: pd.Series, b: pd.Series) -> pd.Series:
-    secs = (b - a).dt.total_seconds()
-    return (secs // 60).where(secs >= 0, -((-secs) // 60)).astype("Int64")
-
-
-def _delta_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per link: continue the counter sequence from the state (last visit time and counters)."""
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["visited_ts", "snapshot_id"])
-    if state.exists:
-        seen, last_ts, last_c, last_v = state.get
-    else:
-        seen, last_ts, last_c, last_v = False, None, None, None
-    if seen and last_ts is not None:
-        # Rows older than the state's last visit arrive too late to get a correct delta: dropped (documented).
-        pdf = pdf[pdf["visited_ts"] > pd.Timestamp(last_ts)]
-    if pdf.empty:
-        return
-    comments = pdf["comments"].astype("Int64")
-    views = pdf["views"].astype("Int64")
-    prev_c = comments.shift(1)
-    prev_v = views.shift(1)
-    prev_ts = pdf["visited_ts"].shift(1)
-    first = pd.Series(False, index=pdf.index)
-    if seen:
-        prev_c.iloc[0] = pd.NA if last_c is None else last_c
-        prev_v.iloc[0] = pd.NA if last_v is None else last_v
-        prev_ts.iloc[0] = pd.Timestamp(last_ts)
-    else:
-        first.iloc[0] = True
-    out = pd.DataFrame(
-        {
-            "site": pdf["site"], "link": pdf["link"], "title": pdf["title"], "snapshot_id": pdf["snapshot_id"],
-            "visited_timestamp": pdf["visited_ts"],
-            "prev_visited": prev_ts,
-            "time_passed": _minutes(prev_ts.where(~first, pdf["created_ts"]), pdf["visited_ts"]),
-            "comments": comments,
-            "comments_generated": comments.where(first, comments - prev_c),
-            "views": views,
-            "views_generated": views.where(first, views - prev_v),
-        }
-    )
-    lastrow = pdf.iloc[-1]
-    state.update(
-        (
-            True,
-            lastrow["visited_ts"].to_pydatetime(),
-            None if pd.isna(lastrow["comments"]) else int(lastrow["comments"]),
-            None if pd.isna(lastrow["views"]) else int(lastrow["views"]),
-        )
-    )
-    yield out
-
-
-def stream_deltas(spark: SparkSession, landing: str, schema: StructType, sink: str, checkpoint: str,
-                  year: int | None = None) -> None:
-    """STM-3: per-link counter deltas across micro-batches with ``applyInPandasWithState``."""
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(landing)
-    if year is not None:
-        s = s.filter(F.substring("created_timestamp", 1, 10).startswith(f"{year}-"))
-    s = s.withColumns(
-        {
-            "visited_ts": F.to_timestamp("visited_timestamp", "yyyy-MM-dd HH:mm:ss"),
-            "created_ts": F.to_timestamp("created_timestamp", "yyyy-MM-dd HH:mm:ss"),
-        }
-    )
-    out = s.groupBy("link").applyInPandasWithState(
-        _delta_state, DELTA_OUT, DELTA_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    q = out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-    q.trigger(availableNow=True).start().awaitTermination()
+
+def stream_deltas(spark: SparkSession, landing: str, schema: StructType, tables: str, checkpoint: str,
+                  year: int | None = None, files_per_trigger: int | None = None) -> None:
+    """STM-3: per-link counter deltas across micro-batches, in the JVM.
+
+    Three tables below ``tables``: ``rows`` (all snapshots, once each), ``last`` (the newest row of each link, per batch) and
+    ``deltas`` (per batch; a later batch's row replaces an earlier one of the same snapshot, see ``current_deltas``).
+    A batch whose rows are newer than what their links had needs only the links' last rows. A link with a late row -
+    an hour late, or of the same second with a smaller id - is computed again from its stored rows and its changed
+    deltas are written as corrections, so nothing is dropped. A copy of a stored snapshot changes nothing.
+    """
+    from snapmetrics.plans.snapshots import snapshot_deltas
+
+    stored = StructType([*schema.fields]).add(BATCH, LongType())
+    for name in ("rows", "last"):
+        _create(spark, f"{tables}/{name}")
+    order = F.struct(stamp("visited_timestamp"), F.col("snapshot_id"))
+    columns = schema.fieldNames()
+
+    def read(name: str) -> DataFrame:
+        return spark.read.schema(stored).parquet(f"{tables}/{name}")
+
+    def newest(rows: DataFrame) -> DataFrame:
+        """Newest row of each link (null links apart from each other: they are no sequence)."""
+        return rows.groupBy("link").agg(F.max_by(F.struct(*columns), order).alias("r")).select("r.*")
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        own = lambda rows: rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        before = read("rows").filter(F.col(BATCH) < batch_id)
+        new = df.dropDuplicates(["snapshot_id"]).join(before.select("snapshot_id"), "snapshot_id", "left_anti").select(*columns)
+        _write(own(new), f"{tables}/rows", [BATCH])
+        new = read("rows").filter(F.col(BATCH) == batch_id).select(*columns)
+        known = newest(read("last").filter(F.col(BATCH) < batch_id).select(*columns))
+
+        had = known.select(F.col("link").alias("_link"), order.alias("_last"))
+        marked = new.join(had, F.col("link").eqNullSafe(F.col("_link")), "left").withColumn("_late", F.col("_last").isNotNull() & (order <= F.col("_last")))
+        late = marked.filter("_late").select(F.col("_link").alias("link")).distinct()
+        on = lambda rows, how: rows.join(late.withColumnRenamed("link", "_l"), F.col("link").eqNullSafe(F.col("_l")), how)
+
+        # links in order: their last row starts the sequence and is not written again
+        ahead = on(known, "left_anti").join(new.select(F.col("link").alias("_n")).distinct(), F.col("link").eqNullSafe(F.col("_n")), "left_semi")
+        in_order = on(new, "left_anti").withColumn("_new", F.lit(True)).unionByName(ahead.withColumn("_new", F.lit(False)))
+        fresh = in_order.filter("_new").select(F.col("snapshot_id").alias("_id"))
+        out = snapshot_deltas(in_order.drop("_new"), year).join(fresh, F.col("snapshot_id") == F.col("_id"), "left_semi")
+        # links with a late row: all their stored rows again
+        again = snapshot_deltas(on(before.select(*columns).unionByName(new), "left_semi"), year)
+        _write(own(out.unionByName(again)), f"{tables}/deltas", [BATCH])
+        _write(own(newest(new.unionByName(known.join(new.select(F.col("link").alias("_n")).distinct(), F.col("link").eqNullSafe(F.col("_n")), "left_semi")))), f"{tables}/last", [BATCH])
+
+    _run(_landing(spark, landing, schema, files_per_trigger), checkpoint, batch)
+
+
+def current_deltas(deltas: DataFrame) -> DataFrame:
+    """The newest version of every snapshot's delta."""
+    columns = [c for c in deltas.columns if c != BATCH]
+    last = deltas.groupBy("snapshot_id").agg(F.max_by(F.struct(*columns), BATCH).alias("r"))
+    return last.select("r.*")
 
 
 # ---------------------------------------------------------------- STM-4
 
 
 def stream_daily_totals(spark: SparkSession, deltas_path: str, table_path: str, checkpoint: str,
-                        delay: str = WATERMARK) -> None:
-    """STM-4: daily totals per site under a watermark. Complete mode through ``foreachBatch`` (overwrite), so the
-    windows still open when the input ends are written too."""
+                        files_per_trigger: int | None = None) -> None:
+    """STM-4: daily totals per site. A batch of deltas or corrections changes some days; these days are summed again from
+    the current deltas and overwritten, the others are not touched. No state is kept between batches and no
+    delta is too late: the table itself is the state."""
     schema = spark.read.parquet(deltas_path).schema
-    s = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(deltas_path)
-        .withWatermark("visited_timestamp", delay)
-        .groupBy(F.window("visited_timestamp", "1 day").alias("w"), "site")
-        .agg(F.sum("comments_generated").alias("sum_comments"), F.sum("views_generated").alias("sum_views"))
-        .select("site", F.to_date(F.col("w.start")).alias("date"), "sum_comments", "sum_views")
-    )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+    def batch(df: DataFrame, batch_id: int) -> None:
+        deltas = spark.read.schema(schema).parquet(deltas_path)
+        ids = df.select("snapshot_id").distinct()
+        days = deltas.join(ids, "snapshot_id", "left_semi").select(F.to_date("visited_timestamp").alias("date")).distinct()
+        day = current_deltas(deltas).withColumn("date", F.to_date("visited_timestamp"))
+        day = day.join(days.withColumnRenamed("date", "_d"), F.col("date").eqNullSafe(F.col("_d")), "left_semi")
+        totals = day.groupBy("site", "date").agg(F.sum("comments_generated").alias("sum_comments"), F.sum("views_generated").alias("sum_views"))
+        _write(totals.withColumn("day", F.coalesce(F.col("date").cast("string"), F.lit("none"))), table_path, ["day"])
 
-    q = s.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
-    q.trigger(availableNow=True).start().awaitTermination()
+    _run(_landing(spark, deltas_path, schema, files_per_trigger), checkpoint, batch)
 
 
 # ---------------------------------------------------------------- registered queries
 
 
-def _landed_snapshots(spark: SparkSession, sf_dir: str, run: str, with_copies: bool = False) -> tuple[str, StructType]:
+def _waves(df: DataFrame, order: str, late: Column, copies: Column) -> list[DataFrame]:
+    """Two deliveries: the rows up to the middle of ``order`` without the late ones, then the rest, the late rows and
+    copies of some rows of the first delivery."""
+    day = F.to_date(F.substring(order, 1, 10))
+    ends = df.agg(F.min(day).alias("low"), F.max(day).alias("high"))
+    middle = ends.select(F.expr("cast(date_add(low, cast(datediff(high, low) / 2 as int)) as string)")).first()[0]
+    early = F.coalesce(F.substring(order, 1, 10) <= F.lit(middle), F.lit(False))
+    return [df.filter(early & ~late), df.filter(~early | late).unionByName(df.filter(early & ~late & copies))]
+
+
+def _snapshot_waves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     from snapmetrics.sources import fixtures
 
     snaps = fixtures.snapshots(spark, sf_dir)
-    if with_copies:
-        # Re-delivered files: every tenth snapshot lands twice.
-        snaps = snaps.unionByName(snaps.filter(F.col("snapshot_id") % 10 == 0))
-    snaps = snaps.withColumn("_day", F.substring("visited_timestamp", 1, 10))
-    landing = f"{run}/landing"
-    land_by_day(snaps, landing, "_day")
-    return landing, snaps.drop("_day").schema
+    return _waves(snaps, "visited_timestamp", F.col("snapshot_id") % 17 == 0, F.col("snapshot_id") % 10 == 0)
 
 
 def q_stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "snapshots")
-    landing, schema = _landed_snapshots(spark, sf_dir, run, with_copies=True)
-    stream_snapshots(spark, landing, schema, f"{run}/sink", f"{run}/ckpt")
+    for wave in _snapshot_waves(spark, sf_dir):
+        land(wave, f"{run}/landing", ["visited_timestamp", "snapshot_id"])
+        stream_snapshots(spark, f"{run}/landing", wave.schema, f"{run}/sink", f"{run}/ckpt", delay="400 days")
     return spark.read.parquet(f"{run}/sink")
 
 
+def _deltas(spark: SparkSession, sf_dir: str, run: str, then=lambda: None) -> None:
+    for wave in _snapshot_waves(spark, sf_dir):
+        land(wave, f"{run}/landing", ["visited_timestamp", "snapshot_id"])
+        stream_deltas(spark, f"{run}/landing", wave.schema, f"{run}/tables", f"{run}/ckpt", year=2024)
+        then()
+
+
 def q_stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "deltas")
-    landing, schema = _landed_snapshots(spark, sf_dir, run)
-    stream_deltas(spark, landing, schema, f"{run}/sink", f"{run}/ckpt", year=2024)
-    d = spark.read.parquet(f"{run}/sink")
-    return d.withColumns(
-        {"visited_timestamp": F.col("visited_timestamp").cast("timestamp_ntz"),
-         "prev_visited": F.col("prev_visited").cast("timestamp_ntz")}
-    )
+    _deltas(spark, sf_dir, run)
+    return current_deltas(spark.read.parquet(f"{run}/tables/deltas"))
 
 
 def q_stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "daily")
-    landing, schema = _landed_snapshots(spark, sf_dir, run)
-    stream_deltas(spark, landing, schema, f"{run}/deltas", f"{run}/ckpt-deltas", year=2024)
-    stream_daily_totals(spark, f"{run}/deltas", f"{run}/totals", f"{run}/ckpt-totals")
-    return spark.read.parquet(f"{run}/totals")
+    _deltas(spark, sf_dir, run, lambda: stream_daily_totals(spark, f"{run}/tables/deltas", f"{run}/totals", f"{run}/ckpt-totals"))
+    return spark.read.parquet(f"{run}/totals").drop("day")
 
 
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from snapmetrics.plans.loading import DIMENSION_COLUMNS
     from snapmetrics.plans.listings import listings_clean
+    from snapmetrics.plans.loading import DIMENSION_COLUMNS
     from snapmetrics.sources import fixtures
 
     run = _run_dir(spark, "upsert")
     clean = listings_clean(fixtures.raw_listings(spark, sf_dir)).select(*DIMENSION_COLUMNS, "measurement_day")
-    landing = f"{run}/landing"
-    land_by_day(clean.withColumn("_day", F.col("measurement_day")), landing, "_day")
-    stream_upsert(spark, landing, clean.schema, f"{run}/table", f"{run}/ckpt", ["link"], ["measurement_day", "id"])
+    none = F.lit(False)
+    for wave in _waves(clean, "measurement_day", none, F.lit(True)):
+        land(wave, f"{run}/landing", ["measurement_day", "id"])
+        stream_upsert(spark, f"{run}/landing", clean.schema, f"{run}/table", f"{run}/ckpt", ["link"], ["measurement_day", "id"])
     return spark.read.parquet(f"{run}/table").select(*DIMENSION_COLUMNS)
