@@ -9,23 +9,25 @@ from snapmetrics.llm.common import drop_stored, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node points its larger neighbours at the smallest node of its neighbourhood (itself included)."""
+    """Every node points its larger neighbours at the smallest node of its neighbourhood (itself included). Edges run from
+    larger (a) to smaller (b), before and after."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node points itself and its smaller neighbours at the smallest of them; edges run from larger to smaller."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    """Every node points itself and its smaller neighbours at the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("decimal(20,0)")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _all_stars(edges: DataFrame) -> bool:
+    """True if every node with an edge to a smaller one has exactly one, and nobody points at such a node."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("centre"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("centre")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).filter("up + centre > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,15 +36,12 @@ def components(edges: DataFrame) -> DataFrame:
     Nodes without an edge to another node are not listed; null ends are ignored. Each round's edges are written to the
     shared folder, so the plan stays two joins deep and a lost executor costs one round at most.
     """
-    now = stored(edges.select("a", "b").filter("a <> b").distinct(), "star")
-    mark = _mark(now)
-    while mark[0]:
-        then, was = now, mark
+    now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = stored(now, "star")
+    while not _all_stars(now):
+        then = now
         now = stored(_small_star(_large_star(then)), "star")
-        mark = _mark(now)
         drop_stored(then)
-        if mark == was:
-            break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -4,15 +4,17 @@
    sorted set and ``BANDS * ROWS`` minima of universal hashes ``(a * x + b) mod 2^32``.
 2. Documents of equal sets form a class (grouped by digest with map-side minima), so exact copies never meet again;
    the smallest id stands for its class.
-3. Representatives that agree on the ``ROWS`` minima of a band share a bucket. Every member of a bucket is paired with the
-   bucket's smallest member, its centre (a star, linear in the bucket); pairs whose signatures differ too much go, and the
-   rest are confirmed on the full sets: first each member with the centre it meets most often, then, where the ends are
-   not connected yet, with its other centres. At similarity 0.8 two documents share no band with probability 1.3e-7.
-4. Components so far shrink the work: where a bucket still holds several components, members outside its largest
-   component are paired with all members of other components, so no link between components is lost.
-   A bucket that is one component already (the usual group of near copies) needs nothing more. Only documents that
-   agree on a band and still aren't connected cost more than a few pairs each.
-5. Alternating large-star and small-star give the components.
+3. Representatives that agree on the ``ROWS`` minima of a band share a bucket; at similarity 0.8 two documents share
+   none with probability 4e-7. Each member is paired with the bucket centre (smallest id) it meets most often, one
+   pair a member, and pairs whose signatures agree well enough are confirmed on the full sets.
+   Large-star and small-star steps make components: a group of near copies is one by now.
+4. No link is lost between members that still are in different components of one bucket. Pairing them all would grow
+   with the square of a group, so their full sets are compared by counting: shingles that more than ``COMMON`` of these
+   documents hold are only numbers (``common`` of a document's shingles are such), all others meet by an equi-join whose
+   keys hold ``COMMON`` rows at most. Two documents with r rare shingles in common share at most min(common) + r;
+   only pairs that can reach the similarity are confirmed on their texts. With r = 0 that takes two sets of nearly nothing
+   but common shingles: they meet by bucket and size class.
+5. Alternating large-star and small-star give the components of all confirmed links.
 
 Defined results: a text that is null, empty or without words has the empty set: 0 shingles, its own component, kept.
 A null id can't name a group: such a row takes its class's id if another copy has one, else null, and is kept only in
@@ -28,14 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmetrics.llm.common import ascii_lower_words, drop_stored, hash_words, map_rows, shingle_hashes, stored, table
+from snapmetrics.llm.common import ODD, ascii_lower_words, drop_stored, hash_words, map_rows, mix, shingle_hashes, stored, table
 from snapmetrics.llm.components import components
 
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 28, 4
 N_HASHES = BANDS * ROWS
 SEED = 20250711
-#: Signature agreement below this is no candidate: five standard deviations under a similarity of 0.8.
-LEAST_AGREEMENT = 0.64
+#: Signature agreement below this is not tried in step 3 (step 4 would still find such a link).
+LEAST_AGREEMENT = 0.66
+#: Documents that hold a shingle before it only counts as a number in step 4, and the width of a size class.
+COMMON, SIZE_STEP = 40, 1.1
 
 _rng = np.random.default_rng(SEED)
 _A = (_rng.integers(0, 1 << 32, N_HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
@@ -43,11 +47,13 @@ _B = _rng.integers(0, 1 << 32, N_HASHES, dtype=np.uint64).astype(np.uint32)[:, N
 #: Shingles hashed at a time: the table of N_HASHES rows stays in the processor's cache.
 _STEP = 512
 
+LONGS = T.ArrayType(T.LongType(), False)
 SIGNED = T.StructType(
     [
         T.StructField("n_shingles", T.LongType()),
         T.StructField("digest", T.BinaryType()),
-        T.StructField("bands", T.BinaryType()),
+        T.StructField("keys", LONGS),
+        T.StructField("short", T.BinaryType()),
     ]
 )
 
@@ -66,18 +72,29 @@ def signature(x: np.ndarray) -> np.ndarray:
     return sig
 
 
+_BAND = (np.arange(1, BANDS + 1, dtype=np.uint64) * ODD)[:, None]
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A 64-bit key for the minima of each band, the band's number mixed in."""
+    acc = _BAND[:, 0].copy()
+    for row in sig.reshape(BANDS, ROWS).T.astype(np.uint64):
+        acc = mix(acc * ODD + row)
+    return acc.view(np.int64)
+
+
 def sign(text: str | None, words: int = 4) -> tuple:
+    """Size, digest, band keys and the signature's lowest bytes."""
     x = shingle_set(text, words)
     if len(x) == 0:
-        return 0, None, None
-    return len(x), xxhash.xxh3_128_digest(x.tobytes()), signature(x).astype(">u4").tobytes()
+        return 0, None, None, None
+    sig = signature(x)
+    return len(x), xxhash.xxh3_128_digest(x.tobytes()), band_keys(sig), sig.astype(np.uint8).tobytes()
 
 
 def _agreement(a: str, b: str) -> str:
-    """SQL: share of equal minima of two signatures (binary, four bytes a minimum)."""
-    return (
-        f"size(filter(sequence(0, {N_HASHES - 1}), i -> substr({a}, i * 4 + 1, 4) = substr({b}, i * 4 + 1, 4))) / {float(N_HASHES)}D"
-    )
+    """SQL: share of equal minima of two signatures (one byte a minimum)."""
+    return f"size(filter(sequence(1, {N_HASHES}), i -> substr({a}, i, 1) = substr({b}, i, 1))) / {float(N_HASHES)}D"
 
 
 class _Links:
@@ -90,17 +107,18 @@ class _Links:
         if key != self.key:
             self.key, self.set = key, shingle_set(a, words)
         x, y = self.set, shingle_set(b, words)
-        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-            return False
         shared = len(np.intersect1d(x, y, assume_unique=True))
         return shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are similar enough. The text of ``b`` is shuffled once per pair; the text of
-    ``a``, often the centre of a large bucket, is joined last and never shuffled with its pairs."""
-    right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = right.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, signed: bool = False) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets are similar enough; sizes first, then (``signed``) signatures, then the texts.
+    What belongs to ``b`` is shuffled once per pair; what belongs to ``a``, often the centre of a large bucket, is joined
+    last and never shuffled with its pairs."""
+    of = lambda c: texts.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("text", "n", "short")])
+    both = pairs.join(of("b"), "b").join(of("a"), "a").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    if signed:
+        both = both.filter(F.expr(_agreement("short_a", "short_b")) >= LEAST_AGREEMENT)
 
     def check(links: _Links, a: int, text_a: str, text_b: str) -> tuple:
         return (links(a, text_a, text_b, words, percent),)
@@ -110,65 +128,78 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 
 def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 80) -> DataFrame:
-    """One row per row of ``df``: id_col, n_shingles, class_id (smallest id of the equal sets), component_id, kept."""
+    """One row per row of ``df``: id_col, text_key (xxhash64 of the text), n_shingles, class_id (smallest id of the equal
+    sets), component_id, kept."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = stored(map_rows(docs, lambda t: sign(t, words), ["text"], SIGNED, ["id"]), "signed")
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    signed = stored(map_rows(keyed, lambda t: sign(t, words), ["text"], SIGNED, ["id", "text_key"]), "signed")
     classes = stored(signed.filter("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     reps = signed.filter("n_shingles > 0").join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"])
-    reps = stored(reps.select("id", "n_shingles", "bands").distinct(), "reps")
+    reps = stored(reps.dropDuplicates(["id", "digest"]).select("id", "text_key", F.col("n_shingles").alias("n"), "keys", "short"), "reps")
 
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("bands", i * ROWS * 4 + 1, ROWS * 4)) for i in range(BANDS)])
-    members = reps.select("id", F.explode(keys).alias("key"))
+    members = reps.select("id", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last")
     grouped = stored(members.join(buckets.select("key", "centre"), "key"), "members")  # buckets of two or more only
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that sizes and signatures leave possible and the full sets confirm."""
-        left = reps.select(F.col("id").alias("b"), F.col("bands").alias("sig_b"), F.col("n_shingles").alias("n_b"))
-        right = reps.select(F.col("id").alias("a"), F.col("bands").alias("sig_a"), F.col("n_shingles").alias("n_a"))
-        near = pairs.join(left, "b").join(right, "a").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        near = stored(near.filter(F.expr(_agreement("sig_a", "sig_b")) >= LEAST_AGREEMENT).select("a", "b").distinct(), f"{name}-near")
-        ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-        texts = docs.join(ids, "id", "left_semi").groupBy("id", F.xxhash64("text")).agg(F.first("text").alias("text"))  # repeated rows once
-        found = stored(confirmed(near, texts, words, percent).distinct(), f"{name}-links")
-        drop_stored(near)
-        return found
-
-    # round 1: each member with the centre it shares most buckets with; round 2: the other centres, across components
-    star = grouped.filter("id <> centre").groupBy(F.col("centre").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n"))
-    star = stored(star, "star-pairs")
-    first = star.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("minus"))).alias("best")).select((-F.col("best.minus")).alias("a"), "b")
-    links = linked(first, "first")
+    own = reps.join(grouped.select("id").distinct(), "id", "left_semi").select("id", "text_key", "n", "short")
+    texts = docs.withColumn("text_key", F.xxhash64("text")).join(own, ["id", "text_key"]).dropDuplicates(["id", "text_key"])
+    texts = stored(texts.drop("text_key"), "texts")
+
+    # one centre for each member: the one of most of its buckets
+    star = grouped.filter("id <> centre").groupBy(F.col("id").alias("b"), F.col("centre").alias("a")).agg(F.count("*").alias("n"))
+    star = star.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("minus"))).alias("best")).select((-F.col("best.minus")).alias("a"), "b")
+    links = stored(confirmed(star, texts, words, percent, signed=True), "links")
     parts = components(links)
 
-    def part(ids: DataFrame, col: str, name: str) -> DataFrame:
-        placed = ids.join(parts.select(F.col("node").alias(col), F.col("component").alias(name)), col, "left")
-        return placed.withColumn(name, F.coalesce(name, col))
-
-    second = part(part(star.select("a", "b").join(first, ["a", "b"], "left_anti"), "a", "part_a"), "b", "part_b").filter("part_a <> part_b")
-    more = linked(second.select("a", "b"), "second")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        parts = components(links)
-
-    # round 3: in buckets that still hold several components, members outside the largest meet all other components there
-    placed = part(grouped.select("id", "key"), "id", "part")
-    counts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "part")).alias("top")).filter("parts > 1")
-    rest = stored(placed.join(mixed.select("key", F.col("top.part").alias("largest")), "key"), "rest")
-    outside = rest.filter("part <> largest").select("key", F.col("id").alias("x"), F.col("part").alias("x_part"))
-    cross = rest.join(outside, "key").filter("part <> x_part").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
-    more = linked(cross.join(star, ["a", "b"], "left_anti"), "cross")
+    across = stored(_across(grouped, parts, texts, words, percent), "across")
+    more = stored(confirmed(across, texts, words, percent), "links")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
-    for scratch in (reps, grouped, star, rest):
+    for scratch in (reps, grouped, texts, across):
         drop_stored(scratch)
 
     found = classes.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
     found = found.select("digest", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("id", "n_shingles", "digest").join(found, "digest", "left")
-    out = out.select("id", "n_shingles", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "class_id", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    out = signed.select("id", "text_key", "n_shingles", "digest").join(found, "digest", "left")
+    out = out.select("id", "text_key", "n_shingles", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), "text_key", "n_shingles", "class_id", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _across(grouped: DataFrame, parts: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, members of buckets that hold several, whose counted shingles leave room for
+    the similarity. Shared / (n_a + n_b - shared) >= percent / 100, so (100 + percent) * shared >= percent * (n_a + n_b)."""
+    placed = grouped.select("key", "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.select("key", "id", F.coalesce("component", "id").alias("part"))
+    counts = placed.groupBy("key", "part").agg(F.count("*").alias("members"))
+    mixed = counts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("members", "part")).alias("top")).filter("parts > 1")
+    rest = stored(placed.join(mixed.select("key", F.col("top.part").alias("largest")), "key"), "rest")
+    open_ids = rest.select("id", "part").distinct()
+
+    sets = T.StructType([T.StructField("shingles", LONGS)])
+    own = map_rows(texts.join(open_ids, "id"), lambda t: (shingle_set(t, words).view(np.int64),), ["text"], sets, ["id", "part", "n"])
+    own = stored(own.select("id", "part", "n", F.explode("shingles").alias("shingle")), "shingles")
+    held = own.groupBy("shingle").agg(F.count("*").alias("holders")).filter("holders > 1")
+    held = stored(own.join(held, "shingle"), "held")
+    common = F.sum((F.col("holders") > COMMON).cast("int")).alias("common")
+    size = stored(held.groupBy("id", "part", "n").agg(common), "sizes")
+
+    rare = held.filter(F.col("holders") <= COMMON)
+    x, y = (rare.select("shingle", F.col("id").alias(i), F.col("part").alias(p)) for i, p in (("a", "part_a"), ("b", "part_b")))
+    shared = x.join(y, "shingle").filter("a < b and part_a <> part_b").groupBy("a", "b").agg(F.count("*").alias("rare"))
+    both = shared.join(size.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("common").alias("common_a")), "a")
+    both = both.join(size.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("common").alias("common_b")), "b")
+    room = (100 + percent) * (F.least("common_a", "common_b") + F.col("rare")) >= percent * (F.col("n_a") + F.col("n_b"))
+    by_rare = both.filter(room).select("a", "b")
+
+    # no rare shingle shared: both sets are nearly all common, and the sizes that suit the first are few classes
+    full = rest.join(size.filter(100 * F.col("common") >= percent * F.col("n")).drop("part"), "id")
+    step = lambda c: F.floor(F.log(c) / F.log(F.lit(SIZE_STEP))).cast("int")
+    low, high = F.col("n") * (percent / 100), F.least(F.col("n") * (100 / percent), F.col("common") * ((100 + percent) / percent) - F.col("n"))
+    x = full.filter((F.col("part") != F.col("largest")) & (high >= low))
+    x = x.select("key", F.explode(F.sequence(step(low), step(high + 1))).alias("class"), F.col("id").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("common").alias("common_a"))
+    y = full.select("key", step(F.col("n")).alias("class"), F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("common").alias("common_b"))
+    fits = (100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    by_size = x.join(y, ["key", "class"]).filter((F.col("part_a") != F.col("part_b")) & fits)
+    return by_rare.unionByName(by_size.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
