@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from snapmetrics.functions import numbers as _num
 from snapmetrics.functions import text as _txt
 from snapmetrics.functions.common import as_col, nonempty
-from snapmetrics.functions.jsonx import repair_json
+from snapmetrics.functions.jsonx import lookup, repair_json, zip_to_map
 from snapmetrics.functions.numbers import (
     decimal_comma,
     digit_run,
@@ -353,7 +353,10 @@ def listing_text_rules(df: DataFrame) -> DataFrame:
         _txt.join_except("label_list", NON_LABELS).alias("labels_kept"),
         _txt.all_words("tag_blob").alias("tags"),
         F.replace(_txt.drop_control_chars("noisy"), F.lit("\\"), F.lit("/")).alias("noisy_clean"),
-        _txt.cut_before("cut_text", "Tweet").alias("cut"),
+        _txt.cut_before("cut_text", "Tweet").alias("cut"), _txt.cut_after("cut_text", "Tweet").alias("cut_rest"),
+        _txt.place_from_title("city_title").alias("city_place"), _txt.strip_literals("city_title", ["Продава ", "гр. "]).alias("city_bare"),
+        _num.counter("meta_line", 5).alias("fifth_word"),
+        lookup(zip_to_map(F.array(F.lit("kind"), F.lit("number")), "pair_values"), "number").alias("zipped"),
     )
 
 
@@ -391,5 +394,7 @@ SELECT id,
   CASE WHEN len(regexp_extract_all(tag_blob, '([А-Яа-я]+)', 1)) > 0
        THEN array_to_string(regexp_extract_all(tag_blob, '([А-Яа-я]+)', 1), ' - ') END AS tags,
   replace(replace(noisy, chr(7), ''), chr(92), '/') AS noisy_clean,
-  split_part(cut_text, 'Tweet', 1) AS cut
+  split_part(cut_text, 'Tweet', 1) AS cut, split_part(cut_text, 'Tweet', 2) AS cut_rest,
+  CASE id % 3 WHEN 0 THEN 'Лозенец' WHEN 1 THEN ', Център' ELSE '' END AS city_place,
+  replace(replace(city_title, 'Продава ', ''), 'гр. ', '') AS city_bare, CAST(id * 3 AS BIGINT) AS fifth_word, CAST(id AS VARCHAR) AS zipped
 FROM x"""

@@ -17,14 +17,31 @@ from snapmetrics.plans.stores import ORACLE as STORE_ORACLE
 from snapmetrics.plans.stores import STORE_SCHEMA, flat_from_parsed
 from snapmetrics.session import scratch_path
 from snapmetrics.sources import fixtures
-from snapmetrics.sources.fixtures_sql import F1_SNAPSHOTS, with_ctes
-from snapmetrics.sources.io import NULL_TEXT, read_json_docs, read_snapshots, read_whole_text, save_ctas, write_tsv
+from snapmetrics.operators.joins import only_known
+from snapmetrics.sources.fixtures_sql import F1_SNAPSHOTS, F3_LISTINGS, with_ctes
+from snapmetrics.sources.io import (
+    NULL_TEXT,
+    append_fact,
+    conform_to_table,
+    drop_partitions,
+    load_staging,
+    partition_from_filename,
+    read_snapshots,
+    read_strings,
+    read_typed,
+    read_whole_text,
+    save_ctas,
+    write_partitioned,
+    write_tsv,
+)
 from snapmetrics.sources.tables import table
 
 SNAPSHOT_TEXT_COLUMNS = [
     "snapshot_id", "link", "title", "tags", "category", "views", "comments", "created_timestamp", "visited_timestamp",
 ]
 ENCODINGS = ["UTF-8", "UTF-16"]
+PAGES_PER_FILE = 1_000
+REWRITTEN_DAY, PURGED_DAY = "2020-07-14", "2020-07-16"
 
 
 def _run(spark: SparkSession, name: str) -> str:
@@ -47,37 +64,53 @@ def source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_docs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-11 -> SRC-6: one JSON document per file (a folder per store), read with ``multiLine`` and a fixed
-    schema, then flattened like ``stores_flat``."""
-    run = _run(spark, "json")
-    docs = fixtures.store_documents(spark, sf_dir)
-    docs.select("file_id", F.col("doc").alias("value")).repartition("file_id").write.partitionBy("file_id").text(
-        f"{run}/docs"
-    )
-    parsed = read_json_docs(spark, f"{run}/docs/*/", f"{STORE_SCHEMA}")
-    return flat_from_parsed(parsed)
+    """SNK-11 -> SRC-6: store documents, one JSON document a line and many a file, read with a fixed schema, then flattened
+    like ``stores_flat`` (``read_json_docs`` reads a folder of one-document files)."""
+    path = f"{_run(spark, 'json')}/docs"
+    fixtures.store_documents(spark, sf_dir).select(F.col("doc").alias("value")).write.text(path)
+    return flat_from_parsed(spark.read.schema(STORE_SCHEMA).json(path))
 
 
 def wholetext_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-5: pages stored one file each, scanned as whole texts (page id from the folder name)."""
-    run = _run(spark, "text")
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    # one file per page: all rows of a page in one task before the partitioned write
-    pages.select("page_id", F.col("html").alias("value")).repartition("page_id").write.option(
-        "lineSep", "\n"
-    ).partitionBy("page_id").text(
-        f"{run}/pages"
-    )
-    t = read_whole_text(spark, f"{run}/pages/*/")
-    # the text writer ends each row with the line separator
-    body = F.when(F.col("value").endswith("\n"), F.expr("substring(value, 1, length(value) - 1)")).otherwise(
-        F.col("value")
-    )
-    return t.select(
-        F.regexp_extract("path", r"page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
-        F.length(body).alias("n_chars"),
-        F.md5(body).alias("digest"),
-    )
+    """SRC-5: pages stored as JSON lines, at most ``PAGES_PER_FILE`` a file, scanned as whole texts and taken apart."""
+    path = f"{_run(spark, 'text')}/pages"
+    table(spark, sf_dir, "pages").select("page_id", "html").write.option("maxRecordsPerFile", PAGES_PER_FILE).json(path)
+    lines = read_whole_text(spark, path).select(F.explode(F.split("value", "\n")).alias("line")).filter("line <> ''")
+    page = lines.select(F.from_json("line", "page_id bigint, html string").alias("p")).select("p.*")
+    return page.select("page_id", F.length("html").alias("n_chars"), F.md5("html").alias("digest"))
+
+
+def csv_readers_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 -> SRC-3, SRC-4, SRC-8: customers as headered CSV, read as texts and with inferred types; the typed rows conform
+    to the table they came from (a column it lacks is dropped, one it has more is null)."""
+    path = f"{_run(spark, 'csv')}/customer"
+    c = table(spark, sf_dir, "customer")
+    c.select("c_custkey", "c_name", "c_nationkey", F.lit("x").alias("extra")).write.option("header", "true").csv(path)
+    text = read_strings(spark, path).select("c_custkey", "c_name", F.lit("text").alias("read_as"), F.lit(None).cast("string").alias("c_mktsegment"))
+    typed = conform_to_table(read_typed(spark, path), c)
+    typed = typed.select(F.col("c_custkey").cast("string"), "c_name", F.concat(F.lit("typed "), F.typeof("c_custkey")).alias("read_as"), "c_mktsegment")
+    return text.unionByName(typed)
+
+
+def writers_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3, SNK-5, SNK-8, SNK-9, JN-6: staging cleared and refilled, facts appended in two loads, one day rewritten, one
+    source purged, and only facts of known listings kept."""
+    run = _run(spark, "writers")
+    raw = fixtures.raw_listings(spark, sf_dir).select("id", "link", "views", "measurement_day", "file_name")
+    load_staging(raw.limit(5), f"{run}/staging")
+    load_staging(raw, f"{run}/staging")
+    staged = partition_from_filename(spark.read.parquet(f"{run}/staging"), "file_name", r"^(\d{2})(\d{2})", year=2020, out="file_day")
+    late = F.col("file_day") >= REWRITTEN_DAY
+    append_fact(staged.filter(~late), f"{run}/facts", ["file_day"])
+    append_fact(staged.filter(late), f"{run}/facts", ["file_day"])
+    facts = spark.read.parquet(f"{run}/facts").withColumn("file_day", F.col("file_day").cast("string"))
+    again = facts.filter(F.col("file_day") == REWRITTEN_DAY).withColumn("views", F.lit("0"))
+    write_partitioned(again.select(*staged.columns), f"{run}/rewritten", "file_day")
+    write_partitioned(spark.read.parquet(f"{run}/rewritten").select(*staged.columns), f"{run}/facts", "file_day")
+    facts = spark.read.parquet(f"{run}/facts").withColumn("file_day", F.col("file_day").cast("string"))
+    grid = spark.sql(f"SELECT * FROM VALUES ('{PURGED_DAY}') AS grid(file_day)")
+    known = staged.filter(F.col("id").cast("long") % 2 == 0).select("id")
+    return only_known(drop_partitions(facts, grid, ["file_day"]), known, ["id"]).select("id", "views", "file_day")
 
 
 def ctas_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +126,8 @@ QUERIES = {
     "source_roundtrip": source_roundtrip,
     "json_docs_roundtrip": json_docs_roundtrip,
     "wholetext_roundtrip": wholetext_roundtrip,
+    "csv_readers_roundtrip": csv_readers_roundtrip,
+    "writers_roundtrip": writers_roundtrip,
     "ctas_roundtrip": ctas_roundtrip,
 }
 
@@ -108,4 +143,11 @@ ORACLE = {
     "json_docs_roundtrip": STORE_ORACLE["stores_flat"],
     "wholetext_roundtrip": "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, md5(html) AS digest FROM pages",
     "ctas_roundtrip": SNAP_ORACLE["article_popularity"],
+    "csv_readers_roundtrip": """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, r AS read_as, CAST(NULL AS VARCHAR) AS c_mktsegment
+FROM customer, (VALUES ('text'), ('typed bigint')) v(r)""",
+    "writers_roundtrip": with_ctes(F3_LISTINGS) + f"""
+SELECT id, CASE WHEN day = '{REWRITTEN_DAY}' THEN '0' ELSE views END AS views, day AS file_day
+FROM (SELECT id, views, '2020-' || file_name[1:2] || '-' || file_name[3:4] AS day FROM listings) f
+WHERE day <> '{PURGED_DAY}' AND CAST(id AS BIGINT) % 2 = 0""",
 }

@@ -137,6 +137,9 @@ LISTING_EXTRAS = [
     " || ' abc Лига' END AS tag_blob",
     "'a' || chr(7) || 'b' || chr(92) || 'c' || CAST(p_partkey AS STRING) AS noisy",
     "'Текст ' || CAST(p_partkey AS STRING) || ' Tweet още' AS cut_text",
+    "'Продава гр. София' || CASE p_partkey % 3 WHEN 0 THEN ' - Лозенец ' WHEN 1 THEN ', Център ' ELSE '-' END ||"
+    " CASE WHEN p_partkey % 5 = 0 THEN 'По договаряне' ELSE CAST(p_partkey AS STRING) || ' EUR' END AS city_title",
+    "ARR('стая', CAST(p_partkey AS STRING)) AS pair_values",
 ]
 
 # F3, further columns of a staged listing (over ``pk`` and ``n_sp``): labels, availability, description, a date, the price as

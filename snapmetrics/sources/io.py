@@ -105,7 +105,10 @@ def conform_to_table(df: DataFrame, target: DataFrame) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
               encoding: str = "UTF-8", null_value: str = "") -> None:
-    """SNK-2: headered TSV (optionally one folder level per partition column)."""
+    """SNK-2: headered TSV (optionally one folder level per partition column; rows are dealt by it first, large values over
+    several tasks, so a task writes a few files instead of one in every folder)."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("sep", "\t").option("header", "true").option("encoding", encoding)
     w = w.option("nullValue", null_value)
     if partition_by:
