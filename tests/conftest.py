@@ -12,6 +12,6 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from snapmetrics.session import get_session
 
-    s = get_session(master="local[4]", shuffle_partitions=8)
+    s = get_session(master=os.environ.get("TEST_MASTER", "local[4]"), shuffle_partitions=8)
     yield s
     s.stop()
