@@ -192,13 +192,19 @@ def _across(grouped: DataFrame, parts: DataFrame, texts: DataFrame, words: int,
 
     # no rare shingle shared: both sets are nearly all common, and the sizes that suit the first are few classes
     full = rest.join(size.filter(100 * F.col("common") >= percent * F.col("n")).drop("part"), "id")
+    full = full.withColumn("outside", F.col("part") != F.col("largest"))
+    keys = rest.groupBy("id").agg(F.collect_set("key").alias("keys"))  # one a band at most
+    full = full.join(keys, "id")
     step = lambda c: F.floor(F.log(c) / F.log(F.lit(SIZE_STEP))).cast("int")
     low, high = F.col("n") * (percent / 100), F.least(F.col("n") * (100 / percent), F.col("common") * ((100 + percent) / percent) - F.col("n"))
-    x = full.filter((F.col("part") != F.col("largest")) & (high >= low))
-    x = x.select("key", F.explode(F.sequence(step(low), step(high + 1))).alias("class"), F.col("id").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("common").alias("common_a"))
-    y = full.select("key", step(F.col("n")).alias("class"), F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("common").alias("common_b"))
+    of = lambda i: [F.col(c).alias(f"{c}_{i}") for c in ("id", "part", "n", "common", "keys", "outside")]
+    x = full.filter(F.col("outside") & (high >= low)).select("key", F.explode(F.sequence(step(low), step(high + 1))).alias("class"), *of("a"))
+    y = full.select("key", step(F.col("n")).alias("class"), *of("b"))
     fits = (100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n_a") + F.col("n_b"))
-    by_size = x.join(y, ["key", "class"]).filter((F.col("part_a") != F.col("part_b")) & fits)
+    # a pair counts in the first bucket it shares, and from one of its ends
+    once = (~F.col("outside_b") | (F.col("id_a") < F.col("id_b"))) & (F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b")))
+    by_size = x.join(y, ["key", "class"]).filter((F.col("part_a") != F.col("part_b")) & fits & once)
+    by_size = by_size.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     return by_rare.unionByName(by_size.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
