@@ -52,10 +52,11 @@ def query_value(c, key: str) -> Column:
     return F.replace(F.try_parse_url(as_col(c), F.lit("QUERY"), F.lit(key)), F.lit("+"), F.lit(" "))
 
 
-def absolute_url(base: str, href) -> Column:
-    """STR-32: base + path for site-relative links; absolute links pass through."""
+def absolute_url(base: str | Column, href) -> Column:
+    """STR-32: base (a text or a column, without its last slash) + path for site-relative links; absolute links pass."""
     h = as_col(href)
-    return F.when(h.startswith("/"), F.concat(F.lit(base.rstrip("/")), h)).otherwise(h)
+    root = base if isinstance(base, Column) else F.lit(base.rstrip("/"))
+    return F.when(h.startswith("/"), F.concat(root, h)).otherwise(h)
 
 
 def basename(c) -> Column:

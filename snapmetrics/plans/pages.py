@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.text import attribute_value, class_text, clean_text, paragraphs, strip_noise, tag_text
-from snapmetrics.functions.urls import category, embedded_urls, host, query_value
+from snapmetrics.functions.urls import absolute_url, category, embedded_urls, host, query_value
 from snapmetrics.sources.io import ARTICLE_COLUMNS, conform
 from snapmetrics.sources.tables import table
 
@@ -56,8 +56,7 @@ def _links(pages: DataFrame, rules: LinkRules, *more: Column) -> DataFrame:
         host("url").alias("site"), site_root(F.col("url")).alias("root"), *more,
         F.explode(F.regexp_extract_all(strip_noise("html"), F.lit(HREF), 1)).alias("href"),
     )
-    resolved = F.when(F.col("href").startswith("/"), F.concat("root", "href")).otherwise(F.col("href"))
-    return links.filter(rules.keep(F.col("href"))).withColumn("link", resolved).drop("root", "href")
+    return links.filter(rules.keep(F.col("href"))).withColumn("link", absolute_url(F.col("root"), "href")).drop("root", "href")
 
 
 def page_outlinks(pages: DataFrame, rules: LinkRules = LinkRules()) -> DataFrame:  # noqa: B008

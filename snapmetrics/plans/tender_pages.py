@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmetrics.functions.common import nonempty
 from snapmetrics.functions.numbers import no_spaces
-from snapmetrics.functions.text import class_text, parse_bg_datetime, text_after
+from snapmetrics.functions.text import class_text, parse_bg_datetime, term_range, text_after
 from snapmetrics.functions.urls import basename
 from snapmetrics.sources.tables import table
 
@@ -54,7 +54,7 @@ def court_tender_fields(pages: DataFrame) -> DataFrame:
         no_spaces(F.replace(class_text("html", "category"), F.lit(" кв.м"), F.lit(""))).try_cast("double").alias("area"),
         no_spaces(F.replace(class_text("html", "price"), F.lit("лв."), F.lit(""))).try_cast("double").alias("price"),
         *[text_after("html", COURT_LABELS[c]).alias(c) for c in ("city", "address", "organizer", "announcement")],
-        nonempty(F.regexp_extract(term, r"от ([\d.]+)", 1)).alias("term_start"), nonempty(F.regexp_extract(term, r"до ([\d.]+)", 1)).alias("term_end"),
+        term_range(term, "start").alias("term_start"), term_range(term, "end").alias("term_end"),
         pairs.alias("attachments"),
     )
 

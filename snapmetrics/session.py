@@ -6,7 +6,9 @@ On a cluster the caller's session is used as is, and only settings that are unse
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -101,7 +103,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint location for written intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    """A folder for a written intermediate table: below the shared checkpoint folder, one root for each application, which
+    is deleted when the driver's Python ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+    _SCRATCH.setdefault(root, spark)
+    return f"{root}/{name}"
+
+
+@atexit.register
+def _drop_scratch() -> None:
+    for root, spark in _SCRATCH.items():
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001  the session has ended: a folder of this machine can still be removed
+            shutil.rmtree(root.removeprefix("file://"), ignore_errors=True)

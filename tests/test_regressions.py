@@ -12,6 +12,7 @@ from snapmetrics.plans.listings import price_eur, price_with_vat, scrape_price_e
 from snapmetrics.plans.pages import LinkRules, labelled_outlinks, page_articles, page_outlinks
 from snapmetrics.plans.places import match_places
 from snapmetrics.plans.tenders import disperse_clusters, ideal_parts
+from snapmetrics.session import scratch_path
 from snapmetrics.streaming.streams import current_deltas, land, stream_deltas, stream_upsert
 
 NB = " "
@@ -141,6 +142,25 @@ def test_late_same_second_and_unreadable_visits_stay(spark, tmp_path):
     assert got == {1: 10, 2: 10, 3: 10, 5: 20, 6: 5, 7: 3, 9: 1}
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session(), "x")
+
+
 def test_rows_without_a_day_are_landed_and_upserted(spark, tmp_path):
     df = spark.createDataFrame([("a", None, "1"), ("b", "2020-01-01", "2"), ("b", "2020-01-02", "3"), (None, None, "4")], "link string, day string, id string")
     for _ in range(2):  # delivered twice
