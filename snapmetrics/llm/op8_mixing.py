@@ -106,7 +106,7 @@ def pfair_mix(
     rows = stored(rows.withColumn("key", F.pmod(F.xxhash64(F.lit(seed), "id", "source", "text"), F.lit(1 << 40))).drop("text"), "sizes")
     totals = {r["source"]: (r["n"], r["chars"]) for r in rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).collect()}
     if weights is None:
-        weights = {s: (c or 0) ** tempering for s, (_, c) in totals.items()}
+        weights = {s: max(c or 0, 1) ** tempering for s, (_, c) in totals.items()}
     parts, period = parts_of_period({s: w for s, w in weights.items() if s in totals})
     plan = df.sparkSession.createDataFrame(schedule(parts, period), PLAN)
 
