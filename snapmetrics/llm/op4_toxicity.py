@@ -102,19 +102,31 @@ def swapped(text: str) -> list[tuple[str, str]]:
 
 
 # ------------------------------------------------------------------------------------------------------- learning
-def _matrix(rows: list[tuple[dict, int]], index: dict[int, int]) -> np.ndarray:
-    k = len(index)
+#: A described text: its features, their counts, its number of words.
+Described = tuple[np.ndarray, np.ndarray, int]
+
+
+def described(text: str) -> Described:
+    counts, n = features(text)
+    return np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int32, len(counts)), n
+
+
+def _matrix(rows: list[Described], picked: np.ndarray) -> np.ndarray:
+    """Presence and damped rate of the picked (sorted) features."""
+    k = len(picked)
     x = np.zeros((len(rows), 2 * k), np.float32)
-    for r, (counts, n) in enumerate(rows):
-        for f, c in counts.items():
-            if (j := index.get(f)) is not None:
-                x[r, j] = 1.0
-                x[r, k + j] = damped(c, n)
+    if not k:
+        return x
+    for r, (ids, counts, n) in enumerate(rows):
+        at = np.minimum(np.searchsorted(picked, ids), k - 1)
+        known = picked[at] == ids
+        x[r, at[known]] = 1.0
+        x[r, k + at[known]] = np.sqrt(np.minimum(1.0, 25.0 * counts[known] / max(n, 1)))
     return x
 
 
-def chosen(ids: list[np.ndarray], y: np.ndarray) -> list[int]:
-    """Features whose document share differs most between the classes, in standard deviations, and identity terms."""
+def chosen(ids: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Features whose document share differs most between the classes, in standard deviations, and identity terms; sorted."""
     all_ids, inverse = np.unique(np.concatenate([*ids, np.empty(0, np.int64)]), return_inverse=True)
     owner = np.repeat(y, [len(i) for i in ids])
     pos = np.bincount(inverse[owner == 1], minlength=len(all_ids))
@@ -124,23 +136,22 @@ def chosen(ids: list[np.ndarray], y: np.ndarray) -> list[int]:
     z = (pos / n_pos - neg / n_neg) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n_pos + 1 / n_neg))
     z[pos + neg < 4] = 0
     order = np.lexsort((all_ids, -np.abs(z)))[:FEATURES]
-    picked = [int(all_ids[i]) for i in order if abs(z[i]) >= 3]
-    terms = {word_features(t)[0] for t in _GROUP} & set(all_ids.tolist())
-    return list(dict.fromkeys([*picked, *sorted(terms)]))
+    terms = np.array([word_features(t)[0] for t in _GROUP], np.int64)
+    return np.union1d(all_ids[order[np.abs(z[order]) >= 3]], terms[np.isin(terms, all_ids)])
 
 
-def fit(rows: list[tuple[dict, int]], y: np.ndarray, pairs: list[tuple[str, str]], toxic_share: float) -> dict:
+def fit(rows: list[Described], y: np.ndarray, pairs: list[tuple[str, str]], toxic_share: float) -> dict:
     """Accelerated gradient descent on logistic loss + ridge + counterfactual penalty."""
-    picked = chosen([np.fromiter(c, np.int64, len(c)) for c, _ in rows], y)
-    index = {f: j for j, f in enumerate(picked)}
-    x = _matrix(rows, index)
+    picked = chosen([ids for ids, _, _ in rows], y)
+    x = _matrix(rows, picked)
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    d = np.hstack([_matrix([features(a) for a, _ in pairs], index) - _matrix([features(b) for _, b in pairs], index), np.zeros((len(pairs), 1), np.float32)])
+    d = _matrix([described(a) for a, _ in pairs], picked) - _matrix([described(b) for _, b in pairs], picked)
     d = d[np.abs(d).sum(axis=1) > 0]
+    d = np.hstack([d, np.zeros((len(d), 1), np.float32)])
     w = np.zeros(x.shape[1])
     v, t = w.copy(), 1.0
     # the loss's curvature is at most that of a quarter of the squared rows' mean
-    top = np.ones(x.shape[1])
+    top = np.ones(x.shape[1], np.float32)
     for _ in range(20):
         top = 0.25 * (x.T @ (x @ top)) / len(x) + (FAIRNESS * (d.T @ (d @ top)) / len(d) if len(d) else 0)
         top /= (norm := float(np.linalg.norm(top))) or 1.0
@@ -148,21 +159,23 @@ def fit(rows: list[tuple[dict, int]], y: np.ndarray, pairs: list[tuple[str, str]
     keep = np.ones(x.shape[1])
     keep[-1] = 0
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        g = x.T @ (p - y) / len(y) + RIDGE * keep * v
+        now = v.astype(np.float32)
+        p = 1 / (1 + np.exp(-np.clip(x @ now, -30, 30)))
+        g = x.T @ (p - y).astype(np.float32) / len(y) + RIDGE * keep * v
         if len(d):
-            g += FAIRNESS * (d.T @ (d @ v)) / len(d)
+            g += FAIRNESS * (d.T @ (d @ now)) / len(d)
         new = v - step * g
         t, s = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
         v, w = new + (s - 1) / t * (new - w), new
     sampled = float(y.mean())
     bias = float(w[-1]) + math.log(toxic_share / (1 - toxic_share)) - math.log(sampled / (1 - sampled))
     k = len(picked)
-    return {"bias": bias, "weights": {f: (float(w[j]), float(w[k + j])) for f, j in index.items()}}
+    return {"bias": bias, "weights": {f: (float(w[j]), float(w[k + j])) for j, f in enumerate(picked.tolist())}}
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict:
-    """``docs`` (id, text), ``labels`` (id, label 0/1) -> bias and weights by feature."""
+    """``docs`` (id, text), ``labels`` (id, label 0/1) -> bias and weights by feature. The driver holds the sample's features
+    as flat arrays."""
     known = labels.filter(~held_out(F.col("id")) & F.col("label").isin(0, 1))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
@@ -193,7 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
         return flat
     order = np.argsort(np.array(got.column("id").to_pylist()), kind="stable")
     ids, counts, n, pairs = (got.column(c) for c in ("ids", "counts", "n", "pairs"))
-    rows = [(dict(zip(ids[i].values.to_numpy().tolist(), counts[i].values.to_numpy().tolist(), strict=True)), n[i].as_py()) for i in order.tolist()]
+    rows = [(ids[i].values.to_numpy(), counts[i].values.to_numpy(), n[i].as_py()) for i in order.tolist()]
     sentences = [pairs[i].as_py() for i in order.tolist()]
     return fit(rows, y[order], [(s[k], s[k + 1]) for s in sentences for k in range(0, len(s), 2)], flat["share"])
 
