@@ -1,6 +1,6 @@
 """SQL surface: the analyst queries as Spark SQL over temp views.
 
-``register_views`` exposes the stored snapshot and price tables plus the balanced per-snapshot ``deltas`` view (the
+``register_views`` exposes the snapshot and price tables plus the balanced per-snapshot ``deltas`` view with all columns of a snapshot (the
 chunked operator — plain ``lag() over (partition by link)`` in SQL would give a hot link to one task), so the
 reference's analyst SQL runs on Spark with only the window part replaced by the view. ``register_functions`` adds
 the rounding rule of its ``ROUND(float, int)`` function as a SQL function.
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmetrics.plans.prices import with_sector
-from snapmetrics.plans.snapshots import DEFAULT_YEAR, snapshot_deltas
+from snapmetrics.plans.snapshots import DEFAULT_YEAR, source, with_deltas
 from snapmetrics.session import configure
 from snapmetrics.sources import fixtures
 
@@ -36,7 +36,8 @@ def register_views(spark: SparkSession, sf_dir: str, year: int | None = DEFAULT_
     configure(spark)
     snaps = fixtures.snapshots(spark, sf_dir)
     snaps.createOrReplaceTempView("raw")
-    snapshot_deltas(snaps, year).createOrReplaceTempView("deltas")
+    deltas = with_deltas(source(snaps, year)).drop("visited_timestamp").withColumnRenamed("visited_ts", "visited_timestamp")
+    deltas.createOrReplaceTempView("deltas")
     with_sector(fixtures.companies(spark, sf_dir)).createOrReplaceTempView("sp500_companies")
     fixtures.prices(spark, sf_dir).createOrReplaceTempView("price_actions")
 
