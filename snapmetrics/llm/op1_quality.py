@@ -1,8 +1,9 @@
 """Quality rules by repetition coverage.
 
-For several n-gram lengths a rolling hash runs over the words of a text (numpy, 64 bit); positions whose hash occurs
-again mark their words, and the characters of marked words are the text's coverage for that length. Repeated lines are
-measured likewise. A text whose coverage exceeds a length's limit is rejected.
+For several n-gram lengths a rolling hash runs over the words of a text (numpy, 64 bit); positions whose hash occurred
+before mark their words, and the characters of marked words are the text's coverage for that length (the first
+occurrence is no repetition). Repeated lines are measured likewise. A text whose coverage exceeds a length's limit is
+rejected; a single repeated line, such as a header that is the footer, too, only by its share of the characters.
 
 Defined results: a null text counts as empty; an empty text has no word, fails the base rule and is not kept; a null id
 stays null; repeated rows give repeated results; extra columns are ignored; an empty table gives an empty result.
@@ -33,14 +34,15 @@ SCHEMA = T.StructType(
 )
 
 
-def repeated(h: np.ndarray) -> np.ndarray:
-    """Mask of the values that occur at least twice."""
+def repeated(h: np.ndarray, first: bool) -> np.ndarray:
+    """Mask of the values that occurred before; with ``first``, of all that occur at least twice."""
     order = np.argsort(h, kind="stable")
     s = h[order]
     same = s[1:] == s[:-1]
     mask = np.zeros(len(h), bool)
     mask[order[1:][same]] = True
-    mask[order[:-1][same]] = True
+    if first:
+        mask[order[:-1][same]] = True
     return mask
 
 
@@ -80,7 +82,7 @@ def measure(text: str | None) -> tuple:
             acc = acc[:-1] * ODD + h[k - 1 :]  # rolls on from the hash of k - 1 words
             if k != 3 and k not in cover:
                 continue
-            mask = repeated(acc)
+            mask = repeated(acc, first=k == 3)
             if not mask.any():
                 break  # nothing longer can repeat either
             inside = covered(mask, k, n)
@@ -101,7 +103,7 @@ def repetition_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rules = [
         (failed, "base"),
         (hundred * F.col("dup_line_chars") > LINE_CHARS_LIMIT * F.col("word_chars"), "line characters"),
-        (hundred * F.col("n_dup_lines") > LINES_LIMIT * F.col("n_lines"), "lines"),
+        ((F.col("n_dup_lines") > 1) & (hundred * F.col("n_dup_lines") > LINES_LIMIT * F.col("n_lines")), "lines"),
         (hundred * F.col("n_symbols") > SYMBOLS_LIMIT * F.col("n_words"), "symbols"),
         *((hundred * F.col(f"dup{n}_chars") > top * F.col("word_chars"), f"{n} words") for n, top in NGRAM_LIMITS.items()),
     ]
@@ -116,7 +118,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     grams = ",\n".join(
-        f"w{n} AS (SELECT doc_id, pos, CASE WHEN count(lead{n}) OVER (PARTITION BY doc_id, lead{n}) > 1 AND lead{n} IS NOT NULL THEN 1 ELSE 0 END AS hit FROM\n"
+        f"w{n} AS (SELECT doc_id, pos, CASE WHEN {'count(*)' if n == 3 else 'row_number()'} OVER (PARTITION BY doc_id, lead{n}{'' if n == 3 else ' ORDER BY pos'}) > 1 AND lead{n} IS NOT NULL THEN 1 ELSE 0 END AS hit FROM\n"
         f"  (SELECT doc_id, pos, CASE WHEN pos + {n - 1} <= n THEN array_to_string(list_slice(ws, pos, pos + {n - 1}), ' ') END AS lead{n} FROM words)),\n"
         f"c{n} AS (SELECT doc_id, pos, max(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside FROM w{n}),\n"
         f"s{n} AS (SELECT doc_id, sum(inside) AS n_inside, sum(inside * length(w)) AS chars FROM c{n} JOIN words USING (doc_id, pos) GROUP BY doc_id)"
@@ -146,7 +148,7 @@ FROM split d LEFT JOIN line_sums l ON l.doc_id = d.doc_id
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
 SELECT *, CASE WHEN base_failed THEN 'base'
     WHEN 100 * dup_line_chars > {LINE_CHARS_LIMIT} * word_chars THEN 'line characters'
-    WHEN 100 * n_dup_lines > {LINES_LIMIT} * n_lines THEN 'lines'
+    WHEN n_dup_lines > 1 AND 100 * n_dup_lines > {LINES_LIMIT} * n_lines THEN 'lines'
     WHEN 100 * n_symbols > {SYMBOLS_LIMIT} * n_words THEN 'symbols'
     {rules} END AS reason, reason IS NULL AS kept FROM judged
 """
