@@ -40,11 +40,11 @@ def test_measures_equal_a_plain_count(words, gaps):
 def test_verdicts_and_odd_rows(spark):
     clean = " ".join(f"w{i}" for i in range(120))
     rows = [(1, clean), (1, clean), (2, None), (3, ""), (None, clean), (4, " ".join(["same five words come again"] * 40)), (5, clean + " " + " ".join(f"v{i % 12}" for i in range(72)))]
-    rows += [(6, "\n".join(["one line of some words here"] * 3 + [f"x{i} y{i}" for i in range(40)])), (7, " ".join(f"w{i}#" for i in range(100))), (8, "ab " * 300_000), (9, f"same head\n{clean}\nsame head")]
+    rows += [(6, "\n".join(["one line of some words here"] * 3 + [f"x{i} y{i}" for i in range(80)])), (7, " ".join(f"w{i}#" for i in range(100))), (8, "ab " * 300_000), (9, f"same head\n{clean}\nsame head")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_words", F.lit("clash")).withColumn("kept", F.lit(1))
     got = {(r["doc_id"], r["n_words"]): r for r in repetition_quality(df).collect()}
     assert len(got) == len(rows) - 1
     assert got[1, 120]["kept"] and got[None, 120]["kept"] and got[2, 0]["base_failed"] and got[3, 0]["reason"] == "base"
     assert got[4, 200]["base_failed"] and got[8, 300_000]["base_failed"] and got[7, 100]["reason"] == "symbols"
-    assert got[5, 192]["reason"] == "5 words" and not got[5, 192]["base_failed"] and got[6, 98]["kept"] and got[9, 124]["kept"]
+    assert got[5, 192]["reason"] == "5 words" and not got[5, 192]["base_failed"] and got[6, 178]["kept"] and got[9, 124]["kept"]
     assert repetition_quality(df.limit(0)).collect() == []
