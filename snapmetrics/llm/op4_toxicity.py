@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmetrics.llm.common import held_out, map_rows, table
+from snapmetrics.llm.common import drop_stored, held_out, map_rows, stored, table
 
 SAMPLE = 3_000
 FEATURES = 600
@@ -125,27 +125,10 @@ def _matrix(rows: list[Described], picked: np.ndarray) -> np.ndarray:
     return x
 
 
-def chosen(ids: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Features whose document share differs most between the classes, in standard deviations, and identity terms; sorted."""
-    all_ids, inverse = np.unique(np.concatenate([*ids, np.empty(0, np.int64)]), return_inverse=True)
-    owner = np.repeat(y, [len(i) for i in ids])
-    pos = np.bincount(inverse[owner == 1], minlength=len(all_ids))
-    neg = np.bincount(inverse[owner == 0], minlength=len(all_ids))
-    n_pos, n_neg = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    both = (pos + neg) / (n_pos + n_neg)
-    z = (pos / n_pos - neg / n_neg) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n_pos + 1 / n_neg))
-    z[pos + neg < 4] = 0
-    order = np.lexsort((all_ids, -np.abs(z)))[:FEATURES]
-    terms = np.array([word_features(t)[0] for t in _GROUP], np.int64)
-    return np.union1d(all_ids[order[np.abs(z[order]) >= 3]], terms[np.isin(terms, all_ids)])
-
-
-def fit(rows: list[Described], y: np.ndarray, pairs: list[tuple[str, str]], toxic_share: float) -> dict:
-    """Accelerated gradient descent on logistic loss + ridge + counterfactual penalty."""
-    picked = chosen([ids for ids, _, _ in rows], y)
-    x = _matrix(rows, picked)
+def fit(x: np.ndarray, y: np.ndarray, d: np.ndarray, toxic_share: float) -> tuple[np.ndarray, float]:
+    """Weights and bias by accelerated gradient descent on logistic loss + ridge + counterfactual penalty (``d``: differences
+    of the exchanged sentences)."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    d = _matrix([described(a) for a, _ in pairs], picked) - _matrix([described(b) for _, b in pairs], picked)
     d = d[np.abs(d).sum(axis=1) > 0]
     d = np.hstack([d, np.zeros((len(d), 1), np.float32)])
     w = np.zeros(x.shape[1])
@@ -168,14 +151,28 @@ def fit(rows: list[Described], y: np.ndarray, pairs: list[tuple[str, str]], toxi
         t, s = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
         v, w = new + (s - 1) / t * (new - w), new
     sampled = float(y.mean())
-    bias = float(w[-1]) + math.log(toxic_share / (1 - toxic_share)) - math.log(sampled / (1 - sampled))
-    k = len(picked)
-    return {"bias": bias, "weights": {f: (float(w[j]), float(w[k + j])) for j, f in enumerate(picked.tolist())}}
+    return w[:-1], float(w[-1]) + math.log(toxic_share / (1 - toxic_share)) - math.log(sampled / (1 - sampled))
+
+
+DESCRIBED = T.StructType(
+    [
+        T.StructField("ids", T.ArrayType(T.LongType())),
+        T.StructField("counts", T.ArrayType(T.IntegerType())),
+        T.StructField("n", T.IntegerType()),
+        T.StructField("pairs", T.ArrayType(T.StringType())),
+    ]
+)
+
+
+def _describe(text: str | None) -> tuple:
+    counts, n = features(text)
+    return list(counts), list(counts.values()), n, [s for p in swapped(text or "") for s in p]
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict:
-    """``docs`` (id, text), ``labels`` (id, label 0/1) -> bias and weights by feature. The driver holds the sample's features
-    as flat arrays."""
+    """``docs`` (id, text), ``labels`` (id, label 0/1) -> bias and weights by feature. Features are chosen in Spark: those
+    whose document share differs most between the classes of the sample, in standard deviations, and identity terms;
+    the driver gets the chosen features' counts only."""
     known = labels.filter(~held_out(F.col("id")) & F.col("label").isin(0, 1))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
@@ -187,28 +184,37 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     sample = known.filter(draw < share).groupBy("id").agg(F.max("label").alias("label"))
     # about 2 * SAMPLE rows of two numbers, however large the tables are: the texts need no shuffle
     sample = docs.join(F.broadcast(sample), "id").dropDuplicates(["id"]).select("id", "label", "text")
-    out = T.StructType(
-        [
-            T.StructField("ids", T.ArrayType(T.LongType())),
-            T.StructField("counts", T.ArrayType(T.IntegerType())),
-            T.StructField("n", T.IntegerType()),
-            T.StructField("pairs", T.ArrayType(T.StringType())),
-        ]
-    )
-
-    def describe(text: str | None) -> tuple:
-        counts, n = features(text)
-        return list(counts), list(counts.values()), n, [s for p in swapped(text or "") for s in p]
-
-    got = map_rows(sample, describe, ["text"], out, ["id", "label"]).toArrow()
-    y = np.array(got.column("label").to_pylist(), np.float64)
+    noted = stored(map_rows(sample, _describe, ["text"], DESCRIBED, ["id", "label"]), "sample")
+    rows = sorted(tuple(r) for r in noted.select("id", "label", "n").collect())
+    y = np.array([label for _, label, _ in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return flat
-    order = np.argsort(np.array(got.column("id").to_pylist()), kind="stable")
-    ids, counts, n, pairs = (got.column(c) for c in ("ids", "counts", "n", "pairs"))
-    rows = [(ids[i].values.to_numpy(), counts[i].values.to_numpy(), n[i].as_py()) for i in order.tolist()]
-    sentences = [pairs[i].as_py() for i in order.tolist()]
-    return fit(rows, y[order], [(s[k], s[k + 1]) for s in sentences for k in range(0, len(s), 2)], flat["share"])
+
+    each = noted.select("id", F.col("label"), F.explode(F.arrays_zip("ids", "counts")).alias("f")).select("id", "label", F.col("f.ids").alias("feature"), F.col("f.counts").alias("count"))
+    n_pos, n_neg = float(y.sum()), float((1 - y).sum())
+    stats = each.groupBy("feature").agg(F.sum("label").alias("pos"), F.count("*").alias("both"))
+    at = F.col("both") / (n_pos + n_neg)
+    apart = (F.col("pos") / n_pos - (F.col("both") - F.col("pos")) / n_neg) / F.sqrt(F.greatest(at * (1 - at), F.lit(1e-9)) * (1 / n_pos + 1 / n_neg))
+    stats = stats.filter("both >= 4").withColumn("z", F.abs(apart)).filter("z >= 3")
+    terms = [word_features(t)[0] for t in _GROUP]
+    best = stats.orderBy(F.desc("z"), "feature").limit(FEATURES).select("feature")
+    named = each.filter(F.col("feature").isin(terms)).select("feature").distinct()
+    picked = np.array(sorted({r[0] for r in best.unionByName(named).collect()}), np.int64)
+    cells = each.filter(F.col("feature").isin(picked.tolist())).select("id", "feature", "count").toArrow()
+
+    k, place = len(picked), {row[0]: i for i, row in enumerate(rows)}
+    words = np.array([max(n, 1) for _, _, n in rows])
+    r = np.array([place[i] for i in cells.column("id").to_pylist()], np.int64)
+    c = np.searchsorted(picked, np.array(cells.column("feature").to_pylist(), np.int64))
+    x = np.zeros((len(rows), 2 * k), np.float32)
+    x[r, c] = 1.0
+    x[r, k + c] = np.sqrt(np.minimum(1.0, 25.0 * np.array(cells.column("count").to_pylist()) / words[r])) if len(r) else 0
+    pairs = [p for _, p in sorted((q["id"], q["pairs"]) for q in noted.select("id", "pairs").collect())]
+    flip = [(p[i], p[i + 1]) for p in pairs for i in range(0, len(p), 2)]
+    d = _matrix([described(a) for a, _ in flip], picked) - _matrix([described(b) for _, b in flip], picked)
+    w, bias = fit(x, y, d, flat["share"])
+    drop_stored(noted)
+    return {"bias": bias, "weights": {f: (float(w[j]), float(w[k + j])) for j, f in enumerate(picked.tolist())}}
 
 
 # -------------------------------------------------------------------------------------------------------- scoring

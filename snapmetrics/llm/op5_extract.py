@@ -45,7 +45,7 @@ CLOSES_P = set("address article aside blockquote details div dl fieldset figure
 CONTENT, ASIDE = {"article", "main"}, {"nav", "footer", "aside", "menu", "form", "dialog"}
 BARRED = {"nav", "form", "button", "footer", "aside", "menu", "dialog"}
 #: Words of class and id attributes.
-ASIDE_WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies discussion disqus footer menu nav navbar navigation newsletter notice pagination popup promo promoted related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+ASIDE_WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies discussion disqus footer menu nav navbar navigation newsletter notice pagination popup promo promoted recommendations recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe teaser teasers toolbar trending widget".split())
 CONTENT_WORDS = set("article body content entry main post story text".split())
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/=]+|[^\s>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?)*+)>?", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
