@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from snapmetrics.plans.snapshots import ORACLE as SNAP_ORACLE
 from snapmetrics.plans.snapshots import article_popularity
 from snapmetrics.plans.stores import ORACLE as STORE_ORACLE
-from snapmetrics.plans.stores import STORE_SCHEMA, flat_from_parsed
+from snapmetrics.plans.listings import ORACLE as LISTING_ORACLE
+from snapmetrics.plans.listings import listings_staged_cast
+from snapmetrics.plans.stores import STORE_SCHEMA, flat_from_parsed, store_buffers, store_services_exploded, stores_flat
+from snapmetrics.schemas import STAGED_WEEKLY_LISTING
 from snapmetrics.session import scratch_path
 from snapmetrics.sources import fixtures
 from snapmetrics.operators.joins import only_known
@@ -113,6 +116,27 @@ def writers_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return only_known(drop_partitions(facts, grid, ["file_day"]), known, ["id"]).select("id", "views", "file_day")
 
 
+def store_tables_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-11, SNK-12: the flat stores, their services and their buffers written as three tables; read back, per store:
+    city, named services and buffers."""
+    run, docs = _run(spark, "stores"), fixtures.store_documents(spark, sf_dir)
+    for name, df in (("stores", stores_flat(docs)), ("services", store_services_exploded(docs)), ("buffers", store_buffers(docs))):
+        load_staging(df, f"{run}/{name}")
+    read = lambda name: spark.read.parquet(f"{run}/{name}")
+    services = read("services").groupBy("store_id").agg(F.count("display_name").alias("n_services"))
+    buffers = read("buffers").groupBy("store_id").agg(F.count("wkt").alias("n_buffers"))
+    return read("stores").select("store_id", "city").join(services, "store_id").join(buffers, "store_id")
+
+
+def staged_listings_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4, SNK-10: the typed listings written to a table of their staged columns and read back."""
+    path = f"{_run(spark, 'staged')}/listings"
+    staged = listings_staged_cast(fixtures.raw_listings(spark, sf_dir))
+    assert sorted(staged.columns) == sorted(STAGED_WEEKLY_LISTING.fieldNames())
+    append_fact(staged, path)
+    return spark.read.parquet(path)
+
+
 def ctas_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1: ``CREATE TABLE IF NOT EXISTS … AS`` to an external parquet location; a second call is a no-op."""
     run = _run(spark, "ctas")
@@ -128,6 +152,8 @@ QUERIES = {
     "wholetext_roundtrip": wholetext_roundtrip,
     "csv_readers_roundtrip": csv_readers_roundtrip,
     "writers_roundtrip": writers_roundtrip,
+    "store_tables_roundtrip": store_tables_roundtrip,
+    "staged_listings_roundtrip": staged_listings_roundtrip,
     "ctas_roundtrip": ctas_roundtrip,
 }
 
@@ -143,6 +169,10 @@ ORACLE = {
     "json_docs_roundtrip": STORE_ORACLE["stores_flat"],
     "wholetext_roundtrip": "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, md5(html) AS digest FROM pages",
     "ctas_roundtrip": SNAP_ORACLE["article_popularity"],
+    "staged_listings_roundtrip": LISTING_ORACLE["listings_staged_cast"],
+    "store_tables_roundtrip": f"""
+SELECT f.store_id, f.city, CAST(count(e.display_name) AS BIGINT) AS n_services, CAST(2 AS BIGINT) AS n_buffers
+FROM ({STORE_ORACLE['stores_flat']}) f JOIN ({STORE_ORACLE['store_services_exploded']}) e ON e.store_id = f.store_id GROUP BY ALL""",
     "csv_readers_roundtrip": """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, r AS read_as, CAST(NULL AS VARCHAR) AS c_mktsegment
 FROM customer, (VALUES ('text'), ('typed bigint')) v(r)""",

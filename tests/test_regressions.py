@@ -13,7 +13,7 @@ from snapmetrics.plans.pages import LinkRules, labelled_outlinks, page_articles,
 from snapmetrics.plans.places import match_places
 from snapmetrics.plans.tenders import disperse_clusters, ideal_parts
 from snapmetrics.session import scratch_path
-from snapmetrics.streaming.streams import current_deltas, land, stream_deltas, stream_upsert
+from snapmetrics.streaming.streams import current_deltas, land, late_rows, stream_deltas, stream_snapshots, stream_upsert
 
 NB = " "
 
@@ -142,6 +142,17 @@ def test_late_same_second_and_unreadable_visits_stay(spark, tmp_path):
     assert got == {1: 10, 2: 10, 3: 10, 5: 20, 6: 5, 7: 3, 9: 1}
 
 
+def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
+    waves = [[snap(1, "l", 1, "2024-01-10 10:00:00"), snap(2, "l", 1, "bad time")], [snap(3, "l", 1, "2024-01-01 10:00:00"), snap(4, "l", 1, "2024-01-10 10:00:00")]]
+    for wave in waves:
+        df = spark.createDataFrame(wave, SNAP)
+        land(df, f"{tmp_path}/landing", ["visited_timestamp"])
+        stream_snapshots(spark, f"{tmp_path}/landing", df.schema, f"{tmp_path}/sink", f"{tmp_path}/ckpt")
+    landed, sink = spark.read.parquet(f"{tmp_path}/landing"), spark.read.parquet(f"{tmp_path}/sink")
+    assert sorted(r["snapshot_id"] for r in sink.collect())[:2] == [1, 2] and sink.count() == 2
+    assert [tuple(r) for r in late_rows(landed, sink).collect()] == [("l", "2024-01-01 10:00:00")]
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     class Context:
         master, applicationId = "spark://host:7077", "app"
