@@ -161,5 +161,40 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences(table(spark, sf_dir, "documents"))
 
 
+def _oracle() -> str:
+    """The same from its definition: every header against every template, every directory against every grant."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ",\n    ".join(f"({i}, {quote(name)}, [{', '.join(map(quote, terms_of(t)))}])" for i, (name, t) in enumerate((n, t) for n, ts in TEMPLATES.items() for t in ts))
+    return rf"""
+WITH template AS (SELECT * FROM (VALUES
+    {rows}) v(tid, licence, terms)),
+doc AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN source IS NOT NULL AND doc_id IS NOT NULL THEN array_to_string(list_concat([source],
+    list_transform(range(1, length(CAST(doc_id AS VARCHAR))), lambda n: CAST(doc_id AS VARCHAR)[1:n]), [CAST(doc_id AS VARCHAR) || '.txt']), '/') END AS path FROM documents),
+cut AS (SELECT *, list_filter(string_split(regexp_replace(text, '([.!?;])\s+', '\1' || chr(10), 'g'), chr(10)), lambda s: regexp_matches(s, '{TRIGGER}')) AS lines FROM doc),
+unit AS (SELECT doc_id, row_number() OVER () AS uid, head FROM (
+    SELECT doc_id, unnest(CASE WHEN len(lines) > 1 THEN list_append(lines, array_to_string(lines, chr(10))) ELSE lines END) AS head FROM cut)),
+unit_term AS (SELECT DISTINCT doc_id, uid, lower(unnest(regexp_extract_all(head, '{TERM}'))) AS term FROM unit),
+template_term AS (SELECT DISTINCT tid, licence, unnest(terms) AS term FROM template),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM unit) + (SELECT count(*) FROM template)) / (1 + count(*))) + 1 AS w
+  FROM (SELECT term FROM template_term UNION ALL SELECT term FROM unit_term WHERE term IN (SELECT term FROM template_term)) GROUP BY term),
+unit_norm AS (SELECT uid, sqrt(sum(coalesce(w * w, 1.0))) AS norm FROM unit_term LEFT JOIN idf USING (term) GROUP BY uid),
+template_norm AS (SELECT tid, sqrt(sum(w * w)) AS norm FROM template_term JOIN idf USING (term) GROUP BY tid),
+near AS (SELECT u.doc_id, t.licence, round(sum(w * w) / any_value(n.norm * m.norm), 6) AS similarity
+  FROM unit_term u JOIN template_term t USING (term) JOIN idf USING (term) JOIN unit_norm n USING (uid) JOIN template_norm m USING (tid) GROUP BY u.doc_id, u.uid, t.tid, t.licence),
+best AS (SELECT doc_id, max({{'similarity': similarity, 'licence': licence}}) AS b FROM near GROUP BY doc_id),
+own AS (SELECT c.doc_id, c.path, regexp_replace(c.path, '/?[^/]*$', '') AS directory, CASE WHEN b.similarity >= {LEAST} THEN b END AS b,
+    list_sum(list_concat([0], list_transform(lines, lambda s: length(trim(s, ' '))))) / greatest(length(trim(text, ' ')), 1) >= {FILE_SHARE} OR coalesce(regexp_matches(c.path, '{FILE_NAME}'), false) AS file
+  FROM cut c LEFT JOIN best USING (doc_id)),
+grants AS (SELECT directory AS grant_dir, max(b) AS g FROM own WHERE b IS NOT NULL AND file AND directory IS NOT NULL GROUP BY directory),
+place AS (SELECT DISTINCT directory FROM own WHERE b IS NULL AND directory IS NOT NULL),
+nearest AS (SELECT directory, arg_max(grant_dir, length(grant_dir)) AS grant_dir, arg_max(g, length(grant_dir)) AS g
+  FROM place JOIN grants ON directory = grant_dir OR starts_with(directory, grant_dir || '/') GROUP BY directory)
+SELECT doc_id, path, coalesce(b.licence, g.licence) AS licence, coalesce(b.similarity, g.similarity) AS similarity,
+  CASE WHEN b IS NOT NULL THEN 'own' WHEN g IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CASE WHEN b IS NULL THEN grant_dir END AS from_directory, b IS NOT NULL AND file AS is_licence_file
+FROM own LEFT JOIN nearest USING (directory)
+"""
+
+
 QUERIES = {"op10_licences": op10_licences}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op10_licences": _oracle()}
