@@ -20,6 +20,18 @@ def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
+def presented(df: DataFrame, *order: str, nulls_first_on_desc: bool = False) -> DataFrame:
+    """SRT-1/SRT-2: presentation order of a result; ``-name`` is descending. Ascending puts nulls last in both of the
+    reference's engines; descending puts them last in Presto and first in PostgreSQL (``nulls_first_on_desc``). A range
+    sort over all tasks, applied last, to results that a person reads."""
+    def key(name: str) -> Column:
+        if not name.startswith("-"):
+            return F.col(name).asc_nulls_last()
+        return F.col(name[1:]).desc_nulls_first() if nulls_first_on_desc else F.col(name[1:]).desc_nulls_last()
+
+    return df.orderBy(*[key(c) for c in order])
+
+
 def order_key(order: Sequence[str]) -> Column:
     """Struct that compares like ``ORDER BY order ASC NULLS LAST`` (for ``max_by``/``min_by``)."""
     fields = []

@@ -7,6 +7,7 @@ from snapmetrics.functions.geo import buffer_points, golden_offset
 from snapmetrics.functions.jsonx import repair_json
 from snapmetrics.functions.numbers import counter, eu_number, first_number
 from snapmetrics.functions.text import after_place, attribute_value, between, class_text, cut_after, paragraphs, text_after
+from snapmetrics.operators.ordered import presented
 from snapmetrics.operators.joins import insert_if_absent, only_new, update_by_key
 from snapmetrics.plans.listings import price_eur, price_with_vat, scrape_price_eur, site_price
 from snapmetrics.plans.pages import LinkRules, labelled_outlinks, page_articles, page_outlinks
@@ -71,6 +72,12 @@ def test_places_repeated_records_and_far_matches(spark):
     assert all(r["city_clean"] is None for r in match_places(rec, gaz, max_position=1000).collect())
 
 
+def test_presentation_order_and_its_nulls(spark):
+    df = spark.createDataFrame([("b", 1), ("a", None), ("a", 2), (None, 3), ("a", 5)], "k string, v int")
+    assert [tuple(r) for r in presented(df, "k", "-v").collect()] == [("a", 5), ("a", 2), ("a", None), ("b", 1), (None, 3)]
+    assert [r["v"] for r in presented(df, "-v", nulls_first_on_desc=True).collect()] == [None, 5, 3, 2, 1]
+
+
 def test_no_break_thousands(spark):
     price = f"12{NB}000 лв."
     assert one(spark, price, price_eur("x"), price_with_vat("x"), scrape_price_eur("x"), first_number("x", 3)) == (6126.2, 12000.0, 6136.0, "12000")
