@@ -161,6 +161,57 @@ def shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix(acc + np.uint64(n_here))
 
 
+_BYTES = np.random.default_rng(20250711).integers(0, 1 << 64, 257, dtype=np.uint64)
+_BASE = _BYTES[256] | np.uint64(1)
+_INSIDE = np.ones(256, bool)
+_INSIDE[[0x20, *range(0x09, 0x0E)]] = False
+#: Bytes hashed at a time; a longer text is cut at white space.
+_PIECE = 1 << 20
+
+
+class _Powers:
+    """Powers of the base and of its inverse modulo 2^64, as many as a piece has needed so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def reach(self, n: int) -> None:
+        if n > len(self.up):
+            n = max(n, 2 * len(self.up), 4096)
+            inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+            self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)])) for x in (_BASE, inverse))
+
+
+_POWERS = _Powers()
+
+
+def _hash_piece(data: bytes) -> np.ndarray:
+    b = np.frombuffer(data, np.uint8)
+    _POWERS.reach(len(b) + 1)
+    inside = np.zeros(len(b) + 2, bool)
+    inside[1:-1] = _INSIDE[b]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[::2], edges[1::2]
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTES[b] * _POWERS.up[: len(b)], out=total[1:])
+    return mix((total[end] - total[start]) * _POWERS.down[start])
+
+
+def hash_text(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words between ASCII white space, in order, without a Python object a word: a word's hash is its
+    share of one running polynomial over the bytes, moved to the origin."""
+    parts, at = [], 0
+    while len(data) - at > _PIECE:
+        cut = max(data.rfind(c, at, at + _PIECE) for c in (b" ", b"\n"))
+        if cut <= at:
+            nearest = [i for c in (b" ", b"\n") if (i := data.find(c, at + _PIECE)) >= 0]
+            cut = min(nearest, default=len(data))
+        parts.append(_hash_piece(data[at:cut]))
+        at = cut
+    parts.append(_hash_piece(data[at:]))
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 (bytes.split cuts at exactly these white-space bytes)."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmetrics.llm.common import ODD, hash_words, map_rows, mix, stored, table
+from snapmetrics.llm.common import ODD, hash_text, map_rows, stored, table
 
 #: Fixed masks: 1 selects a token, 0 ignores it. Seven selected tokens each.
 MASKS = ("1111111", "1101101101", "1011010111", "11100010111", "110100110011")
@@ -35,19 +35,20 @@ _HIT = T.ArrayType(T.StructType([T.StructField("seed", T.LongType()), T.StructFi
 
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of the normalised tokens of a whole text."""
-    return hash_words(text.lower().encode("utf-8", "surrogatepass").translate(_PUNCTUATION).split()) if text else np.empty(0, np.uint64)
+    return hash_text(text.lower().encode("utf-8", "surrogatepass").translate(_PUNCTUATION)) if text else np.empty(0, np.uint64)
 
 
 def seeds(h: np.ndarray, mask: str) -> np.ndarray:
-    """Hash of the selected tokens of every window of a mask."""
+    """Hash of the selected tokens of every window of a mask: a polynomial of their hashes, which are uniform in all bits."""
     n = len(h) - len(mask) + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     acc = np.full(n, xxhash.xxh3_64_intdigest(mask), np.uint64)
     for k, c in enumerate(mask):
         if c == "1":
-            acc = acc * ODD + h[k : k + n]
-    return mix(acc)
+            acc *= ODD
+            acc += h[k : k + n]
+    return acc
 
 
 def masks_for(n_words: int) -> list[str]:
