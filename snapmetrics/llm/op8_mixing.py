@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from snapmetrics.llm.common import stored, table
 
 PERIOD = 1_000
-CHUNK_ROWS = 10_000
+CHUNK_ROWS = 2_000
 BLOCK_CHARS = 100_000
 TEMPERING = 0.5
 
