@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +17,6 @@ from snapmetrics.session import configure, scratch_path
 
 #: Rows of one Arrow batch: a batch of long texts must fit beside the model in a small Python worker.
 BATCH_ROWS = 256
-#: Words kept in a worker's hash cache before it is emptied.
-CACHE_WORDS = 400_000
-MASK64 = (1 << 64) - 1
 
 
 # ---------------------------------------------------------------------------------------------- session and tables
@@ -121,23 +117,6 @@ def row_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
 
 
 # -------------------------------------------------------------------------------------------------------- hashing
-class WordHash(dict):
-    """word (bytes) -> 64-bit hash, cached; the cache is emptied when it has grown too large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-WORDS = WordHash()
-
-
-def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser over uint64 lanes (each output bit depends on every input bit)."""
     x = x ^ (x >> np.uint64(32))
@@ -210,13 +189,3 @@ def hash_text(data: bytes) -> np.ndarray:
         at = cut
     parts.append(_hash_piece(data[at:]))
     return np.concatenate(parts) if len(parts) > 1 else parts[0]
-
-
-def ascii_words(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 (bytes.split cuts at exactly these white-space bytes)."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
-
-
-def ascii_lower_words(text: str | None) -> list[bytes]:
-    """The same with A-Z lower-cased (bytes.lower touches ASCII letters only)."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmetrics.llm.common import ODD, ascii_words, hash_words, map_rows, table
+from snapmetrics.llm.common import ODD, hash_text, map_rows, table
 
 #: Share of word characters (per cent) that duplicated n-grams may cover, published repetition rules.
 NGRAM_LIMITS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
@@ -57,8 +57,9 @@ def covered(mask: np.ndarray, n: int, n_words: int) -> np.ndarray:
 
 def measure(text: str | None) -> tuple:
     text = text or ""
-    words = ascii_words(text)
-    n = len(words)
+    data = text.encode("utf-8", "surrogatepass")
+    h = hash_text(data)
+    n = len(h)
     word_chars = len(text) - sum(map(text.count, SPACES))
     n_symbols = sum(map(text.count, SYMBOLS))
     seen: set[str] = set()
@@ -73,7 +74,6 @@ def measure(text: str | None) -> tuple:
             seen.add(line)
     repeat_words, cover = 0, dict.fromkeys(NGRAM_LIMITS, 0)
     if n > 3:
-        h = hash_words(words)
         lengths = None
         acc = h
         for k in range(2, max(NGRAM_LIMITS) + 1):
@@ -90,7 +90,7 @@ def measure(text: str | None) -> tuple:
                 repeat_words = int(inside.sum())
             if k in cover:
                 if lengths is None:
-                    lengths = np.fromiter((len(w.decode("utf-8", "surrogatepass")) for w in words), np.int64, n)
+                    lengths = np.fromiter((len(w.decode("utf-8", "surrogatepass")) for w in data.split()), np.int64, n)
                 cover[k] = int(lengths[inside].sum())
     return (n, word_chars, n_symbols, dup_lines, repeat_words, n_lines, dup_line_chars, *cover.values())
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmetrics.llm.common import ODD, ascii_lower_words, drop_stored, hash_words, map_rows, mix, shingle_hashes, stored, table
+from snapmetrics.llm.common import ODD, drop_stored, hash_text, map_rows, mix, shingle_hashes, stored, table
 from snapmetrics.llm.components import components
 
 BANDS, ROWS = 28, 4
@@ -60,7 +60,8 @@ SIGNED = T.StructType(
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a whole text."""
-    return np.unique(shingle_hashes(hash_words(ascii_lower_words(text)), words))
+    lower = text.encode("utf-8", "surrogatepass").lower() if text else b""  # bytes.lower touches A-Z only
+    return np.unique(shingle_hashes(hash_text(lower), words))
 
 
 def signature(x: np.ndarray) -> np.ndarray:
