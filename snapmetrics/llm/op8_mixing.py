@@ -5,15 +5,16 @@ its j-th block the release time floor(j / w) and the deadline ceil((j + 1) / w)
 earliest-deadline-first picks the next block among the released ones. Since the weights add up to one, every block
 is placed inside its window, so after any number of slots t each source has had between w * t - 1 and w * t + 1 blocks.
 
-Weights are whole parts of ``PERIOD`` (at least four per source): the schedule repeats after one period, so the scheduler
-runs over one period on the driver (a table that depends on the number of sources alone) and block j of a source
-gets its slot by arithmetic in Spark, wherever its documents are.
+Weights are exact (``exact_parts``: integers over a common sum, no rounding), so the bound holds against the weights as given, however
+long the mix. The driver runs through the blocks once, in order, and keeps the state (slot, blocks had by source) of every
+``RANGE`` blocks only; Spark tasks schedule the ranges again from these states, and documents join their block's slot. The driver's
+pass takes time by the number of blocks (not documents), its memory is one number a source and range.
 
 Numbering the documents of a source never puts the source in one task: the hash range is cut into chunks of about
 ``CHUNK_ROWS`` rows, sizes are summed by (source, chunk), and the sums before a chunk are added to the running sum inside it.
 
-A source that runs out leaves its slots empty; the mix holds up to the slot at which the first source of positive weight
-runs out (``in_mix``), later blocks follow in the same order. No document is dropped. A source's weight must be set by
+The mix holds up to the slot at which the first source of positive weight runs out (``in_mix``); later blocks follow, each still
+inside its window: they compete for the slots of the sources that ran out, and a slot without a released block stays empty. No document is dropped. A source's weight must be set by
 ``weights`` (relative numbers; a source not listed, or listed with 0, has no window: its documents come after all
 others, slot null); without ``weights`` a source's weight is its share of characters to the power ``tempering``.
 
@@ -26,24 +27,40 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmetrics.llm.common import stored, table
+from snapmetrics.llm.common import map_rows, stored, table
 
 PERIOD = 1_000
+#: Blocks that one Spark task row schedules.
+RANGE = 20_000
 CHUNK_ROWS = 2_000
 BLOCK_CHARS = 100_000
 TEMPERING = 0.5
 
-PLAN = T.StructType([T.StructField("source", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("turn", "per_period", "at", "period"))])
+PLAN = T.StructType([T.StructField("of", T.ArrayType(T.StringType())), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("of_block", "release", "deadline", "slot"))])
+LAST = (1 << 63) - 1
+
+
+def exact_parts(weights: dict) -> tuple[dict, int]:
+    """Weights as integers over their sum: source s has the weight parts[s] / period, without rounding."""
+    live = {s: Fraction(w) for s, w in weights.items() if w and w > 0}
+    common = math.lcm(*(w.denominator for w in live.values()))
+    parts = {s: int(w * common) for s, w in live.items()}
+    shared = math.gcd(*parts.values()) or 1
+    parts = {s: p // shared for s, p in parts.items()}
+    return parts, sum(parts.values())
 
 
 def parts_of_period(weights: dict) -> tuple[dict, int]:
-    """Whole parts of a period, by largest remainders; every positive weight gets one part at least."""
+    """Whole parts of a short period, by largest remainders; every positive weight gets one part at least. A rounded table
+    for a look at one period: ``pfair_mix`` schedules by ``exact_parts``."""
     live = {s: Fraction(w) for s, w in weights.items() if w and w > 0}
     if not live:
         return {}, 0
@@ -62,23 +79,54 @@ def parts_of_period(weights: dict) -> tuple[dict, int]:
     return parts, period
 
 
-def schedule(parts: dict, period: int) -> list[tuple]:
-    """(source, turn, parts, slot, period): earliest deadline first over the released blocks of one period. Equal deadlines
-    go to the source with more parts, then by name."""
-    heap, ready, out = [(0, s is None, str(s), 0, s) for s in parts], [], []
+def picks(parts: dict, period: int, blocks: dict, slot: int = 0, had: dict | None = None) -> Iterator[tuple]:
+    """(source, turn, slot): earliest deadline first over the released blocks, from a slot at which the sources have ``had``
+    their blocks up to the last of ``blocks``. Equal deadlines go to the source with more parts, then by name."""
+    had = had or {}
+    heap = [(had.get(s, 0) * period // p, s is None, str(s), had.get(s, 0), s) for s, p in parts.items() if had.get(s, 0) < blocks[s]]
+    ready: list[tuple] = []
     heapq.heapify(heap)
-    for slot in range(period):
+    while heap or ready:
+        if not ready and heap[0][0] > slot:
+            slot = heap[0][0]  # nothing is released before
         while heap and heap[0][0] <= slot:
             _, unnamed, name, turn, s = heapq.heappop(heap)
-            deadline = -(-(turn + 1) * period // parts[s])
-            heapq.heappush(ready, (deadline, -parts[s], unnamed, name, turn, s))
-        if not ready:
-            continue
-        deadline, _, unnamed, name, turn, s = heapq.heappop(ready)
-        out.append((s, turn, parts[s], slot, period))
-        if turn + 1 < parts[s]:
+            heapq.heappush(ready, (-(-(turn + 1) * period // parts[s]), -parts[s], unnamed, name, turn, s))
+        _, _, unnamed, name, turn, s = heapq.heappop(ready)
+        yield s, turn, slot
+        if turn + 1 < blocks[s]:
             heapq.heappush(heap, ((turn + 1) * period // parts[s], unnamed, name, turn + 1, s))
-    return out
+        slot += 1
+
+
+def schedule(parts: dict, period: int) -> list[tuple]:
+    """(source, turn, parts, slot, period) of one period."""
+    return [(s, turn, parts[s], slot, period) for s, turn, slot in picks(parts, period, parts)]
+
+
+def range_starts(parts: dict, period: int, blocks: dict, step: int) -> list[tuple]:
+    """(slot, blocks had by source) before every ``step``-th block."""
+    had, starts = dict.fromkeys(parts, 0), []
+    for i, (s, turn, slot) in enumerate(picks(parts, period, blocks)):
+        if i % step == 0:
+            starts.append((min(slot, LAST), list(had.values())))
+        had[s] = turn + 1
+    return starts
+
+
+def slots(spark: SparkSession, parts: dict, period: int, blocks: dict) -> DataFrame:
+    """of (source), of_block, release, deadline, slot of every block, ranges of blocks scheduled by Spark tasks."""
+    step = max(RANGE, len(parts))
+    starts = spark.createDataFrame(range_starts(parts, period, blocks, step), "first long, had array<long>")
+
+    def run(first: int, had: list) -> tuple:
+        got = list(islice(picks(parts, period, blocks, first, dict(zip(parts, had, strict=True))), step))
+        release = [min(turn * period // parts[s], LAST) for s, turn, _ in got]
+        deadline = [min(-(-(turn + 1) * period // parts[s]), LAST) for s, turn, _ in got]
+        return [s for s, _, _ in got], [turn for _, turn, _ in got], release, deadline, [min(slot, LAST) for _, _, slot in got]
+
+    made = map_rows(starts, run, ["first", "had"], PLAN)
+    return stored(made.select(F.inline(F.arrays_zip(*PLAN.names))), "slots")
 
 
 def numbered(rows: DataFrame, total: int) -> DataFrame:
@@ -107,27 +155,19 @@ def pfair_mix(
     totals = {r["source"]: (r["n"], r["chars"]) for r in rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).collect()}
     if weights is None:
         weights = {s: max(c or 0, 1) ** tempering for s, (_, c) in totals.items()}
-    parts, period = parts_of_period({s: w for s, w in weights.items() if s in totals})
-    plan = df.sparkSession.createDataFrame(schedule(parts, period), PLAN)
+    parts, period = exact_parts({s: w for s, w in weights.items() if s in totals})
+    # a last block of empty texts may begin where the source ends
+    plan = slots(df.sparkSession, parts, period, {s: (totals[s][1] or 0) // block_chars + 1 for s in parts})
 
     placed = numbered(rows, sum(n for n, _ in totals.values()))
     placed = placed.withColumn("block", F.floor(F.col("before") / block_chars).cast("long"))
-    shares = df.sparkSession.createDataFrame([(s, p) for s, p in parts.items()], "of string, parts long")
-    # both tables have at most one row per part of the period: sources and weights bound them, not the documents
-    placed = placed.join(F.broadcast(shares), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-    turns = plan.select(F.col("source").alias("of"), F.col("turn").alias("of_turn"), "at")
-    placed = placed.withColumn("turn", F.col("block") % F.col("parts"))
-    placed = placed.join(F.broadcast(turns), F.col("source").eqNullSafe(F.col("of")) & (F.col("turn") == F.col("of_turn")), "left")
-    period_ = F.lit(max(period, 1)).cast("long")
-    release = F.floor(F.col("block") * period_ / F.col("parts")).cast("long")
-    deadline = F.ceil((F.col("block") + 1) * period_ / F.col("parts")).cast("long")
-    slot = F.floor(F.col("block") / F.col("parts")).cast("long") * period_ + F.col("at")
+    placed = placed.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block")), "left")
     # the mix holds until a source of positive weight has placed its last block
     ends = [-(-max(1, -(-totals[s][1] // block_chars)) * period // p) for s, p in parts.items() if totals[s][1]]
-    horizon = min(ends, default=0)
+    horizon = min(min(ends, default=0), LAST)
     return placed.select(
-        F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "block", release.alias("release"), deadline.alias("deadline"),
-        slot.alias("slot"), (F.col("before") - F.col("block") * block_chars).alias("place"), F.coalesce(slot < horizon, F.lit(False)).alias("in_mix"),
+        F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "block", "release", "deadline",
+        "slot", (F.col("before") - F.col("block") * block_chars).alias("place"), F.coalesce(F.col("slot") < horizon, F.lit(False)).alias("in_mix"),
     )
 
 

@@ -50,3 +50,24 @@ def test_unlisted_source_comes_last_and_empty_table(spark):
     got = {r["doc_id"]: r for r in pfair_mix(df, {"a": 1}).collect()}
     assert got[2]["slot"] is None and not got[2]["in_mix"] and got[1]["slot"] == 0 and got[1]["in_mix"]
     assert pfair_mix(df.limit(0)).collect() == []
+
+
+def test_deviation_from_the_unrounded_weights_stays_below_one_block(spark, monkeypatch):
+    from snapmetrics.llm import op8_mixing
+
+    monkeypatch.setattr(op8_mixing, "RANGE", 700, raising=False)  # several ranges, scheduled apart
+    rows = [(i, "b" if i == 0 else "c" if i % 3 == 0 else "a", "x" * 10) for i in range(4_200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for weights in ({"a": 0.6671, "b": 0.0003, "c": 0.3326}, None):
+        got = pfair_mix(df, weights, block_chars=10).collect()
+        exact = {s: Fraction(w) for s, w in (weights or {s: sum(r["size"] for r in got if r["source"] == s) ** 0.5 for s in "abc"}).items()}
+        share = {s: w / sum(exact.values()) for s, w in exact.items()}
+        assert all(r["release"] == r["block"] // share[r["source"]] <= r["slot"] < r["deadline"] == -(-(r["block"] + 1) // share[r["source"]]) for r in got)
+        assert len({r["slot"] for r in got}) == len(rows)
+        mix = {r["slot"]: r["source"] for r in got if r["in_mix"]}
+        had = dict.fromkeys(share, 0)
+        for t in range(max(mix) + 1):
+            had[mix[t]] += 1
+            assert all(abs(had[s] - share[s] * (t + 1)) < 1 for s in had)
+        if weights:
+            assert max(mix) + 1 == -(-1 // share["b"]) > 3_300  # a source below 1/1000 is not over-weighted
