@@ -2,8 +2,8 @@
 
 1. One pass over the whole texts hashes each document's word shingles and keeps the set's size, a 128-bit digest of the
    sorted set and ``BANDS * ROWS`` minima of universal hashes ``(a * x + b) mod 2^32``.
-2. Documents of equal sets form a class (grouped by digest with map-side minima), so exact copies never meet again;
-   the smallest id stands for its class.
+2. Documents of equal sets form a class (grouped by digest with map-side minima), so exact copies never meet again.
+   Classes are numbered, and these numbers are linked: ids need be neither unique nor there.
 3. Representatives that agree on the ``ROWS`` minima of a band share a bucket; at similarity 0.8 two documents share
    none with probability 4e-7. Each member is paired with the bucket centre (smallest id) it meets most often, one
    pair a member, and pairs whose signatures agree well enough are confirmed on the full sets.
@@ -14,12 +14,14 @@
    keys hold ``COMMON`` rows at most. Two documents with r rare shingles in common share at most min(common) + r;
    only pairs that can reach the similarity are confirmed on their texts. With r = 0 that takes two sets of nearly nothing
    but common shingles: they meet by bucket and size class.
-5. Alternating large-star and small-star give the components of all confirmed links.
+5. Alternating large-star and small-star give the components of all confirmed links; the smallest id of its documents names
+   a component.
 
 Defined results: a text that is null, empty or without words has the empty set: 0 shingles, its own component, kept.
-A null id can't name a group: such a row takes its class's id if another copy has one, else null, and is kept only in
-the latter case. Rows that repeat an id and text repeat their result; rows that repeat an id with another text get the
-result of their own text. Extra columns are ignored; an empty table gives an empty result.
+A null id can't name a group: such a row takes its component's id if another document has one, else null; of a component
+without any id one text is kept. Rows that repeat an id and text repeat their result; rows that repeat an id with another text
+get the result of their own text, and of several texts of a component's smallest id one is kept. Extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -134,16 +136,23 @@ def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     signed = stored(map_rows(keyed, lambda t: sign(t, words), ["text"], SIGNED, ["id", "text_key"]), "signed")
-    classes = stored(signed.filter("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    reps = signed.filter("n_shingles > 0").join(classes.select(F.col("rep").alias("id"), "digest"), ["id", "digest"])
-    reps = stored(reps.dropDuplicates(["id", "digest"]).select("id", "text_key", F.col("n_shingles").alias("n"), "keys", "short"), "reps")
-
+    classes = signed.filter("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("doc"))
+    # numbered in the order of ids, so that a bucket's centre is its smallest id; written once: the numbers stay
+    classes = classes.orderBy(F.col("doc").asc_nulls_last(), "digest")
+    classes = stored(classes.select("digest", "doc", F.monotonically_increasing_id().alias("node")), "classes")
+    reps = signed.select(F.col("id").alias("of"), F.col("digest").alias("of_digest"), "text_key", "n_shingles", "keys", "short")
+    reps = reps.join(classes, (F.col("of_digest") == F.col("digest")) & F.col("of").eqNullSafe(F.col("doc"))).groupBy(F.col("node").alias("id"))
+    same = [F.first(c).alias(a) for c, a in (("digest", "digest"), ("doc", "doc"), ("n_shingles", "n"), ("keys", "keys"), ("short", "short"))]
+    reps = stored(reps.agg(F.min("text_key").alias("text_key"), *same), "reps")
+
+    # from here on an id is a class's number
     members = reps.select("id", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last")
     grouped = stored(members.join(buckets.select("key", "centre"), "key"), "members")  # buckets of two or more only
-    own = reps.join(grouped.select("id").distinct(), "id", "left_semi").select("id", "text_key", "n", "short")
-    texts = docs.withColumn("text_key", F.xxhash64("text")).join(own, ["id", "text_key"]).dropDuplicates(["id", "text_key"])
-    texts = stored(texts.drop("text_key"), "texts")
+    own = reps.join(grouped.select("id").distinct(), "id", "left_semi").select("id", "doc", "text_key", "n", "short")
+    texts = docs.select(F.col("id").alias("of"), "text", F.xxhash64("text").alias("of_key"))
+    texts = texts.join(own, F.col("of").eqNullSafe(F.col("doc")) & (F.col("of_key") == F.col("text_key")))
+    texts = stored(texts.select("id", "text", "n", "short").dropDuplicates(["id"]), "texts")
 
     # one centre for each member: the one of most of its buckets
     star = grouped.filter("id <> centre").groupBy(F.col("id").alias("b"), F.col("centre").alias("a")).agg(F.count("*").alias("n"))
@@ -155,14 +164,22 @@ def minhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     more = stored(confirmed(across, texts, words, percent), "links")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
-    for scratch in (reps, grouped, texts, across):
+    for scratch in (classes, grouped, texts, across):
         drop_stored(scratch)
 
-    found = classes.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    found = found.select("digest", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+    # the smallest id of a component names it; of several texts of that id, or of a component without ids, one is kept
+    named = reps.select("id", "digest", "doc", "text_key").join(parts.withColumnRenamed("node", "id"), "id", "left")
+    first = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc", "digest", "text_key")).alias("first")
+    firsts = named.filter("component is not null").groupBy(F.col("component").alias("part")).agg(first)
+    found = named.join(firsts, F.col("component") == F.col("part"), "left")
+    chosen = F.when(F.col("part").isNull() | (F.col("first.digest") == F.col("digest")), F.col("text_key")).alias("chosen")
+    found = found.select("digest", F.col("doc").alias("class_id"), F.coalesce("first.doc", "doc").alias("component_id"), chosen)
     out = signed.select("id", "text_key", "n_shingles", "digest").join(found, "digest", "left")
-    out = out.select("id", "text_key", "n_shingles", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "text_key", "n_shingles", "class_id", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    alone = F.col("digest").isNull()
+    kept = alone | (F.col("id").eqNullSafe(F.col("component_id")) & F.col("text_key").eqNullSafe(F.col("chosen")))
+    return out.select(
+        F.col("id").alias(id_col), "text_key", "n_shingles", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"), kept.alias("kept")
+    )
 
 
 def _across(grouped: DataFrame, parts: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:

@@ -98,3 +98,20 @@ def test_alternating_stars_on_random_graphs(spark):
                 root[y] = x
         got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
         assert got == {i: find(i) for i in list(root)}
+
+
+def test_one_id_with_several_texts_and_near_copies_without_id(spark):
+    rng = random.Random(5)
+    near = lambda ws, i: " ".join([*ws[:i], f"e{i}", *ws[i + 1 :]])
+    a, b, c, d = ([f"{x}{rng.randrange(10**6)}" for _ in range(200)] for x in "abcd")
+    rows = [(5, near(a, 0)), (7, " ".join(a)), (7, " ".join(b))]  # b is clean, whatever the other text of its id is near to
+    rows += [(None, " ".join(c)), (None, near(c, 199)), (None, near(c, 0)), (None, near(c, 0))]  # near copies, no id at all
+    rows += [(9, " ".join(d)), (9, near(d, 0)), (9, " ".join(d).upper()), (None, near(d, 199))]  # near copies of one id
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    keys = [r["text_key"] for r in df.collect()]
+    got = minhash_components(df).collect()
+    assert len(got) == len(rows)
+    by = {(r["doc_id"], r["text_key"]): (r["component_id"], r["kept"]) for r in got}
+    assert [by[rows[i][0], keys[i]] for i in range(3)] == [(5, True), (5, False), (7, True)]
+    assert {by[None, keys[i]][0] for i in range(3, 7)} == {None} and sum(by[None, keys[i]][1] for i in (3, 4, 5)) == 1
+    assert by[None, keys[10]] == (9, False) and sorted(by[9, keys[i]] for i in (7, 8, 9)) == [(9, False), (9, False), (9, True)]
