@@ -13,7 +13,7 @@ from snapmetrics.plans import registry  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 from snapmetrics.sources.tables import TABLES  # noqa: E402
 
-from conftest import SMALL  # noqa: E402
+from small_tables import SMALL  # noqa: E402
 
 STREAMING = {"stream_snapshots", "stream_upsert", "stream_deltas", "stream_daily_totals"}
 

@@ -7,7 +7,7 @@ from snapmetrics.operators.ordered import chunked_lag, chunked_running_sum
 from snapmetrics.plans import places, snapshots
 from snapmetrics.sources import fixtures
 
-from conftest import SMALL
+from small_tables import SMALL
 
 
 def test_chunked_lag_equals_window(spark):
