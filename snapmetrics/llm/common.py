@@ -96,6 +96,25 @@ def map_rows(df: DataFrame, fn: Callable, inputs: list[str], out: T.StructType,
     return df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(sent)]).mapInArrow(run, schema)
 
 
+def map_lists(df: DataFrame, fn: Callable, inputs: list[str], out: T.StructType, keep: list[str] = (), setup: Callable | None = None) -> DataFrame:
+    """``map_rows`` for functions of whole batches: ``fn(*lists of inputs) -> list of tuples``, one a row and in order."""
+    keep, inputs = list(keep), list(inputs)
+    sent = list(dict.fromkeys([*keep, *inputs]))
+    at = [sent.index(c) for c in inputs]
+    schema = T.StructType([*(df.schema[c] for c in keep), *out.fields])
+    types = [to_arrow_type(f.dataType) for f in out.fields]
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = () if setup is None else (setup(),)
+        for b in batches:
+            rows = fn(*first, *[b.column(i).to_pylist() for i in at])
+            made = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), *made], names=names)
+
+    return df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(sent)]).mapInArrow(run, schema)
+
+
 # ------------------------------------------------------------------------------------------ whole rows through a stage
 ROW, ID_KEY, TEXT_KEY = "__row", "__id", "__text"
 

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
 
 import __spark_entry__ as entry
 from check_oracle import rows_of
-from snapmetrics.llm.registry import registry
+from snapmetrics.llm.registry import MODULES, registry
 
 SMALL = "/root/testdata/sf0.001"
 CONTRACT = {
@@ -21,12 +21,13 @@ CONTRACT = {
     "op6_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op7_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
-def test_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     names = [n for n in registry()[0]]
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, len(MODULES) + 1))
     assert set(registry()[0]) <= set(entry.queries()) and set(registry()[1]) <= set(entry.oracle_sql())
 
 
