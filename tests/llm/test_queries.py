@@ -22,6 +22,7 @@ CONTRACT = {
     "op7_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op11_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
