@@ -6,7 +6,7 @@ import importlib
 
 import corpus_pipeline
 
-MODULES = ["op1_quality", "op2_decontaminate", "op3_minhash", "op4_toxicity", "op5_extract", "op6_secrets", "op7_pii", "op8_mixing", "op9_language", "op10_licences", "op11_runs", "op12_bpe"]
+MODULES = ["op1_quality", "op2_decontaminate", "op3_minhash", "op4_toxicity", "op5_extract", "op6_secrets", "op7_pii", "op8_mixing", "op9_language", "op10_licences", "op11_runs", "op12_bpe", "op13_spelling"]
 
 
 def registry() -> tuple[dict, dict]:

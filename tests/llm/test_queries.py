@@ -23,6 +23,7 @@ CONTRACT = {
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op11_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op12_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op13_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
 }
 
 
@@ -37,7 +38,7 @@ def test_query_runs_and_equals_its_sql(spark, name):
     df = entry.queries()[name](spark, SMALL)
     assert set(CONTRACT.get(name, [])) <= set(df.columns)
     rows = df.collect()
-    if name in CONTRACT:
+    if name in CONTRACT and name != "op13_spelling":
         table = "pages" if name == "op5_extract" else "documents"
         assert len(rows) == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
     if name in ("op6_secrets", "op10_licences"):
