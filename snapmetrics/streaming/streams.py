@@ -1,24 +1,33 @@
 """Structured Streaming twins of the batch operators (PIPE-36..39, STM-1..4) over landing files.
 
-Each job reads a landing folder with ``readStream``, runs under ``trigger(availableNow=True)`` with a checkpoint
-location in the shared checkpoint folder (so a lost executor or a restarted driver resumes from the last committed
-batch). Batches write their own ``batch_id=`` partition (or the changed days) with overwrite, so a replayed batch
-replaces its own output. Counters and timestamps that can't be read become null and never stop a stream.
+Each job reads a folder with ``readStream``, runs under ``trigger(availableNow=True)`` with a checkpoint in the shared
+folder (a lost executor or a restarted driver resumes from the last committed batch) and costs what its batch holds, not
+what is stored: what has to be remembered is in Spark's state store, bounded by the watermark, or in partitions that a
+batch prunes by its keys. Batches write their own ``batch_id=`` or ``version=`` partition with overwrite. Jobs that read each
+other's output run one after the other, so a replayed batch is replaced before anything reads it.
+
+No row is dropped: what is later than a watermark, or has no readable time, goes to a second table (``route``, or the
+``late`` rows of ``stream_deltas``) and is merged by key from there (``merge_aside``, ``apply_late``, ``corrections``).
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from snapmetrics.operators.joins import insert_if_absent
 from snapmetrics.session import scratch_path
 
 WATERMARK = "1 day"
-BATCH = "batch_id"
+BATCH, VERSION, BUCKET = "batch_id", "version", "bucket"
+#: Versions between two batches, for the corrections of late rows.
+VERSIONS = 1_000
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -35,155 +44,319 @@ def stamp(c: str) -> Column:
     return F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
-def _landing(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None) -> DataFrame:
+def _landing(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
 
-def _run(stream: DataFrame, checkpoint: str, batch) -> None:
-    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+def _run(stream: DataFrame, checkpoint: str, batch, mode: str = "append") -> None:
+    q = stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", checkpoint)
     q.trigger(availableNow=True).start().awaitTermination()
 
 
-def _create(spark: SparkSession, path: str) -> None:
-    """The folder of an empty table, so that the first batch reads it (with its schema) like any other."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+def _create(spark: SparkSession, *paths: str) -> None:
+    """The folders of empty tables, so that the first batch reads them (with their schema) like any other."""
+    for path in paths:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
 
 
 def _write(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def _with(schema: T.StructType, **fields: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in fields.items())])
+
+
+# ---------------------------------------------------------------- on time or aside
+
+
+def route(stream: DataFrame, time_col: str, delay: str, out: str, checkpoint: str) -> None:
+    """Write a stream's rows to ``out/way=on_time|aside/batch_id=``: aside is what has no time or is more than ``delay`` behind the
+    newest time of this and all earlier batches. A watermark of ``delay`` over the rows on time therefore drops none.
+    The newest time is one value a batch, kept beside the rows."""
+    spark = stream.sparkSession
+    mark = lambda batch_id: f"{out}-newest/{BATCH}={batch_id}"
+    _create(spark, f"{out}/way=on_time", f"{out}/way=aside")
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        newest = df.agg(F.max(time_col).alias("t"))
+        if batch_id:
+            newest = newest.unionByName(spark.read.schema("t timestamp").parquet(mark(batch_id - 1))).agg(F.max("t").alias("t"))
+        newest.coalesce(1).write.mode("overwrite").parquet(mark(batch_id))
+        at = spark.read.schema("t timestamp").parquet(mark(batch_id)).select(F.col("t").alias("_newest"))
+        on_time = F.coalesce(F.col(time_col) >= F.col("_newest") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        way = F.when(on_time, "on_time").otherwise("aside")
+        # one row: no cross join in size
+        routed = df.join(F.broadcast(at), F.lit(True), "left").withColumn("way", way).drop("_newest")
+        _write(routed.withColumn(BATCH, F.lit(batch_id).cast("long")), out, ["way", BATCH])
+
+    _run(stream, checkpoint, batch)
+
+
+def _routed(spark: SparkSession, out: str, way: str, schema: T.StructType) -> DataFrame:
+    return _landing(spark, f"{out}/way={way}", _with(schema, **{BATCH: T.LongType()}))
+
+
 # ---------------------------------------------------------------- STM-1
 
+KEY = ["link", "visited_timestamp"]
 
-def stream_snapshots(spark: SparkSession, landing: str, schema: StructType, sink: str, checkpoint: str,
-                     delay: str = WATERMARK, files_per_trigger: int | None = None) -> None:
-    """STM-1: landing files -> snapshot table deduplicated on (link, visit time) within the watermark.
 
-    A row later than the watermark (``delay`` behind the newest visit) is dropped: its copies can't be told any more.
-    ``late_rows`` counts them; a visit time that can't be read counts as a visit now.
-    """
-    s = (
-        _landing(spark, landing, schema, files_per_trigger)
-        .withColumn("_visit", F.coalesce(stamp("visited_timestamp"), F.current_timestamp()))
-        .withWatermark("_visit", delay)
-        .dropDuplicatesWithinWatermark(["link", "visited_timestamp"])
-        .drop("_visit")
-    )
-    q = s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+def stream_snapshots(spark: SparkSession, landing: str, schema: T.StructType, tables: str, checkpoint: str,
+                     delay: str = WATERMARK, files_per_trigger: int | None = None) -> None:
+    """STM-1: landing files -> ``tables/sink``, once each (link, visit time). Rows are routed first; copies among the rows on
+    time are found in the state store within the watermark. Rows aside wait in ``tables/routed/way=aside`` for
+    ``merge_aside``; sink and merged rows together are the landed rows less copies, in whatever order they arrive."""
+    landed = _landing(spark, landing, schema, files_per_trigger).withColumn("_visit", stamp("visited_timestamp"))
+    route(landed, "_visit", delay, f"{tables}/routed", f"{checkpoint}/route")
+    kept = _routed(spark, f"{tables}/routed", "on_time", landed.schema).withWatermark("_visit", delay).dropDuplicatesWithinWatermark(KEY)
+    day = F.date_format("_visit", "yyyy-MM-dd")
+    q = kept.withColumn("visit_day", day).drop("_visit", BATCH).writeStream.format("parquet").partitionBy("visit_day")
+    q = q.option("path", f"{tables}/sink").option("checkpointLocation", f"{checkpoint}/sink")
     q.trigger(availableNow=True).start().awaitTermination()
 
 
-def late_rows(landed: DataFrame, sink: DataFrame) -> DataFrame:
-    """(link, visited_timestamp) of landed rows that no row of the sink stands for."""
-    keys = ["link", "visited_timestamp"]
-    there = sink.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = F.col("link").eqNullSafe(F.col("_link")) & F.col("visited_timestamp").eqNullSafe(F.col("_visited_timestamp"))
-    return landed.select(*keys).join(there, same, "left_anti")
+def merge_aside(spark: SparkSession, tables: str, schema: T.StructType) -> None:
+    """Rows aside that neither the sink nor an earlier merge holds -> ``tables/merged/version=``, once each key. Of the sink only
+    the days of these rows are read."""
+    merged = f"{tables}/merged"
+    _create(spark, merged)
+    aside = spark.read.schema(_with(schema, _visit=T.TimestampType())).parquet(f"{tables}/routed/way=aside")
+    before = spark.read.schema(_with(schema, **{VERSION: T.LongType()})).parquet(merged)
+    version = (before.agg(F.max(VERSION)).first()[0] or 0) + 1
+    aside = aside.withColumn("visit_day", F.date_format("_visit", "yyyy-MM-dd")).drop("_visit")
+    days = [r[0] for r in aside.select("visit_day").distinct().collect() if r[0] is not None]  # calendar days
+    sink = spark.read.schema(_with(schema, visit_day=T.StringType())).parquet(f"{tables}/sink").filter(F.col("visit_day").isin(days))
+    there = sink.select(*KEY).unionByName(before.select(*KEY)).select(*[F.col(k).alias(f"_{k}") for k in KEY])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY]
+    new = aside.drop("visit_day").dropDuplicates(KEY).join(there, same[0] & same[1], "left_anti")
+    _write(new.withColumn(VERSION, F.lit(version).cast("long")), merged, [VERSION])
+
+
+def landed_snapshots(spark: SparkSession, tables: str, schema: T.StructType) -> DataFrame:
+    """The sink and what was merged after it."""
+    _create(spark, f"{tables}/merged")
+    sink, merged = (spark.read.schema(_with(schema, **extra)).parquet(f"{tables}/{name}") for name, extra in
+                    (("sink", {"visit_day": T.StringType()}), ("merged", {VERSION: T.LongType()})))
+    return sink.select(*schema.fieldNames()).unionByName(merged.select(*schema.fieldNames()))
 
 
 # ---------------------------------------------------------------- STM-2
 
+BUCKETS = 64
+
+
+def bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
-def stream_upsert(spark: SparkSession, landing: str, schema: StructType, table_path: str, checkpoint: str,
+
+def in_buckets_of(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of a table laid out by ``bucket`` that lie in buckets of ``rows``: at most ``BUCKETS`` numbers come to the
+    driver and become a partition filter of the scan."""
+    found = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+    return table.filter(F.col(BUCKET).isin(found))
+
+
+def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, table_path: str, checkpoint: str,
                   keys: list[str], order: list[str], files_per_trigger: int | None = None) -> None:
-    """STM-2: first-seen upsert per micro-batch, each into its own ``batch_id=`` partition."""
-    stored = StructType([*schema.fields]).add(BATCH, LongType())
+    """STM-2: first-seen upsert per micro-batch into ``bucket=/batch_id=`` partitions; a batch reads the keys of its own buckets only.
+    A replayed batch ignores and replaces its own rows."""
+    stored = _with(schema, **{BUCKET: T.IntegerType(), BATCH: T.LongType()})
     _create(spark, table_path)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        existing = spark.read.schema(stored).parquet(table_path).filter(F.col(BATCH) < batch_id).select(*keys)
-        rows = insert_if_absent(batch, existing, keys, order).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        _write(rows, table_path, [BATCH])
+        new = batch.withColumn(BUCKET, bucket(keys))
+        table = spark.read.schema(stored).parquet(table_path).filter(F.col(BATCH) < batch_id)
+        rows = insert_if_absent(new, in_buckets_of(table, new).select(*keys), keys, order)
+        _write(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), table_path, [BUCKET, BATCH])
 
     _run(_landing(spark, landing, schema, files_per_trigger), checkpoint, upsert)
 
 
 # ---------------------------------------------------------------- STM-3
 
+#: A link's state: its rows from the watermark on and one before, in order, and whether older ones were let go.
+STATE = "ts array<long>, ids array<long>, rows array<string>, pruned boolean"
+#: What the state tells about a row: the row before it, and for a row that was told before, the one before it then.
+FOLLOWED = "kind string, row string, prev string, first boolean, told boolean, old_prev string, old_first boolean"
+
+
+def _follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One link's rows of a batch against its state. A row that is older than the state, or has no time, is late; any
+    other one is put in its place, and the row after it is told again if it was told before."""
+    ts, ids, rows, pruned = state.get if state.exists else ([], [], [], False)
+    known = list(zip(ts, ids, rows, strict=True))
+    had = {(t, i) for t, i, _ in known}
+    out, new = [], {}
+    for frame in frames:
+        for t, i, row, readable in zip(frame["t"].tolist(), frame["i"].tolist(), frame["row"].tolist(), frame["readable"].tolist(), strict=True):
+            if not readable or pruned and (t, i) < known[0][:2]:
+                out.append(("late", row, None, False, False, None, False))
+            elif (t, i) not in had:
+                new.setdefault((t, i), row)
+    merged = sorted([*((t, i, row, False) for t, i, row in known), *((t, i, row, True) for (t, i), row in new.items())])
+    last_known, begun = None, False
+    for at, (_, _, row, is_new) in enumerate(merged):
+        prev = merged[at - 1][2] if at else None
+        if is_new:
+            out.append(("delta", row, prev, at == 0, False, None, False))
+        else:
+            if at and merged[at - 1][3]:
+                out.append(("delta", row, prev, False, True, last_known, not begun))
+            last_known, begun = row, True
+    horizon = state.getCurrentWatermarkMs() * 1000
+    keep = max((at for at, m in enumerate(merged) if m[0] < horizon), default=0)
+    merged, pruned = merged[keep:], pruned or keep > 0
+    state.update(([m[0] for m in merged], [m[1] for m in merged], [m[2] for m in merged], pruned))
+    yield pd.DataFrame(out, columns=["kind", "row", "prev", "first", "told", "old_prev", "old_first"])
+
+
+def stream_deltas(spark: SparkSession, landing: str, schema: T.StructType, tables: str, checkpoint: str,
+                  year: int | None = None, delay: str = WATERMARK, files_per_trigger: int | None = None) -> None:
+    """STM-3: per-link counter deltas in a keyed state operator -> ``tables/rows/kind=/version=``.
+
+    The state of a link holds its rows of the last ``delay`` and one before them, so a row that comes late within that time is
+    put in its place exactly, and the row after it is written again with its new delta (a later version replaces an
+    earlier one, see ``current_deltas``; the old delta is written beside it). A copy changes nothing. Rows older than the
+    state, and rows without a time or id, are written as ``kind=late`` and wait for ``apply_late``. A batch reads no
+    table; a link's rows of one batch are one group (``files_per_trigger`` bounds the batch).
+    """
+    from snapmetrics.functions.dates import in_year, parse_ts
+    from snapmetrics.plans.snapshots import generated
+
+    _create(spark, f"{tables}/rows")
+    landed = _landing(spark, landing, schema, files_per_trigger)
+    if year is not None:
+        landed = landed.filter(in_year("created_timestamp", year))
+    visit = stamp("visited_timestamp")
+    timed = landed.select(
+        "link", visit.alias("_visit"), (visit.isNotNull() & F.col("snapshot_id").isNotNull()).alias("readable"),
+        F.coalesce(F.unix_micros(visit), F.lit(0)).alias("t"), F.coalesce("snapshot_id", F.lit(0).cast("long")).alias("i"),
+        F.to_json(F.struct(*schema.fieldNames())).alias("row"),
+    )
+    followed = timed.withWatermark("_visit", delay).groupBy("link").applyInPandasWithState(_follow, FOLLOWED, STATE, "append", GroupStateTimeout.NoTimeout)
 
-def stream_deltas(spark: SparkSession, landing: str, schema: StructType, tables: str, checkpoint: str,
-                  year: int | None = None, files_per_trigger: int | None = None) -> None:
-    """STM-3: per-link counter deltas across micro-batches, in the JVM.
+    def batch(df: DataFrame, batch_id: int) -> None:
+        parsed = df.withColumns({c: F.from_json(c, schema) for c in ("row", "prev", "old_prev")})
+        rows = parsed.select("kind", "first", "told", "old_first", "prev", "old_prev", "row.*")
+        rows = rows.withColumns({"visited_ts": parse_ts("visited_timestamp"), "created_ts": parse_ts("created_timestamp"), "prev_visited": parse_ts("prev.visited_timestamp")})
+        old = generated(F.col("old_first"), F.col("old_prev.comments"), F.col("old_prev.views"))
+        rows = rows.withColumns({f"old_{c}": F.when(F.col("told"), old[c]) for c in ("comments_generated", "views_generated")})
+        rows = rows.withColumns(generated(F.col("first"), F.col("prev.comments"), F.col("prev.views")))
+        _write_rows(rows, schema, tables, batch_id * VERSIONS)
 
-    Three tables below ``tables``: ``rows`` (all snapshots, once each), ``last`` (the newest row of each link, per batch) and
-    ``deltas`` (per batch; a later batch's row replaces an earlier one of the same snapshot, see ``current_deltas``).
-    A batch whose rows are newer than what their links had needs only the links' last rows. A link with a late row -
-    an hour late, or of the same second with a smaller id - is computed again from its stored rows and its changed
-    deltas are written as corrections, so nothing is dropped. A copy of a stored snapshot changes nothing.
-    """
-    from snapmetrics.plans.snapshots import snapshot_deltas
+    _run(followed, checkpoint, batch)
+
+
+def delta_rows_schema(schema: T.StructType) -> T.StructType:
+    long = T.LongType()
+    return _with(schema, prev_visited=T.TimestampNTZType(), time_passed=long, comments_generated=long, views_generated=long, told=T.BooleanType(),
+                 old_comments_generated=long, old_views_generated=long, kind=T.StringType(), version=long)
+
+
+def _write_rows(rows: DataFrame, schema: T.StructType, tables: str, version: int) -> None:
+    columns = [c for c in delta_rows_schema(schema).fieldNames() if c != VERSION]
+    _write(rows.select(*columns).withColumn(VERSION, F.lit(version).cast("long")), f"{tables}/rows", ["kind", VERSION])
+
+
+def _rows(spark: SparkSession, tables: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(delta_rows_schema(schema)).parquet(f"{tables}/rows")
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest version of every snapshot's row."""
+    columns = [c for c in rows.columns if c != "snapshot_id"]
+    last = rows.filter("kind = 'delta'").groupBy("snapshot_id").agg(F.max_by(F.struct(*columns), VERSION).alias("r"))
+    return last.select("snapshot_id", "r.*")
+
+
+def apply_late(spark: SparkSession, tables: str, schema: T.StructType) -> None:
+    """Late rows of ``stream_deltas``: their links (and those of rows without a time, which come last) are computed again from their
+    stored rows; new and changed deltas become a version of their own, with the old deltas beside them. Applying twice
+    changes nothing. The links' rows are all that is computed; a run that finds no such link writes nothing. A row without an
+    id can't be told from its copies: it stays among the late rows."""
+    from snapmetrics.plans.snapshots import source, with_deltas
 
-    stored = StructType([*schema.fields]).add(BATCH, LongType())
-    for name in ("rows", "last"):
-        _create(spark, f"{tables}/{name}")
-    order = F.struct(stamp("visited_timestamp"), F.col("snapshot_id"))
+    stored = _rows(spark, tables, schema)
+    now = _newest(stored)
     columns = schema.fieldNames()
+    late = stored.filter("kind = 'late'").select(*columns)
+    waiting = late.join(now.select("snapshot_id"), "snapshot_id", "left_anti").dropDuplicates(["snapshot_id"]).filter("snapshot_id IS NOT NULL")
+    links = waiting.select("link").unionByName(late.filter(stamp("visited_timestamp").isNull()).select("link")).distinct().withColumnRenamed("link", "_link")
+    again = now.join(links, F.col("link").eqNullSafe(F.col("_link")), "left_semi")
+    done = with_deltas(source(again.select(*columns).unionByName(waiting.select(*columns)), year=None))
+    names = ["prev_visited", "time_passed", "comments_generated", "views_generated"]
+    before = again.select(F.col("snapshot_id").alias("_id"), F.struct(*names).alias("_before"))
+    done = done.join(before, F.col("snapshot_id") == F.col("_id"), "left").filter(F.col("_id").isNull() | ~F.struct(*names).eqNullSafe(F.col("_before")))
+    told = F.col("_id").isNotNull()
+    done = done.withColumns({"kind": F.lit("delta"), "told": told, **{f"old_{c}": F.when(told, F.col("_before")[c]) for c in names[2:]}})
+    version = (stored.filter("kind = 'delta'").agg(F.max(VERSION)).first()[0] or 0) + 1
+    _write_rows(done, schema, tables, version)
 
-    def read(name: str) -> DataFrame:
-        return spark.read.schema(stored).parquet(f"{tables}/{name}")
 
-    def newest(rows: DataFrame) -> DataFrame:
-        """Newest row of each link (null links apart from each other: they are no sequence)."""
-        return rows.groupBy("link").agg(F.max_by(F.struct(*columns), order).alias("r")).select("r.*")
+def current_deltas(spark: SparkSession, tables: str, schema: T.StructType) -> DataFrame:
+    """PIPE-1 from the newest version of every snapshot's row."""
+    from snapmetrics.functions.dates import parse_ts
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        own = lambda rows: rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        before = read("rows").filter(F.col(BATCH) < batch_id)
-        new = df.dropDuplicates(["snapshot_id"]).join(before.select("snapshot_id"), "snapshot_id", "left_anti").select(*columns)
-        _write(own(new), f"{tables}/rows", [BATCH])
-        new = read("rows").filter(F.col(BATCH) == batch_id).select(*columns)
-        known = newest(read("last").filter(F.col(BATCH) < batch_id).select(*columns))
-
-        had = known.select(F.col("link").alias("_link"), order.alias("_last"))
-        marked = new.join(had, F.col("link").eqNullSafe(F.col("_link")), "left").withColumn("_late", F.col("_last").isNotNull() & (order <= F.col("_last")))
-        late = marked.filter("_late").select(F.col("_link").alias("link")).distinct()
-        on = lambda rows, how: rows.join(late.withColumnRenamed("link", "_l"), F.col("link").eqNullSafe(F.col("_l")), how)
-
-        # links in order: their last row starts the sequence and is not written again
-        ahead = on(known, "left_anti").join(new.select(F.col("link").alias("_n")).distinct(), F.col("link").eqNullSafe(F.col("_n")), "left_semi")
-        in_order = on(new, "left_anti").withColumn("_new", F.lit(True)).unionByName(ahead.withColumn("_new", F.lit(False)))
-        fresh = in_order.filter("_new").select(F.col("snapshot_id").alias("_id"))
-        out = snapshot_deltas(in_order.drop("_new"), year).join(fresh, F.col("snapshot_id") == F.col("_id"), "left_semi")
-        # links with a late row: all their stored rows again
-        again = snapshot_deltas(on(before.select(*columns).unionByName(new), "left_semi"), year)
-        _write(own(out.unionByName(again)), f"{tables}/deltas", [BATCH])
-        _write(own(newest(new.unionByName(known.join(new.select(F.col("link").alias("_n")).distinct(), F.col("link").eqNullSafe(F.col("_n")), "left_semi")))), f"{tables}/last", [BATCH])
-
-    _run(_landing(spark, landing, schema, files_per_trigger), checkpoint, batch)
-
-
-def current_deltas(deltas: DataFrame) -> DataFrame:
-    """The newest version of every snapshot's delta."""
-    columns = [c for c in deltas.columns if c != BATCH]
-    last = deltas.groupBy("snapshot_id").agg(F.max_by(F.struct(*columns), BATCH).alias("r"))
-    return last.select("r.*")
+    now = _newest(_rows(spark, tables, schema)).withColumn("visited_timestamp", parse_ts("visited_timestamp"))
+    return now.select("site", "link", "title", "snapshot_id", "visited_timestamp", "prev_visited", "time_passed",
+                      "comments", "comments_generated", "views", "views_generated")
 
 
 # ---------------------------------------------------------------- STM-4
 
+SUMS = ["d_comments", "n_comments", "d_views", "n_views"]
 
-def stream_daily_totals(spark: SparkSession, deltas_path: str, table_path: str, checkpoint: str,
-                        files_per_trigger: int | None = None) -> None:
-    """STM-4: daily totals per site. A batch of deltas or corrections changes some days; these days are summed again from
-    the current deltas and overwritten, the others are not touched. No state is kept between batches and no
-    delta is too late: the table itself is the state."""
-    schema = spark.read.parquet(deltas_path).schema
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        deltas = spark.read.schema(schema).parquet(deltas_path)
-        ids = df.select("snapshot_id").distinct()
-        days = deltas.join(ids, "snapshot_id", "left_semi").select(F.to_date("visited_timestamp").alias("date")).distinct()
-        day = current_deltas(deltas).withColumn("date", F.to_date("visited_timestamp"))
-        day = day.join(days.withColumnRenamed("date", "_d"), F.col("date").eqNullSafe(F.col("_d")), "left_semi")
-        totals = day.groupBy("site", "date").agg(F.sum("comments_generated").alias("sum_comments"), F.sum("views_generated").alias("sum_views"))
-        _write(totals.withColumn("day", F.coalesce(F.col("date").cast("string"), F.lit("none"))), table_path, ["day"])
+def _changes(rows: DataFrame) -> DataFrame:
+    """What a row of ``stream_deltas`` adds to its day: new less old delta, and the number of known deltas likewise."""
+    change = {}
+    for c in ("comments", "views"):
+        new, old = F.col(f"{c}_generated"), F.col(f"old_{c}_generated")
+        change[f"d_{c}"] = F.coalesce(new, F.lit(0)) - F.coalesce(old, F.lit(0))
+        change[f"n_{c}"] = new.isNotNull().cast("long") - (F.col("told") & old.isNotNull()).cast("long")
+    return rows.filter("kind = 'delta'").withColumns({"_visit": stamp("visited_timestamp"), **change}).select("site", "_visit", *SUMS)
+
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in SUMS]
+
+
+def stream_daily_totals(spark: SparkSession, tables: str, schema: T.StructType, totals: str, checkpoint: str,
+                        delay: str = WATERMARK, files_per_trigger: int | None = None) -> None:
+    """STM-4: daily sums per site from the deltas' changes, under a watermark.
+
+    Changes are routed; those on time are summed in day windows (state store, update mode: every batch writes the days it
+    changed to ``totals/days/batch_id=``, and a day is closed and its state let go once the watermark passes its end).
+    Changes of closed days are summed per batch as ``totals/corrections/batch_id=``. No batch reads what is stored."""
+    days, fixes = f"{totals}/days", f"{totals}/corrections"
+    _create(spark, days, fixes)
+    rows = _landing(spark, f"{tables}/rows", delta_rows_schema(schema), files_per_trigger)
+    changes = _changes(rows)
+    route(changes, "_visit", delay, f"{totals}/routed", f"{checkpoint}/route")
+
+    on_time = _routed(spark, f"{totals}/routed", "on_time", changes.schema).withWatermark("_visit", delay)
+    summed = on_time.groupBy("site", F.window("_visit", "1 day").alias("w")).agg(*_sums())
+    summed = summed.select("site", F.to_date("w.start").alias("date"), *SUMS)
+    own = lambda df, n: df.withColumn(BATCH, F.lit(n).cast("long"))
+    _run(summed, f"{checkpoint}/days", lambda df, n: _write(own(df, n), days, [BATCH]), "update")
+
+    def correct(df: DataFrame, n: int) -> None:
+        _write(own(df.groupBy("site", F.to_date("_visit").alias("date")).agg(*_sums()), n), fixes, [BATCH])
+
+    _run(_routed(spark, f"{totals}/routed", "aside", changes.schema), f"{checkpoint}/corrections", correct)
+
 
-    _run(_landing(spark, deltas_path, schema, files_per_trigger), checkpoint, batch)
+def daily_totals(spark: SparkSession, totals: str) -> DataFrame:
+    """PIPE-2 from the newest sums of each day and the corrections of closed days."""
+    read = lambda name: spark.read.schema(f"site string, date date, {', '.join(f'{c} long' for c in SUMS)}, {BATCH} long").parquet(f"{totals}/{name}")
+    days = read("days").groupBy("site", "date").agg(F.max_by(F.struct(*SUMS), BATCH).alias("s")).select("site", "date", "s.*")
+    total = days.unionByName(read("corrections").select(*days.columns)).groupBy("site", "date").agg(*_sums())
+    return total.select("site", "date", *[F.when(F.col(f"n_{c}") > 0, F.col(f"d_{c}")).alias(f"sum_{c}") for c in ("comments", "views")])
 
 
 # ---------------------------------------------------------------- registered queries
@@ -210,27 +383,30 @@ def q_stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "snapshots")
     for wave in _snapshot_waves(spark, sf_dir):
         land(wave, f"{run}/landing", ["visited_timestamp", "snapshot_id"])
-        stream_snapshots(spark, f"{run}/landing", wave.schema, f"{run}/sink", f"{run}/ckpt", delay="400 days")
-    return spark.read.parquet(f"{run}/sink")
+        stream_snapshots(spark, f"{run}/landing", wave.schema, f"{run}/tables", f"{run}/ckpt")
+        merge_aside(spark, f"{run}/tables", wave.schema)
+    return landed_snapshots(spark, f"{run}/tables", wave.schema)
 
 
-def _deltas(spark: SparkSession, sf_dir: str, run: str, then=lambda: None) -> None:
+def _deltas(spark: SparkSession, sf_dir: str, run: str, then=lambda schema: None) -> T.StructType:
     for wave in _snapshot_waves(spark, sf_dir):
         land(wave, f"{run}/landing", ["visited_timestamp", "snapshot_id"])
         stream_deltas(spark, f"{run}/landing", wave.schema, f"{run}/tables", f"{run}/ckpt", year=2024)
-        then()
+        then(wave.schema)
+    apply_late(spark, f"{run}/tables", wave.schema)
+    then(wave.schema)
+    return wave.schema
 
 
 def q_stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "deltas")
-    _deltas(spark, sf_dir, run)
-    return current_deltas(spark.read.parquet(f"{run}/tables/deltas"))
+    return current_deltas(spark, f"{run}/tables", _deltas(spark, sf_dir, run))
 
 
 def q_stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "daily")
-    _deltas(spark, sf_dir, run, lambda: stream_daily_totals(spark, f"{run}/tables/deltas", f"{run}/totals", f"{run}/ckpt-totals"))
-    return spark.read.parquet(f"{run}/totals").drop("day")
+    _deltas(spark, sf_dir, run, lambda schema: stream_daily_totals(spark, f"{run}/tables", schema, f"{run}/totals", f"{run}/ckpt-totals"))
+    return daily_totals(spark, f"{run}/totals")
 
 
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,6 @@ from snapmetrics.plans.pages import LinkRules, labelled_outlinks, page_articles,
 from snapmetrics.plans.places import match_places
 from snapmetrics.plans.tenders import disperse_clusters, ideal_parts
 from snapmetrics.session import scratch_path
-from snapmetrics.streaming.streams import current_deltas, land, late_rows, stream_deltas, stream_snapshots, stream_upsert
 
 NB = " "
 
@@ -128,38 +127,6 @@ def test_ring_has_sixteen_segments_a_quarter(spark):
     assert len(ring) == 65 and abs(ring[16]["y"] - 0.01) < 1e-12
 
 
-SNAP = "snapshot_id long, site string, link string, title string, tags string, category string, views long, comments long, created_timestamp string, visited_timestamp string"
-
-
-def snap(i, link, views, visited):
-    return (i, "s", link, "t", None, None, views, 0, "2024-01-01 00:00:00", visited)
-
-
-def test_late_same_second_and_unreadable_visits_stay(spark, tmp_path):
-    waves = [
-        [snap(1, "l", 10, "2024-01-01 10:00:00"), snap(5, "l", 50, "2024-01-01 14:00:00"), snap(9, "m", 1, "no time")],
-        [snap(2, "l", 20, "2024-01-01 10:00:00"), snap(3, "l", 30, "2024-01-01 13:00:00"), snap(1, "l", 10, "2024-01-01 10:00:00")],
-        [snap(6, "l", 55, "2024-01-02 09:00:00"), snap(7, "n", 3, None)],
-    ]
-    for wave in waves:
-        df = spark.createDataFrame(wave, SNAP)
-        land(df, f"{tmp_path}/landing", ["visited_timestamp", "snapshot_id"])
-        stream_deltas(spark, f"{tmp_path}/landing", df.schema, f"{tmp_path}/tables", f"{tmp_path}/ckpt", year=2024)
-    got = {r["snapshot_id"]: r["views_generated"] for r in current_deltas(spark.read.parquet(f"{tmp_path}/tables/deltas")).collect()}
-    assert got == {1: 10, 2: 10, 3: 10, 5: 20, 6: 5, 7: 3, 9: 1}
-
-
-def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
-    waves = [[snap(1, "l", 1, "2024-01-10 10:00:00"), snap(2, "l", 1, "bad time")], [snap(3, "l", 1, "2024-01-01 10:00:00"), snap(4, "l", 1, "2024-01-10 10:00:00")]]
-    for wave in waves:
-        df = spark.createDataFrame(wave, SNAP)
-        land(df, f"{tmp_path}/landing", ["visited_timestamp"])
-        stream_snapshots(spark, f"{tmp_path}/landing", df.schema, f"{tmp_path}/sink", f"{tmp_path}/ckpt")
-    landed, sink = spark.read.parquet(f"{tmp_path}/landing"), spark.read.parquet(f"{tmp_path}/sink")
-    assert sorted(r["snapshot_id"] for r in sink.collect())[:2] == [1, 2] and sink.count() == 2
-    assert [tuple(r) for r in late_rows(landed, sink).collect()] == [("l", "2024-01-01 10:00:00")]
-
-
 def test_a_cluster_without_a_shared_folder_is_refused():
     class Context:
         master, applicationId = "spark://host:7077", "app"
@@ -177,13 +144,3 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Session(), "x")
-
-
-def test_rows_without_a_day_are_landed_and_upserted(spark, tmp_path):
-    df = spark.createDataFrame([("a", None, "1"), ("b", "2020-01-01", "2"), ("b", "2020-01-02", "3"), (None, None, "4")], "link string, day string, id string")
-    for _ in range(2):  # delivered twice
-        land(df, f"{tmp_path}/landing", ["day", "id"])
-        stream_upsert(spark, f"{tmp_path}/landing", df.schema, f"{tmp_path}/table", f"{tmp_path}/ckpt", ["link"], ["day", "id"])
-    got = spark.read.parquet(f"{tmp_path}/table")
-    assert sorted(r["link"] for r in got.filter("link is not null").collect()) == ["a", "b"]
-    assert got.filter("link is null").count() == 2  # null keys conflict with nothing
