@@ -16,3 +16,8 @@ def nonempty(c) -> Column:
 def first_present(*cols) -> Column:
     """PRJ-7: first value that is neither null nor empty."""
     return F.coalesce(*[nonempty(c) for c in cols])
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often ``use`` names it (a one-element lambda)."""
+    return F.transform(F.array(value), use)[0]

@@ -10,11 +10,14 @@ the summary side moves. The result is identical to the unchunked window.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapmetrics.session import scratch_path
+
 
 def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
@@ -24,12 +27,32 @@ def presented(df: DataFrame, *order: str, nulls_first_on_desc: bool = False) ->
     """SRT-1/SRT-2: presentation order of a result; ``-name`` is descending. Ascending puts nulls last in both of the
     reference's engines; descending puts them last in Presto and first in PostgreSQL (``nulls_first_on_desc``). A range
     sort over all tasks, applied last, to results that a person reads."""
+    return df.orderBy(*_presentation(order, nulls_first_on_desc))
+
+
+def _presentation(order: Sequence[str], nulls_first_on_desc: bool) -> list[Column]:
     def key(name: str) -> Column:
         if not name.startswith("-"):
             return F.col(name).asc_nulls_last()
         return F.col(name[1:]).desc_nulls_first() if nulls_first_on_desc else F.col(name[1:]).desc_nulls_last()
 
-    return df.orderBy(*[key(c) for c in order])
+    return [key(c) for c in order]
+
+
+def positioned(df: DataFrame, *order: str, as_col: str = "position", nulls_first_on_desc: bool = False) -> DataFrame:
+    """SRT-1/SRT-2 as a column: each row's place from 1 in the order of ``presented`` (ties in any order: end with a key). The rows
+    are dealt by ranges and sorted within their tasks, written once, and numbered from the counts of the tasks before."""
+    out = scratch_path(df.sparkSession, f"positioned-{uuid.uuid4().hex[:12]}")
+    keys = _presentation(order, nulls_first_on_desc)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # a task's rows are numbered in the order it has them: the task in the upper bits, the row in the lower 33
+    ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(out)
+    rows = df.sparkSession.read.parquet(out)
+    task, at = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    counts = rows.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))  # one row a task of the sort
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)))
+    placed = rows.withColumn("_task", task).join(F.broadcast(before.select("_task", "_before")), "_task")
+    return placed.withColumn(as_col, F.coalesce("_before", F.lit(0)) + at + 1).select(*df.columns, as_col)
 
 
 def order_key(order: Sequence[str]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshots", "prices", "listings", "loading", "places", "tenders", "tender_pages", "stores", "pages", "attributes", "roundtrips", "streams"]
+MODULES = ["snapshots", "prices", "listings", "loading", "places", "tenders", "tender_pages", "stores", "pages", "attributes", "related", "roundtrips", "tables", "streams"]
 
 
 def registry() -> tuple[dict, dict]:

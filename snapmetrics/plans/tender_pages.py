@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmetrics.functions.common import nonempty
+from snapmetrics.functions.common import bound, nonempty
 from snapmetrics.functions.numbers import no_spaces
 from snapmetrics.functions.text import class_text, parse_bg_datetime, term_range, text_after
 from snapmetrics.functions.urls import basename
@@ -50,11 +50,11 @@ def court_tender_fields(pages: DataFrame) -> DataFrame:
     pairs = F.transform(F.filter(files, lambda f: f != PLACEHOLDER), lambda f: F.struct(basename(f).alias("name"), F.concat(F.lit(BASE_URL), f).alias("link")))
     return pages.select(
         "page_id", F.regexp_extract(href, r"(\d+)$", 1).try_cast("bigint").alias("offer_id"), F.concat(F.lit(BASE_URL), href).alias("link"),
-        parse_bg_datetime(stamp).alias("published"), class_text("html", "title").alias("title"),
+        bound(stamp, parse_bg_datetime).alias("published"), class_text("html", "title").alias("title"),
         no_spaces(F.replace(class_text("html", "category"), F.lit(" кв.м"), F.lit(""))).try_cast("double").alias("area"),
         no_spaces(F.replace(class_text("html", "price"), F.lit("лв."), F.lit(""))).try_cast("double").alias("price"),
         *[text_after("html", COURT_LABELS[c]).alias(c) for c in ("city", "address", "organizer", "announcement")],
-        term_range(term, "start").alias("term_start"), term_range(term, "end").alias("term_end"),
+        bound(term, lambda t: term_range(t, "start")).alias("term_start"), bound(term, lambda t: term_range(t, "end")).alias("term_end"),
         pairs.alias("attachments"),
     )
 
@@ -89,12 +89,28 @@ def _court(spark, d) -> DataFrame:
     return found.withColumn("attachments", said)
 
 
+# A box whose text is spread over elements of its own kind, 0 to 4 deep, before a sibling of that kind and an unclosed one.
+NESTED_PAGE = (
+    "'<div id=top><div class=\"row first\">x</div><section class=\"item box\">' || repeat('<section><b>', c_custkey % 5) || c_name || repeat('</b></section> ', c_custkey % 5) || "
+    "'<section class=\"note\">' || CAST(c_nationkey AS STRING) || '</section>end</section><section>after</section></div><section class=\"open\">' || c_name"
+)
+
+
+def nested_page_fields(pages: DataFrame) -> DataFrame:
+    """HTM-1 on elements that hold others of their kind: the whole box, an inner one, and one that is not closed."""
+    return pages.select("page_id", *[class_text("html", c).alias(c) for c in ("box", "note", "open", "first")])
+
+
 QUERIES = {
+    "nested_page_fields": lambda spark, d: nested_page_fields(table(spark, d, "customer").selectExpr("c_custkey AS page_id", f"{NESTED_PAGE} AS html")),
     "tax_tender_fields": lambda spark, d: tax_tender_fields(table(spark, d, "supplier").selectExpr("s_suppkey AS page_id", f"{TAX_PAGE} AS html")),
     "court_tender_fields": _court,
 }
 
 ORACLE = {
+    "nested_page_fields": """
+SELECT c_custkey AS page_id, c_name || repeat(' ', c_custkey % 5) || c_nationkey || 'end' AS box, CAST(c_nationkey AS VARCHAR) AS note, CAST(NULL AS VARCHAR) AS open,
+  'x' AS first FROM customer""",
     "tax_tender_fields": """
 SELECT s_suppkey AS page_id, (10 + s_suppkey % 18) || '.05.2021' AS published, (10 + s_suppkey % 18) || '.06.2021' AS period_start,
   CASE WHEN s_suppkey % 5 <> 0 THEN (10 + s_suppkey % 18) || '.07.2021' END AS period_end, (10 + s_suppkey % 18) || '.08.2021 10:30' AS announcement,

@@ -77,12 +77,21 @@ def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
 
 
-def read_json_docs(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """SRC-6: a directory of one-JSON-document-per-file."""
-    r = spark.read.option("multiLine", "true")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+def read_json_docs(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """SRC-6: a folder of one-JSON-document-per-file -> (documents with their ``path``, broken files).
+
+    Files are read whole; Spark packs small ones together into a task (``spark.sql.files.maxPartitionBytes``), so a million
+    files are not a million tasks. A file that does not parse is no document: it stands in the second result with its
+    path, its text and the reason. (Spark reads no row from a file of zero bytes: it is in neither result.)"""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    parsing = StructType([*schema.fields, StructField("_broken", StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    read = files.withColumn("doc", F.from_json("text", parsing, options))
+    blank = F.col("text").rlike(r"^\s*$")
+    reason = F.when(blank, "empty").when(F.col("doc._broken").isNotNull() | F.col("doc").isNull(), "not a JSON document of the schema")
+    read = read.withColumn("reason", reason)
+    good = read.filter("reason IS NULL").select("path", *[F.col("doc")[f.name].alias(f.name) for f in schema.fields])
+    return good, read.filter("reason IS NOT NULL").select("path", "text", "reason")
 
 
 def conform(df: DataFrame, columns: Sequence[str], types: dict[str, str] | None = None) -> DataFrame:
@@ -158,3 +167,28 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
 def drop_partitions(df: DataFrame, grid: DataFrame, keys: Sequence[str]) -> DataFrame:
     """SNK-9: rows outside the listed (source, day) cells (anti join against the grid)."""
     return df.join(grid.select(*keys), list(keys), "left_anti")
+
+
+def purge_cells(spark: SparkSession, path: str, partition_col: str, grid: DataFrame, keys: Sequence[str], scratch: str) -> None:
+    """SNK-9 on storage: delete the rows of the listed cells (``keys``, the partition column among them) from a table laid out
+    by ``partition_col``. Only partitions that a cell names are read; what is left of them is written to ``scratch`` first and
+    put in their place, and a partition of which nothing is left loses its folder. Partitions without a listed cell
+    are not touched. The names of touched partitions come to the driver."""
+    def folders(df: DataFrame) -> dict[str, str]:
+        at = df.select(F.col(partition_col).cast("string").alias("p"), F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("f"))
+        return {r["p"]: r["f"] for r in at.distinct().collect()}
+
+    days = [r[0] for r in grid.select(F.col(partition_col).cast("string")).distinct().collect()]
+    touched = spark.read.option("recursiveFileLookup", "false").parquet(path).filter(F.col(partition_col).cast("string").isin(days))
+    there = folders(touched)
+    same = [F.col(f"r.{k}").cast("string") == F.col(f"g.{k}").cast("string") for k in keys]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    left = touched.alias("r").join(grid.alias("g"), on, "left_anti")
+    left.write.mode("overwrite").parquet(scratch)
+    left = spark.read.schema(touched.schema).parquet(scratch)
+    write_partitioned(left.select(*touched.columns), path, partition_col)
+    for day in set(there) - {r[0] for r in left.select(F.col(partition_col).cast("string")).distinct().collect()}:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(there[day])
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
