@@ -219,16 +219,17 @@ def inner_html(rest: Column, tag: Column) -> Column:
     """What of ``rest`` (the page after a start tag of kind ``tag``) lies inside that element: up to the end tag that brings the
     running depth of this kind to zero; null if there is none. The depth is a fold over the pieces between tags that keeps
     two numbers, so nested elements of any depth take one pass."""
-    def step(pieces: Column) -> Column:
+    def step(pieces: Column, kind: Column) -> Column:
         def move(acc: Column, piece: Column) -> Column:
-            same = F.lower(F.regexp_extract(piece, "^</?([a-zA-Z][a-zA-Z0-9]*)", 1)) == F.lower(tag)
+            same = F.lower(F.regexp_extract(piece, "^</?([a-zA-Z][a-zA-Z0-9]*)", 1)) == kind
             depth = acc["depth"] + F.when(same, F.when(piece.startswith("</"), -1).otherwise(1)).otherwise(0)
             return F.when(acc["depth"] == 0, acc).otherwise(F.struct(depth.alias("depth"), (acc["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n")))
 
         end = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), move)
         return bound(end, lambda e: F.when(e["depth"] == 0, F.array_join(F.slice(pieces, F.lit(1), e["n"]), "")))
 
-    return bound(F.split(rest, "(?=</?[a-zA-Z])"), step)
+    parts = F.struct(F.split(rest, "(?=</?[a-zA-Z])").alias("pieces"), F.lower(tag).alias("kind"))
+    return bound(parts, lambda p: step(p["pieces"], p["kind"]))
 
 
 def class_text(html, name: str) -> Column:
@@ -236,7 +237,7 @@ def class_text(html, name: str) -> Column:
     closed."""
     start = rf"""(?s)<([a-z][a-z0-9]*)\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"'>]*\s)?{_quote(name)}(?:\s[^"'>]*)?["'][^>]*>(.*)"""
     inner = inner_html(F.regexp_extract(as_col(html), start, 2), F.regexp_extract(as_col(html), start, 1))
-    return nonempty(clean_text(strip_tags(inner)))
+    return bound(strip_tags(inner), lambda text: nonempty(clean_text(text)))
 
 
 def attribute_value(html, tag: str, attribute: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ CLUSTER_MIN = 10  # clusters are coordinates shared by more than this many rows
 CLUSTER_RADIUS = 0.01
 RUN_DATE = "2021-06-01"  # export run date (the reference uses today's date)
 ID_CHUNK = 1 << 16  # numeric ids per numbering chunk inside one coordinate cluster
-TEXT_CHUNK = 6  # leading characters of text ids that make a chunk
+TEXT_CHUNK = 3  # characters of text ids, after their common ones, that make a chunk
 EXPORT_COLUMNS = [
     "area", "address", "region", "price", "type", "lon", "lat", "is_appr_coor", "period_start", "period_end",
     "link", "ideal_parts", "source",
@@ -26,9 +28,11 @@ EXPORT_COLUMNS = [
 
 
 def id_chunk(df: DataFrame, key: str) -> Column:
-    """Chunk of an id that follows the order of ids: ranges of numbers, leading characters of texts."""
+    """Chunk of an id that follows the order of ids: ranges of numbers, the characters of texts after what the smallest and
+    the largest id (two values to the driver) have in common."""
     if isinstance(df.schema[key].dataType, T.StringType):
-        return F.substring(key, 1, TEXT_CHUNK)
+        ends = df.agg(F.min(key), F.max(key)).first()
+        return F.substring(key, 1, len(commonprefix([e or "" for e in ends])) + TEXT_CHUNK)
     return F.floor(F.col(key) / F.lit(ID_CHUNK))
 
 
