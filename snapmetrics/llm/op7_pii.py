@@ -2,7 +2,7 @@
 a span classifier trained on the resulting posteriors decides.
 
 1. Patterns propose spans in every whole text: the base kinds (email, ip, card, phone; always kept) and looser ones
-   (obfuscated email, national phone, social security number, IBAN, titled or known name).
+   (obfuscated email, national phone, social security number, IBAN, name after a title or with a first name of the gazetteer).
 2. Five labelers vote yes, no or abstain on each candidate: strict form, checksum or range, gazetteer, context before,
    and neighbourhood (a number inside a longer code, a version, a price).
 3. The votes of the whole corpus are counted by kind and vote pattern - a few hundred rows however large the corpus - and
@@ -12,12 +12,15 @@ a span classifier trained on the resulting posteriors decides.
    unless they overlap a base span.
 
 Defined results: a null or empty text has no span; a null id stays null; repeated rows repeat their result; very long
-texts cost time in proportion (no pattern rescans a run); extra columns are ignored; an empty table gives an empty result.
+texts cost time in proportion (no pattern rescans a run, and overlaps are found by bisection); ties of overlapping looser spans go
+to the earlier start, then end, then kind; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import xxhash
@@ -93,25 +96,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ------------------------------------------------------------------------------------------- looser candidates
 _TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame"
+#: First names the gazetteer knows.
+_NAMES = set("james mary john robert michael linda maria anna peter paul thomas hans jean pierre jose carlos luis ana laura sophie marie emma david daniel sarah".split())
+_KNOWN = "|".join(sorted(n.capitalize() for n in _NAMES))
+_WORD = r"[A-ZÀ-Þ][\w'-]++"
+# a run is tried where it starts only and taken whole, so that no text is scanned twice
+_RUN, _HOST, _DOT = r"(?<![\w.+-])[A-Za-z0-9._+-]++", "[A-Za-z0-9-]++", r" ?[\[(]? ?(?:dot|DOT) ?[\])]? ?"
 _LOOSE = {
-    4: re.compile(r"(?<![\w.])[A-Za-z0-9._+-]{1,64}+ ?[\[(]? ?(?:at|AT) ?[\])]? ?[A-Za-z0-9-]{1,63}(?: ?[\[(]? ?(?:dot|DOT) ?[\])]? ?[A-Za-z0-9-]{1,24}){1,4}(?!\w)"),
+    4: re.compile(rf"{_RUN} ?(?:[\[(] ?(?:at|AT) ?[\])] ?{_HOST}(?:(?:{_DOT}|\.| \. ){_HOST})+|(?:at|AT) {_HOST}(?:{_DOT}{_HOST})+)(?!\w)"),
     5: re.compile(r"(?<![\w.+-])\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}(?![\w-])"),
     6: re.compile(r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     7: re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
-    8: re.compile(rf"(?<!\w)(?:{_TITLES})\.? [A-ZÀ-Þ][\w'-]{{1,30}}(?: [A-ZÀ-Þ][\w'-]{{1,30}})?"),
+    8: re.compile(rf"(?<!\w)(?:(?:{_TITLES})\.? {_WORD}(?: {_WORD})?|(?:{_KNOWN}) {_WORD})"),
 }
 #: What must occur at all before a looser pattern is tried.
-_NEEDS = {4: re.compile(r"\b(?:dot|DOT)\b"), 5: _DIGIT, 6: _DIGIT, 7: re.compile(r"[A-Z]{2}[0-9]{2}"), 8: re.compile(rf"\b(?:{_TITLES})\b")}
-#: Top-level domains, first names and trigger words the gazetteer and context labelers know.
+_NEEDS = {4: re.compile(r"\b(?:dot|DOT)\b|[\[(] ?(?:at|AT) ?[\])]"), 5: _DIGIT, 6: _DIGIT, 7: re.compile(r"[A-Z]{2}[0-9]{2}"), 8: re.compile(rf"\b(?:{_TITLES}|{_KNOWN})\b")}
+#: Top-level domains and trigger words the gazetteer and context labelers know.
 _DOMAINS = set("com org net edu gov io de fr es uk eu info biz co".split())
-_NAMES = set("james mary john robert michael linda maria anna peter paul thomas hans jean pierre jose carlos luis ana laura sophie marie emma david daniel sarah".split())
 _TRIGGERS = {
     0: set("email mail e-mail contact write correo courriel".split()), 1: set("ip host address server login".split()),
     2: set("card visa mastercard credit pay tarjeta carte karte".split()), 3: set("call phone tel mobile fax telefon teléfono".split()),
     4: set("email mail e-mail contact write reach correo".split()), 5: set("call phone tel mobile fax telefon".split()),
     6: set("ssn social security".split()), 7: set("iban account bank konto cuenta compte".split()), 8: set("name contact signed by dear".split()),
 }
-_BEFORE = re.compile(r"([\w-]+)[^\w-]{0,3}$")
 
 
 def _iban(s: str) -> bool:
@@ -140,22 +147,39 @@ def votes(text: str, start: int, end: int, kind: int, before: str) -> str:
     return form + check + known + context + ("n" if re.search(r"[\w$€#/=]", near) else "y")
 
 
+def _in_word(c: str) -> bool:
+    return c.isalnum() or c in "_-"
+
+
+def word_before(text: str, start: int) -> str:
+    """The word that ends at most three characters before ``start``, in lower case."""
+    end = start
+    while end > 0 and start - end < 3 and not _in_word(text[end - 1]):
+        end -= 1
+    at = end
+    while at > 0 and _in_word(text[at - 1]):
+        at -= 1
+    return text[at:end].lower()
+
+
 def candidates(text: str | None) -> tuple[list, list]:
-    """Base spans, and all candidates (base and looser) with votes, shape and the word before."""
+    """Base spans, and all candidates (base and looser) with votes, shape and the word before. A looser candidate that overlaps a
+    base span, or a looser one before it, is left out."""
     if not text:
         return [], []
     base = base_spans(text)
+    starts, furthest = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
     loose = [(*m.span(), k) for k, p in _LOOSE.items() if _NEEDS[k].search(text) for m in p.finditer(text)]
-    taken, here = sorted(base), []
+    here, last = [], 0
     for a, b, k in sorted(loose):
-        if all(b <= x or a >= y for x, y, _ in taken):
+        before = bisect_left(starts, b)  # base spans that start before this one's end
+        if a >= last and (not before or furthest[before - 1] <= a):
             here.append((a, b, k))
-            taken.append((a, b, k))
+            last = b
     rows = []
     for a, b, k in [*base, *here]:
-        m = _BEFORE.search(text[max(0, a - 40) : a])
-        before = m.group(1).lower() if m else ""
-        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[a-zß-ÿ]", "a", re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"[0-9]", "9", text[a : min(b, a + 80)]))))
+        before = word_before(text, a)
+        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[a-zß-ÿ]", "a", re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"[0-9]", "9", text[a:b]))))
         rows.append({"start": a, "end": b, "kind": k, "votes": votes(text, a, b, k, before), "shape": shape, "before": before})
     return [{"start": a, "end": b, "kind": k} for a, b, k in base], rows
 
@@ -217,11 +241,11 @@ def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``keep``, id_col, base and spans (arrays of start, end, kind number in KINDS; spans holds base and accepted ones)."""
     found = map_rows(df, candidates, [text_col], _FOUND, [id_col, *keep])
     noted = stored(found.select(id_col, "base", "candidates") if not keep else found, "candidates")
-    each = noted.select(F.explode("candidates").alias("c")).select("c.*")
+    each = noted.select(id_col, F.explode("candidates").alias("c")).select(id_col, "c.*")
     patterns = [(r["kind"], r["votes"], r["n"]) for r in each.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()]
     posterior, _ = reliabilities(patterns)
     total = sum(n for _, _, n in patterns)
-    draw = F.pmod(F.xxhash64("shape", "before", "start", "kind"), F.lit(1 << 40)) / float(1 << 40)
+    draw = F.pmod(F.xxhash64(id_col, "shape", "before", "start", "kind"), F.lit(1 << 40)) / float(1 << 40)
     sample = sorted(tuple(r) for r in each.filter(draw < SAMPLE / max(total, 1)).select("kind", "votes", "shape", "before").collect())
     weights = fit(sample, np.array([posterior[r[0], r[1]] for r in sample]))
     sent = df.sparkSession.sparkContext.broadcast(weights)
