@@ -11,7 +11,8 @@ A document overlaps an item if a stretch holds ``needed(item)`` equal words - 12
 ``IDENTITY`` of the stretch's words agree. Items of under ``LEAST_WORDS`` words are no evidence and never match.
 
 Defined results: null or empty texts and items match nothing; a null id stays null in the result; repeated rows repeat
-their result, repeated items (same id and text) count once; extra columns are ignored; empty tables give an empty result.
+their result, of equally good stretches the first diagonal's counts, a very long text is searched whole in time in proportion to its
+length and hits; repeated items (same id and text) count once; extra columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from snapmetrics.llm.common import ODD, hash_text, map_rows, stored, table
 
 #: Fixed masks: 1 selects a token, 0 ignores it. Seven selected tokens each.
 MASKS = ("1111111", "1101101101", "1011010111", "11100010111", "110100110011")
+#: Fixed masks of items too short for those to tolerate a substitution anywhere, by the item's words (least, most): with one
+#: changed word, a window of one of them is left whole.
+SHORT_MASKS = {(5, 5): ("11111",), (6, 7): ("1111", "11011", "110011"), (8, 11): ("11111", "111011", "110111", "1110011")}
 LEAST_WORDS, LEAST_MATCH, ITEM_SHARE, IDENTITY = 5, 12, 0.6, 0.7
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 
@@ -52,9 +56,9 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
 
 
 def masks_for(n_words: int) -> list[str]:
-    """Masks of an item: all that fit; an item too short for any is one window of its own."""
-    fit = [m for m in MASKS if len(m) <= n_words]
-    return fit or (["1" * n_words] if n_words >= LEAST_WORDS else [])
+    """Masks of an item: the long ones that fit, and the short ones of its length."""
+    short = [m for (least, most), masks in SHORT_MASKS.items() if least <= n_words <= most for m in masks]
+    return short + ([m for m in MASKS if len(m) <= n_words] if n_words >= LEAST_WORDS else [])
 
 
 def item_seeds(text: str | None) -> tuple:
@@ -130,8 +134,8 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     item = stored(map_rows(item, item_seeds, ["item_text"], seeded, ["item", "item_text"]).withColumn("item_key", F.xxhash64("item_text")), "items")
     of = stored(item.select("item_key", F.explode("seeds").alias("s")).select("s.seed", "item_key", F.col("s.at").alias("item_at")).distinct(), "seeds")
     n = of.count()
-    short = [r[0] for r in item.filter(F.col("item_words").between(LEAST_WORDS, min(map(len, MASKS)) - 1)).select("item_words").distinct().collect()]
-    masks = [*MASKS, *("1" * k for k in sorted(short))]
+    short = [r[0] for r in item.filter(F.col("item_words").between(LEAST_WORDS, max(most for _, most in SHORT_MASKS))).select("item_words").distinct().collect()]
+    masks = list(dict.fromkeys([*MASKS, *(m for k in sorted(short) for m in masks_for(k))]))  # short masks only where an item needs them
     sent = spark.sparkContext.broadcast(bitmap(of, n))
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.op2_decontaminate import benchmark_overlaps, best_stretch, needed, overlap, tokens
+from snapmetrics.llm.op2_decontaminate import LEAST_WORDS, benchmark_overlaps, best_stretch, needed, overlap, tokens
 
 RNG = random.Random(3)
 VOCABULARY = [f"{a}{b}{c}" for a in "bdklmn" for b in "aeiou" for c in "rstx"]
@@ -47,3 +47,31 @@ def test_best_stretch_and_overlap():
     assert best_stretch(np.array([0, 0], bool))[0] == 0
     doc, item = tokens("x a b c d e f g h i y"), tokens("a b c d e f g h i")
     assert overlap(doc, item, [1]) == (9, 9, 1) and overlap(doc, item, [0]) is None and needed(9) == 6 and needed(100) == 12 and needed(5) == 5
+
+
+def test_any_changed_word_of_a_short_item_is_found(spark):
+    """Items of 6 to 14 words laid into other words with each of their words changed in turn: found exactly when the
+    definition (all diagonals) finds them."""
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(4, 15)]
+    docs, texts = [], {}
+    for n, text in items:
+        for k in range(-1, n):
+            words = text.split()
+            if k >= 0:
+                words[k] = "other"
+            texts[100 * n + k + 1] = " ".join(["so", "far", *words, "and", "on"])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["matched"]) for r in benchmark_overlaps(docs, spark.createDataFrame(items, "item_id int, text string")).collect()}
+    want = set()
+    for i, text in texts.items():
+        for n, item in items:
+            if n >= LEAST_WORDS and (m := overlap(tokens(text), tokens(item), list(range(-n, 40)))):
+                want.add((i, n, m[0]))
+    assert got == want and len(want) > 80
+
+
+def test_long_texts_and_ties(spark):
+    item = " ".join(f"q{k}" for k in range(20))
+    rows = [(1, "filler " * 200_000 + item), (2, f"{item} {item}"), (3, f"{item} x {item}"), (3, f"{item} x {item}")]
+    found = benchmark_overlaps(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id int, text string")).collect()
+    assert sorted((r["doc_id"], r["matched"], r["at_word"]) for r in found) == [(1, 20, 200_000), (2, 20, 0), (3, 20, 0), (3, 20, 0)]
