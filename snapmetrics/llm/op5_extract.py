@@ -9,11 +9,14 @@ paths) is the cheapest labelling; the source's side is the text.
 The classifier is trained here, by logistic regression on a bounded sample of at most about ``SAMPLE`` pages. Its labels
 are distant: pages that mark their parts with the elements of ``CONTENT`` and ``ASIDE`` say which blocks are which. The two
 features that name these elements are blanked in half of the sampled pages, so that text shape, links, place and the words
-of class and id carry weight of their own and pages without such elements are judged by them. Blocks that can't be text of the article whatever they look like
-(scripts, styles, forms, navigation, comments of readers) have an infinite capacity to the boilerplate terminal.
+of class and id carry weight of their own and pages without such elements are judged by them. Elements that can't hold text of the article
+(navigation, footers, asides, forms, hidden ones) have an infinite capacity to the boilerplate terminal. Words of class, id and
+role (comments, adverts, notices, sidebars) are a finite cost; what an element around most of the page's text says of
+itself (``page-with-sidebar``, a page-wide form) is no word about the article and is left out.
 
 Defined results: a null or empty html, or one without content, has the empty text; unclosed and truncated markup is read as
-browsers do, roughly; a null id stays null; repeated rows repeat their result; extra columns are ignored; an empty table
+browsers do, roughly; elements nested deeper than ``DEEPEST`` count as part of that one; a very long page takes time in proportion to
+its text and tags, times its depth; a tie of the two labellings is boilerplate; a null id stays null; repeated rows repeat their result; extra columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -21,7 +24,8 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections import deque
+from collections import Counter, deque
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,15 +42,19 @@ ADJACENT, SIBLING = 40, 60
 DEEPEST = 512
 
 #: Elements whose text is no text, void elements, inline elements, elements that close an open paragraph.
-RAW = set("script style noscript template svg math iframe object textarea select title".split())
+RAW = set("script style template svg iframe textarea select title".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr img rp rt".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr img rp rt object math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder mtable mtr mtd semantics annotation".split())
 CLOSES_P = set("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 CONTENT, ASIDE = {"article", "main"}, {"nav", "footer", "aside", "menu", "form", "dialog"}
 BARRED = {"nav", "form", "button", "footer", "aside", "menu", "dialog"}
 #: Words of class and id attributes.
 ASIDE_WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies discussion disqus footer menu nav navbar navigation newsletter notice pagination popup promo promoted recommendations recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe teaser teasers toolbar trending widget".split())
 CONTENT_WORDS = set("article body content entry main post story text".split())
+#: Words of an element around an article with its headline, and of one around a whole page.
+BODY_WORDS, PAGE_WORDS = set("article content entry post story".split()), set("container layout page root site wrap wrapper".split())
+#: What a word of ASIDE_WORDS costs a block, in units of the classifier's score.
+ASIDE_COST = 6.0
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/=]+|[^\s>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?)*+)>?", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _PARTS = re.compile(r"[A-Za-z]+")
@@ -57,17 +65,50 @@ _END = {name: re.compile(rf"</{name}\s*>?", re.I) for name in RAW}
 _HAS = re.compile(r"^(?:has|no|with|without|is)[-_]")
 
 
-class Block:
-    __slots__ = ("text", "path", "elements", "words", "link_chars", "order")
+class Box(NamedTuple):
+    """An open block element: its name, number and the words of its class, id and role."""
+
+    name: str
+    number: int
+    words: frozenset
+
 
-    def __init__(self, text: str, path: tuple, elements: tuple, words: frozenset, link_chars: int, order: int) -> None:
-        self.text, self.path, self.elements, self.words, self.link_chars, self.order = text, path, elements, words, link_chars, order
+class Block:
+    __slots__ = ("text", "boxes", "path", "elements", "words", "headed", "link_chars", "order")
+
+    def __init__(self, text: str, boxes: tuple[Box, ...], link_chars: int, order: int) -> None:
+        self.text, self.boxes, self.link_chars, self.order = text, boxes, link_chars, order
+        self.path = tuple(x.number for x in boxes)
+
+    def settle(self, wrappers: set[int]) -> None:
+        """Names and words, without what the elements around most of the page say about themselves."""
+        self.elements = tuple("div" if x.name == "form" and x.number in wrappers else x.name for x in self.boxes)
+        self.words = frozenset().union(*(x.words - ASIDE_WORDS if x.number in wrappers else x.words for x in self.boxes))
+        # a header of the article: inside an element of CONTENT or one named like it
+        own = [i for i, x in enumerate(self.boxes) if x.name in CONTENT or (x.words & BODY_WORDS and not x.words & PAGE_WORDS)]
+        self.headed = "header" in self.elements and (not own or own[0] > self.elements.index("header"))
+
+
+def wrappers_of(found: list[Block]) -> set[int]:
+    """Numbers of the elements around most of a page: more than half of its text and an article, main or h1 element (or being
+    one), or four fifths of its text."""
+    size: Counter = Counter()
+    holds: set[int] = set()
+    for b in found:
+        for x in b.boxes:
+            size[x.number] += len(b.text)
+        last = max((i for i, x in enumerate(b.boxes) if x.name in CONTENT or x.name == "h1"), default=-1)
+        holds.update(b.path[: last + 1])
+    total = sum(len(b.text) for b in found)
+    return {k for k, n in size.items() if 5 * n > 4 * total or (2 * n > total and k in holds)}
 
 
 def blocks(html: str | None) -> list[Block]:
     """Text blocks in page order. ``path`` holds numbers of the open block elements, ``elements`` their names."""
     found: list[Block] = []
-    stack: list[tuple[str, int, frozenset]] = []  # (name, number, words of class and id)
+    stack: list[Box] = []
+    deeper: list[str] = []  # elements open beyond DEEPEST
+    beyond: Counter = Counter()
     parts: list[str] = []
     links = number = link_chars = 0
     page = html or ""
@@ -76,9 +117,8 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal link_chars
         text = " ".join("".join(parts).split()) if parts else ""
         if text:
-            boxes = [s for s in stack if s[0] not in INLINE and s[0] not in ("html", "body")]
-            words = frozenset().union(*(s[2] for s in boxes)) if boxes else frozenset()
-            found.append(Block(text, tuple(s[1] for s in boxes), tuple(s[0] for s in boxes), words, min(link_chars, len(text)), len(found)))
+            boxes = tuple(s for s in stack if s.name not in INLINE and s.name not in ("html", "body"))
+            found.append(Block(text, boxes, min(link_chars, len(text)), len(found)))
         parts.clear()
         link_chars = 0
 
@@ -123,21 +163,30 @@ def blocks(html: str | None) -> list[Block]:
             links = 0
         if name in VOID or name in ("br", "hr"):
             continue
+        if closing and deeper and beyond[name]:
+            while (gone := deeper.pop()) != name:
+                beyond[gone] -= 1
+            beyond[name] -= 1
+            continue
         if closing:
+            # an end tag of an element that is not among the deeper ones ends those inside it, too
+            if deeper and any(x.name == name for x in stack):
+                deeper.clear()
+                beyond.clear()
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
+                if stack[i].name == name:
                     del stack[i:]
                     break
-                if name in INLINE and stack[i][0] not in INLINE:
+                if name in INLINE and stack[i].name not in INLINE:
                     break  # an inline end tag doesn't close blocks
             continue
         if name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th", "option"):
             same = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}.get(name, {"p"})
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in same:
+                if stack[i].name in same:
                     del stack[i:]
                     break
-                if stack[i][0] not in INLINE and stack[i][0] != "p":
+                if stack[i].name not in INLINE and stack[i].name != "p":
                     break
         words = []
         if m.group(3):
@@ -149,8 +198,14 @@ def blocks(html: str | None) -> list[Block]:
                     words.append("hidden")
         number += 1
         if len(stack) < DEEPEST:
-            stack.append((name, number, frozenset(words)))
+            stack.append(Box(name, number, frozenset(words)))
+        else:
+            deeper.append(name)
+            beyond[name] += 1
     flush()
+    wrappers = wrappers_of(found)
+    for b in found:
+        b.settle(wrappers)
     return found
 
 
@@ -162,22 +217,25 @@ FEATURES = ("bias", "log length", "words a 100", "link share", "end of sentence"
 def describe(b: Block, n: int) -> list[float]:
     t = b.text
     size = len(t)
-    letters = sum(map(str.isalpha, t[:400]))
+    letters = sum(map(str.isalpha, t))
     place = b.order / max(1, n - 1)
     return [
         1.0, min(np.log1p(size) / 6, 1.5), min(t.count(" ") / 100, 1.5), b.link_chars / size, float(t[-1] in ".!?…\"'»)"), min((t.count(". ") + t.count("! ") + t.count("? ")) / 5, 1.0),
         float(bool(b.elements) and b.elements[-1] in ("h1", "h2", "h3", "h4", "h5", "h6")), float("li" in b.elements), float("table" in b.elements),
-        float(bool(b.words & ASIDE_WORDS)), float(bool(b.words & CONTENT_WORDS)), float(letters < 0.5 * min(size, 400)), min(len(b.path) / 10, 1.5),
-        float(place < 0.1), float(place > 0.9), float(t[0] == "©" or "copyright" in t[:40].lower()),
+        float(bool(b.words & ASIDE_WORDS)), float(bool(b.words & CONTENT_WORDS)), float(letters < 0.5 * size), min(len(b.path) / 10, 1.5),
+        float(place < 0.1), float(place > 0.9), float(t[0] == "©" or t.lower().startswith(("copyright", "(c)"))),
         float(not CONTENT.isdisjoint(b.elements)), float(not ASIDE.isdisjoint(b.elements)),
     ]
 
 
 def barred(b: Block) -> bool:
-    """No text of the article, whatever it looks like: by its elements (a header only outside the article), names, or hidden."""
-    if not BARRED.isdisjoint(b.elements) or not b.words.isdisjoint(ASIDE_WORDS) or "hidden" in b.words:
-        return True
-    return "header" in b.elements and CONTENT.isdisjoint(b.elements[: b.elements.index("header")])
+    """No text of the article, whatever it looks like: by its elements (a header only outside the article), or hidden."""
+    return b.headed or "hidden" in b.words or not BARRED.isdisjoint(b.elements)
+
+
+def named_aside(b: Block) -> bool:
+    """The names of an element around the block say that it is something else."""
+    return not b.words.isdisjoint(ASIDE_WORDS)
 
 
 def distant_labels(page: str | None) -> tuple:
@@ -185,7 +243,7 @@ def distant_labels(page: str | None) -> tuple:
     found = blocks(page)
     rows, labels = [], []
     for b in found:
-        inside, aside = not CONTENT.isdisjoint(b.elements), barred(b)
+        inside, aside = not CONTENT.isdisjoint(b.elements), barred(b) or named_aside(b)
         rows.append(describe(b, len(found)))
         labels.append(int(inside and not aside))
     if 0 < sum(labels) < len(labels):
@@ -290,25 +348,25 @@ def label(found: list[Block], weights: np.ndarray) -> list[bool]:
         return []
     z = np.clip(np.array([describe(b, n) for b in found]) @ weights, -8, 8)
     net, s, t = Network(n + 2), n, n + 1
-    last: dict[int, int] = {}
+    last: dict[tuple[int, bool], int] = {}
     for i, b in enumerate(found):
-        out = barred(b)
-        cost = round(SCALE * float(z[i]))
+        out, aside = barred(b), named_aside(b)
+        cost = round(SCALE * (float(z[i]) - ASIDE_COST * aside))
         if out:
             net.join(i, t, NEVER)
         elif cost > 0:
             net.join(s, i, cost)
         elif cost < 0:
             net.join(i, t, -cost)
-        if i and not out and not barred(found[i - 1]):
+        if i and not out and not barred(found[i - 1]) and aside == named_aside(found[i - 1]):
             a, c = found[i - 1].path, b.path
             shared = sum(1 for x, y in zip(a, c) if x == y)  # noqa: B905
             net.join(i - 1, i, *(2 * [round(ADJACENT * (1 + shared) / (1 + max(len(a), len(c))))]))
         parent = b.path[-2] if len(b.path) > 1 else 0
         if not out:
-            if (j := last.get(parent)) is not None and j != i - 1:
+            if (j := last.get((parent, aside))) is not None and j != i - 1:
                 net.join(j, i, SIBLING, SIBLING)
-            last[parent] = i
+            last[parent, aside] = i
     return net.source_side(s, t)[:n]
 
 

@@ -4,6 +4,7 @@ import itertools
 import time
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -56,6 +57,38 @@ def test_without_an_article_element_prose_is_found():
     assert text_of(page) == f"{prose} {prose}"
 
 
+PROSE = " ".join(["This is one of many sentences in the body of the page, and it is long enough."] * 6)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div class='page-with-sidebar'><article>{}</article><div class=sidebar><p>More to read here, a whole sentence.</p></div></div></body>",
+        "<body><div id='content-sidebar'><h1>H</h1>{}</div><footer>f</footer></body>",
+        "<body><article class='post category-social'>{}</article></body>",
+        "<body><main class='open-comments'>{}<section class=comments><p>A reader writes. It is not the article, of course.</p></section></main></body>",
+        "<body><form id='aspnetForm' class=search><nav>x</nav><h1>H</h1>{}</form></body>",
+    ],
+)
+def test_what_wraps_the_whole_page_bars_nothing(page):
+    text = text_of(page.format(f"<p>{PROSE}</p><p>{PROSE}</p>"))
+    assert text.removeprefix("H ") == f"{PROSE} {PROSE}"
+
+
+def test_a_headline_in_a_named_article_stays():
+    assert text_of(f"<body><header><h1>Site</h1></header><div id=content><header><h1>The headline</h1></header><p>{PROSE}</p></div></body>") == f"The headline {PROSE}"
+
+
+def test_formulas_and_objects_are_text():
+    page = f"<article><p>{PROSE} It is <math><mi>a</mi><mo>+</mo><mi>b</mi></math> here.</p><object data=x><p>{PROSE}</p></object></article>"
+    assert text_of(page) == f"{PROSE} It is a+b here. {PROSE}"
+
+
+def test_depth_is_right_after_very_deep_elements():
+    found = blocks("<section>" * 515 + "a" + "</section>" * 3 + "<p>b" + "</section>" * 512 + "<div>c")
+    assert [len(b.path) for b in found] == [512, 512, 1] and [b.text for b in found] == ["a", "b", "c"]
+
+
 def test_odd_pages():
     assert text_of(None) == "" and text_of("") == "" and text_of("<nav>x</nav>") == "" and text_of("<!-- open") == ""
     assert [b.text for b in blocks("a < b <p>c&lt;d<script>x")] == ["a < b", "c<d"]
