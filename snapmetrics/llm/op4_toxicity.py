@@ -6,12 +6,14 @@ score between the copies to the logistic loss, so that neutral mentions of a gro
 
 Labels are learned from a bounded sample of at most about ``SAMPLE`` labelled documents of either class (drawn by a
 hash of the id among all labelled rows that may be learned from; the share of the classes is put back into the
-intercept). Every whole text is scored by the fitted weights, which are a few thousand numbers.
+intercept) and from its ``FEATURES`` most telling features. All sentences and all identity terms of the sampled texts are swapped;
+tasks sum the products of what the swaps change, and only these sums, bounded by the features, come to the driver. Every whole text is scored by the fitted weights, which are a few thousand numbers.
 
 Defined results: a null or empty text scores the intercept alone; null labels are not learned from, an id labelled
-twice takes its largest label; without both classes to learn from the score is the learned share of toxic rows (0
-without any label); a null id is never learned from and counts as held out; repeated rows repeat their result; extra
-columns are ignored.
+twice takes its largest label, and of several texts the one of the smallest hash is learned from; without both classes to learn from the score is the learned share of toxic rows (0
+without any label); a null id is never learned from and counts as held out; repeated rows repeat their result; ties of features go
+to the smaller hash; a very long text takes time in proportion to its length; extra columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ SAMPLE = 3_000
 FEATURES = 600
 PREFIXES = (4, 5, 6, 7)
 FAIRNESS, RIDGE, STEPS = 10.0, 2e-4, 600
-#: Sentences of a sampled document that are copied with another identity term.
-SENTENCES = 4
+#: Steps of one in the sums of products of the swaps' changes (whole numbers, so that sums don't depend on their order).
+PARTS = 1 << 24
 THRESHOLD = 0.7
 
 #: Identity terms by group; terms of one group are exchanged for each other.
@@ -81,62 +83,61 @@ def damped(count: float, n_words: int) -> float:
     return math.sqrt(min(1.0, 25.0 * count / max(n_words, 1)))
 
 
-def swapped(text: str) -> list[tuple[str, str]]:
-    """Sentence pairs that differ in one identity term; a text without such terms lends its first sentence, into which
-    two terms of one group are put in turn."""
+#: What a swap changes: by feature, its presence and its damped rate, before less after.
+Change = dict[int, tuple[float, float]]
+
+
+def _exchange(counts: dict[int, int], n: int, term: str, other: str) -> Change:
+    """One occurrence of ``term`` becomes ``other``, in a sentence of these feature counts and ``n`` words."""
+    old, new = _FEATURES[term], _FEATURES[other]
+    made: Change = {}
+    for f in {*old, *new}:
+        c = counts.get(f, 0)
+        d = c - (f in old) + (f in new)
+        if c != d:
+            made[f] = (float(c > 0) - float(d > 0), damped(c, n) - damped(d, n))
+    return made
+
+
+def swapped(text: str) -> list[tuple[str, str, str]]:
+    """(sentence, identity term in it, term of its group to put there) for every sentence and every term that it holds; a text
+    without such terms lends its first sentence, which gets a term in front."""
     pairs = []
     for m in _SENTENCE.finditer(text):
-        if len(pairs) >= SENTENCES:
-            break
         s = m.group()
-        if t := _TERM.search(s):
-            group = _GROUP[t.group().lower()]
-            other = group[(group.index(t.group().lower()) + 1 + xxhash.xxh32_intdigest(s) % (len(group) - 1)) % len(group)]
-            pairs.append((s, s[: t.start()] + other + s[t.end() :]))
+        for term in sorted({t.lower() for t in _TERM.findall(s)}):
+            group = _GROUP[term]
+            pairs.append((s, term, group[(group.index(term) + 1 + xxhash.xxh32_intdigest(s) % (len(group) - 1)) % len(group)]))
     if not pairs and (m := _SENTENCE.search(text)):
         h = xxhash.xxh32_intdigest(m.group())
         group = list(IDENTITY_GROUPS.values())[h % len(IDENTITY_GROUPS)]
         a, b = group[h // 7 % len(group)], group[(h // 7 + 1) % len(group)]
-        pairs.append((f"{a} {m.group()}", f"{b} {m.group()}"))
+        pairs.append((f"{a} {m.group()}", a, b))
     return pairs
 
 
-# ------------------------------------------------------------------------------------------------------- learning
-#: A described text: its features, their counts, its number of words.
-Described = tuple[np.ndarray, np.ndarray, int]
-
-
-def described(text: str) -> Described:
-    counts, n = features(text)
-    return np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int32, len(counts)), n
+def changes(text: str) -> list[Change]:
+    """What every swap of a text changes; a sentence is counted once, however many terms it holds."""
+    made, last, counted = [], None, ({}, 0)
+    for s, term, other in swapped(text):
+        if s is not last:
+            last, counted = s, features(s)
+        made.append(_exchange(*counted, term, other))
+    return made
 
 
-def _matrix(rows: list[Described], picked: np.ndarray) -> np.ndarray:
-    """Presence and damped rate of the picked (sorted) features."""
-    k = len(picked)
-    x = np.zeros((len(rows), 2 * k), np.float32)
-    if not k:
-        return x
-    for r, (ids, counts, n) in enumerate(rows):
-        at = np.minimum(np.searchsorted(picked, ids), k - 1)
-        known = picked[at] == ids
-        x[r, at[known]] = 1.0
-        x[r, k + at[known]] = np.sqrt(np.minimum(1.0, 25.0 * counts[known] / max(n, 1)))
-    return x
-
-
-def fit(x: np.ndarray, y: np.ndarray, d: np.ndarray, toxic_share: float) -> tuple[np.ndarray, float]:
-    """Weights and bias by accelerated gradient descent on logistic loss + ridge + counterfactual penalty (``d``: differences
-    of the exchanged sentences)."""
+# ------------------------------------------------------------------------------------------------------- learning
+def fit(x: np.ndarray, y: np.ndarray, swaps: np.ndarray, toxic_share: float) -> tuple[np.ndarray, float]:
+    """Weights and bias by accelerated gradient descent on logistic loss + ridge + counterfactual penalty (``swaps``: the mean
+    product of the swaps' changes d, so that the mean squared change of the score is w' swaps w)."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    d = d[np.abs(d).sum(axis=1) > 0]
-    d = np.hstack([d, np.zeros((len(d), 1), np.float32)])
+    swaps = np.pad(swaps, (0, 1)).astype(np.float32)  # the bias does not change
     w = np.zeros(x.shape[1])
     v, t = w.copy(), 1.0
     # the loss's curvature is at most that of a quarter of the squared rows' mean
     top = np.ones(x.shape[1], np.float32)
     for _ in range(20):
-        top = 0.25 * (x.T @ (x @ top)) / len(x) + (FAIRNESS * (d.T @ (d @ top)) / len(d) if len(d) else 0)
+        top = 0.25 * (x.T @ (x @ top)) / len(x) + FAIRNESS * (swaps @ top)
         top /= (norm := float(np.linalg.norm(top))) or 1.0
     step = 1 / (norm * 1.1 + RIDGE)
     keep = np.ones(x.shape[1])
@@ -144,9 +145,7 @@ def fit(x: np.ndarray, y: np.ndarray, d: np.ndarray, toxic_share: float) -> tupl
     for _ in range(STEPS):
         now = v.astype(np.float32)
         p = 1 / (1 + np.exp(-np.clip(x @ now, -30, 30)))
-        g = x.T @ (p - y).astype(np.float32) / len(y) + RIDGE * keep * v
-        if len(d):
-            g += FAIRNESS * (d.T @ (d @ now)) / len(d)
+        g = x.T @ (p - y).astype(np.float32) / len(y) + RIDGE * keep * v + FAIRNESS * (swaps @ now)
         new = v - step * g
         t, s = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
         v, w = new + (s - 1) / t * (new - w), new
@@ -154,19 +153,28 @@ def fit(x: np.ndarray, y: np.ndarray, d: np.ndarray, toxic_share: float) -> tupl
     return w[:-1], float(w[-1]) + math.log(toxic_share / (1 - toxic_share)) - math.log(sampled / (1 - sampled))
 
 
-DESCRIBED = T.StructType(
-    [
-        T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("counts", T.ArrayType(T.IntegerType())),
-        T.StructField("n", T.IntegerType()),
-        T.StructField("pairs", T.ArrayType(T.StringType())),
-    ]
-)
+LONGS = T.ArrayType(T.LongType())
+DESCRIBED = T.StructType([T.StructField("ids", LONGS), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("n", T.IntegerType())])
+PRODUCTS = T.StructType([T.StructField("swaps", T.LongType()), T.StructField("at", LONGS), T.StructField("sums", LONGS)])
 
 
 def _describe(text: str | None) -> tuple:
     counts, n = features(text)
-    return list(counts), list(counts.values()), n, [s for p in swapped(text or "") for s in p]
+    return list(counts), list(counts.values()), n
+
+
+def products(place: dict[int, int], text: str | None) -> tuple:
+    """Of a text's swaps that change a picked feature (``place``: its column): their number, and the sums of d d' as (row *
+    columns + column, sum), in parts of ``PARTS``."""
+    k, n, sums = len(place), 0, Counter()
+    for change in changes(text or ""):
+        d = [(place[f], here) for f, (here, _) in change.items() if f in place and here]
+        d += [(k + place[f], rate) for f, (_, rate) in change.items() if f in place and rate]
+        n += bool(d)
+        for i, u in d:
+            for j, v in d:
+                sums[i * 2 * k + j] += round(u * v * PARTS)
+    return n, list(sums), list(sums.values())
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict:
@@ -183,8 +191,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     share = F.when(F.col("label") == 1, SAMPLE / sizes[1]).otherwise(SAMPLE / sizes[0])
     sample = known.filter(draw < share).groupBy("id").agg(F.max("label").alias("label"))
     # about 2 * SAMPLE rows of two numbers, however large the tables are: the texts need no shuffle
-    sample = docs.join(F.broadcast(sample), "id").dropDuplicates(["id"]).select("id", "label", "text")
-    noted = stored(map_rows(sample, _describe, ["text"], DESCRIBED, ["id", "label"]), "sample")
+    # one text an id, chosen by its hash
+    sample = docs.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text"))
+    noted = stored(map_rows(sample, _describe, ["text"], DESCRIBED, ["id", "label", "text"]), "sample")
     rows = sorted(tuple(r) for r in noted.select("id", "label", "n").collect())
     y = np.array([label for _, label, _ in rows], np.float64)
     if len(set(y.tolist())) < 2:
@@ -209,11 +218,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     x = np.zeros((len(rows), 2 * k), np.float32)
     x[r, c] = 1.0
     x[r, k + c] = np.sqrt(np.minimum(1.0, 25.0 * np.array(cells.column("count").to_pylist()) / words[r])) if len(r) else 0
-    pairs = [p for _, p in sorted((q["id"], q["pairs"]) for q in noted.select("id", "pairs").collect())]
-    flip = [(p[i], p[i + 1]) for p in pairs for i in range(0, len(p), 2)]
-    d = _matrix([described(a) for a, _ in flip], picked) - _matrix([described(b) for _, b in flip], picked)
-    w, bias = fit(x, y, d, flat["share"])
+    column = {f: i for i, f in enumerate(picked.tolist())}
+    made = stored(map_rows(noted, lambda text: products(column, text), ["text"], PRODUCTS), "swaps")
+    n_swaps = made.agg(F.sum("swaps")).first()[0]
+    summed = made.select(F.explode(F.arrays_zip("at", "sums")).alias("s")).groupBy(F.col("s.at").alias("at")).agg(F.sum("s.sums").alias("v")).toArrow()
+    swaps = np.zeros(4 * k * k)  # at most this many numbers reach the driver, whatever the texts' lengths
+    swaps[summed.column("at").to_numpy()] = summed.column("v").to_numpy() / PARTS / max(n_swaps or 0, 1)
+    w, bias = fit(x, y, swaps.reshape(2 * k, 2 * k), flat["share"])
     drop_stored(noted)
+    drop_stored(made)
     return {"bias": bias, "weights": {f: (float(w[j]), float(w[k + j])) for j, f in enumerate(picked.tolist())}}
 
 

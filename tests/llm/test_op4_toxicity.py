@@ -1,10 +1,13 @@
 """Held-out accuracy on planted words, neutral mentions of groups, odd tables."""
 
 import random
+import re
+import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.op4_toxicity import IDENTITY_GROUPS, SENTENCES, learn, swapped, toxicity
+from snapmetrics.llm.op4_toxicity import IDENTITY_GROUPS, PARTS, changes, damped, features, learn, products, swapped, toxicity
 
 RNG = random.Random(8)
 PLAIN = [f"{a}{b}" for a in ("ba", "ke", "lo", "mi", "su", "ta", "re") for b in ("nd", "rt", "ll", "sk", "mp", "gen")]
@@ -46,10 +49,36 @@ def test_held_out_accuracy_and_neutral_mentions(spark):
 
 
 def test_swapped_sentences():
-    pairs = swapped("A muslim man came. Nothing here. The woman left! " * 5)
-    assert len(pairs) == SENTENCES and all(a != b for a, b in pairs)
-    (a, b), = swapped("No group is named")
-    assert a != b and a.endswith("No group is named") and b.endswith("No group is named") and swapped("") == []
+    pairs = swapped("A muslim man came. Nothing here. The woman left! " * 50)
+    assert len(pairs) == 150 and all(a in s.lower() and a != b for s, a, b in pairs)
+    ((s, a, b),) = swapped("No group is named")
+    assert a != b and s == f"{a} No group is named" and swapped("") == []
+
+
+def test_changes_and_their_products_equal_full_descriptions():
+    """Each swap's change against features of the sentence written with the other term; products against dense vectors."""
+    text = "The old woman saw an old man and a german. A black cat! A jewish and a muslim boy, old old."
+    picked = sorted({f for t in ("old", "woman", "german", "muslim", "cat") for f in features(t)[0]})
+    column, k = {f: i for i, f in enumerate(picked)}, len(picked)
+
+    def vector(sentence):
+        counts, n = features(sentence)
+        return np.array([float(counts.get(f, 0) > 0) for f in picked] + [damped(counts.get(f, 0), n) for f in picked])
+
+    dense = []
+    for s, a, b in swapped(text):
+        at = re.search(rf"\b{a}\b", s, re.I)
+        dense.append(vector(s) - vector(s[: at.start()] + b + s[at.end() :]))
+    n, at, sums = products(column, text)
+    want = sum(np.outer(d, d) for d in dense)
+    got = np.zeros(4 * k * k)
+    got[at] = np.array(sums) / PARTS
+    assert n == sum(bool(np.abs(d).sum()) for d in dense) and n >= 3 and np.abs(got.reshape(2 * k, 2 * k) - want).max() < 1e-5
+
+
+def test_a_long_sentence_is_swapped_in_seconds():
+    start = time.perf_counter()
+    assert len(changes("old man and german woman " * 100_000)) == 4 and time.perf_counter() - start < 20
 
 
 def test_odd_tables(spark):
