@@ -1,10 +1,14 @@
 """Licence scan by sparse TF-IDF cosine and directory inheritance, in DataFrame functions only.
 
 Sentences and lines of every whole text that speak of licences are its headers. Each header, and all headers of a text
-together, become sparse vectors over distinct terms, weighted by the inverse document frequency of the whole corpus'
-headers, and are compared with licence templates by cosine; the best of at least ``LEAST`` is the text's own licence.
-Terms of no template say nothing about licences: they weigh 1, so the weights are one row per template term and fit
-into the expression, whatever the corpus holds.
+together, become sparse vectors: a term weighs its count in the header times its inverse document frequency over the whole
+corpus' headers (and the templates). They are compared with licence templates by cosine; the best of at least ``LEAST`` is the
+text's own licence.
+
+A header's dot products need the weights of the templates' terms only: these few are in the expression. Its length needs the
+weights of all its terms: the terms of no template are counted over the corpus (combined before the shuffle) and their counts
+joined back by term. The ``COMMON`` most frequent ones are broadcast, so the largest key of the shuffled join holds less than one
+in ``COMMON`` of all occurrences, whatever the corpus repeats.
 
 A text that is mostly headers (``FILE_SHARE`` of its characters), or whose file name says so, is a licence file: it licenses its
 directory. Texts without a licence of their own inherit from the nearest ancestor directory that has one: the distinct
@@ -14,13 +18,15 @@ directories are expanded to their ancestors and joined by path, then texts join
 src3/5/54/541/5417.txt.
 
 Defined results: a null or empty text has no licence of its own and may inherit; a null path is no place: nothing is
-inherited; of several licence files in a directory the most similar counts, then the last by name; repeated rows repeat their
-result; extra columns are ignored; an empty table gives an empty result.
+inherited; of several licence files in a directory the most similar counts, of equals the last by name; repeated rows repeat
+their result (each counts in the frequencies); a very long text is read whole; extra columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +36,10 @@ from snapmetrics.llm.common import stored, table
 
 LEAST = 0.55
 FILE_SHARE = 0.5
+#: Terms whose corpus counts are broadcast, the most frequent ones.
+COMMON = 1000
+#: A longer term is known by its digest, so that a count's row has a bounded size.
+LONGEST = 40
 
 #: Fixed texts: short forms and openings of public licences.
 TEMPLATES = {
@@ -67,13 +77,23 @@ TERM = r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*"
 FILE_NAME = r"(?i)(^|/)(licen[sc]e|copying|unlicense)[^/]*$"
 
 
-def terms_of(text: str) -> list[str]:
-    """Distinct lower-case terms (the same rule as ``_terms``)."""
-    return list(dict.fromkeys(x.lower() for x in re.findall(TERM, text)))
+def terms_of(text: str) -> Counter:
+    """Lower-cased terms with their counts (the same rule as ``_vector``)."""
+    return Counter(x.lower() for x in re.findall(TERM, text))
+
+
+def _vector(c: Column) -> Column:
+    """Array of (term, count) of a text: the terms sorted, equal ones side by side."""
+    term = F.transform(F.regexp_extract_all(c, F.lit(TERM), F.lit(0)), F.lower)
+    term = F.sort_array(F.transform(term, lambda t: F.when(F.length(t) > LONGEST, F.sha2(t, 256)).otherwise(t)))
 
+    def counted(terms: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(terms) - 1)
+        first = F.filter(at, lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1)))
+        inside = lambda starts: F.transform(starts, lambda p, k: F.struct(F.get(terms, p).alias("term"), (F.coalesce(F.get(starts, k + 1), F.size(terms)) - p).alias("tf")))
+        return F.when(F.size(terms) > 0, F.flatten(F.transform(F.array(first), inside))).otherwise(F.array().cast("array<struct<term:string,tf:int>>"))
 
-def _terms(c: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(TERM), F.lit(0)), F.lower))
+    return F.flatten(F.transform(F.array(term), counted))
 
 
 def document_path(id_col: str = "doc_id", source_col: str = "source") -> Column:
@@ -82,40 +102,62 @@ def document_path(id_col: str = "doc_id", source_col: str = "source") -> Column:
     return F.when(F.col(source_col).isNotNull() & digits.isNotNull(), F.concat_ws("/", F.col(source_col), above, F.concat(digits, F.lit(".txt"))))
 
 
-def weights(units: DataFrame) -> dict[str, float]:
-    """Smoothed inverse document frequency of the templates' terms over all headers and templates."""
+VOCABULARY = sorted({t for texts in TEMPLATES.values() for x in texts for t in terms_of(x)})
+
+
+def idf_of(n: Column | float, held: Column | float, ln) -> Column | float:
+    """Smoothed inverse document frequency: n headers and templates, held of them hold the term."""
+    return ln((1 + n) / (1 + held)) + 1
+
+
+def weights(heads: DataFrame, held: DataFrame) -> tuple[int, dict[str, float]]:
+    """Number of headers and templates, and the IDF of the templates' terms."""
     texts = [terms_of(t) for ts in TEMPLATES.values() for t in ts]
-    vocabulary = sorted({t for ts in texts for t in ts})
-    known = F.array(*[F.lit(t) for t in vocabulary])
-    heads = units.select(F.explode("heads").alias("terms"))
     n = heads.count() + len(texts)
-    held = {r["term"]: r["n"] for r in heads.select(F.explode(F.array_intersect("terms", known)).alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
-    return {t: log((1 + n) / (1 + held.get(t, 0) + sum(t in x for x in texts))) + 1 for t in vocabulary}
+    known = {r["term"]: r["held"] for r in held.filter(F.col("term").isin(VOCABULARY)).collect()}
+    return n, {t: idf_of(n, known.get(t, 0) + sum(t in x for x in texts), log) for t in VOCABULARY}
+
+
+def squared_rest(heads: DataFrame, held: DataFrame, n: int) -> DataFrame:
+    """Per header (row, head): the squared length of its part outside the templates' terms."""
+    other = ~F.col("term").isin(VOCABULARY)
+    terms = heads.select("row", "head", F.explode("terms").alias("t")).select("row", "head", "t.term", "t.tf").filter(other)
+    counts = stored(held.filter(other), "counts")
+    often = stored(counts.orderBy(F.desc("held"), "term").limit(COMMON), "common")
+    seldom = counts.join(F.broadcast(often.select("term")), "term", "left_anti")
+    first = terms.join(F.broadcast(often.withColumnRenamed("held", "often")), "term", "left")
+    known = first.filter("often is not null").select("row", "head", "tf", F.col("often").alias("held"))
+    known = known.unionByName(first.filter("often is null").join(seldom, "term").select("row", "head", "tf", "held"))
+    weight = F.col("tf") * idf_of(F.lit(n), F.col("held"), F.log)
+    return known.groupBy("row", "head").agg(F.sum(weight * weight).alias("rest"))
 
 
 def _numbers(values: dict[str, float]) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in values]), F.array(*[F.lit(float(v)) for v in values.values()]))
 
 
-def _sum(terms: Column, values: Column, other: float) -> Column:
-    return F.aggregate(terms, F.lit(0.0), lambda total, t: total + F.coalesce(F.try_element_at(values, t), F.lit(other)))
+def _sum(terms: Column, values: Column, power: int) -> Column:
+    """Sum of count^power * value over the terms that have a value."""
+    return F.aggregate(terms, F.lit(0.0), lambda total, t: total + F.coalesce(F.pow(t["tf"].cast("double"), F.lit(power)) * F.try_element_at(values, t["term"]), F.lit(0.0)))
 
 
-def best_licence(heads: Column, idf: dict[str, float]) -> Column:
-    """Struct (similarity, licence) of the best pair of a header and a template, ties by the last name; null without headers."""
-    norms = _numbers({t: w * w for t, w in idf.items()})
+def best_licence(terms: Column, rest: Column, idf: dict[str, float]) -> Column:
+    """Struct (similarity, licence) of the template that is nearest to a header, ties by the last name."""
+    known = F.filter(terms, lambda t: t["term"].isin(VOCABULARY))
 
-    def against(terms: Column) -> Column:
-        length = F.sqrt(_sum(terms, norms, 1.0))
+    def against(own_terms: Column) -> Column:
+        length = F.sqrt(_sum(own_terms, _numbers({t: w * w for t, w in idf.items()}), 2) + rest)
         pairs = []
         for name, texts in TEMPLATES.items():
             for text in texts:
-                own = {t: idf[t] ** 2 for t in terms_of(text)}
-                near = _sum(terms, _numbers(own), 0.0) / (length * F.lit(sum(own.values()) ** 0.5))
+                counts = terms_of(text)
+                own = {t: c * idf[t] ** 2 for t, c in counts.items()}
+                norm = sum((c * idf[t]) ** 2 for t, c in counts.items()) ** 0.5
+                near = _sum(own_terms, _numbers(own), 1) / (length * F.lit(norm))
                 pairs.append(F.struct(F.round(near, 6).alias("similarity"), F.lit(name).alias("licence")))
         return F.array_max(F.array(*pairs))
 
-    return F.array_max(F.transform(F.filter(heads, lambda h: F.size(h) > 0), against))
+    return F.get(F.transform(F.array(known), against), 0)
 
 
 def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None) -> DataFrame:
@@ -126,12 +168,17 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     rows = rows.withColumn("lines", F.coalesce(heads, F.array().cast("array<string>")))
     share = F.aggregate("lines", F.lit(0), lambda n, s: n + F.length(F.trim(s))) / F.greatest(F.length(F.trim("text")), F.lit(1))
     together = F.when(F.size("lines") > 1, F.array(F.array_join("lines", "\n"))).otherwise(F.array().cast("array<string>"))
-    units = F.transform(F.concat("lines", together), _terms)
-    noted = rows.select("id", "path", units.alias("heads"), (F.coalesce(share, F.lit(0.0)) >= FILE_SHARE).alias("mostly"))
+    units = F.transform(F.concat("lines", together), _vector)
+    # the number is fixed once written, and tells rows of one id apart
+    noted = rows.select(F.monotonically_increasing_id().alias("row"), "id", "path", units.alias("heads"), (F.coalesce(share, F.lit(0.0)) >= FILE_SHARE).alias("mostly"))
     noted = stored(noted, "headers")
 
-    best = best_licence(F.col("heads"), weights(noted))
-    own = noted.withColumn("best", F.when(F.size("heads") > 0, best))
+    heads = noted.select("row", F.posexplode("heads").alias("head", "terms"))
+    held = heads.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count("*").alias("held"))
+    n, idf = weights(heads, held)
+    scored = heads.join(squared_rest(heads, held, n), ["row", "head"], "left").filter(F.size("terms") > 0)
+    best = scored.select("row", best_licence(F.col("terms"), F.coalesce("rest", F.lit(0.0)), idf).alias("best")).groupBy("row").agg(F.max("best").alias("best"))
+    own = noted.drop("heads").join(best, "row", "left")
     named = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False))
     own = own.select(
         "id", "path", F.regexp_replace("path", "/?[^/]*$", "").alias("directory"), F.when(F.col("best.similarity") >= LEAST, F.col("best")).alias("best"), (F.col("mostly") | named).alias("file")
@@ -164,7 +211,8 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     """The same from its definition: every header against every template, every directory against every grant."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    rows = ",\n    ".join(f"({i}, {quote(name)}, [{', '.join(map(quote, terms_of(t)))}])" for i, (name, t) in enumerate((n, t) for n, ts in TEMPLATES.items() for t in ts))
+    texts = enumerate((n, terms_of(t)) for n, ts in TEMPLATES.items() for t in ts)
+    rows = ",\n    ".join(f"({i}, {quote(name)}, [{', '.join(quote(t) for t in counts.elements())}])" for i, (name, counts) in texts)
     return rf"""
 WITH template AS (SELECT * FROM (VALUES
     {rows}) v(tid, licence, terms)),
@@ -173,13 +221,14 @@ doc AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN source IS NOT NULL
 cut AS (SELECT *, list_filter(string_split(regexp_replace(text, '([.!?;])\s+', '\1' || chr(10), 'g'), chr(10)), lambda s: regexp_matches(s, '{TRIGGER}')) AS lines FROM doc),
 unit AS (SELECT doc_id, row_number() OVER () AS uid, head FROM (
     SELECT doc_id, unnest(CASE WHEN len(lines) > 1 THEN list_append(lines, array_to_string(lines, chr(10))) ELSE lines END) AS head FROM cut)),
-unit_term AS (SELECT DISTINCT doc_id, uid, lower(unnest(regexp_extract_all(head, '{TERM}'))) AS term FROM unit),
-template_term AS (SELECT DISTINCT tid, licence, unnest(terms) AS term FROM template),
+word AS (SELECT doc_id, uid, lower(unnest(regexp_extract_all(head, '{TERM}'))) AS term FROM unit),
+unit_term AS (SELECT doc_id, uid, term, count(*) AS tf FROM word GROUP BY doc_id, uid, term),
+template_term AS (SELECT tid, licence, term, count(*) AS tf FROM (SELECT tid, licence, unnest(terms) AS term FROM template) GROUP BY tid, licence, term),
 idf AS (SELECT term, ln((1 + (SELECT count(*) FROM unit) + (SELECT count(*) FROM template)) / (1 + count(*))) + 1 AS w
-  FROM (SELECT term FROM template_term UNION ALL SELECT term FROM unit_term WHERE term IN (SELECT term FROM template_term)) GROUP BY term),
-unit_norm AS (SELECT uid, sqrt(sum(coalesce(w * w, 1.0))) AS norm FROM unit_term LEFT JOIN idf USING (term) GROUP BY uid),
-template_norm AS (SELECT tid, sqrt(sum(w * w)) AS norm FROM template_term JOIN idf USING (term) GROUP BY tid),
-near AS (SELECT u.doc_id, t.licence, round(sum(w * w) / any_value(n.norm * m.norm), 6) AS similarity
+  FROM (SELECT term FROM template_term UNION ALL SELECT term FROM unit_term) GROUP BY term),
+unit_norm AS (SELECT uid, sqrt(sum(tf * tf * w * w)) AS norm FROM unit_term JOIN idf USING (term) GROUP BY uid),
+template_norm AS (SELECT tid, sqrt(sum(tf * tf * w * w)) AS norm FROM template_term JOIN idf USING (term) GROUP BY tid),
+near AS (SELECT u.doc_id, t.licence, round(sum(u.tf * t.tf * w * w) / any_value(n.norm * m.norm), 6) AS similarity
   FROM unit_term u JOIN template_term t USING (term) JOIN idf USING (term) JOIN unit_norm n USING (uid) JOIN template_norm m USING (tid) GROUP BY u.doc_id, u.uid, t.tid, t.licence),
 best AS (SELECT doc_id, max({{'similarity': similarity, 'licence': licence}}) AS b FROM near GROUP BY doc_id),
 own AS (SELECT c.doc_id, c.path, regexp_replace(c.path, '/?[^/]*$', '') AS directory, CASE WHEN b.similarity >= {LEAST} THEN b END AS b,

@@ -2,9 +2,13 @@
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from snapmetrics.llm import op10_licences as op
 from snapmetrics.llm.op10_licences import CUT, LEAST, TEMPLATES, TRIGGER, licences, terms_of
 
 ROWS = [
@@ -32,15 +36,16 @@ def brute(rows):
     texts = [terms_of(t) for ts in TEMPLATES.values() for t in ts]
     units = [u for r in rows for u in heads(r[2])]
     n = len(units) + len(texts)
-    idf = {t: math.log((1 + n) / (1 + sum(t in u for u in units + texts))) + 1 for ts in texts for t in ts}
+    held = Counter(t for u in units + texts for t in u)
+    weigh = lambda u: {t: c * (math.log((1 + n) / (1 + held[t])) + 1) for t, c in u.items()}
     found = []
     for _, _, text in rows:
         best = None
-        for u in heads(text):
+        for u in map(weigh, heads(text)):
             for name, ts in TEMPLATES.items():
-                for t in map(terms_of, ts):
-                    dot = sum(idf[x] ** 2 for x in set(u) & set(t))
-                    cos = dot / math.sqrt(sum(idf.get(x, 1.0) ** 2 for x in u) * sum(idf[x] ** 2 for x in t))
+                for t in (weigh(terms_of(x)) for x in ts):
+                    dot = sum(w * t.get(x, 0) for x, w in u.items())
+                    cos = dot / math.sqrt(sum(w * w for w in u.values()) * sum(w * w for w in t.values()))
                     best = max(best or (0, ""), (round(cos, 6), name))
         found.append(best if best and best[0] >= LEAST else None)
     return found
@@ -62,3 +67,18 @@ def test_own_and_inherited(spark):
     assert (by[6]["licence"], by[6]["from_directory"]) == ("GPL-3.0", "repo/src/deep/sub")
     assert by[7]["origin"] == by[9]["origin"] == by[10]["origin"] == "none" and by[8]["licence"] == "MIT"
     assert licences(df.limit(0), path=F.col("path")).collect() == []
+
+
+@pytest.mark.parametrize("common", [1, 1000])
+def test_all_terms_weigh_by_count_and_frequency(spark, monkeypatch, common):
+    """Rare, repeated, very long and frequent words beside a licence's name; frequent ones broadcast or not; a very long text."""
+    monkeypatch.setattr(op, "COMMON", common)
+    words = ["zebra", "the", "the", "license", "x" * 100, "Müller", "MIT", "2.0", "GNU"]
+    rows = [(i, None, f"Licensed under the Apache License, Version 2.0 by {' '.join(words[: i % 10])}.\nReleased under the MIT License. {words[i % 9] * (i % 3)}") for i in range(40)]
+    rows += [(50, None, "license " * 5000 + "MIT"), (51, None, "licence ü ö"), (52, None, "word " * 100_000 + "\nReleased under the MIT License."), (53, None, "ß licence\n" * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["similarity"], r["licence"]) if r["origin"] == "own" else None for r in licences(df, path=F.col("path")).collect()}
+    for (i, _, _), want in zip(rows, brute(rows), strict=True):
+        assert (got[i] is None) == (want is None), i
+        assert want is None or (got[i][1] == want[1] and abs(got[i][0] - want[0]) < 2e-6), (i, got[i], want)
+    assert got[52][1] == "MIT"
