@@ -1,5 +1,7 @@
 """One case per fault that lost rows or changed values: links, paragraphs, keys, matches, prices, ids, late rows."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,17 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Session(), "x")
+
+
+def test_drawdown_pairs_every_high_with_every_as_of_row(spark):
+    """Equal highs repeat the symbol; a symbol whose only high is at the date, without the date, or without highs drops out."""
+    from snapmetrics.plans.prices import sector_drawdown
+
+    day = lambda n: dt.date(2021, 1, n)
+    bars = [("a", day(1), 20.0), ("a", day(3), 20.0), ("a", day(9), 15.0), ("b", day(2), 5.0), ("b", day(9), 10.0), ("c", day(1), 4.0), ("d", day(9), None), ("e", day(1), 8.0), ("e", day(9), 8.0),
+            ("f", day(1), 9.0), ("f", day(9), None), ("g", day(1), 7.0), ("g", day(9), 1.0), (None, day(1), 3.0), (None, day(9), 2.0), ("a", None, 20.0)]
+    prices = spark.createDataFrame(bars, "symbol string, at_date date, high double")
+    companies = spark.createDataFrame([(s, '{"sector": "x"}' if s != "g" else "{}") for s in "abcdefg"], "symbol string, details string")
+    (r,) = sector_drawdown(prices, companies, day(9)).collect()
+    # a: 25 % twice (8 and 6 days), e: 0 % (8 days), f: unknown (8 days)
+    assert (r["sector"], r["count_"], r["avg_percent_lower"], r["std_percent_lower"], r["avg_days_since_max_date"], r["std_days_since_max_date"]) == ("x", 4, 17.0, 14.43, 8.0, 1.0)
