@@ -9,7 +9,8 @@ language; a relative margin under ``NARROW`` marks the answer as rejected (the b
 
 Defined results: a null text or one without a letter is `und` with score 0 and counts as rejected; with nothing to
 learn from, every text is `und`; ties go to the language with more learned documents, then by name; a null id is never
-learned from and counts as held out; repeated rows repeat their result; extra columns are ignored.
+learned from and counts as held out; repeated rows repeat their result; a very long text is compressed whole, block by
+block; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
