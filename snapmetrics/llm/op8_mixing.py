@@ -20,7 +20,8 @@ others, slot null); without ``weights`` a source's weight is its share of charac
 
 Defined results: a null source is a source of its own; a null or empty text has size 0 and falls into the block of its place; a
 null id takes part like any other and ties of hash and id are rows that differ in nothing that matters here; repeated rows
-are placed separately; extra columns are ignored; an empty table gives an empty result.
+are placed separately; a text longer than a block begins in the block of its place and fills the next ones, which no other
+document begins; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ from pyspark.sql import types as T
 
 from snapmetrics.llm.common import map_rows, stored, table
 
-PERIOD = 1_000
 #: Blocks that one Spark task row schedules.
 RANGE = 20_000
 CHUNK_ROWS = 2_000
@@ -58,27 +58,6 @@ def exact_parts(weights: dict) -> tuple[dict, int]:
     return parts, sum(parts.values())
 
 
-def parts_of_period(weights: dict) -> tuple[dict, int]:
-    """Whole parts of a short period, by largest remainders; every positive weight gets one part at least. A rounded table
-    for a look at one period: ``pfair_mix`` schedules by ``exact_parts``."""
-    live = {s: Fraction(w) for s, w in weights.items() if w and w > 0}
-    if not live:
-        return {}, 0
-    period = max(PERIOD, 4 * len(live))
-    total = sum(live.values())
-    exact = {s: w / total * period for s, w in live.items()}
-    parts = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    by_rest = sorted(live, key=lambda s: (math.floor(exact[s]) - exact[s], s is None, str(s)))
-    i = 0
-    while (left := period - sum(parts.values())) > 0:
-        parts[by_rest[i % len(by_rest)]] += 1
-        i += 1
-    while left < 0:  # minima of one part went over: the largest gives
-        parts[max(parts, key=lambda s: (parts[s], str(s)))] -= 1
-        left += 1
-    return parts, period
-
-
 def picks(parts: dict, period: int, blocks: dict, slot: int = 0, had: dict | None = None) -> Iterator[tuple]:
     """(source, turn, slot): earliest deadline first over the released blocks, from a slot at which the sources have ``had``
     their blocks up to the last of ``blocks``. Equal deadlines go to the source with more parts, then by name."""
@@ -99,11 +78,6 @@ def picks(parts: dict, period: int, blocks: dict, slot: int = 0, had: dict | Non
         slot += 1
 
 
-def schedule(parts: dict, period: int) -> list[tuple]:
-    """(source, turn, parts, slot, period) of one period."""
-    return [(s, turn, parts[s], slot, period) for s, turn, slot in picks(parts, period, parts)]
-
-
 def range_starts(parts: dict, period: int, blocks: dict, step: int) -> list[tuple]:
     """(slot, blocks had by source) before every ``step``-th block."""
     had, starts = dict.fromkeys(parts, 0), []

@@ -6,16 +6,18 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.op8_mixing import parts_of_period, pfair_mix, schedule
+from snapmetrics.llm.op8_mixing import exact_parts, pfair_mix, picks
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.one_of(st.none(), st.text(max_size=3)), st.integers(0, 10_000), max_size=40))
+@given(st.dictionaries(st.one_of(st.none(), st.text(max_size=3)), st.fractions(0, 30, max_denominator=3), max_size=12))
 def test_every_block_is_in_its_window_and_deviation_is_below_one_block(weights):
-    parts, period = parts_of_period(weights)
+    parts, period = exact_parts(weights)
     assert set(parts) == {s for s, w in weights.items() if w > 0} and sum(parts.values()) == period
+    total = sum(weights.values())
+    assert all(Fraction(p, period) == weights[s] / total for s, p in parts.items())
     got = dict.fromkeys(parts, 0)
-    plan = {slot: (s, turn) for s, turn, _, slot, _ in schedule(parts, period)}
+    plan = {slot: (s, turn) for s, turn, slot in picks(parts, period, parts)}
     assert sorted(plan) == list(range(period))
     for slot in range(period):
         s, turn = plan[slot]
@@ -71,3 +73,14 @@ def test_deviation_from_the_unrounded_weights_stays_below_one_block(spark, monke
             assert all(abs(had[s] - share[s] * (t + 1)) < 1 for s in had)
         if weights:
             assert max(mix) + 1 == -(-1 // share["b"]) > 3_300  # a source below 1/1000 is not over-weighted
+
+
+def test_a_text_of_many_blocks(spark):
+    rows = [(1, "a", "x" * 100_000), (2, "a", "y" * 10), (3, "a", ""), (4, "b", "z" * 50), (4, "b", "z" * 50), (5, "b", None)]
+    got = pfair_mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), {"a": 2, "b": 1}, block_chars=100).collect()
+    assert len(got) == len(rows) and all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    mine = sorted((r for r in got if r["source"] == "a"), key=lambda r: (r["block"], r["place"], r["size"]))
+    before = 0
+    for r in mine:
+        assert r["block"] * 100 + r["place"] == before
+        before += r["size"]
