@@ -4,8 +4,8 @@ Texts become lower-cased tokens (ASCII punctuation separates). A mask selects so
 ignores the others; equal hashes of the selected tokens are a hit, so a substituted word in an ignored position costs
 nothing. All windows of all benchmark items are hashed under every mask; so is every window of every whole training
 text, and the hashes that a bitmap of the benchmark's hashes lets through (a filter of at most ``MOST_BITS`` bits, no
-matter how large the benchmark is) are joined with the benchmark's. Around each hit's diagonal the item is laid over
-the text and the best stretch of agreeing words, substitutions allowed, decides.
+matter how large the benchmark is) are joined with the benchmark's, frequent ones in parts. Around each hit's diagonal
+the item is laid over the text and the best stretch of agreeing words, substitutions allowed, decides.
 
 A document overlaps an item if a stretch holds ``needed(item)`` equal words - 12, or 60 % of a shorter item - and at least
 ``IDENTITY`` of the stretch's words agree. Items of under ``LEAST_WORDS`` words are no evidence and never match.
@@ -32,6 +32,9 @@ MASKS = ("1111111", "1101101101", "1011010111", "11100010111", "110100110011")
 SHORT_MASKS = {(5, 5): ("11111",), (6, 7): ("1111", "11011", "110011"), (8, 11): ("11111", "111011", "110111", "1110011")}
 LEAST_WORDS, LEAST_MATCH, ITEM_SHARE, IDENTITY = 5, 12, 0.6, 0.7
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
+#: Rows of one seed that one join key holds on either side, and seeds whose counts are broadcast for that: a seed beyond
+#: them has less than a ``HOT``-th of the matches and is one key.
+PART, HOT = 1000, 10_000
 
 _PUNCTUATION = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _HIT = T.ArrayType(T.StructType([T.StructField("seed", T.LongType()), T.StructField("at", T.IntegerType())]))
@@ -124,6 +127,33 @@ def bitmap(of: DataFrame, n: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def same_seeds(hits: DataFrame, of: DataFrame) -> DataFrame:
+    """``hits`` and ``of`` joined by seed. A phrase that many texts and many items hold is dealt to one key for each ``PART``
+    of its texts and ``PART`` of its items, so that no task makes all of its matches."""
+    texts, items = (x.groupBy("seed").agg(F.count("*").alias(n)) for x, n in ((hits, "texts"), (of, "items")))
+    crowded = texts.join(items, "seed").filter((F.col("texts") > PART) | (F.col("items") > PART))
+    crowded = crowded.orderBy((F.col("texts") * F.col("items")).desc(), "seed").limit(HOT)
+    parts = [F.ceil(F.col(n) / PART).cast("int").alias(f"{n}_parts") for n in ("texts", "items")]
+    parts = F.broadcast(stored(crowded.select("seed", *parts), "crowded"))
+    own = lambda *c, n: F.coalesce(F.pmod(F.xxhash64(*c), f"{n}_parts"), F.lit(0)).cast("int").alias(f"{n}_part")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(f"{n}_parts", F.lit(1)) - 1)).alias(f"{n}_part")
+    x = hits.join(parts, "seed", "left").select("seed", "text_key", "at", own("text_key", "at", n="texts"), every("items"))
+    y = of.join(parts, "seed", "left").select("seed", "item_key", "item_at", own("item_key", "item_at", n="items"), every("texts"))
+    return x.join(y, ["seed", "texts_part", "items_part"])
+
+
+class _Tokens:
+    """Tokens of a text; kept while consecutive pairs share it."""
+
+    def __init__(self) -> None:
+        self.key, self.tokens = None, None
+
+    def __call__(self, key: int, text: str) -> np.ndarray:
+        if key != self.key:
+            self.key, self.tokens = key, tokens(text)
+        return self.tokens
+
+
 def benchmark_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per (row of docs, item) that overlap: id_col, text_key, item_col, matched, words (of the stretch),
     at_word (its first token in the text), item_words, item_share. text_key is xxhash64 of the text, for rows whose
@@ -145,21 +175,22 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     # equal texts are searched once; every diagonal of a (text, item) pair comes together
     hits = near.groupBy("text_key").agg(F.first("hits").alias("hits"))
     hits = hits.select("text_key", F.explode("hits").alias("h")).select("text_key", "h.seed", "h.at")
-    shifts = hits.join(of, "seed").select("text_key", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    shifts = same_seeds(hits, of).select("text_key", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     pairs = shifts.groupBy("text_key", "item_key").agg(F.collect_list("shift").alias("shifts"))
 
     bodies = near.groupBy("text_key").agg(F.first("text").alias("text"))
     item_texts = item.groupBy("item_key").agg(F.first("item_text").alias("item_text"))
-    both = pairs.join(bodies, "text_key").join(item_texts, "item_key")
+    # the long texts come last: they aren't shuffled with their pairs, and a text's pairs stand together
+    both = pairs.join(item_texts, "item_key").join(bodies, "text_key")
     numbers = ("matched", "words", "at_word", "item_words")
 
-    def verify(text: str, item_text: str, at: list[int]) -> tuple:
+    def verify(text_tokens: _Tokens, text_key: int, text: str, item_text: str, at: list[int]) -> tuple:
         x = tokens(item_text)
-        m = overlap(tokens(text), x, at)
+        m = overlap(text_tokens(text_key, text), x, at)
         return (None,) * 4 if m is None else (*m, len(x))
 
     out = T.StructType([T.StructField(c, T.LongType()) for c in numbers])
-    sure = map_rows(both, verify, ["text", "item_text", "shifts"], out, ["text_key", "item_key"]).filter("matched is not null")
+    sure = map_rows(both, verify, ["text_key", "text", "item_text", "shifts"], out, ["text_key", "item_key"], setup=_Tokens).filter("matched is not null")
     sure = stored(sure, "overlaps")
     found = near.select("id", "text_key").join(sure, "text_key").join(item.select("item", "item_key").distinct(), "item_key")
     return found.select(F.col("id").alias(id_col), "text_key", F.col("item").alias(item_col), *numbers, (F.col("matched") / F.col("item_words")).alias("item_share"))

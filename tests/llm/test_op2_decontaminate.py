@@ -5,7 +5,8 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.op2_decontaminate import LEAST_WORDS, benchmark_overlaps, best_stretch, needed, overlap, tokens
+from snapmetrics.llm import op2_decontaminate as op2
+from snapmetrics.llm.op2_decontaminate import LEAST_WORDS, benchmark_overlaps, best_stretch, needed, overlap, same_seeds, tokens
 
 RNG = random.Random(3)
 VOCABULARY = [f"{a}{b}{c}" for a in "bdklmn" for b in "aeiou" for c in "rstx"]
@@ -75,3 +76,31 @@ def test_long_texts_and_ties(spark):
     rows = [(1, "filler " * 200_000 + item), (2, f"{item} {item}"), (3, f"{item} x {item}"), (3, f"{item} x {item}")]
     found = benchmark_overlaps(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id int, text string")).collect()
     assert sorted((r["doc_id"], r["matched"], r["at_word"]) for r in found) == [(1, 20, 200_000), (2, 20, 0), (3, 20, 0), (3, 20, 0)]
+
+
+def test_frequent_seeds_meet_in_parts_and_lose_no_match(spark, monkeypatch):
+    """Seeds held by many texts, many items, both or few, and more frequent ones than are dealt: the rows of the plain join."""
+    rng = random.Random(11)
+    hits = [(s, t, t % 5) for s in range(6) for t in range([1, 2, 40, 3, 25, 9][s])] + [(2, 0, 17), (99, 1, 1)]
+    of = [(s, 1000 + i, i % 4) for s in range(6) for i in range([2, 30, 35, 1, 1, 8][s])] + [(98, 1, 1)]
+    rng.shuffle(hits)
+    x = spark.createDataFrame(hits, "seed long, text_key long, at int")
+    y = spark.createDataFrame(of, "seed long, item_key long, item_at int")
+    want = sorted((s, t, at, i, item_at) for s, t, at in hits for s2, i, item_at in of if s == s2)
+    for part, hot in ((1000, 10), (4, 10), (4, 1), (1, 3)):
+        monkeypatch.setattr(op2, "PART", part)
+        monkeypatch.setattr(op2, "HOT", hot)
+        got = sorted(tuple(r) for r in same_seeds(x, y).select("seed", "text_key", "at", "item_key", "item_at").collect())
+        assert got == want
+    assert same_seeds(x, y.limit(0)).count() == same_seeds(x.limit(0), y).count() == 0
+
+
+def test_a_phrase_of_many_items_and_texts_is_one_overlap_a_pair(spark, monkeypatch):
+    monkeypatch.setattr(op2, "PART", 5)
+    phrase = [f"shared{k}" for k in range(16)]
+    items = [(i, " ".join([*phrase, f"own{i}", f"end{i}"])) for i in range(12)]
+    docs = [(i, " ".join([*words(30), *phrase, *words(30)])) for i in range(20)] + [(100 + i, " ".join(words(80))) for i in range(10)]
+    docs.append((200, " ".join([*phrase, *words(5)] * 300)))  # a very long text that repeats the phrase
+    got = benchmark_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted((d, i) for d in [*range(20), 200] for i in range(12))
+    assert {r["matched"] for r in got} == {16}
