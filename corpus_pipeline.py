@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.common import ID_KEY, ROW, TEXT_KEY, packed, prepare, row_keys, stored, table, unpacked
+from snapmetrics.llm.common import ID_KEY, ROW, TEXT_KEY, id_key, packed, prepare, row_keys, stored, table, unpacked
 from snapmetrics.llm.op2_decontaminate import benchmark_overlaps
 from snapmetrics.llm.op3_minhash import minhash_components
 from snapmetrics.llm.op4_toxicity import toxicity
@@ -29,7 +29,7 @@ PLACE = ("block", "release", "deadline", "slot", "place", "in_mix")
 
 def _key_columns() -> list[Column]:
     """Row keys from an operator's id and text_key."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias(ID_KEY), F.col("text_key").alias(TEXT_KEY)]
+    return [id_key(), F.col("text_key").alias(TEXT_KEY)]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,9 +130,14 @@ def unpacked(rows: DataFrame, like: DataFrame, text_col: str = "text") -> DataFr
     return rows.select(*[F.col(text_col) if c == text_col else F.col(ROW).getField(c).alias(c) for c in like.columns])
 
 
+def id_key(id_col: str = "doc_id") -> Column:
+    """Join key of an id of any type: its text behind a mark, so that a null id, the empty key, equals no id."""
+    return F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")).alias(ID_KEY)
+
+
 def row_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
-    """Join keys of a row: its id (-1 for null) and a hash of its text, so that rows without an id can be told apart."""
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias(ID_KEY), F.xxhash64(text_col).alias(TEXT_KEY)]
+    """Join keys of a row: its id and a hash of its text, so that rows without an id can be told apart."""
+    return [id_key(id_col), F.xxhash64(text_col).alias(TEXT_KEY)]
 
 
 # -------------------------------------------------------------------------------------------------------- hashing

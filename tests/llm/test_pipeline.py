@@ -97,3 +97,19 @@ def test_run_equals_the_stages_and_empty_tables(spark, planted, tmp_path):
     assert cp.run(spark, str(tmp_path)).collect() == []
     assert [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "mixing"]
     assert got.filter(F.col("in_mix")).count() > 0
+
+
+def test_ids_of_text_and_ids_beside_none(spark, planted):
+    """Ids that are texts pass the stages as they are, and an id of -1 is another row than one without an id."""
+    root, _ = planted
+    item = spark.read.parquet(f"{root}/benchmark.parquet").orderBy("item_id").first()["text"]
+    leak = f"{sentences(5)} {item} {sentences(5)}"
+    rows = [("a-1", leak), ("a-2", sentences(9)), ("", sentences(9)), (None, sentences(9)), ("-1", sentences(9))]
+    docs = spark.createDataFrame([(i, t, "s", len(t)) for i, t in rows], "doc_id string, text string, source string, n_chars long")
+    for name, stage in cp.STAGES[1:3]:
+        docs = stored(stage(spark, docs, root), name)
+    assert sorted((r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None) == sorted((i, t) for i, t in rows[1:] if i is not None)
+    assert docs.filter("doc_id is null").count() == 1
+    same = spark.createDataFrame([(-1, leak, "s", 1), (None, leak, "s", 1)], "doc_id long, text string, source string, n_chars long")
+    clean = same.withColumn("text", F.lit(rows[1][1]))
+    assert cp.without_benchmark(spark, same, root).count() == 0 and cp.without_benchmark(spark, clean, root).count() == 2
