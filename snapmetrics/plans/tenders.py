@@ -137,9 +137,10 @@ def court_short(meta) -> Column:
     return out.otherwise(field(m, COURT_SHORT_PATTERN))
 
 
-def one_line(c) -> Column:
-    """Line breaks and tabs -> spaces (``\\r\\n`` as one), as the text blocks are read before matching."""
-    return F.translate(F.replace(as_col(c), F.lit("\r\n"), F.lit(" ")), "\n\t", "  ")
+def one_line(c, line_break: str = " ") -> Column:
+    """Line breaks and tabs -> spaces (``\\r\\n`` as one), as the text blocks are read before matching; a bare ``\\n`` ->
+    ``line_break``."""
+    return F.translate(F.replace(as_col(c), F.lit("\r\n"), F.lit(" ")), "\n\t", line_break + " ")
 
 
 def field(text, pattern: str) -> Column:
@@ -150,7 +151,7 @@ def field(text, pattern: str) -> Column:
 
 def tender_fields(df: DataFrame) -> DataFrame:
     """PIPE-22: area, place, price, court, notary, term and announcement from the free-text blocks."""
-    ap = F.col("area_and_place")
+    ap = one_line("area_and_place", line_break="-")  # the lines of a place end up as its parts
     meta = one_line("meta")
     place = nonempty(F.regexp_extract(ap, PLACE_PATTERN, 1))
     announcement = F.trim(field(meta, ANNOUNCEMENT_PATTERN))
@@ -255,10 +256,10 @@ UNION ALL
 SELECT page_id, link, price, area, place, type, NULL, NULL, false FROM court WHERE page_id % 3 = 0""",
     "tender_fields": f"""
 WITH {_COURT_SQL}, f AS (
-  SELECT page_id, area_and_place AS ap, meta, description, price_text,
-    trim(nullif(regexp_extract(area_and_place, '^(?:[\\s-]+)?\\d+\\s+кв\\.м\\.,(.*)', 1), '')) AS pl,
+  SELECT page_id, ap, meta, description, price_text,
+    trim(nullif(regexp_extract(ap, '^(?:[\\s-]+)?\\d+\\s+кв\\.м\\.,(.*)', 1), '')) AS pl,
     description AS x
-  FROM court
+  FROM (SELECT *, replace(replace(replace(area_and_place, chr(13) || chr(10), ' '), chr(10), '-'), chr(9), ' ') AS ap FROM court) lines
 )
 SELECT page_id,
   nullif(regexp_extract(price_text, '.*:\\s+(\\d+)\\..*', 1), '') AS price,

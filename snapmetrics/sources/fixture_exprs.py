@@ -47,8 +47,9 @@ COURT_TENDERS = [
     "CAST(c_nationkey AS DOUBLE) AS lon",
     "CAST(c_nationkey AS DOUBLE) / 2 AS lat",
     "'Начална цена:  ' || CAST(CAST(floor(c_acctbal) AS BIGINT) + 10000 AS STRING) || '.00 лв.' AS price_text",
-    "' - ' || CAST(c_custkey % 200 + 20 AS STRING) || ' кв.м., гр. Град  ' || n_name || '-  кв. '"
-    " || CAST(c_custkey AS STRING) || '-' AS area_and_place",
+    "' - ' || CAST(c_custkey % 200 + 20 AS STRING) || ' кв.м., гр. Град  ' || n_name"
+    " || CASE c_custkey % 5 WHEN 0 THEN chr(10) WHEN 1 THEN chr(13) || chr(10) WHEN 2 THEN chr(9) ELSE '-  ' END"
+    " || 'кв. ' || CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 7 = 0 THEN chr(10) ELSE '-' END AS area_and_place",
     f"{_COURT} || ' ЧСИ: Иван Петров-Иванов Срок: от 01.02.2020 до '"
     " || lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0') || '.' || lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0')"
     " || '.' || CAST(2019 + c_custkey % 4 AS STRING) || ' Обявяване на: 04.03.2020 10:00' AS meta",

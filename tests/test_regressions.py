@@ -14,7 +14,7 @@ from snapmetrics.operators.joins import insert_if_absent, only_new, update_by_ke
 from snapmetrics.plans.listings import price_eur, price_with_vat, scrape_price_eur, site_price
 from snapmetrics.plans.pages import LinkRules, labelled_outlinks, page_articles, page_outlinks
 from snapmetrics.plans.places import match_places
-from snapmetrics.plans.tenders import disperse_clusters, ideal_parts
+from snapmetrics.plans.tenders import disperse_clusters, ideal_parts, tender_fields
 from snapmetrics.session import scratch_path
 
 NB = " "
@@ -160,3 +160,12 @@ def test_drawdown_pairs_every_high_with_every_as_of_row(spark):
     (r,) = sector_drawdown(prices, companies, day(9)).collect()
     # a: 25 % twice (8 and 6 days), e: 0 % (8 days), f: unknown (8 days)
     assert (r["sector"], r["count_"], r["avg_percent_lower"], r["std_percent_lower"], r["avg_days_since_max_date"], r["std_days_since_max_date"]) == ("x", 4, 17.0, 14.43, 8.0, 1.0)
+
+
+def test_lines_of_a_place_are_its_parts(spark):
+    """The block of area and place is matched over its line breaks: a bare one separates parts, others are spaces."""
+    blocks = {1: " - 85 кв.м., гр. Варна\nкв. Левски\nул. 1\n", 2: "\n- 60 кв.м., гр.\r\nВарна\tцентър-", 3: "40 кв.м., гр. Варна", 4: None, 5: "", 6: "\n\n"}
+    rows = [(i, b, "", "", "") for i, b in blocks.items()]
+    df = spark.createDataFrame(rows, "page_id long, area_and_place string, meta string, price_text string, description string")
+    got = {r["page_id"]: (r["area"], r["place"]) for r in tender_fields(df).collect()}
+    assert got == {1: ("85", "гр. Варна,кв. Левски,ул. 1"), 2: ("60", "гр. Варна център"), 3: ("40", "гр. Варна"), 4: (None, None), 5: (None, None), 6: (None, None)}
