@@ -217,8 +217,8 @@ def tag_text(html, tag: str) -> Column:
 
 def inner_html(rest: Column, tag: Column) -> Column:
     """What of ``rest`` (the page after a start tag of kind ``tag``) lies inside that element: up to the end tag that brings the
-    running depth of this kind to zero; null if there is none. The depth is a fold over the pieces between tags that keeps
-    two numbers, so nested elements of any depth take one pass."""
+    running depth of this kind to zero; null if there is none. Mostly the first tag of this kind that follows is that end tag. Else
+    the depth is a fold over the pieces between tags that keeps two numbers, so nested elements of any depth take one pass."""
     def step(pieces: Column, kind: Column) -> Column:
         def move(acc: Column, piece: Column) -> Column:
             same = F.lower(F.regexp_extract(piece, "^</?([a-zA-Z][a-zA-Z0-9]*)", 1)) == kind
@@ -228,16 +228,33 @@ def inner_html(rest: Column, tag: Column) -> Column:
         end = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), move)
         return bound(end, lambda e: F.when(e["depth"] == 0, F.array_join(F.slice(pieces, F.lit(1), e["n"]), "")))
 
-    parts = F.struct(F.split(rest, "(?=</?[a-zA-Z])").alias("pieces"), F.lower(tag).alias("kind"))
-    return bound(parts, lambda p: step(p["pieces"], p["kind"]))
+    def folded(page: Column, kind: Column) -> Column:
+        parts = F.struct(F.split(page, "(?=</?[a-zA-Z])").alias("pieces"), F.lower(kind).alias("kind"))
+        return bound(parts, lambda p: step(p["pieces"], p["kind"]))
+
+    def of(p: Column) -> Column:
+        cut = F.split(p["rest"], F.concat(F.lit("(?i)</?"), p["kind"], F.lit("(?![a-zA-Z0-9])")), 2)
+        closes = lambda c: p["rest"].substr(F.length(c[0]) + 1, F.lit(2)) == "</"
+        return bound(cut, lambda c: F.when(F.size(c) == 2, F.when(closes(c), c[0]).otherwise(folded(p["rest"], p["kind"]))))
+
+    return bound(F.struct(rest.alias("rest"), tag.alias("kind")), of)
 
 
 def class_text(html, name: str) -> Column:
     """Text of the first element whose class holds the word ``name``, elements inside it included; null when absent, empty or not
     closed."""
-    start = rf"""(?s)<([a-z][a-z0-9]*)\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"'>]*\s)?{_quote(name)}(?:\s[^"'>]*)?["'][^>]*>(.*)"""
-    inner = inner_html(F.regexp_extract(as_col(html), start, 2), F.regexp_extract(as_col(html), start, 1))
-    return bound(strip_tags(inner), lambda text: nonempty(clean_text(text)))
+    start = rf"""<([a-z][a-z0-9]*)\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"'>]*\s)?{_quote(name)}(?:\s[^"'>]*)?["'][^>]*>"""
+    page = as_col(html)
+
+    def inner(tag: Column) -> Column:
+        # the tag's text holds one ">", at its end: where it occurs first is where the pattern matches first (bytes that are
+        # no UTF-8 are other text after matching, and found nowhere)
+        cut = F.call_function("substr", page, F.call_function("instr", page, tag) + F.length(tag))
+        rest = F.when(F.call_function("instr", page, tag) > 0, cut).otherwise(F.regexp_extract(page, f"(?s){start}(.*)", 2))
+        return inner_html(rest, F.regexp_extract(tag, "^<([a-z][a-z0-9]*)", 1))
+
+    found = bound(F.regexp_extract(page, start, 0), lambda tag: F.when(F.length(tag) > 0, inner(tag)))
+    return bound(strip_tags(found), lambda text: nonempty(clean_text(text)))
 
 
 def attribute_value(html, tag: str, attribute: str) -> Column:

@@ -9,7 +9,7 @@ from snapmetrics.functions.common import bound, nonempty
 from snapmetrics.functions.numbers import no_spaces
 from snapmetrics.functions.text import class_text, parse_bg_datetime, term_range, text_after
 from snapmetrics.functions.urls import basename
-from snapmetrics.sources.tables import table
+from snapmetrics.sources.tables import spread, table
 
 BASE_URL = "https://sales.example.bg"
 PLACEHOLDER = "/assets/images/photo-placeholder.png"
@@ -83,8 +83,14 @@ COURT_PAGE = (
 )
 
 
+def _pages(spark, d, name: str, key: str, page: str) -> DataFrame:
+    """A page a row, its rows spread first: reading pages out costs a thousand times what scanning their rows does."""
+    rows = table(spark, d, name)
+    return spread(rows.select(*[c for c in rows.columns if c in page])).selectExpr(f"{key} AS page_id", f"{page} AS html")
+
+
 def _court(spark, d) -> DataFrame:
-    found = court_tender_fields(table(spark, d, "customer").selectExpr("c_custkey AS page_id", f"{COURT_PAGE} AS html"))
+    found = court_tender_fields(_pages(spark, d, "customer", "c_custkey", COURT_PAGE))
     said = F.array_join(F.transform("attachments", lambda a: F.concat_ws("=", a["name"], a["link"])), ",")
     return found.withColumn("attachments", said)
 
@@ -102,8 +108,8 @@ def nested_page_fields(pages: DataFrame) -> DataFrame:
 
 
 QUERIES = {
-    "nested_page_fields": lambda spark, d: nested_page_fields(table(spark, d, "customer").selectExpr("c_custkey AS page_id", f"{NESTED_PAGE} AS html")),
-    "tax_tender_fields": lambda spark, d: tax_tender_fields(table(spark, d, "supplier").selectExpr("s_suppkey AS page_id", f"{TAX_PAGE} AS html")),
+    "nested_page_fields": lambda spark, d: nested_page_fields(_pages(spark, d, "customer", "c_custkey", NESTED_PAGE)),
+    "tax_tender_fields": lambda spark, d: tax_tender_fields(_pages(spark, d, "supplier", "s_suppkey", TAX_PAGE)),
     "court_tender_fields": _court,
 }
 

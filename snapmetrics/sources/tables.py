@@ -31,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt in turn over tasks, for work that costs far more than reading its bytes: a scan is cut by bytes, so a
+    small file is one task however many cores there are. Dealt by no key, so no group of copies weighs."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism))
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Expose every driver table as a temp view of the same name (SRC-7)."""
     for name in TABLES:
