@@ -12,9 +12,12 @@ No row is dropped: what is later than a watermark, or has no readable time, goes
 
 from __future__ import annotations
 
+import pickle
 import uuid
+import zlib
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,61 +184,127 @@ def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, table
 
 #: Links are dealt by hash to so many lanes, and a lane is one entry of the state store: what a call of the Python operator costs
 #: besides its rows (2 to 3 ms, the work of 300 rows) is paid for a lane, not for a link. Fixed for a checkpoint.
-LANES = 1 << 14
+LANES = 1 << 12
 #: A lane's state: the rows of its links, those of a link together and in order (its rows from the watermark on and one
-#: before), and the links whose older rows were let go.
-STATE = "ts array<long>, ids array<long>, rows array<string>, pruned array<string>, links array<string>"
+#: before), times and ids beside them; the links whose older rows were let go; the links in that order and how many rows each has.
+#: The rows are one compressed value (``_pack``): row by row they would fill the executors' memory.
+STATE = "ts array<long>, ids array<long>, rows binary, pruned array<string>, links array<string>, sizes array<long>"
 #: What the state tells about a row: the row before it, and for a row that was told before, the one before it then.
 FOLLOWED = "kind string, row string, prev string, first boolean, told boolean, old_prev string, old_first boolean"
+#: Divides a row's text: first what the row after it needs, then the columns. ``ESC`` marks a null and stands, with a digit, for
+#: either character inside a column's text.
+SEP, ESC = "\x1f", "\x1e"
 
 
-def _place(known: list, pruned: bool, batch: list, horizon: int, out: list) -> tuple[list, bool]:
-    """One link's rows of a batch against those known. A row that is older than these, or has no time, is late; any other
-    one is put in its place, and the row after it is told again if it was told before."""
-    had = {(t, i) for t, i, _ in known}
-    new = {}
-    for t, i, row, readable in batch:
-        if not readable or pruned and (t, i) < known[0][:2]:
-            out.append(("late", row, None, False, False, None, False))
-        elif (t, i) not in had:
-            new.setdefault((t, i), row)
-    merged = sorted([*((t, i, row, False) for t, i, row in known), *((t, i, row, True) for (t, i), row in new.items())])
-    last_known, begun = None, False
-    for at, (_, _, row, is_new) in enumerate(merged):
-        prev = merged[at - 1][2] if at else None
-        if is_new:
-            out.append(("delta", row, prev, at == 0, False, None, False))
-        else:
-            if at and merged[at - 1][3]:
-                out.append(("delta", row, prev, False, True, last_known, not begun))
-            last_known, begun = row, True
-    keep = max((at for at, m in enumerate(merged) if m[0] < horizon), default=0)
-    return [m[:3] for m in merged[keep:]], pruned or keep > 0
+def _row_text(schema: T.StructType, visit: Column) -> Column:
+    """A row as one text: visit time in microseconds, comments and views (empty if null), then its columns."""
+    parts = [F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in (F.unix_micros(visit), F.col("comments"), F.col("views"))])]
+    for field in schema:
+        text = F.col(field.name).cast("string")
+        if isinstance(field.dataType, T.StringType):
+            text = F.replace(F.replace(text, F.lit(ESC), F.lit(f"{ESC}0")), F.lit(SEP), F.lit(f"{ESC}1"))
+        parts.append(F.coalesce(text, F.lit(ESC)))
+    return F.concat_ws(SEP, *parts)
+
+
+def _numbers(head: Column, schema: T.StructType) -> Column:
+    """The first part of ``_row_text``: visited, comments, views."""
+    n = F.split(head, ",")
+    visited = F.timestamp_micros(n[0].try_cast("long")).cast("timestamp_ntz")
+    return F.struct(visited.alias("visited"), *[n[at].try_cast(schema[c].dataType).alias(c) for at, c in ((1, "comments"), (2, "views"))])
+
+
+def _columns(parts: Column, schema: T.StructType) -> list[Column]:
+    """The columns of ``_row_text``, split at ``SEP``."""
+    out = []
+    for at, field in enumerate(schema, 1):
+        value = F.nullif(parts[at], F.lit(ESC))
+        if isinstance(field.dataType, T.StringType):
+            value = F.replace(F.replace(value, F.lit(f"{ESC}1"), F.lit(SEP)), F.lit(f"{ESC}0"), F.lit(ESC))
+        out.append(value.cast(field.dataType).alias(field.name))
+    return out
+
+
+def _pack(rows: list) -> bytes:
+    return zlib.compress(pickle.dumps(rows), 1)
+
+
+def _unpack(packed: bytes | None) -> list:
+    return pickle.loads(zlib.decompress(packed)) if packed else []
+
+
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), dtype=object)
+    out[:] = values
+    return out
+
+
+def _heads(rows: np.ndarray) -> list:
+    return [row.partition(SEP)[0] for row in rows]
 
 
 def _follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A lane's rows of a batch against its state, link by link; links without rows in the batch stay as they are. Frames
-    without links hold the rows of one, which the key names."""
-    ts, ids, rows, pruned, links = state.get if state.exists else ([], [], [], [], [])
-    known, pruned = {}, set(pruned)
-    for link, *row in zip(links, ts, ids, rows, strict=True):
-        known.setdefault(link, []).append(tuple(row))
-    batch = {}
+    """A lane's rows of a batch against its state; links without rows in the batch stay as they are. Frames without links hold
+    the rows of one, which the key names. A row that is older than its link's known rows, or has no time, is late; any other
+    one is put in its place, and the row after it is told again if it was told before. All links of the lane are placed in
+    one sort; of a copy the known row stays, else the first."""
+    ts, ids, packed, pruned, links, sizes = state.get if state.exists else ([], [], None, [], [], [])
+    code_of = {link: n for n, link in enumerate(links)}
+    known, pruned = len(ts), set(pruned)
+    texts, codes, t, i, readable = _unpack(packed), [np.repeat(np.arange(len(links)), sizes)], [np.array(ts, "int64")], [np.array(ids, "int64")], [np.ones(known, bool)]
     for frame in frames:
         of = frame["link"].tolist() if "link" in frame else [key[0]] * len(frame)
-        for link, *row in zip(of, *(frame[c].tolist() for c in ("t", "i", "row", "readable")), strict=True):
-            batch.setdefault(link, []).append(row)
-    out, horizon = [], state.getCurrentWatermarkMs() * 1000
-    for link, some in batch.items():
-        kept, cut = _place(known.get(link, []), link in pruned, some, horizon, out)
-        if kept:
-            known[link] = kept
-        if cut:
-            pruned.add(link)
-    of = [(link, *row) for link, some in known.items() for row in some]
-    links, ts, ids, rows = zip(*of, strict=True) if of else ((), (), (), ())
-    state.update((list(ts), list(ids), list(rows), list(pruned), list(links)))
-    yield pd.DataFrame(out, columns=["kind", "row", "prev", "first", "told", "old_prev", "old_first"])
+        codes.append(np.array([code_of.setdefault(link, len(code_of)) for link in of], "int64"))
+        for columns, c in ((t, "t"), (i, "i"), (readable, "readable")):
+            columns.append(frame[c].to_numpy())
+        texts += frame["row"].tolist()
+    texts, code, t, i, readable = _objects(texts), *(np.concatenate(c) for c in (codes, t, i, readable))
+    names, touched = list(code_of), np.zeros(len(code_of), bool)
+    touched[code[known:]] = True
+
+    late = ~readable
+    if pruned:  # known rows lie link by link in order, so the first of a link is its oldest
+        oldest = np.searchsorted(code[:known], code[known:])
+        oldest[~np.array([name in pruned for name in names], bool)[code[known:]]] = -1
+        at = np.flatnonzero(oldest >= 0)
+        before, new = oldest[at], at + known
+        late[new] |= (t[new] < t[before]) | (t[new] == t[before]) & (i[new] < i[before])
+    aside, placed = np.flatnonzero(late), np.flatnonzero(~late)
+
+    # stable: of equal keys known rows come first, then those of the batch as they came
+    placed = placed[np.lexsort((i[placed], t[placed], code[placed]))]
+    copy = np.zeros(len(placed), bool)
+    copy[1:] = (np.diff(code[placed]) == 0) & (np.diff(t[placed]) == 0) & (np.diff(i[placed]) == 0)
+    placed = placed[~copy]
+    code, t, i = code[placed], t[placed], i[placed]
+    at, is_new, begins = np.arange(len(placed)), placed >= known, np.ones(len(placed), bool)
+    begins[1:] = code[1:] != code[:-1]
+
+    begin, last_known = (np.maximum.accumulate(np.where(x, at, 0 if x is begins else -1)) for x in (begins, ~is_new))
+    told = ~is_new & ~begins
+    told[1:] &= is_new[:-1]
+    out = np.flatnonzero(is_new | told)
+    prev, old = out - 1, last_known[out - 1]
+    first, told = begins[out], told[out]
+    old_first = told & (old < begin[out])
+    heads, old_prev = np.full((2, len(out)), None, dtype=object)
+    heads[~first] = _heads(texts[placed[prev[~first]]])
+    old_prev[told & ~old_first] = _heads(texts[placed[old[told & ~old_first]]])
+
+    # a row goes when the row after it is behind the watermark too
+    gone = np.zeros(len(placed), bool)
+    gone[:-1] = ~begins[1:] & (t[1:] < state.getCurrentWatermarkMs() * 1000) & touched[code[:-1]]
+    pruned.update(names[n] for n in np.unique(code[gone]))
+    kept = ~gone
+    sizes = np.bincount(code[kept], minlength=len(names)).tolist()
+    of = [(link, size) for link, size in zip(names, sizes, strict=True) if size]
+    state.update((t[kept].tolist(), i[kept].tolist(), _pack(texts[placed[kept]].tolist()), list(pruned), [x[0] for x in of], [x[1] for x in of]))
+
+    n, none = len(aside), np.full(len(aside), None, dtype=object)
+    no = np.zeros(n, bool)
+    both = {"kind": (["late"] * n, ["delta"] * len(out)), "row": (texts[aside], texts[placed[out]]), "prev": (none, heads), "first": (no, first),
+            "told": (no, told), "old_prev": (none, old_prev), "old_first": (no, old_first)}
+    yield pd.DataFrame({c: np.concatenate(parts) if n else parts[1] for c, parts in both.items()})
 
 
 def stream_deltas(spark: SparkSession, landing: str, schema: T.StructType, tables: str, checkpoint: str,
@@ -260,16 +329,15 @@ def stream_deltas(spark: SparkSession, landing: str, schema: T.StructType, table
     timed = landed.select(
         lane.alias("lane"), "link", visit.alias("_visit"), (visit.isNotNull() & F.col("snapshot_id").isNotNull()).alias("readable"),
         F.coalesce(F.unix_micros(visit), F.lit(0)).alias("t"), F.coalesce("snapshot_id", F.lit(0).cast("long")).alias("i"),
-        F.to_json(F.struct(*schema.fieldNames())).alias("row"),
+        _row_text(schema, visit).alias("row"),
     )
     followed = timed.withWatermark("_visit", delay).groupBy("lane").applyInPandasWithState(_follow, FOLLOWED, STATE, "append", GroupStateTimeout.NoTimeout)
 
-    before = T.StructType([schema[c] for c in ("visited_timestamp", "comments", "views")])
-
     def batch(df: DataFrame, batch_id: int) -> None:
-        parsed = df.withColumns({c: F.from_json(c, schema if c == "row" else before) for c in ("row", "prev", "old_prev")})
-        rows = parsed.select("kind", "first", "told", "old_first", "prev", "old_prev", "row.*")
-        rows = rows.withColumns({"visited_ts": parse_ts("visited_timestamp"), "created_ts": parse_ts("created_timestamp"), "prev_visited": parse_ts("prev.visited_timestamp")})
+        rows = df.withColumn("row", F.split("row", SEP, -1)).withColumns({c: _numbers(F.col(c), schema) for c in ("prev", "old_prev")})
+        visited = F.timestamp_micros(F.split(F.col("row")[0], ",")[0].try_cast("long")).cast("timestamp_ntz")
+        rows = rows.select("kind", "first", "told", "old_first", "prev", "old_prev", visited.alias("visited_ts"), *_columns(F.col("row"), schema))
+        rows = rows.withColumns({"created_ts": parse_ts("created_timestamp"), "prev_visited": F.col("prev.visited")})
         old = generated(F.col("old_first"), F.col("old_prev.comments"), F.col("old_prev.views"))
         rows = rows.withColumns({f"old_{c}": F.when(F.col("told"), old[c]) for c in ("comments_generated", "views_generated")})
         rows = rows.withColumns(generated(F.col("first"), F.col("prev.comments"), F.col("prev.views")))
